@@ -6,9 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from chronoframe.config import FEATURE_EXCLUDE
+from chronoframe.operators.ordered import global_row_index
 
 __all__ = ["category_codes", "encode_columns", "lookup_with_default", "feature_columns",
            "pinned_features", "columns_matching"]
@@ -17,11 +17,12 @@ __all__ = ["category_codes", "encode_columns", "lookup_with_default", "feature_c
 def category_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Encoder table for W7: alphabetical code from 0 over the *distinct* values.
 
-    The distinct values are a small aggregate; the rank runs over that table,
-    never over the fact rows.
+    The rank runs over the distinct values only, with the distributed row
+    index (no single-task ``Window.orderBy``), so a high-cardinality column
+    does not end up in one task either.
     """
     d = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return d.select(col, (F.dense_rank().over(W.orderBy(col)) - 1).cast("int").alias(out or f"{col}_id"))
+    return global_row_index(d, [col], out="_cf_code").select(col, F.col("_cf_code").cast("int").alias(out or f"{col}_id"))
 
 
 def encode_columns(df: DataFrame, mapping: Mapping[str, str], encoders: Mapping[str, DataFrame] | None = None,

@@ -10,22 +10,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from chronoframe.plans import bindings as B
-from chronoframe.plans.sqlgen import (CLASS_NAMES_SQL, LINEITEM_PANEL, MONTH_NAMES_SQL, SEASON_NAMES_SQL,
-                                      SPLIT_EXPR, calendar_sql, r6, season_sql, window_features_sql)
+from chronoframe.plans.sqlgen import SIG_DIGITS, TIE_NUDGE
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def sig(c: Column) -> Column:
+    """Report precision: 10 significant digits; exact decimal ties nudged up by 1e-12 (relative).
+
+    The same expression is applied on the SQL side (``sqlgen.sig_sql``), so
+    engines that sum in different orders agree on every printed digit.
+    """
+    x = c * F.lit(1 + TIE_NUDGE)
+    p = F.pow(F.lit(10.0), F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(x))))
+    return F.when(c.isNull() | (c == 0) | F.isnan(c), c).otherwise(F.round(x * p) / p)
+
+
 def finish(df: DataFrame) -> DataFrame:
-    """Round every floating column to 6 digits (report precision)."""
-    return df.select(*[F.round(F.col(f.name), 6).alias(f.name)
+    """Normalise every floating column to report precision."""
+    return df.select(*[sig(F.col(f.name).cast("double")).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -48,6 +57,4 @@ def _load_modules() -> None:
     from chronoframe.plans import q_labels, q_panel, q_profile, q_metrics, q_rollups, q_ml  # noqa: F401
 
 
-__all__ = ["QUERIES", "ORACLE", "register", "finish", "B", "F", "CLASS_NAMES_SQL", "LINEITEM_PANEL",
-           "MONTH_NAMES_SQL", "SEASON_NAMES_SQL", "SPLIT_EXPR", "calendar_sql", "r6", "season_sql",
-           "window_features_sql"]
+__all__ = ["QUERIES", "ORACLE", "register", "finish", "sig"]

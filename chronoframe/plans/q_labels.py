@@ -9,7 +9,7 @@ from chronoframe.operators import rollups as R
 from chronoframe.operators.splits import split_label
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
-from chronoframe.plans.sqlgen import CLASS_NAMES_SQL, LINEITEM_PANEL, SPLIT_EXPR, r6
+from chronoframe.plans.sqlgen import CLASS_NAMES_SQL, LINEITEM_PANEL, SPLIT_EXPR, rsig
 
 LABELS = [("rain", "target_rain"), ("heatwave", "target_heatwave"), ("storm", "target_storm")]
 CLASSES = [(0, "normal"), (1, "heatwave"), (2, "rain"), (3, "storm")]
@@ -20,7 +20,7 @@ def _split(df):
 
 
 _pct_cols = [f"{n}_pct" for n, _ in LABELS] + [f"disaster_{c}_pct" for _, c in CLASSES]
-LABEL_DISTRIBUTION_SQL = r6(f"""
+LABEL_DISTRIBUTION_SQL = rsig(f"""
 WITH {LINEITEM_PANEL}
 SELECT n_name, min(r_name) AS r_name, min(heatwave_threshold) AS heatwave_threshold_C,
   count(*) AS total_hours,
@@ -39,7 +39,7 @@ def label_distribution(spark, sf_dir):
                                 threshold_col="heatwave_threshold")
 
 
-@register("label_totals", r6(f"""
+@register("label_totals", rsig(f"""
 WITH {LINEITEM_PANEL}
 {" UNION ALL ".join(f"SELECT '{n}' AS label, CAST(sum({c}) AS BIGINT) AS positives, "
                     f"CAST(sum({c}) AS DOUBLE) / count(*) * 100 AS positive_pct FROM lab" for n, c in LABELS)}
@@ -49,7 +49,7 @@ def label_totals(spark, sf_dir):
     return R.label_totals(B.lineitem_panel(spark, sf_dir), LABELS)
 
 
-@register("class_frequency", r6(f"""
+@register("class_frequency", rsig(f"""
 WITH {LINEITEM_PANEL},
 s AS (SELECT *, {SPLIT_EXPR.format(c="l_shipdate")} AS split FROM lab),
 g AS (SELECT DISTINCT split FROM s),
@@ -65,7 +65,7 @@ def class_frequency(spark, sf_dir):
     return R.class_frequency(_split(B.lineitem_panel(spark, sf_dir)), "target_disaster", 4, CLASS_NAMES, ["split"])
 
 
-@register("class_balance", r6(f"""
+@register("class_balance", rsig(f"""
 WITH {LINEITEM_PANEL},
 s AS (SELECT * FROM lab WHERE {SPLIT_EXPR.format(c="l_shipdate")} = 'train')
 SELECT CAST(count_if(target_rain = 0) AS BIGINT) AS negatives, CAST(count_if(target_rain = 1) AS BIGINT) AS positives,
@@ -76,7 +76,7 @@ def class_balance(spark, sf_dir):
     return R.class_balance(_split(B.lineitem_panel(spark, sf_dir)).where("split = 'train'"), "target_rain")
 
 
-@register("class_weights", r6(f"""
+@register("class_weights", rsig(f"""
 WITH {LINEITEM_PANEL},
 s AS (SELECT * FROM lab WHERE {SPLIT_EXPR.format(c="l_shipdate")} = 'train'),
 c AS (SELECT target_disaster, count(*) AS cnt FROM s GROUP BY target_disaster),

@@ -1 +1,217 @@
-"""placeholder"""
+"""Panel queries: cleaning + features, calendar, splits, folds, encodings, per-entity windows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from chronoframe.functions.calendar import calendar_columns, month_name, season_name
+from chronoframe.operators import clean as C
+from chronoframe.operators import panel as P
+from chronoframe.operators import rollups as R
+from chronoframe.operators import splits as S
+from chronoframe.operators.encode import encode_columns, lookup_with_default
+from chronoframe.plans import bindings as B
+from chronoframe.plans.catalog import register
+from chronoframe.plans.sqlgen import (MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig, season_sql,
+                                      window_features_sql)
+
+USER_CHUNK_ROWS = 4096
+DEEP_CHUNK_ROWS = 4096
+
+
+def _dedup_fill_sql(part: str, order: str, v: str, extra_cols: str) -> str:
+    return f"""
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {part}, ts ORDER BY event_id) AS _rn FROM events)
+      WHERE _rn = 1),
+f AS (SELECT {extra_cols}, ts,
+  coalesce(last_value({v} IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order}
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           first_value({v} IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order}
+                                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {v}
+  FROM d)"""
+
+
+_uf_items, _uf_names = window_features_sql("value", "user_id", "ts, event_id", B.USER_FEATURES.lags,
+                                           B.USER_FEATURES.windows)
+FEATURE_TABLE_SQL = rsig(f"""
+WITH {_dedup_fill_sql("user_id", "ts, event_id", "value", "event_id, user_id, event_type")}
+SELECT event_id, user_id, event_type, value, {_uf_items}, {calendar_sql("ts")},
+  {season_sql("month(ts)")} AS season
+FROM f""", ["value"] + _uf_names)
+
+
+@register("feature_table", FEATURE_TABLE_SQL)
+def feature_table(spark, sf_dir):
+    """W1–W5 + F2–F4: dedup, fill, lags, rolling mean/std and calendar features (chunked layout)."""
+    ev = B.table(spark, sf_dir, "events").drop("props")
+    ev = C.nan_to_null(ev, ["value"])
+    f = P.panel_features(ev, B.USER_PANEL, B.USER_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
+                         layout="chunked", chunk_rows=USER_CHUNK_ROWS, bucket="day")
+    return f.withColumns(calendar_columns("ts")).drop("ts")
+
+
+_df_items, _df_names = window_features_sql("value", "event_type", "ts, event_id", B.DEEP_FEATURES.lags,
+                                           B.DEEP_FEATURES.windows, "h")
+
+
+@register("feature_table_deep", rsig(f"""
+WITH {_dedup_fill_sql("event_type", "ts, event_id", "value", "event_id, event_type")}
+SELECT event_id, event_type, value, {_df_items} FROM f""", ["value"] + _df_names))
+def feature_table_deep(spark, sf_dir):
+    """W3–W5 with the weather sizes (lags 24/48/72 h, windows 24 / 168 rows) on deep entities.
+
+    Five entities only: the chunked layout spreads each over several tasks
+    (4096-row chunks, 167-row halo).
+    """
+    ev = B.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    return P.panel_features(ev, B.TYPE_PANEL, B.DEEP_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
+                            layout="chunked", chunk_rows=DEEP_CHUNK_ROWS, bucket="day").drop("ts")
+
+
+@register("calendar_features", f"""
+SELECT o_orderkey, {calendar_sql("o_orderdate")},
+  CASE WHEN c_nationkey < {B.SOUTH_NATION_BELOW} THEN CAST(({season_sql("month(o_orderdate)")} + 2) % 4 AS INTEGER)
+       ELSE {season_sql("month(o_orderdate)")} END AS season,
+  {SEASON_NAMES_SQL}[{season_sql("month(o_orderdate)")} + 1] AS season_name,
+  {MONTH_NAMES_SQL}[month(o_orderdate)] AS month_name,
+  strftime(date_trunc('month', o_orderdate), '%Y-%m-%d %H:%M:%S') AS month_start
+FROM orders JOIN customer ON o_custkey = c_custkey""")
+def calendar_features(spark, sf_dir):
+    """F2–F8: calendar features with the hemisphere flip, season / month names, month bucket."""
+    o = B.table(spark, sf_dir, "orders")
+    c = B.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    df = o.join(c, o.o_custkey == c.c_custkey)
+    cols = calendar_columns("o_orderdate", southern=F.col("c_nationkey") < B.SOUTH_NATION_BELOW)
+    m = F.month("o_orderdate")
+    cols.update({"season_name": season_name(m), "month_name": month_name(m),
+                 "month_start": F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd HH:mm:ss")})
+    return df.select("o_orderkey", *[c.alias(n) for n, c in cols.items()])
+
+
+@register("split_counts", f"""
+SELECT {SPLIT_EXPR.format(c="l_shipdate")} AS split, count(*) AS rows,
+  CAST(min(year(l_shipdate)) AS INTEGER) AS first_year, CAST(max(year(l_shipdate)) AS INTEGER) AS last_year
+FROM lineitem GROUP BY 1""")
+def split_counts(spark, sf_dir):
+    """W12 + P8: chronological split label and the size of each split."""
+    li = S.with_split(B.table(spark, sf_dir, "lineitem"), "l_shipdate", train=B.SPLIT_TRAIN, val=B.SPLIT_VAL,
+                      test=B.SPLIT_TEST)
+    return li.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.min(F.year("l_shipdate")).alias("first_year"),
+                                   F.max(F.year("l_shipdate")).alias("last_year"))
+
+
+@register("cv_folds", """
+WITH i AS (SELECT row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) - 1 AS row_idx,
+                  count(*) OVER () AS n FROM orders),
+s AS (SELECT row_idx, floor(n / 6) AS test, n - 5 * floor(n / 6) AS first FROM i),
+g AS (SELECT row_idx, CAST(CASE WHEN row_idx < first THEN -1 ELSE floor((row_idx - first) / test) END AS INTEGER) AS test_fold,
+             test, first FROM s)
+SELECT test_fold, count(*) AS rows, CAST(min(row_idx) AS BIGINT) AS first_row, CAST(max(row_idx) AS BIGINT) AS last_row,
+  CAST(min(first + test_fold * test) AS BIGINT) AS train_end
+FROM g GROUP BY test_fold""")
+def cv_folds(spark, sf_dir):
+    """Expanding-window folds over the positional order (entity, time) of the surveyed system."""
+    o = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    f = S.assign_cv_folds(o, ["o_custkey", "o_orderdate", "o_orderkey"], k=5)
+    return f.groupBy("test_fold").agg(F.count(F.lit(1)).alias("rows"), F.min("row_idx").alias("first_row"),
+                                      F.max("row_idx").alias("last_row"), F.min("train_end").alias("train_end"))
+
+
+@register("category_codes", """
+WITH c AS (SELECT c_custkey, c_mktsegment, n_name, r_name FROM customer
+           JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+a AS (SELECT n_name, CAST(dense_rank() OVER (ORDER BY n_name) - 1 AS INTEGER) AS nation_id FROM (SELECT DISTINCT n_name FROM c)),
+b AS (SELECT r_name, CAST(dense_rank() OVER (ORDER BY r_name) - 1 AS INTEGER) AS region_id FROM (SELECT DISTINCT r_name FROM c)),
+s AS (SELECT c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS segment_id
+      FROM (SELECT DISTINCT c_mktsegment FROM c))
+SELECT c_custkey, nation_id, region_id, segment_id FROM c JOIN a USING (n_name) JOIN b USING (r_name)
+  JOIN s USING (c_mktsegment)""")
+def category_codes(spark, sf_dir):
+    """Alphabetical codes for three categorical columns."""
+    c = B.table(spark, sf_dir, "customer").join(F.broadcast(B.nation_dim(spark, sf_dir)),
+                                                F.col("c_nationkey") == F.col("n_nationkey"))
+    e = encode_columns(c, {"n_name": "nation_id", "r_name": "region_id", "c_mktsegment": "segment_id"})
+    return e.select("c_custkey", "nation_id", "region_id", "segment_id")
+
+
+@register("dimension_lookup", rsig("""
+SELECT o_orderkey, CAST(coalesce(c_nationkey, -1) AS INTEGER) AS c_nationkey,
+  coalesce(c_mktsegment, 'UNKNOWN') AS c_mktsegment, coalesce(c_acctbal, 0.0) AS c_acctbal
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""", ["c_acctbal"]))
+def dimension_lookup(spark, sf_dir):
+    """Dictionary lookup with defaults for unknown keys."""
+    o = B.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    dim = B.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    out = lookup_with_default(o, dim, "c_custkey", {"c_nationkey": -1, "c_mktsegment": "UNKNOWN", "c_acctbal": 0.0})
+    return out.select("o_orderkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+
+
+@register("latest_per_entity", rsig("""
+SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn = 1""", ["o_totalprice"]))
+def latest_per_entity(spark, sf_dir):
+    """Latest row of every entity."""
+    o = B.table(spark, sf_dir, "orders")
+    return P.latest_per_entity(o, B.ORDER_PANEL).select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+
+
+@register("last_n_per_entity", """
+SELECT o_custkey, o_orderkey, CAST(6 - rd AS INTEGER) AS rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rd FROM orders)
+WHERE rd <= 5""")
+def last_n_per_entity(spark, sf_dir):
+    """The last 5 rows of every entity in time order."""
+    o = B.table(spark, sf_dir, "orders")
+    return P.last_n_per_entity(o, B.ORDER_PANEL, 5).select("o_custkey", "o_orderkey", "rn")
+
+
+@register("first_n_per_entity", """
+SELECT o_custkey, o_orderkey, CAST(rn AS INTEGER) AS rn FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+WHERE rn <= 3""")
+def first_n_per_entity(spark, sf_dir):
+    """The first 3 rows of every entity."""
+    o = B.table(spark, sf_dir, "orders")
+    return P.first_n_per_entity(o, B.ORDER_PANEL, 3).select("o_custkey", "o_orderkey", F.col("rn").cast("int"))
+
+
+@register("daily_resample", rsig("""
+WITH d AS (SELECT user_id, date_trunc('day', ts) AS dd, avg(value) AS value, count(*) AS rows FROM events GROUP BY 1, 2),
+span AS (SELECT user_id, min(dd) AS a, max(dd) AS b FROM d GROUP BY 1),
+cal AS (SELECT user_id, unnest(generate_series(a, b, INTERVAL 1 DAY)) AS dd FROM span)
+SELECT cal.user_id, strftime(cal.dd, '%Y-%m-%d') AS day, d.value, CAST(coalesce(d.rows, 0) AS BIGINT) AS rows
+FROM cal LEFT JOIN d ON cal.user_id = d.user_id AND cal.dd = d.dd""", ["value"]))
+def daily_resample(spark, sf_dir):
+    """Daily means per entity including empty days."""
+    return R.daily_resample(B.table(spark, sf_dir, "events"), "user_id", "ts", "value")
+
+
+@register("worklist_missing", """
+WITH w AS (SELECT c_custkey, CAST(y AS INTEGER) AS year FROM customer, range(1995, 2002) t(y)),
+p AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+SELECT c_custkey, year FROM w WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.o_custkey = w.c_custkey AND p.year = w.year)""")
+def worklist_missing(spark, sf_dir):
+    """(entity, year) chunks of the work list that have no data."""
+    wl = S.chunk_worklist(B.table(spark, sf_dir, "customer"), "c_custkey", 1995, 2001)
+    facts = B.table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return S.missing_chunks(wl, facts, "c_custkey", "o_orderdate")
+
+
+@register("cache_keys", """
+SELECT o_custkey, md5(concat_ws('_', o_custkey, min(year(o_orderdate)), max(year(o_orderdate)))) AS cache_key
+FROM orders GROUP BY o_custkey""")
+def cache_keys(spark, sf_dir):
+    """md5 cache key of (entity, first year, last year)."""
+    o = B.table(spark, sf_dir, "orders")
+    g = o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
+    return g.select("o_custkey", F.md5(F.concat_ws("_", F.col("o_custkey").cast("string"), F.col("a").cast("string"),
+                                                   F.col("b").cast("string"))).alias("cache_key"))
+
+
+@register("sorted_distinct", """
+SELECT DISTINCT n_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+ORDER BY n_name""")
+def sorted_distinct(spark, sf_dir):
+    """O6 + A7: sorted distinct entities present in the facts."""
+    return B.lineitem_panel(spark, sf_dir, with_labels=False).select("n_name").distinct().orderBy("n_name")
