@@ -156,10 +156,10 @@ def roc_auc(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = (), o
     c = x.groupBy(*group_cols, "_s").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
     r = running_sum(c, ["_s"], ["_q"], group_cols)
     contrib = F.col("_p") * (F.col("cum__q") - F.col("_q") + F.col("_q") / F.lit(2.0))
-    aggs = [F.sum(contrib).alias("_num"), F.sum("_p").alias("_P"), F.sum("_q").alias("_N")]
+    aggs = [F.sum(contrib).alias("_num"), F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg")]
     s = r.groupBy(*group_cols).agg(*aggs) if group_cols else r.agg(*aggs)
-    return s.select(*group_cols, F.when((F.col("_P") > 0) & (F.col("_N") > 0),
-                                        F.col("_num") / (F.col("_P") * F.col("_N"))).alias(out))
+    return s.select(*group_cols, F.when((F.col("_tot_pos") > 0) & (F.col("_tot_neg") > 0),
+                                        F.col("_num") / (F.col("_tot_pos") * F.col("_tot_neg"))).alias(out))
 
 
 def binary_metrics(df: DataFrame, y: str, prob: str, pred: str | None = None, threshold: float = 0.5,
@@ -186,14 +186,14 @@ def roc_curve(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = ())
         (F.col(y) == 1).cast("long").alias("_p"), (F.col(y) != 1).cast("long").alias("_q"))
     c = x.groupBy(*group_cols, "threshold").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
     r = running_sum(c, ["threshold"], ["_p", "_q"], group_cols)
-    tot = c.groupBy(*group_cols).agg(F.sum("_p").alias("_P"), F.sum("_q").alias("_N")) if group_cols else \
-        c.agg(F.sum("_p").alias("_P"), F.sum("_q").alias("_N"))
-    j = r.join(tot, group_cols) if group_cols else r.crossJoin(F.broadcast(tot))
-    tp = F.col("_P") - F.col("cum__p") + F.col("_p")
-    fp = F.col("_N") - F.col("cum__q") + F.col("_q")
+    tot = c.groupBy(*group_cols).agg(F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg")) if group_cols \
+        else c.agg(F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg"))
+    j = r.join(tot, group_cols) if group_cols else r.crossJoin(F.broadcast(tot))  # one row
+    tp = F.col("_tot_pos") - F.col("cum__p") + F.col("_p")
+    fp = F.col("_tot_neg") - F.col("cum__q") + F.col("_q")
     return j.select(*group_cols, "threshold", tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
-                    F.when(F.col("_N") > 0, fp / F.col("_N")).alias("fpr"),
-                    F.when(F.col("_P") > 0, tp / F.col("_P")).alias("tpr"))
+                    F.when(F.col("_tot_neg") > 0, fp / F.col("_tot_neg")).alias("fpr"),
+                    F.when(F.col("_tot_pos") > 0, tp / F.col("_tot_pos")).alias("tpr"))
 
 
 def calibration_edges(n_bins: int) -> list[float]:

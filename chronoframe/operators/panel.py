@@ -88,22 +88,32 @@ def panel_positions(df: DataFrame, spec: PanelSpec, bucket: str = "month",
 def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None,
                    fill_cols: Sequence[str] = (), dedup_ordinal: str | None = None,
                    layout: str = "entity", chunk_rows: int = 1_000_000,
-                   bucket: str = "month") -> DataFrame:
+                   bucket: str = "month", leads: dict[str, tuple[str, int]] | None = None,
+                   windows: dict[str, tuple[str, int]] | None = None) -> DataFrame:
     """Clean + positional features in as few shuffles as possible.
 
     * ``dedup_ordinal``: keep the first row per (entity, order) by this ordinal (W1);
     * ``fill_cols``: forward- then backward-fill per entity (W2);
-    * ``fs``: lags and rolling mean/std over the filled values (W3–W5).
+    * ``fs``: lags and rolling mean/std over the filled values (W3–W5);
+    * ``leads``: ``{out: (col, k)}`` value k rows ahead (W6);
+    * ``windows``: ``{out: (col, n)}`` extra trailing n-row means (moving-average predictors).
     Rows keep their input columns; feature columns are appended.
     """
+    leads, windows = dict(leads or {}), dict(windows or {})
     if layout == "entity":
-        return _features_entity(df, spec, fs, fill_cols, dedup_ordinal)
+        return _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows)
     if layout == "chunked":
-        return _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket)
+        return _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows)
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def _features_entity(df, spec, fs, fill_cols, dedup_ordinal):
+def _extra_columns(w, leads, windows) -> dict[str, Column]:
+    cols = {n: F.lead(c, k).over(w) for n, (c, k) in leads.items()}
+    cols.update({n: F.avg(c).over(w.rowsBetween(-(k - 1), 0)) for n, (c, k) in windows.items()})
+    return cols
+
+
+def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows):
     o, t = spec.entity, spec.order
     ordcols = spec.order_cols
     if dedup_ordinal:
@@ -118,14 +128,17 @@ def _features_entity(df, spec, fs, fill_cols, dedup_ordinal):
                              for c in fill_cols})
     if fs is not None:
         df = df.withColumns(lag_rolling_columns(w, fs))
+    if leads or windows:
+        df = df.withColumns(_extra_columns(w, leads, windows))
     return df
 
 
-def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket):
+def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows):
     o = spec.entity
-    halo = fs.halo if fs is not None else 0
-    if halo > chunk_rows:
-        raise ValueError("chunk_rows must be at least the halo (largest lag / window - 1)")
+    halo = max([fs.halo if fs is not None else 0] + [k - 1 for _, k in windows.values()])
+    fwd = max([0] + [k for _, k in leads.values()])
+    if halo > chunk_rows or fwd > chunk_rows:
+        raise ValueError("chunk_rows must be at least the halo (largest lag / lead / window - 1)")
     cols = df.columns
     p = panel_positions(df, spec, bucket, dedup_ordinal).withColumn(
         _CHUNK, F.floor(F.col(_POS) / chunk_rows).cast("long"))
@@ -155,8 +168,11 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
     else:
         s2 = None
 
+    # a row is also sent to the next chunk (backward halo) and / or the previous one (forward halo)
     in_halo = (F.col(_POS) % chunk_rows) >= (chunk_rows - halo) if halo > 0 else F.lit(False)
-    targets = F.when(in_halo, F.array(F.col(_CHUNK), F.col(_CHUNK) + 1)).otherwise(F.array(F.col(_CHUNK)))
+    in_fwd = ((F.col(_POS) % chunk_rows) < fwd) & (F.col(_CHUNK) > 0) if fwd > 0 else F.lit(False)
+    targets = F.array_compact(F.array(F.col(_CHUNK), F.when(in_halo, F.col(_CHUNK) + 1),
+                                      F.when(in_fwd, F.col(_CHUNK) - 1)))
     x = p.withColumn("_cf_target", F.explode(targets)) \
          .withColumn(_HALO, F.col("_cf_target") != F.col(_CHUNK)) \
          .drop(_CHUNK).withColumnRenamed("_cf_target", _CHUNK)
@@ -171,7 +187,9 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
                            for c in fill_cols})
     if fs is not None:
         x = x.withColumns(lag_rolling_columns(w, fs))
-    feat = feature_names(fs) if fs is not None else []
+    if leads or windows:
+        x = x.withColumns(_extra_columns(w, leads, windows))
+    feat = (feature_names(fs) if fs is not None else []) + list(leads) + list(windows)
     return x.where(~F.col(_HALO)).select(*cols, *feat)
 
 
