@@ -1 +1,125 @@
-"""placeholder"""
+"""Model queries (L1–L10). Model outputs depend on the estimator, so these are
+rows-only checks (no SQL oracle); their metrics reuse the oracle-checked M-operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from chronoframe.functions.rules import alert_level
+from chronoframe.functions.scalar import array_argmax
+from chronoframe.operators import ml as ML
+from chronoframe.config import PanelSpec
+from chronoframe.operators import panel as P
+from chronoframe.operators import rollups as R
+from chronoframe.operators.encode import encode_columns
+from chronoframe.operators.splits import split_label
+from chronoframe.plans import bindings as B
+from chronoframe.plans.catalog import register
+from chronoframe.session import ensure_checkpoint_dir
+
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "returnflag_id", "linestatus_id",
+                 "ship_month", "ship_dow"]
+EVENT_FEATURES = ["value", "value_lag_1", "value_lag_2", "value_lag_3", "value_roll_3r_mean", "value_roll_3r_std",
+                  "value_roll_24r_mean", "value_roll_24r_std", "hour", "day_of_week", "day_of_year"]
+EVENT_VAL_START, EVENT_TEST_START = "2024-01-20", "2024-01-25"
+
+
+def _lines(spark, sf_dir):
+    df = B.lineitem_panel(spark, sf_dir)
+    df = encode_columns(df, {"l_returnflag": "returnflag_id", "l_linestatus": "linestatus_id"})
+    return df.withColumn("ship_month", F.month("l_shipdate")).withColumn("ship_dow", F.weekday("l_shipdate")) \
+             .withColumn("split", split_label(F.year("l_shipdate"), B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST))
+
+
+def _events(spark, sf_dir):
+    from chronoframe.plans.q_panel import feature_table
+    ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(feature_table(spark, sf_dir), "event_id")
+    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y").where(F.col("y").isNotNull())
+    ts = F.col("ts")
+    return ft.withColumn("split", F.when(ts < F.lit(EVENT_VAL_START).cast("timestamp_ntz"), "train")
+                         .when(ts < F.lit(EVENT_TEST_START).cast("timestamp_ntz"), "val").otherwise("test"))
+
+
+@register("gbt_regression_scores")
+def gbt_regression_scores(spark, sf_dir):
+    """L1 + L2 + L7 + L8: next-value GBT with early stopping on the validation period,
+    conformal 80 % interval, scores for every test row."""
+    ev = _events(spark, sf_dir)
+    fit_df = ev.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    model = ML.fit_gbt_regressor(fit_df, EVENT_FEATURES, "y", "is_val", max_iter=30, max_depth=4)
+    val = ML.score(model, ev.where(F.col("split") == "val"), prob=None)
+    test = ML.score(model, ev.where(F.col("split") == "test"), prob=None)
+    out = ML.conformal_interval(val, test, "y", "prediction")
+    return out.select("event_id", "user_id", "y", F.col("prediction").alias("pred_value"), "pred_q10", "pred_q90")
+
+
+@register("gbt_classifier_scores")
+def gbt_classifier_scores(spark, sf_dir):
+    """L3 + L8 (+A11): weighted boosted classifier of the rain label; test-year probabilities."""
+    df = _lines(spark, sf_dir)
+    train = df.where(F.col("split") == "train")
+    bal = R.class_balance(train, "target_rain")
+    train = train.crossJoin(F.broadcast(bal.select("scale_pos_weight"))) \
+                 .withColumn("w", F.when(F.col("target_rain") == 1, F.col("scale_pos_weight")).otherwise(1.0))
+    model = ML.fit_gbt_classifier(train, LINE_FEATURES, "target_rain", "w", max_iter=20, max_depth=4)
+    s = ML.score(model, df.where(F.col("split") == "test"), positive_prob="p_rain")
+    return s.select("l_orderkey", "l_linenumber", "l_partkey", "target_rain", "p_rain",
+                    F.col("prediction").cast("int").alias("pred_rain"))
+
+
+@register("rf_multiclass_scores")
+def rf_multiclass_scores(spark, sf_dir):
+    """L4 + L8 (+A12, J5, F17, F18): class-weighted random forest over four classes."""
+    df = _lines(spark, sf_dir)
+    train = df.where(F.col("split") == "train")
+    w = R.balanced_class_weights(train, "target_disaster")
+    train = R.apply_class_weights(train, "target_disaster", w)
+    model = ML.fit_rf_classifier(train, LINE_FEATURES, "target_disaster", "weight", num_trees=20, max_depth=6)
+    s = ML.score(model, df.where(F.col("split") == "test"))
+    from chronoframe.functions.scalar import confidence_from_entropy, entropy_bits
+    return s.select("l_orderkey", "l_linenumber", "l_partkey", "target_disaster",
+                    F.col("prediction").cast("int").alias("pred_class"), array_argmax(F.col("prob")).alias("argmax"),
+                    entropy_bits(F.col("prob")).alias("entropy"),
+                    confidence_from_entropy(entropy_bits(F.col("prob")), 4).alias("confidence"))
+
+
+SEARCH_CONFIGS = [dict(max_iter=10, max_depth=3, step=0.1), dict(max_iter=20, max_depth=4, step=0.1),
+                  dict(max_iter=20, max_depth=5, step=0.05)]
+
+
+@register("model_search")
+def model_search(spark, sf_dir):
+    """L5 + M21: configuration grid on the fixed train / validation split, champion flagged."""
+    df = _lines(spark, sf_dir)
+    res = ML.grid_search(df.where(F.col("split") == "train"), df.where(F.col("split") == "val"), LINE_FEATURES,
+                         "target_rain", SEARCH_CONFIGS)
+    from chronoframe.operators.metrics import champion
+    best = champion(res, "val_f1", minimize=False).select(F.col("config").alias("_best"))
+    return res.crossJoin(best).withColumn("champion", F.col("config") == F.col("_best")).drop("_best", "time_sec")
+
+
+@register("model_importance")
+def model_importance(spark, sf_dir):
+    """L9 + S15: train, save and reload the model from the shared checkpoint folder, rank features."""
+    df = _lines(spark, sf_dir)
+    model = ML.fit_rf_classifier(df.where(F.col("split") == "train"), LINE_FEATURES, "target_disaster",
+                                 num_trees=20, max_depth=6)
+    path = ML.save_model(model, f"{ensure_checkpoint_dir(spark)}/models/rf_disaster")
+    return ML.feature_ranking(ML.load_model(path), LINE_FEATURES, top=15)
+
+
+@register("live_panel")
+def live_panel(spark, sf_dir):
+    """L10 (+W8, F14): latest row of every entity scored by the classifiers, with an alert level."""
+    df = _lines(spark, sf_dir)
+    train = df.where(F.col("split") == "train")
+    rain = ML.fit_gbt_classifier(train, LINE_FEATURES, "target_rain", max_iter=10, max_depth=3)
+    disaster = ML.fit_rf_classifier(train, LINE_FEATURES, "target_disaster", num_trees=10, max_depth=5)
+    spec = PanelSpec("n_name", "l_shipdate", "l_orderkey")
+    latest = P.latest_per_entity(df.select("n_name", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
+                                           *LINE_FEATURES), spec)
+    s1 = ML.score(rain, latest, prob="rain_prob_vec", positive_prob="p_rain").withColumnRenamed("prediction", "pr")
+    s2 = ML.score(disaster, s1, prob="class_prob").withColumn("cls", F.col("prediction").cast("int"))
+    return s2.select("n_name", "l_shipdate", "l_orderkey", "p_rain", "cls",
+                     alert_level(F.col("l_quantity"), F.col("p_rain"), F.element_at("class_prob", 2),
+                                 F.col("cls")).alias("alert"))
