@@ -44,7 +44,10 @@ def parse_api_payload(spark: SparkSession, path: str, entity_from_file: bool = T
     if entity_from_file:
         raw = raw.withColumn("city", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:_\d{4})?\.json$", 1))
     h = F.col("hourly")
-    zipped = F.arrays_zip(h["time"].alias("time"), *[h[v].alias(v) for v in variables])
+    n = F.size(h["time"])
+    # a variable missing from the payload becomes a NULL column, not a dropped document
+    cols = [F.coalesce(h[v], F.array_repeat(F.lit(None).cast("double"), n)).alias(v) for v in variables]
+    zipped = F.arrays_zip(h["time"].alias("time"), *cols)
     rows = raw.select(*(["city"] if entity_from_file else []), F.explode(zipped).alias("r"))
     out = rows.select(*(["city"] if entity_from_file else []),
                       F.to_timestamp(F.col("r.time"), "yyyy-MM-dd'T'HH:mm").alias("datetime"),

@@ -26,15 +26,23 @@ from chronoframe.plans.bindings import add_labels
 __all__ = ["stream_dedup", "stream_daily_rollup", "stream_labels", "stream_lag_features"]
 
 
+def _event_time(stream: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as UTC (session time zone)."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(stream.schema[ts].dataType, TimestampNTZType):
+        return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    return stream
+
+
 def stream_dedup(stream: DataFrame, keys: list[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Drop repeated (entity, time) keys that arrive within the watermark delay."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    return _event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def stream_daily_rollup(stream: DataFrame, entity: str, ts: str, value: str, delay: str = "1 day",
                         width: str = "1 day") -> DataFrame:
     """Tumbling-window mean / count per entity, emitted once the watermark passes."""
-    return stream.withWatermark(ts, delay).groupBy(entity, F.window(ts, width).alias("w")).agg(
+    return _event_time(stream, ts).withWatermark(ts, delay).groupBy(entity, F.window(ts, width).alias("w")).agg(
         F.avg(value).alias(value), F.count(F.lit(1)).alias("rows")) \
         .select(entity, F.col("w.start").alias("window_start"), value, "rows")
 
