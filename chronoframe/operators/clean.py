@@ -44,8 +44,8 @@ def fill_forward_backward(df: DataFrame, entity: str | Sequence[str], order: Seq
     ents = [entity] if isinstance(entity, str) else list(entity)
     w = W.partitionBy(*ents).orderBy(*order)
     before = w.rowsBetween(W.unboundedPreceding, 0)
-    after = w.rowsBetween(0, W.unboundedFollowing)
-    return df.withColumns({c: F.coalesce(F.last(c, True).over(before), F.first(c, True).over(after))
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)  # once per partition, O(n)
+    return df.withColumns({c: F.coalesce(F.last(c, True).over(before), F.first(c, True).over(whole))
                            for c in cols})
 
 

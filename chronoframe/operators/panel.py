@@ -113,6 +113,21 @@ def _extra_columns(w, leads, windows) -> dict[str, Column]:
     return cols
 
 
+def _ffill_bfill(c: str, w, carry_fwd: str | None = None, carry_back: str | None = None) -> Column:
+    """Forward fill, then backward fill of what is left.
+
+    After the forward fill only the rows *before the first non-NULL* are still
+    NULL, and their backward-filled value is that first non-NULL — the first
+    non-NULL of the whole frame. A whole-partition frame is evaluated once per
+    partition (O(n)); a ``CURRENT ROW .. UNBOUNDED FOLLOWING`` frame would be
+    re-aggregated for every row (O(n²)).
+    """
+    ff = F.last(c, True).over(w.rowsBetween(W.unboundedPreceding, 0))
+    first_nn = F.first(c, True).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    parts = [ff] + ([F.col(carry_fwd)] if carry_fwd else []) + [first_nn] + ([F.col(carry_back)] if carry_back else [])
+    return F.coalesce(*parts)
+
+
 def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows):
     o, t = spec.entity, spec.order
     ordcols = spec.order_cols
@@ -122,10 +137,7 @@ def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows):
                .where(F.col("_cf_prev_t").isNull() | (F.col("_cf_prev_t") != F.col(t))).drop("_cf_prev_t")
     w = W.partitionBy(o).orderBy(*ordcols)
     if fill_cols:
-        before = w.rowsBetween(W.unboundedPreceding, 0)
-        after = w.rowsBetween(0, W.unboundedFollowing)
-        df = df.withColumns({c: F.coalesce(F.last(c, True).over(before), F.first(c, True).over(after))
-                             for c in fill_cols})
+        df = df.withColumns({c: _ffill_bfill(c, w) for c in fill_cols})
     if fs is not None:
         df = df.withColumns(lag_rolling_columns(w, fs))
     if leads or windows:
@@ -180,11 +192,7 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
         x = x.join(s2, [o, _CHUNK], "left")
     w = W.partitionBy(o, _CHUNK).orderBy(_POS)
     if fill_cols:
-        before = w.rowsBetween(W.unboundedPreceding, 0)
-        after = w.rowsBetween(0, W.unboundedFollowing)
-        x = x.withColumns({c: F.coalesce(F.last(c, True).over(before), F.col(carry_cols[c][0]),
-                                         F.first(c, True).over(after), F.col(carry_cols[c][1]))
-                           for c in fill_cols})
+        x = x.withColumns({c: _ffill_bfill(c, w, *carry_cols[c]) for c in fill_cols})
     if fs is not None:
         x = x.withColumns(lag_rolling_columns(w, fs))
     if leads or windows:
