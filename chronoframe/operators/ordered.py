@@ -47,11 +47,14 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
 
 def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str],
                 group_cols: Sequence[str] = (), prefix: str = "cum_",
-                num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                num_partitions: int | None = None, checkpoint: bool = True,
+                totals: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_cols`` order within each group.
 
     Rows with equal keys are summed in an arbitrary but fixed order; callers
     that need tie groups collapse them first (one row per distinct key).
+    With ``totals`` each row also gets ``tot_<col>``, the group total, read off
+    the small slice table (no extra pass over the rows).
     Materialises one reliable checkpoint of the (usually pre-aggregated) input.
     """
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
@@ -63,15 +66,19 @@ def running_sum(df: DataFrame, order_cols: Sequence[str], sum_cols: Sequence[str
         ensure_checkpoint_dir(df.sparkSession)
         ranged = ranged.checkpoint(eager=True)
 
+    with_totals = totals
     slice_keys = [_PID] + group_cols
-    totals = ranged.groupBy(*slice_keys).agg(*[F.sum(c).alias(f"_cf_t_{c}") for c in sum_cols])
+    slices = ranged.groupBy(*slice_keys).agg(*[F.sum(c).alias(f"_cf_t_{c}") for c in sum_cols])
     wc = (W.partitionBy(*group_cols) if group_cols else W.partitionBy()) \
         .orderBy(_PID).rowsBetween(W.unboundedPreceding, -1)
-    carry = totals.select(*slice_keys, *[
-        F.coalesce(F.sum(f"_cf_t_{c}").over(wc), F.lit(0)).alias(f"_cf_c_{c}") for c in sum_cols])
+    wg = W.partitionBy(*group_cols) if group_cols else W.partitionBy()
+    extra = [F.sum(f"_cf_t_{c}").over(wg).alias(f"tot_{c}") for c in sum_cols] if with_totals else []
+    carry = slices.select(*slice_keys, *[
+        F.coalesce(F.sum(f"_cf_t_{c}").over(wc), F.lit(0)).alias(f"_cf_c_{c}") for c in sum_cols], *extra)
 
     joined = ranged.join(carry, on=_null_safe_on(ranged, carry, slice_keys), how="inner") \
-                   .select(ranged["*"], *[carry[f"_cf_c_{c}"] for c in sum_cols])
+                   .select(ranged["*"], *[carry[f"_cf_c_{c}"] for c in sum_cols],
+                           *[carry[f"tot_{c}"] for c in sum_cols if with_totals])
     wl = W.partitionBy(*slice_keys).orderBy(*order_cols).rowsBetween(W.unboundedPreceding, 0)
     out = joined
     for c in sum_cols:
@@ -84,15 +91,17 @@ def ranked_ties(df: DataFrame, value_col: str, weight_cols: Sequence[str] = (),
     """Collapse to distinct ``(group, value)`` and attach tie-aware ranks.
 
     Output columns: group cols, ``value_col``, ``n`` (rows with that value),
-    the summed ``weight_cols``, ``rank_lo`` (rows strictly below, 0-based) and
-    ``avg_rank`` (1-based average rank of the tie group, as scipy ``rankdata``).
+    the summed ``weight_cols``, ``rank_lo`` (rows strictly below, 0-based),
+    ``avg_rank`` (1-based average rank of the tie group, as scipy ``rankdata``)
+    and ``n_total`` (non-NULL rows of the group).
     """
     group_cols = list(group_cols)
     aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(w).alias(w) for w in weight_cols]
     collapsed = df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(*aggs)
-    r = running_sum(collapsed, [value_col], ["n"], group_cols, num_partitions=num_partitions)
+    r = running_sum(collapsed, [value_col], ["n"], group_cols, num_partitions=num_partitions, totals=True)
     return (r.withColumn("rank_lo", F.col("cum_n") - F.col("n"))
              .withColumn("avg_rank", F.col("rank_lo") + (F.col("n") + F.lit(1)) / F.lit(2.0))
+             .withColumnRenamed("tot_n", "n_total")
              .drop("cum_n"))
 
 
@@ -109,10 +118,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
     """
     group_cols = list(group_cols)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
-    ranked = ranked_ties(df, value_col, (), group_cols, num_partitions)
-    ntab = ranked.groupBy(*group_cols).agg(F.sum("n").alias("_cf_n")) if group_cols else \
-        ranked.agg(F.sum("n").alias("_cf_n"))
-    j = ranked.join(ntab, group_cols, "inner") if group_cols else ranked.crossJoin(F.broadcast(ntab))
+    j = ranked_ties(df, value_col, (), group_cols, num_partitions).withColumnRenamed("n_total", "_cf_n")
     hi_edge = F.col("rank_lo") + F.col("n")  # exclusive
     aggs = []
     for p, name in zip(probs, names):

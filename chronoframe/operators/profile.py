@@ -29,8 +29,15 @@ def _ts_text(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-def to_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Unpivot ``cols`` to ``(keys..., variable, value)`` as doubles."""
+def to_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str], coded: bool = False) -> DataFrame:
+    """Unpivot ``cols`` to ``(keys..., variable, value)`` as doubles.
+
+    With ``coded`` the variable is its 0-based position in ``cols`` (an int
+    key hashes and compares faster than a string in the shuffles that follow).
+    """
+    if coded:
+        arr = F.array(*[F.col(c).cast("double") for c in cols])
+        return df.select(*keys, F.posexplode(arr).alias(_VAR, _VAL))
     cast = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols])
     return cast.unpivot(list(keys), list(cols), _VAR, _VAL)
 
@@ -38,8 +45,7 @@ def to_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFram
 def _quantiles_from_ranked(ranked: DataFrame, group_cols: Sequence[str], probs: dict[str, float]) -> DataFrame:
     """Pick linear-interpolated quantiles from a ranked, collapsed table."""
     group_cols = list(group_cols)
-    tot = ranked.groupBy(*group_cols).agg(F.sum("n").alias("_cf_n"))
-    j = ranked.join(tot, group_cols, "inner")
+    j = ranked.withColumn("_cf_n", F.col("n_total"))
     hi_edge = F.col("rank_lo") + F.col("n")
     aggs = []
     for name, p in probs.items():
@@ -83,22 +89,19 @@ def quality_report(df: DataFrame, entity: str, order: str, variables: Sequence[s
     """
     variables = list(variables)
     aggs = [F.count(F.lit(1)).alias("total_rows"), F.min(order).alias("_t0"), F.max(order).alias("_t1")]
-    aggs += [F.min(a).alias(a) for a in attrs]
     for v in variables:
         aggs.append(F.count_if(F.col(v).isNull()).alias(f"missing_{v}"))
     if stats_col:
         aggs += [F.avg(stats_col).alias("_s_mean"), F.min(stats_col).alias("_s_min"),
                  F.max(stats_col).alias("_s_max"), F.stddev_samp(stats_col).alias("_s_std")]
-    base = df.groupBy(entity).agg(*aggs)
+    base = df.groupBy(entity, *attrs).agg(*aggs)  # attrs are entity constants (keeps a hash aggregate)
 
-    long_df = to_long(df, [entity], variables).where(F.col(_VAL).isNotNull())
+    long_df = to_long(df, [entity], variables, coded=True).where(F.col(_VAL).isNotNull())
     ranked, bounds = iqr_bounds(long_df, [entity, _VAR], outlier_k)
-    outl = ranked.join(bounds, [entity, _VAR], "inner") \
-                 .groupBy(entity).pivot(_VAR, variables) \
-                 .agg(F.sum(F.when((F.col(_VAL) < F.col("lower")) | (F.col(_VAL) > F.col("upper")),
-                                   F.col("n")).otherwise(0)))
-    outl = outl.select(entity, *[F.coalesce(F.col(v), F.lit(0)).cast("long").alias(f"outliers_{v}")
-                                 for v in variables])
+    outside = (F.col(_VAL) < F.col("lower")) | (F.col(_VAL) > F.col("upper"))
+    outl = ranked.join(bounds.select(entity, _VAR, "lower", "upper"), [entity, _VAR], "inner") \
+                 .groupBy(entity).agg(*[F.sum(F.when(outside & (F.col(_VAR) == i), F.col("n")).otherwise(0))
+                                        .cast("long").alias(f"outliers_{v}") for i, v in enumerate(variables)])
 
     n = F.col("total_rows")
     cols = [F.col(entity)] + [F.col(a) for a in attrs] + [

@@ -34,8 +34,12 @@ def label_distribution(df: DataFrame, entity: str, labels: Sequence[tuple[str, s
                        threshold_col: str | None = None, threshold_alias: str = "heatwave_threshold_C",
                        count_suffix: str = "_hours", total_name: str = "total_hours",
                        class_prefix: str = "disaster_") -> DataFrame:
-    """A10: per-entity totals, label counts / percentages and class shares (one pass)."""
-    aggs = [F.min(a).alias(a) for a in attrs]
+    """A10: per-entity totals, label counts / percentages and class shares (one pass).
+
+    ``attrs`` are constants of the entity and join the grouping key: string
+    ``min``/``first`` buffers would force a sort-based aggregation.
+    """
+    aggs = []
     if threshold_col:
         aggs.append(F.min(threshold_col).cast("double").alias(threshold_alias))
     aggs.append(F.count(F.lit(1)).cast("long").alias(total_name))
@@ -44,7 +48,7 @@ def label_distribution(df: DataFrame, entity: str, labels: Sequence[tuple[str, s
                  _pct(F.avg(F.col(col).cast("double"))).alias(f"{name}_pct")]
     for k, cname in classes:
         aggs.append(_pct(F.avg((F.col(class_col) == k).cast("double"))).alias(f"{class_prefix}{cname}_pct"))
-    return df.groupBy(entity).agg(*aggs)
+    return df.groupBy(entity, *attrs).agg(*aggs)
 
 
 def label_totals(df: DataFrame, labels: Sequence[tuple[str, str]]) -> DataFrame:
