@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.config import INTERVAL_TARGET_COVERAGE, MIN_GROUP_ROWS
 from chronoframe.operators.ordered import ranked_ties, running_sum
+from chronoframe.operators.scalars import with_scalars
 
 __all__ = [
     "erfc", "regression_metrics", "grouped_regression_table", "improvement", "interval_metrics",
@@ -74,7 +75,7 @@ def improvement(model: DataFrame, baseline: DataFrame, metrics: Sequence[str] =
     """M5: ``(baseline - model) / baseline * 100`` for one-row metric frames."""
     m = model.select(*[F.col(c).alias(f"model_{c}") for c in metrics])
     b = baseline.select(*[F.col(c).alias(f"baseline_{c}") for c in metrics])
-    j = m.crossJoin(b)
+    j = with_scalars(m, b)
     return j.select("*", *[((F.col(f"baseline_{c}") - F.col(f"model_{c}")) / F.col(f"baseline_{c}") * 100)
                            .alias(f"{c}_improvement_pct") for c in metrics])
 
@@ -175,7 +176,7 @@ def binary_metrics(df: DataFrame, y: str, prob: str, pred: str | None = None, th
     auc = roc_auc(df, y, prob, group_cols)
     if group_cols:
         return c.join(s, group_cols).join(auc, group_cols, "left")
-    return c.crossJoin(s).crossJoin(auc)
+    return with_scalars(with_scalars(c, s), auc)
 
 
 def roc_curve(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -188,7 +189,7 @@ def roc_curve(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = ())
     r = running_sum(c, ["threshold"], ["_p", "_q"], group_cols)
     tot = c.groupBy(*group_cols).agg(F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg")) if group_cols \
         else c.agg(F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg"))
-    j = r.join(tot, group_cols) if group_cols else r.crossJoin(F.broadcast(tot))  # one row
+    j = r.join(tot, group_cols) if group_cols else with_scalars(r, tot)
     tp = F.col("_tot_pos") - F.col("cum__p") + F.col("_p")
     fp = F.col("_tot_neg") - F.col("cum__q") + F.col("_q")
     return j.select(*group_cols, "threshold", tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
@@ -311,9 +312,9 @@ def majority_baseline(train: DataFrame, test: DataFrame, y: str) -> DataFrame:
     counts = train.groupBy(y).agg(F.count(F.lit(1)).alias("_n"))
     maj = counts.agg(F.max_by(F.col(y), F.struct(F.col("_n"), -F.col(y))).alias("majority"))
     prior = train.agg(F.avg(F.col(y).cast("double")).alias("prior"))
-    t = test.crossJoin(F.broadcast(maj))
+    t = with_scalars(test, maj)
     m = _prf(binary_counts(t, y, F.col("majority")))
-    return maj.crossJoin(prior).crossJoin(m.select("n", "accuracy", "precision", "recall", "f1"))
+    return with_scalars(with_scalars(maj, prior), m.select("n", "accuracy", "precision", "recall", "f1"))
 
 
 def per_group_classification(df: DataFrame, y: str, prob: str, group_col: str, pred: str | None = None,

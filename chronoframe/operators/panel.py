@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from chronoframe.config import FeatureSpec, PanelSpec
 
@@ -63,13 +64,18 @@ def panel_positions(df: DataFrame, spec: PanelSpec, bucket: str = "month",
                     dedup_ordinal: str | None = None) -> DataFrame:
     """Dense 0-based position of each row within its entity, in (order, tiebreak) order.
 
-    Rows are numbered inside ``(entity, date_trunc(bucket, order))`` slices and
+    Rows are numbered inside ``(entity, bucket(order))`` slices — ``bucket`` is a
+    ``date_trunc`` unit for time columns or a value width for numeric ones — and
     shifted by the row count of earlier slices (a small table of one row per
     slice). With ``dedup_ordinal`` only the first row (lowest ordinal) of each
     ``(entity, order)`` is kept (W1) in the same window stage.
     """
     o, t = spec.entity, spec.order
-    b = df.withColumn("_cf_bkt", F.date_trunc(bucket, F.col(t)))
+    if isinstance(df.schema[t].dataType, (TimestampType, TimestampNTZType, DateType)):
+        bkt = F.date_trunc(str(bucket), F.col(t))
+    else:  # numeric order column: fixed-width value ranges
+        bkt = F.floor(F.col(t) / F.lit(float(bucket)))
+    b = df.withColumn("_cf_bkt", bkt)
     ordcols = [t] + ([spec.tiebreak] if spec.tiebreak else []) + ([dedup_ordinal] if dedup_ordinal else [])
     ws = W.partitionBy(o, "_cf_bkt").orderBy(*ordcols)
     if dedup_ordinal:
@@ -202,8 +208,22 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
 
 
 def next_value_target(df: DataFrame, spec: PanelSpec, value: str, out: str,
-                      extra_partition: Sequence[str] = (), offset: int = 1) -> DataFrame:
-    """Value of the next row of the same entity (and split, for parity)."""
+                      extra_partition: Sequence[str] = (), offset: int = 1, layout: str = "entity",
+                      chunk_rows: int = 1_000_000, bucket: str = "month") -> DataFrame:
+    """Value of the next row of the same entity (and split, for parity).
+
+    ``layout='chunked'`` uses the forward halo of :func:`panel_features`, so a
+    hot entity is spread over many tasks.
+    """
+    if layout == "chunked":
+        ent = spec.entity
+        if extra_partition:
+            df = df.withColumn("_cf_ent", F.struct(spec.entity, *extra_partition))
+            ent = "_cf_ent"
+        s = PanelSpec(ent, spec.order, spec.tiebreak)
+        r = panel_features(df, s, layout="chunked", chunk_rows=chunk_rows, bucket=bucket,
+                           leads={out: (value, offset)})
+        return r.drop("_cf_ent") if extra_partition else r
     w = W.partitionBy(spec.entity, *extra_partition).orderBy(*spec.order_cols)
     return df.withColumn(out, F.lead(value, offset).over(w))
 

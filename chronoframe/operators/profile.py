@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 
 from chronoframe.config import IQR_K
 from chronoframe.operators.ordered import ranked_ties
+from chronoframe.operators.scalars import with_scalars
 
 __all__ = [
     "to_long", "iqr_bounds", "quality_report", "quality_summary", "describe_exact",
@@ -188,15 +189,16 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None, densi
     v = F.col(value).cast("double")
     rng = df.agg(F.min(v).alias("_lo"), F.max(v).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    binned = df.where(v.isNotNull()).crossJoin(F.broadcast(rng)).withColumn(
+    binned = with_scalars(df.where(v.isNotNull()), rng).withColumn(
         "bin", F.when(width > 0, F.least(F.floor((v - F.col("_lo")) / width), F.lit(bins - 1)))
                 .otherwise(F.lit(0)).cast("int"))
     keys = ([by] if by else []) + ["bin"]
     counts = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    if by:
-        classes = df.where(v.isNotNull()).select(by).distinct()
-        grid = grid.crossJoin(classes)  # bins × classes present: bounded by bins·#classes
+    if by:  # every present class gets every bin (explode, not a join)
+        base = with_scalars(df.where(v.isNotNull()).select(by).distinct(), rng)
+    else:
+        base = rng
+    grid = base.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     out = grid.join(counts, keys, "left").withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
     out = out.withColumn("bin_lo", F.col("_lo") + F.col("bin") * width) \
              .withColumn("bin_hi", F.col("_lo") + (F.col("bin") + 1) * width)

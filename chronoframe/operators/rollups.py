@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 
 from chronoframe.config import CLASS_NAMES, EPS_MINMAX, MONTH_NAMES
 from chronoframe.functions.scalar import feature_category
+from chronoframe.operators.scalars import with_scalars
 
 __all__ = [
     "label_distribution", "label_totals", "class_frequency", "class_balance", "balanced_class_weights",
@@ -103,7 +104,7 @@ def majority_class(df: DataFrame, y: str) -> DataFrame:
     c = df.groupBy(y).agg(F.count(F.lit(1)).alias("n"))
     best = c.agg(F.max_by(F.col(y), F.struct(F.col("n"), -F.col(y))).alias("majority"))
     prior = df.agg(F.avg(F.col(y).cast("double")).alias("prior"), F.count(F.lit(1)).cast("long").alias("rows"))
-    return best.crossJoin(prior)
+    return with_scalars(best, prior)
 
 
 def period_stats(df: DataFrame, ts: str, measures: dict[str, Column], unit: str = "month",
@@ -221,6 +222,6 @@ def headline_counts(df: DataFrame, entity: str) -> DataFrame:
 def minmax_normalise(df: DataFrame, value: str, out: str | None = None, eps: float = EPS_MINMAX) -> DataFrame:
     """``(x - min) / (max - min + eps)`` using a one-row global aggregate."""
     r = df.agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    return df.crossJoin(F.broadcast(r)).withColumn(
+    return with_scalars(df, r).withColumn(
         out or f"{value}_norm", (F.col(value) - F.col("_mn")) / (F.col("_mx") - F.col("_mn") + F.lit(eps))
     ).drop("_mn", "_mx")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.config import CV_FOLDS, TEST_YEARS, TRAIN_YEARS, VAL_YEAR
 from chronoframe.operators.ordered import global_row_index
+from chronoframe.operators.scalars import with_scalars
 
 __all__ = ["split_label", "with_split", "cv_fold_sizes", "assign_cv_folds", "chunk_worklist", "missing_chunks"]
 
@@ -46,7 +47,7 @@ def assign_cv_folds(df: DataFrame, order_cols: Sequence[str], k: int = CV_FOLDS,
     idx = global_row_index(df, order_cols, group_cols)
     n = idx.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
         idx.agg(F.count(F.lit(1)).alias("_n"))
-    j = idx.join(n, list(group_cols)) if group_cols else idx.crossJoin(F.broadcast(n))
+    j = idx.join(n, list(group_cols)) if group_cols else with_scalars(idx, n)
     test, first = cv_fold_sizes(F.col("_n"), k)
     fold = F.when(F.col("row_idx") < first, F.lit(-1)).otherwise(F.floor((F.col("row_idx") - first) / test))
     return j.withColumn("test_fold", fold.cast("int")).withColumn("train_end", (first + F.col("test_fold") * test)

@@ -12,6 +12,7 @@ from chronoframe.operators import metrics as M
 from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators.ordered import exact_quantiles
+from chronoframe.operators.scalars import with_scalars
 from chronoframe.operators.splits import assign_cv_folds, split_label
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
@@ -114,7 +115,7 @@ def interval_metrics(spark, sf_dir):
     pr = order_predictions(spark, sf_dir)
     val = pr.where((F.col("split") == "val") & F.col("y").isNotNull()).withColumn("resid", F.col("y") - F.col("pred"))
     q = exact_quantiles(val, "resid", [0.1, 0.9], names=["rq10", "rq90"])
-    t = _test(pr).crossJoin(F.broadcast(q))  # one row
+    t = with_scalars(_test(pr), q)
     lo, hi = sorted_quantiles(F.col("pred") + F.col("rq10"), F.col("pred") + F.col("rq90"))
     t = t.withColumn("lo", lo).withColumn("hi", hi)
     return M.interval_metrics(t, "y", "lo", "hi")
@@ -352,11 +353,16 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
 
 def line_classes(spark, sf_dir):
     """Truth = rule class of the line; prediction = class of the previous line of the order (0 for the first)."""
-    from pyspark.sql import Window as W
+    from chronoframe.config import FeatureSpec
     df = B.line_probabilities(B.lineitem_panel(spark, sf_dir))
-    w = W.partitionBy("l_orderkey").orderBy(*LINE_ORDER)  # a handful of lines per order
+    df = df.withColumn("_line_tb", F.struct(*LINE_ORDER[1:]))
+    spec = PanelSpec("l_orderkey", LINE_ORDER[0], "_line_tb")
+    lag = FeatureSpec(variables=("target_disaster",), lags=(1,), windows={}, lag_suffix="")
+    # chunked layout: even an order with millions of lines would spread over many tasks
+    df = P.panel_features(df, spec, lag, layout="chunked", chunk_rows=100_000, bucket=1000)
     return df.withColumn("actual", F.col("target_disaster")) \
-             .withColumn("predicted", F.coalesce(F.lag("target_disaster", 1).over(w), F.lit(0)).cast("int"))
+             .withColumn("predicted", F.coalesce(F.col("target_disaster_lag_1"), F.lit(0)).cast("int")) \
+             .drop("_line_tb", "target_disaster_lag_1")
 
 
 _PROB = " + ".join(f"{c} / {s!r}" for c, s in zip(B.LINE_PROB_COLS, B.LINE_PROB_SCALE))

@@ -12,6 +12,7 @@ from chronoframe.config import PanelSpec
 from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators.encode import encode_columns
+from chronoframe.operators.scalars import with_scalars
 from chronoframe.operators.splits import split_label
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
@@ -34,7 +35,8 @@ def _lines(spark, sf_dir):
 def _events(spark, sf_dir):
     from chronoframe.plans.q_panel import feature_table
     ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(feature_table(spark, sf_dir), "event_id")
-    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y").where(F.col("y").isNotNull())
+    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="chunked", chunk_rows=4096,
+                             bucket="day").where(F.col("y").isNotNull())
     ts = F.col("ts")
     return ft.withColumn("split", F.when(ts < F.lit(EVENT_VAL_START).cast("timestamp_ntz"), "train")
                          .when(ts < F.lit(EVENT_TEST_START).cast("timestamp_ntz"), "val").otherwise("test"))
@@ -59,7 +61,7 @@ def gbt_classifier_scores(spark, sf_dir):
     df = _lines(spark, sf_dir)
     train = df.where(F.col("split") == "train")
     bal = R.class_balance(train, "target_rain")
-    train = train.crossJoin(F.broadcast(bal.select("scale_pos_weight"))) \
+    train = with_scalars(train, bal, ["scale_pos_weight"]) \
                  .withColumn("w", F.when(F.col("target_rain") == 1, F.col("scale_pos_weight")).otherwise(1.0))
     model = ML.fit_gbt_classifier(train, LINE_FEATURES, "target_rain", "w", max_iter=20, max_depth=4)
     s = ML.score(model, df.where(F.col("split") == "test"), positive_prob="p_rain")
@@ -95,7 +97,7 @@ def model_search(spark, sf_dir):
                          "target_rain", SEARCH_CONFIGS)
     from chronoframe.operators.metrics import champion
     best = champion(res, "val_f1", minimize=False).select(F.col("config").alias("_best"))
-    return res.crossJoin(best).withColumn("champion", F.col("config") == F.col("_best")).drop("_best", "time_sec")
+    return with_scalars(res, best).withColumn("champion", F.col("config") == F.col("_best")).drop("_best", "time_sec")
 
 
 @register("model_importance")

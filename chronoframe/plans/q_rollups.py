@@ -11,6 +11,7 @@ from chronoframe.operators import metrics as M
 from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators.ordered import exact_quantiles
+from chronoframe.operators.scalars import with_scalars
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
 from chronoframe.plans.q_metrics import (LINE_CLASSES_CTE, LINE_ORDER, ORDER_PRED_CTE, _argmax_sql, _grouped_sql,
@@ -57,7 +58,7 @@ def monthly_actual_vs_predicted(spark, sf_dir):
     pr = order_predictions(spark, sf_dir)
     val = pr.where((F.col("split") == "val") & F.col("y").isNotNull()).withColumn("resid", F.col("y") - F.col("pred"))
     q = exact_quantiles(val, "resid", [0.1, 0.9], names=["rq10", "rq90"])
-    t = _test(pr).crossJoin(F.broadcast(q))  # one row
+    t = with_scalars(_test(pr), q)
     lo = F.least(F.col("pred") + F.col("rq10"), F.col("pred") + F.col("rq90"))
     hi = F.greatest(F.col("pred") + F.col("rq10"), F.col("pred") + F.col("rq90"))
     t = t.withColumn("lo", lo).withColumn("hi", hi)
@@ -136,11 +137,13 @@ def _ranking_table(spark, sf_dir):
     from chronoframe.plans.q_panel import feature_table
     ft = feature_table(spark, sf_dir)
     ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(ft, "event_id")
-    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y")
-    ft = ft.where(F.col("y").isNotNull())
+    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="chunked", chunk_rows=4096, bucket="day")
+    # two passes (means, then slopes / deviations) over an expensive derived table:
+    # materialise it once in the shared checkpoint folder instead of recomputing it
+    ft = ft.where(F.col("y").isNotNull()).select("y", *FEATURES_FOR_RANKING).checkpoint(eager=True)
     feats = FEATURES_FOR_RANKING
     means = ft.agg(*[F.avg(F.col(f).cast("double")).alias(f"m_{f}") for f in feats])
-    j = ft.crossJoin(F.broadcast(means))  # one row
+    j = with_scalars(ft, means)
     aggs = []
     for f in feats:
         x = F.col(f).cast("double")
