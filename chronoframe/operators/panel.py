@@ -103,9 +103,12 @@ def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None
     * ``fs``: lags and rolling mean/std over the filled values (W3–W5);
     * ``leads``: ``{out: (col, k)}`` value k rows ahead (W6);
     * ``windows``: ``{out: (col, n)}`` extra trailing n-row means (moving-average predictors).
+    ``layout``: ``'entity'``, ``'chunked'`` or ``'auto'`` (:func:`choose_layout`).
     Rows keep their input columns; feature columns are appended.
     """
     leads, windows = dict(leads or {}), dict(windows or {})
+    if layout == "auto":
+        layout = choose_layout(df, spec.entity, chunk_rows)
     if layout == "entity":
         return _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows)
     if layout == "chunked":
@@ -113,6 +116,17 @@ def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None
     raise ValueError(f"unknown layout {layout!r}")
 
 
+def choose_layout(df: DataFrame, entity: str, chunk_rows: int) -> str:
+    """``'entity'`` when every entity fits in one chunk, else ``'chunked'``.
+
+    One partial aggregation (rows per entity, map-side combined) and a single
+    number to the driver: the plain layout (one shuffle) is used unless some
+    entity is larger than a task should hold.
+    """
+    biggest = df.groupBy(entity).count().agg(F.max("count")).first()[0] or 0
+    return "entity" if biggest <= chunk_rows else "chunked"
+
+
 def _extra_columns(w, leads, windows) -> dict[str, Column]:
     cols = {n: F.lead(c, k).over(w) for n, (c, k) in leads.items()}
     cols.update({n: F.avg(c).over(w.rowsBetween(-(k - 1), 0)) for n, (c, k) in windows.items()})
@@ -215,13 +229,13 @@ def next_value_target(df: DataFrame, spec: PanelSpec, value: str, out: str,
     ``layout='chunked'`` uses the forward halo of :func:`panel_features`, so a
     hot entity is spread over many tasks.
     """
-    if layout == "chunked":
+    if layout in ("chunked", "auto"):
         ent = spec.entity
         if extra_partition:
             df = df.withColumn("_cf_ent", F.struct(spec.entity, *extra_partition))
             ent = "_cf_ent"
         s = PanelSpec(ent, spec.order, spec.tiebreak)
-        r = panel_features(df, s, layout="chunked", chunk_rows=chunk_rows, bucket=bucket,
+        r = panel_features(df, s, layout=layout, chunk_rows=chunk_rows, bucket=bucket,
                            leads={out: (value, offset)})
         return r.drop("_cf_ent") if extra_partition else r
     w = W.partitionBy(spec.entity, *extra_partition).orderBy(*spec.order_cols)

@@ -18,7 +18,6 @@ from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
 from chronoframe.plans.sqlgen import LINEITEM_PANEL, SEASON_NAMES_SQL, SPLIT_EXPR, rsig, season_sql
 
-ORDER_CHUNK_ROWS = 4096
 CANDIDATES = [(1, "persistence", 1), (2, "moving_mean_2", 2), (3, "moving_mean_3", 3), (4, "moving_mean_5", 5)]
 
 
@@ -27,14 +26,14 @@ CANDIDATES = [(1, "persistence", 1), (2, "moving_mean_2", 2), (3, "moving_mean_3
 def order_predictions(spark, sf_dir):
     """Next-order value target (within customer and split, Q3) with simple predictors.
 
-    ``pred`` = persistence (W14), ``ma{k}`` = trailing k-row means. Chunked
-    layout: a customer holding a third of all orders still spreads over many tasks.
+    ``pred`` = persistence (W14), ``ma{k}`` = trailing k-row means. Auto
+    layout: a customer holding a third of all orders is chunked over many tasks.
     """
     o = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     o = o.withColumn("split", split_label(F.year("o_orderdate"), B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST)) \
          .withColumn("_ent", F.struct("o_custkey", "split"))
     spec = PanelSpec("_ent", "o_orderdate", "o_orderkey")
-    f = P.panel_features(o, spec, layout="chunked", chunk_rows=ORDER_CHUNK_ROWS, bucket="month",
+    f = P.panel_features(o, spec, layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="month",
                          leads={"y": ("o_totalprice", 1)},
                          windows={f"ma{k}": ("o_totalprice", k) for _, _, k in CANDIDATES if k > 1})
     return f.drop("_ent").withColumn("pred", F.col("o_totalprice"))
@@ -358,8 +357,8 @@ def line_classes(spark, sf_dir):
     df = df.withColumn("_line_tb", F.struct(*LINE_ORDER[1:]))
     spec = PanelSpec("l_orderkey", LINE_ORDER[0], "_line_tb")
     lag = FeatureSpec(variables=("target_disaster",), lags=(1,), windows={}, lag_suffix="")
-    # chunked layout: even an order with millions of lines would spread over many tasks
-    df = P.panel_features(df, spec, lag, layout="chunked", chunk_rows=100_000, bucket=1000)
+    # auto layout: an order with millions of lines would be chunked over many tasks
+    df = P.panel_features(df, spec, lag, layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket=1000)
     return df.withColumn("actual", F.col("target_disaster")) \
              .withColumn("predicted", F.coalesce(F.col("target_disaster_lag_1"), F.lit(0)).cast("int")) \
              .drop("_line_tb", "target_disaster_lag_1")

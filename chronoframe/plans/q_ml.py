@@ -35,8 +35,8 @@ def _lines(spark, sf_dir):
 def _events(spark, sf_dir):
     from chronoframe.plans.q_panel import feature_table
     ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(feature_table(spark, sf_dir), "event_id")
-    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="chunked", chunk_rows=4096,
-                             bucket="day").where(F.col("y").isNotNull())
+    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="auto",
+                             chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day").where(F.col("y").isNotNull())
     ts = F.col("ts")
     return ft.withColumn("split", F.when(ts < F.lit(EVENT_VAL_START).cast("timestamp_ntz"), "train")
                          .when(ts < F.lit(EVENT_TEST_START).cast("timestamp_ntz"), "val").otherwise("test"))

@@ -15,8 +15,6 @@ from chronoframe.plans.catalog import register
 from chronoframe.plans.sqlgen import (MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig, season_sql,
                                       window_features_sql)
 
-USER_CHUNK_ROWS = 4096
-DEEP_CHUNK_ROWS = 4096
 
 
 def _dedup_fill_sql(part: str, order: str, v: str, extra_cols: str) -> str:
@@ -42,11 +40,11 @@ FROM f""", ["value"] + _uf_names)
 
 @register("feature_table", FEATURE_TABLE_SQL)
 def feature_table(spark, sf_dir):
-    """W1–W5 + F2–F4: dedup, fill, lags, rolling mean/std and calendar features (chunked layout)."""
+    """W1–W5 + F2–F4: dedup, fill, lags, rolling mean/std and calendar features (auto layout)."""
     ev = B.table(spark, sf_dir, "events").drop("props")
     ev = C.nan_to_null(ev, ["value"])
     f = P.panel_features(ev, B.USER_PANEL, B.USER_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                         layout="chunked", chunk_rows=USER_CHUNK_ROWS, bucket="day")
+                         layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day")
     return f.withColumns(calendar_columns("ts")).drop("ts")
 
 
@@ -60,12 +58,12 @@ SELECT event_id, event_type, value, {_df_items} FROM f""", ["value"] + _df_names
 def feature_table_deep(spark, sf_dir):
     """W3–W5 with the weather sizes (lags 24/48/72 h, windows 24 / 168 rows) on deep entities.
 
-    Five entities only: the chunked layout spreads each over several tasks
-    (4096-row chunks, 167-row halo).
+    An entity above ``PANEL_CHUNK_ROWS`` rows is cut into chunks with a
+    167-row halo, so even five huge entities spread over many tasks.
     """
     ev = B.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     return P.panel_features(ev, B.TYPE_PANEL, B.DEEP_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                            layout="chunked", chunk_rows=DEEP_CHUNK_ROWS, bucket="day").drop("ts")
+                            layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day").drop("ts")
 
 
 @register("calendar_features", f"""

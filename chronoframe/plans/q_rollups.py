@@ -137,7 +137,7 @@ def _ranking_table(spark, sf_dir):
     from chronoframe.plans.q_panel import feature_table
     ft = feature_table(spark, sf_dir)
     ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(ft, "event_id")
-    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="chunked", chunk_rows=4096, bucket="day")
+    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day")
     # two passes (means, then slopes / deviations) over an expensive derived table:
     # materialise it once in the shared checkpoint folder instead of recomputing it
     ft = ft.where(F.col("y").isNotNull()).select("y", *FEATURES_FOR_RANKING).checkpoint(eager=True)

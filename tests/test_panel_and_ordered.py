@@ -95,3 +95,14 @@ def test_positions_split_hot_entity_over_tasks(spark):
     assert out.count() == 20000
     ref = P.panel_features(df, PanelSpec("g", "t", "id"), FeatureSpec(variables=("v",), lags=(1,), windows={}))
     assert out.exceptAll(ref).count() == 0
+
+
+def test_auto_layout_chunks_hot_entities(spark):
+    df = _hot_key_frame(spark).withColumn("t", F.timestamp_seconds(F.col("id") * 60))
+    assert P.choose_layout(df, "g", chunk_rows=5000) == "chunked"      # key 99 holds ~13k rows
+    assert P.choose_layout(df, "g", chunk_rows=1_000_000) == "entity"
+    fs = FeatureSpec(variables=("v",), lags=(1, 3), windows={"w": 4})
+    a = P.panel_features(df, PanelSpec("g", "t", "id"), fs, layout="auto", chunk_rows=5000, bucket="hour")
+    b = P.panel_features(df, PanelSpec("g", "t", "id"), fs, layout="entity")
+    feats = P.feature_names(fs) + ["v"]
+    assert _rounded(a, feats).exceptAll(_rounded(b, feats)).count() == 0
