@@ -474,3 +474,19 @@ def alert_levels(spark, sf_dir):
     df = line_classes(spark, sf_dir).withColumn("arg", array_argmax(F.col("prob")))
     lvl = alert_level(F.col("l_quantity"), F.element_at("prob", 3), F.element_at("prob", 2), F.col("arg"))
     return df.groupBy(lvl.alias("alert")).agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("residual_histogram", rsig(f"""
+WITH {ORDER_PRED_CTE},
+t AS (SELECT y - pred AS resid FROM pr WHERE {_TEST}),
+r AS (SELECT min(resid) AS lo, max(resid) AS hi, (max(resid) - min(resid)) / 30 AS w FROM t),
+b AS (SELECT CAST(CASE WHEN w > 0 THEN least(floor((resid - lo) / w), 29) ELSE 0 END AS INTEGER) AS bin FROM t, r),
+cnt AS (SELECT bin, count(*) AS c FROM b GROUP BY bin)
+SELECT CAST(g.bin AS INTEGER) AS bin, lo + g.bin * w AS bin_lo, lo + (g.bin + 1) * w AS bin_hi,
+  CAST(coalesce(c, 0) AS BIGINT) AS count, coalesce(c, 0) / (sum(coalesce(c, 0)) OVER () * w) AS density
+FROM range(30) g(bin) CROSS JOIN r LEFT JOIN cnt ON cnt.bin = g.bin""", ["bin_lo", "bin_hi", "density"]))
+def residual_histogram(spark, sf_dir):
+    """P12 + A28: residual distribution of the test-period forecast (30 equal-width bins)."""
+    from chronoframe.operators.profile import histogram
+    t = _test(order_predictions(spark, sf_dir)).withColumn("resid", F.col("y") - F.col("pred"))
+    return histogram(t, "resid", 30)

@@ -213,3 +213,26 @@ ORDER BY n_name""")
 def sorted_distinct(spark, sf_dir):
     """O6 + A7: sorted distinct entities present in the facts."""
     return B.lineitem_panel(spark, sf_dir, with_labels=False).select("n_name").distinct().orderBy("n_name")
+
+
+_TRAIN_SPLIT_SQL = ("CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 'train' WHEN ts < TIMESTAMP '2024-01-25' "
+                    "THEN 'val' ELSE 'test' END")
+
+
+@register("training_rows", f"""
+WITH f AS ({FEATURE_TABLE_SQL}),
+g AS (SELECT f.*, e.ts FROM f JOIN events e ON f.event_id = e.event_id
+      WHERE value_lag_1 IS NOT NULL AND value_lag_2 IS NOT NULL AND value_lag_3 IS NOT NULL)
+SELECT {_TRAIN_SPLIT_SQL} AS split, count(*) AS rows, CAST(count(DISTINCT user_id) AS BIGINT) AS entities
+FROM g GROUP BY 1""")
+def training_rows(spark, sf_dir):
+    """P9 + W12: warm-up trim (rows whose lags are not yet defined are dropped), then rows per split."""
+    ft = feature_table(spark, sf_dir)
+    ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(ft, "event_id")
+    lags = [f"value_lag_{k}" for k in B.USER_FEATURES.lags]
+    trimmed = C.drop_null_rows(ft, lags)
+    ts = F.col("ts")
+    split = F.when(ts < F.lit("2024-01-20").cast("timestamp_ntz"), "train") \
+             .when(ts < F.lit("2024-01-25").cast("timestamp_ntz"), "val").otherwise("test")
+    return trimmed.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("rows"),
+                                                     F.count_distinct("user_id").alias("entities"))
