@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from chronoframe.functions.scalar import array_argmax
@@ -205,10 +204,15 @@ _RANK_SQL = _grouped_sql("c_nationkey", "c_nationkey", "test_rows", "JOIN custom
 @register("rank_report", f"""
 SELECT *, row_number() OVER (ORDER BY rmse, c_nationkey) AS rank FROM ({_RANK_SQL}) AS rr""")
 def rank_report(spark, sf_dir):
-    """W13 + O2: rank column 1..n on the per-entity report sorted by RMSE (small table)."""
+    """W13 + O2: rank column 1..n on the per-entity report sorted by RMSE.
+
+    The report has one row per entity, so the rank uses the distributed row
+    index rather than a single-task ``Window.orderBy``.
+    """
+    from chronoframe.operators.ordered import global_row_index
     from chronoframe.plans.q_metrics import regression_by_entity
     rep = regression_by_entity(spark, sf_dir)
-    return rep.withColumn("rank", F.row_number().over(W.orderBy("rmse", "c_nationkey")))
+    return global_row_index(rep, ["rmse", "c_nationkey"], out="rank").withColumn("rank", F.col("rank") + 1)
 
 
 @register("event_presence", f"""
