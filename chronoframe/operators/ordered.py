@@ -107,34 +107,140 @@ def ranked_ties(df: DataFrame, value_col: str, weight_cols: Sequence[str] = (),
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    num_partitions: int | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``).
-
-    Unlike ``percentile`` (which buffers every value of a group in one task)
-    this collapses to distinct values, ranks them with :func:`running_sum` and
-    picks the two neighbouring order statistics of each probability with a
-    single conditional aggregation. NULLs are ignored; an all-NULL group is
-    absent from the result.
+                    accuracy: int = 10_000, max_bracket: int = 1_000_000, max_levels: int = 6) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group.
+
+    Bracket and refine — scans with partial aggregation; no group is sorted or
+    buffered whole:
+
+    1. one aggregation counts each group; the whole group is the first bracket
+       of every probability;
+    2. while some bracket holds more than ``max_bracket`` rows it is narrowed
+       with a mergeable ``percentile_approx`` grid (999 points, rank error
+       ≤ size/accuracy) computed over that bracket's rows, widened by the rank
+       error plus two rows; one scan then counts the rows below / inside the
+       new bracket. Each level shrinks a bracket ~400×, so even 10¹² rows in
+       one group need at most five levels; small tables of one row per group
+       are checkpointed between levels;
+    3. the values are collapsed to distinct ``(group, value)`` counts (partial
+       aggregation), those inside a bracket are ranked by a window partitioned
+       by (group, probability) — at most ``max_bracket`` rows per window
+       partition — and the two order statistics around ``(n − 1)·p`` are
+       interpolated.
+
+    NULL and NaN values are ignored; an all-NULL group is absent.
     """
-    group_cols = list(group_cols)
+    from chronoframe.operators.scalars import with_scalars
+    g = list(group_cols)
+    probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
-    j = ranked_ties(df, value_col, (), group_cols, num_partitions).withColumnRenamed("n_total", "_cf_n")
-    hi_edge = F.col("rank_lo") + F.col("n")  # exclusive
-    aggs = []
-    for p, name in zip(probs, names):
-        h = (F.col("_cf_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        in_lo = (F.col("rank_lo") <= lo) & (lo < hi_edge)
-        in_hi = (F.col("rank_lo") <= hi) & (hi < hi_edge)
-        aggs += [F.max(F.when(in_lo, F.col(value_col))).alias(f"_lo_{name}"),
-                 F.max(F.when(in_hi, F.col(value_col))).alias(f"_hi_{name}"),
-                 F.max(h - lo).alias(f"_fr_{name}")]
-    g = j.groupBy(*group_cols).agg(*aggs) if group_cols else j.agg(*aggs)
-    outs = [F.col(c) for c in group_cols]
-    for name in names:
-        lo_v, hi_v, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")
-        outs.append((lo_v + fr * (hi_v - lo_v)).alias(name))
-    return g.select(*outs)
+    k = len(probs)
+    base = df.select(*g, F.col(value_col).cast("double").alias("_v")) \
+             .where(F.col("_v").isNotNull() & ~F.isnan(F.col("_v")))
+
+    def _agg(frame, aggs):
+        return frame.groupBy(*g).agg(*aggs) if g else frame.agg(*aggs)
+
+    def _attach(frame, table):
+        return frame.join(table, g, "inner") if g else with_scalars(frame, table)
+
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = _agg(base, [F.count(F.lit(1)).alias("_n")])
+    cols = [F.col(c) for c in g] + [F.col("_n")]
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1) * F.lit(p)
+        cols += [F.floor(h).cast("long").alias(f"_klo{i}"), F.ceil(h).cast("long").alias(f"_khi{i}"),
+                 (h - F.floor(h)).alias(f"_fr{i}"), F.lit(None).cast("double").alias(f"_lo{i}"),
+                 F.lit(None).cast("double").alias(f"_hi{i}"), F.lit(0).cast("long").alias(f"_below{i}"),
+                 F.col("_n").alias(f"_size{i}")]
+    bounds = counts.select(*cols).checkpoint(eager=True)  # one row per group
+
+    grid = [j / 1000.0 for j in range(1, 1000)]
+    for _ in range(max_levels):
+        biggest = bounds.agg(F.greatest(*[F.max(f"_size{i}") for i in range(k)], F.lit(0))).first()[0]
+        if not biggest or biggest <= max_bracket:
+            break
+        j = _attach(base, bounds)
+        long_rows = j.select(*g, F.explode(F.array(*[F.when(_inside(i) & (F.col(f"_size{i}") > max_bracket),
+                                                            F.struct(F.lit(i).alias("_i"), F.col("_v")))
+                                                     for i in range(k)])).alias("_r")).where(F.col("_r").isNotNull())
+        sk = long_rows.groupBy(*g, F.col("_r._i").alias("_i")).agg(
+            F.percentile_approx("_r._v", grid, accuracy).alias("_grid"))
+        narrowed = _narrow(bounds, sk, g, k, grid, accuracy).checkpoint(eager=True)
+        j = _attach(base, narrowed.drop(*[f"_below{i}" for i in range(k)], *[f"_size{i}" for i in range(k)]))
+        stats = _agg(j, [a for i in range(k) for a in (
+            F.count_if(F.col(f"_lo{i}").isNotNull() & (F.col("_v") < F.col(f"_lo{i}"))).cast("long").alias(f"_below{i}"),
+            F.count_if(_inside(i)).cast("long").alias(f"_size{i}"))])
+        keep = narrowed.drop(*[f"_below{i}" for i in range(k)], *[f"_size{i}" for i in range(k)])
+        bounds = (keep.join(stats, g, "inner") if g else with_scalars(keep, stats)).checkpoint(eager=True)
+
+    # collapse to distinct values once; rank each distinct bracket once (probabilities whose
+    # brackets coincide — e.g. the whole group — share one ranking); a window partition holds
+    # at most max_bracket rows
+    inf = float("inf")
+
+    def _edge(i, side):
+        c = F.col(f"_{side}{i}")
+        return F.coalesce(c, F.lit(-inf if side == "lo" else inf))
+
+    bounded = bounds.select(*g, *[c for i in range(k) for c in (f"_lo{i}", f"_hi{i}")])
+    distinct = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    j = _attach(distinct, bounded)
+    brackets = F.array_compact(F.array_distinct(F.array(*[
+        F.when(_inside(i), F.struct(_edge(i, "lo").alias("_blo"), _edge(i, "hi").alias("_bhi"))) for i in range(k)])))
+    coll = j.select(*g, "_v", "_c", F.explode(brackets).alias("_b")).select(*g, "_v", "_c", "_b.*")
+    w = W.partitionBy(*g, "_blo", "_bhi").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
+    coll = coll.withColumn("_cum", F.sum("_c").over(w))
+    tgt = bounds.select(*g, F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_i"), _edge(i, "lo").alias("_blo"), _edge(i, "hi").alias("_bhi"),
+        (F.col(f"_klo{i}") - F.col(f"_below{i}")).alias("_rlo"),
+        (F.col(f"_khi{i}") - F.col(f"_below{i}")).alias("_rhi"), F.col(f"_fr{i}").alias("_fr"))
+        for i in range(k)])).alias("_t")).select(*g, "_t.*")
+    m = coll.join(tgt, g + ["_blo", "_bhi"], "inner")
+    prev = F.col("_cum") - F.col("_c")
+    picked = m.groupBy(*g, "_i").agg(
+        F.max(F.when((prev <= F.col("_rlo")) & (F.col("_rlo") < F.col("_cum")), F.col("_v"))).alias("_vlo"),
+        F.max(F.when((prev <= F.col("_rhi")) & (F.col("_rhi") < F.col("_cum")), F.col("_v"))).alias("_vhi"),
+        F.max("_fr").alias("_fr"))
+    val = F.col("_vlo") + F.col("_fr") * (F.col("_vhi") - F.col("_vlo"))
+    outs = [F.max(F.when(F.col("_i") == i, val)).alias(nm) for i, nm in enumerate(names)]
+    return picked.groupBy(*g).agg(*outs) if g else picked.agg(*outs)
+
+
+def _inside(i):
+    lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+    return (lo.isNull() | (F.col("_v") >= lo)) & (hi.isNull() | (F.col("_v") <= hi))
+
+
+def _narrow(bounds: DataFrame, sk: DataFrame, g: list, k: int, grid: list, accuracy: int) -> DataFrame:
+    """Replace each bracket by the grid points around its target ranks, widened on each side
+    by the sketch's rank error (size / accuracy) plus two rows, expressed in grid steps."""
+    piv = sk.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, F.col("_grid"))).alias(f"_g{i}") for i in range(k)]) \
+        if g else sk.agg(*[F.max(F.when(F.col("_i") == i, F.col("_grid"))).alias(f"_g{i}") for i in range(k)])
+    if g:
+        b = bounds.join(piv, g, "left")
+    else:
+        from chronoframe.operators.scalars import with_scalars
+        b = with_scalars(bounds, piv)
+    n_grid = len(grid)
+    upd = {}
+    for i in range(k):
+        size = F.col(f"_size{i}").cast("double")
+        below = F.coalesce(F.col(f"_below{i}"), F.lit(0))
+        # positions of the target ranks inside the bracket as grid indexes, widened by one step each side
+        flo = (F.col(f"_klo{i}") - below) / size * (n_grid + 1)
+        fhi = (F.col(f"_khi{i}") - below) / size * (n_grid + 1)
+        margin = F.ceil((size / F.lit(float(accuracy)) + F.lit(2.0)) / size * (n_grid + 1)).cast("int")
+        ilo = F.floor(flo).cast("int") - margin
+        ihi = F.ceil(fhi).cast("int") + margin
+        new_lo = F.when(ilo >= 1, F.element_at(F.col(f"_g{i}"), ilo)).otherwise(F.col(f"_lo{i}"))
+        new_hi = F.when(ihi <= n_grid, F.element_at(F.col(f"_g{i}"), ihi)).otherwise(F.col(f"_hi{i}"))
+        big = F.col(f"_g{i}").isNotNull()
+        upd[f"_lo{i}"] = F.when(big, new_lo).otherwise(F.col(f"_lo{i}"))
+        upd[f"_hi{i}"] = F.when(big, new_hi).otherwise(F.col(f"_hi{i}"))
+    out = b.withColumns(upd)
+    return out.drop(*[f"_g{i}" for i in range(k)], *[f"_below{i}" for i in range(k)],
+                    *[f"_size{i}" for i in range(k)])
 
 
 def global_row_index(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),

@@ -1,9 +1,9 @@
 """Data-quality profiling.
 
-Quantile-based statistics go through the distributed ordered primitive on
-values collapsed to ``(group, value, n)``: no group is ever buffered whole,
-and outlier / whisker counts are read off the same collapsed table instead of
-re-joining raw rows.
+Quantiles are exact and come from :func:`chronoframe.operators.ordered.exact_quantiles`
+(sketch brackets + bounded refinement: scans with partial aggregation, no
+group is ever buffered or sorted whole). Outlier and whisker counts are one
+more scan joined to the small per-group fence table.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronoframe.config import IQR_K
-from chronoframe.operators.ordered import ranked_ties
+from chronoframe.operators.ordered import exact_quantiles
 from chronoframe.operators.scalars import with_scalars
 
 __all__ = [
@@ -43,38 +43,12 @@ def to_long(df: DataFrame, keys: Sequence[str], cols: Sequence[str], coded: bool
     return cast.unpivot(list(keys), list(cols), _VAR, _VAL)
 
 
-def _quantiles_from_ranked(ranked: DataFrame, group_cols: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    """Pick linear-interpolated quantiles from a ranked, collapsed table."""
-    group_cols = list(group_cols)
-    j = ranked.withColumn("_cf_n", F.col("n_total"))
-    hi_edge = F.col("rank_lo") + F.col("n")
-    aggs = []
-    for name, p in probs.items():
-        h = (F.col("_cf_n") - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        aggs += [F.max(F.when((F.col("rank_lo") <= lo) & (lo < hi_edge), F.col(_VAL))).alias(f"_lo_{name}"),
-                 F.max(F.when((F.col("rank_lo") <= hi) & (hi < hi_edge), F.col(_VAL))).alias(f"_hi_{name}"),
-                 F.max(h - lo).alias(f"_fr_{name}")]
-    g = j.groupBy(*group_cols).agg(F.max("_cf_n").alias("n_values"), *aggs)
-    outs = [F.col(c) for c in group_cols] + [F.col("n_values")]
-    for name in probs:
-        lo_v, hi_v, fr = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_fr_{name}")
-        outs.append((lo_v + fr * (hi_v - lo_v)).alias(name))
-    return g.select(*outs)
-
-
-def iqr_bounds(long_df: DataFrame, group_cols: Sequence[str], k: float = IQR_K):
-    """Collapsed ranked values + per-group q1, q3, lower, upper fences.
-
-    Returns ``(ranked, bounds)`` so callers can count outliers or find whiskers
-    on the collapsed table.
-    """
-    ranked = ranked_ties(long_df, _VAL, (), group_cols)
-    q = _quantiles_from_ranked(ranked, group_cols, {"q1": 0.25, "q3": 0.75})
-    bounds = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
-              .withColumn("lower", F.col("q1") - F.lit(k) * F.col("iqr")) \
-              .withColumn("upper", F.col("q3") + F.lit(k) * F.col("iqr"))
-    return ranked, bounds
+def iqr_bounds(long_df: DataFrame, group_cols: Sequence[str], k: float = IQR_K) -> DataFrame:
+    """Per-group exact q1, q3 and the Tukey fences ``q1 − k·iqr`` / ``q3 + k·iqr``."""
+    q = exact_quantiles(long_df, _VAL, [0.25, 0.75], list(group_cols), names=["q1", "q3"])
+    return q.withColumn("iqr", F.col("q3") - F.col("q1")) \
+            .withColumn("lower", F.col("q1") - F.lit(k) * F.col("iqr")) \
+            .withColumn("upper", F.col("q3") + F.lit(k) * F.col("iqr"))
 
 
 def quality_report(df: DataFrame, entity: str, order: str, variables: Sequence[str],
@@ -98,11 +72,12 @@ def quality_report(df: DataFrame, entity: str, order: str, variables: Sequence[s
     base = df.groupBy(entity, *attrs).agg(*aggs)  # attrs are entity constants (keeps a hash aggregate)
 
     long_df = to_long(df, [entity], variables, coded=True).where(F.col(_VAL).isNotNull())
-    ranked, bounds = iqr_bounds(long_df, [entity, _VAR], outlier_k)
+    bounds = iqr_bounds(long_df, [entity, _VAR], outlier_k)
+    # one more scan: rows outside the fences (the bounds table has one row per group)
     outside = (F.col(_VAL) < F.col("lower")) | (F.col(_VAL) > F.col("upper"))
-    outl = ranked.join(bounds.select(entity, _VAR, "lower", "upper"), [entity, _VAR], "inner") \
-                 .groupBy(entity).agg(*[F.sum(F.when(outside & (F.col(_VAR) == i), F.col("n")).otherwise(0))
-                                        .cast("long").alias(f"outliers_{v}") for i, v in enumerate(variables)])
+    outl = long_df.join(bounds.select(entity, _VAR, "lower", "upper"), [entity, _VAR], "inner") \
+                  .groupBy(entity).agg(*[F.count_if(outside & (F.col(_VAR) == i)).cast("long").alias(f"outliers_{v}")
+                                         for i, v in enumerate(variables)])
 
     n = F.col("total_rows")
     cols = [F.col(entity)] + [F.col(a) for a in attrs] + [
@@ -153,8 +128,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     moments = long_df.groupBy(_VAR).agg(
         F.count(F.lit(1)).alias("count"), F.avg(_VAL).alias("mean"), F.stddev_samp(_VAL).alias("std"),
         F.min(_VAL).alias("min"), F.max(_VAL).alias("max"))
-    ranked = ranked_ties(long_df, _VAL, (), [_VAR])
-    q = _quantiles_from_ranked(ranked, [_VAR], {"q25": 0.25, "q50": 0.5, "q75": 0.75}).drop("n_values")
+    q = exact_quantiles(long_df, _VAL, [0.25, 0.5, 0.75], [_VAR], names=["q25", "q50", "q75"])
     return moments.join(q, _VAR, "inner").select(
         F.col(_VAR).alias("column_name"), F.col("count").cast("long"), "mean", "std", "min",
         "q25", "q50", "q75", "max")
@@ -212,19 +186,19 @@ def box_summary(df: DataFrame, value: str, group_cols: Sequence[str], k: float =
     """Five-number summary + Tukey whiskers + outlier count per group."""
     group_cols = list(group_cols)
     long_df = df.select(*group_cols, F.col(value).cast("double").alias(_VAL)).where(F.col(_VAL).isNotNull())
-    ranked = ranked_ties(long_df, _VAL, (), group_cols)
-    q = _quantiles_from_ranked(ranked, group_cols, {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0})
+    q = exact_quantiles(long_df, _VAL, [0.25, 0.5, 0.75], group_cols, names=["q1", "median", "q3"])
     q = q.withColumn("lower_fence", F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))) \
          .withColumn("upper_fence", F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1")))
     inside = (F.col(_VAL) >= F.col("lower_fence")) & (F.col(_VAL) <= F.col("upper_fence"))
-    wh = ranked.join(q.select(*group_cols, "lower_fence", "upper_fence"), group_cols, "inner") \
-               .groupBy(*group_cols).agg(
-                   F.min(F.when(inside, F.col(_VAL))).alias("whisker_lo"),
-                   F.max(F.when(inside, F.col(_VAL))).alias("whisker_hi"),
-                   F.sum(F.when(~inside, F.col("n")).otherwise(0)).cast("long").alias("outliers"))
+    # one scan for extremes, whiskers and outliers (the fence table has one row per group)
+    wh = long_df.join(q.select(*group_cols, "lower_fence", "upper_fence"), group_cols, "inner") \
+                .groupBy(*group_cols).agg(
+                    F.count(F.lit(1)).cast("long").alias("n"), F.min(_VAL).alias("min"), F.max(_VAL).alias("max"),
+                    F.min(F.when(inside, F.col(_VAL))).alias("whisker_lo"),
+                    F.max(F.when(inside, F.col(_VAL))).alias("whisker_hi"),
+                    F.count_if(~inside).cast("long").alias("outliers"))
     return q.join(wh, group_cols, "inner").select(
-        *group_cols, F.col("n_values").cast("long").alias("n"), "min", "q1", "median", "q3", "max",
-        "whisker_lo", "whisker_hi", "outliers")
+        *group_cols, "n", "min", "q1", "median", "q3", "max", "whisker_lo", "whisker_hi", "outliers")
 
 
 def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:

@@ -72,8 +72,7 @@ def test_running_sum_hot_key(spark):
 
 def test_exact_quantiles_hot_key(spark):
     df = _hot_key_frame(spark)
-    got = {r.g: (r.q25, r.q50, r.q90) for r in exact_quantiles(df, "v", [0.25, 0.5, 0.9], ["g"],
-                                                                num_partitions=16).collect()}
+    got = {r.g: (r.q25, r.q50, r.q90) for r in exact_quantiles(df, "v", [0.25, 0.5, 0.9], ["g"]).collect()}
     pdf = df.toPandas()
     for g, s in pdf.groupby("g")["v"]:
         np.testing.assert_allclose(got[g], np.quantile(s.to_numpy(), [0.25, 0.5, 0.9]), rtol=1e-12)
@@ -106,3 +105,15 @@ def test_auto_layout_chunks_hot_entities(spark):
     b = P.panel_features(df, PanelSpec("g", "t", "id"), fs, layout="entity")
     feats = P.feature_names(fs) + ["v"]
     assert _rounded(a, feats).exceptAll(_rounded(b, feats)).count() == 0
+
+
+def test_exact_quantiles_refinement_levels(spark):
+    """Force several sketch-narrowing levels (tiny bracket budget, coarse sketch): still exact."""
+    df = _hot_key_frame(spark)
+    probs = [0.0, 0.1, 0.5, 0.75, 1.0]
+    got = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", probs, ["g"], max_bracket=40, accuracy=200).collect()}
+    pdf = df.toPandas()
+    for g, s in pdf.groupby("g")["v"]:
+        np.testing.assert_allclose(got[g], np.quantile(s.to_numpy(), probs), rtol=1e-12)
+    one = exact_quantiles(df, "v", probs, max_bracket=40, accuracy=200).first()
+    np.testing.assert_allclose(tuple(one), np.quantile(pdf.v.to_numpy(), probs), rtol=1e-12)
