@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chronoframe.config import FeatureSpec, PanelSpec
 from chronoframe.functions.calendar import calendar_columns, month_name, season_name
 from chronoframe.operators import clean as C
 from chronoframe.operators import panel as P
@@ -12,7 +13,8 @@ from chronoframe.operators import splits as S
 from chronoframe.operators.encode import encode_columns, lookup_with_default
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
-from chronoframe.plans.sqlgen import (MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig, season_sql,
+from chronoframe.plans.sqlgen import (LINEITEM_PANEL, MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig,
+                                      season_sql,
                                       window_features_sql)
 
 
@@ -236,3 +238,65 @@ def training_rows(spark, sf_dir):
              .when(ts < F.lit("2024-01-25").cast("timestamp_ntz"), "val").otherwise("test")
     return trimmed.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("rows"),
                                                      F.count_distinct("user_id").alias("entities"))
+
+
+# ----------------------------------------------------------------------------- full feature stage
+STAGE_VARS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+STAGE_FEATURES = FeatureSpec(variables=STAGE_VARS)  # weather sizes: lags 24/48/72, windows 24 / 168 rows
+STAGE_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
+
+
+def feature_stage_frame(spark, sf_dir):
+    """The surveyed preprocessing step end to end on ``lineitem`` (entity = supplier):
+    fill → lags 24/48/72 and 24/168-row rolling mean/std of four measures → calendar with
+    hemisphere flip → rule labels → category codes → split → warm-up trim (P9)."""
+    df = B.lineitem_panel(spark, sf_dir).withColumn("_tb", F.struct(*STAGE_TIEBREAK))
+    spec = PanelSpec("l_suppkey", "l_shipdate", "_tb")
+    f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout="auto",
+                         chunk_rows=B.PANEL_CHUNK_ROWS, bucket="month")
+    f = f.withColumns(calendar_columns("l_shipdate", southern=F.col("s_nationkey") < B.SOUTH_NATION_BELOW))
+    f = encode_columns(f, {"n_name": "nation_id", "r_name": "region_id"})
+    f = S.with_split(f, "l_shipdate", train=B.SPLIT_TRAIN, val=B.SPLIT_VAL, test=B.SPLIT_TEST)
+    f = C.drop_null_rows(f, [f"{v}_lag_72h" for v in STAGE_VARS])
+    return f.drop("_tb", "l_returnflag", "l_linestatus", "l_shipdate", "s_nationkey", "n_name", "r_name")
+
+
+def _stage_sql() -> str:
+    part, order = "l_suppkey", "l_shipdate, " + ", ".join(STAGE_TIEBREAK)
+    fills = ", ".join(
+        f"coalesce(last_value({v} IGNORE NULLS) OVER (PARTITION BY {part} ORDER BY {order} "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), first_value({v} IGNORE NULLS) OVER "
+        f"(PARTITION BY {part} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS f_{v}"
+        for v in STAGE_VARS)
+    items, names = [], []
+    for v in STAGE_VARS:
+        it, nm = window_features_sql(f"f_{v}", part, order, STAGE_FEATURES.lags, {}, "h")
+        items.append(it.replace(f"f_{v}_lag", f"{v}_lag"))
+        names += [n.replace(f"f_{v}_lag", f"{v}_lag") for n in nm]
+    for v in STAGE_VARS:
+        it, nm = window_features_sql(f"f_{v}", part, order, (), STAGE_FEATURES.windows, "h")
+        items.append(it.replace(f"f_{v}_roll", f"{v}_roll"))
+        names += [n.replace(f"f_{v}_roll", f"{v}_roll") for n in nm]
+    season = season_sql("month(l_shipdate)")
+    sql = f"""
+WITH {LINEITEM_PANEL},
+f0 AS (SELECT *, {fills} FROM lab),
+f1 AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, s_nationkey, n_name, r_name,
+  {", ".join(f"f_{v} AS {v}" for v in STAGE_VARS)}, f_l_discount, f_l_tax, f_l_quantity, f_l_extendedprice,
+  heatwave_threshold, target_rain, target_heatwave, target_storm, target_disaster, {", ".join(items)}
+  FROM f0),
+a AS (SELECT n_name, CAST(dense_rank() OVER (ORDER BY n_name) - 1 AS INTEGER) AS nation_id FROM (SELECT DISTINCT n_name FROM f1)),
+b AS (SELECT r_name, CAST(dense_rank() OVER (ORDER BY r_name) - 1 AS INTEGER) AS region_id FROM (SELECT DISTINCT r_name FROM f1))
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {", ".join(STAGE_VARS)}, heatwave_threshold,
+  target_rain, target_heatwave, target_storm, target_disaster, {", ".join(names)}, {calendar_sql("l_shipdate")},
+  CASE WHEN s_nationkey < {B.SOUTH_NATION_BELOW} THEN CAST(({season} + 2) % 4 AS INTEGER) ELSE {season} END AS season,
+  nation_id, region_id, {SPLIT_EXPR.format(c="l_shipdate")} AS split
+FROM f1 JOIN a USING (n_name) JOIN b USING (r_name)
+WHERE {" AND ".join(f"{v}_lag_72h IS NOT NULL" for v in STAGE_VARS)}"""
+    return rsig(sql, list(STAGE_VARS) + ["heatwave_threshold"] + names)
+
+
+@register("feature_stage", _stage_sql())
+def feature_stage(spark, sf_dir):
+    """The whole preprocessing stage (W2–W5, F2–F5, F9–F13, W7, W12, P9) as one plan."""
+    return feature_stage_frame(spark, sf_dir)
