@@ -11,7 +11,8 @@ from chronoframe.config import CV_FOLDS, TEST_YEARS, TRAIN_YEARS, VAL_YEAR
 from chronoframe.operators.ordered import global_row_index
 from chronoframe.operators.scalars import with_scalars
 
-__all__ = ["split_label", "with_split", "cv_fold_sizes", "assign_cv_folds", "chunk_worklist", "missing_chunks"]
+__all__ = ["split_label", "with_split", "split_predicate", "cv_fold_sizes", "assign_cv_folds", "chunk_worklist",
+           "missing_chunks"]
 
 
 def split_label(year: Column, train: tuple[int, int] = TRAIN_YEARS, val: int = VAL_YEAR,
@@ -63,3 +64,30 @@ def missing_chunks(worklist: DataFrame, facts: DataFrame, key: str, ts: str) ->
     """Work items with no fact rows (anti join against present (entity, year))."""
     present = facts.select(F.col(key), F.year(F.col(ts)).alias("year")).distinct()
     return worklist.join(present, [key, "year"], "left_anti")
+
+
+def split_predicate(df: DataFrame, ts: str, names: Sequence[str], train: tuple[int, int] = TRAIN_YEARS,
+                    val: int = VAL_YEAR, test: tuple[int, int] = TEST_YEARS) -> Column:
+    """P8 in pushdown form: ``ts`` range predicates for the named splits.
+
+    ``year(ts) between a and b`` cannot reach a Parquet scan; a range on the raw
+    column can (``PushedFilters``), and row groups / partitions outside it are
+    skipped.
+    """
+    dtype = df.schema[ts].dataType
+    ranges = {"train": train, "val": (val, val), "test": test}
+
+    def at(year: int) -> Column:
+        return F.lit(f"{year:04d}-01-01 00:00:00").cast(dtype)
+
+    def inside(a: int, b: int) -> Column:
+        return (F.col(ts) >= at(a)) & (F.col(ts) < at(b + 1))
+
+    cond = None
+    for name in names:
+        if name == "reserved":
+            c = ~(inside(*train) | inside(val, val) | inside(*test)) & F.col(ts).isNotNull()
+        else:
+            c = inside(*ranges[name])
+        cond = c if cond is None else (cond | c)
+    return cond

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.config import CLASS_NAMES
 from chronoframe.operators import rollups as R
-from chronoframe.operators.splits import split_label
+from chronoframe.operators.splits import split_label, split_predicate
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
 from chronoframe.plans.sqlgen import CLASS_NAMES_SQL, LINEITEM_PANEL, SPLIT_EXPR, rsig
@@ -19,6 +19,12 @@ def _split(df):
     return df.withColumn("split", split_label(F.year("l_shipdate"), B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST))
 
 
+def _train(spark, sf_dir):
+    """Training-split lines; the date range reaches the Parquet scan (PushedFilters)."""
+    df = B.lineitem_panel(spark, sf_dir)
+    return _split(df.where(split_predicate(df, "l_shipdate", ["train"], B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST)))
+
+
 _pct_cols = [f"{n}_pct" for n, _ in LABELS] + [f"disaster_{c}_pct" for _, c in CLASSES]
 LABEL_DISTRIBUTION_SQL = rsig(f"""
 WITH {LINEITEM_PANEL}
@@ -73,7 +79,7 @@ SELECT CAST(count_if(target_rain = 0) AS BIGINT) AS negatives, CAST(count_if(tar
 """, ["scale_pos_weight"]))
 def class_balance(spark, sf_dir):
     """Class balance and positive weight on the training split."""
-    return R.class_balance(_split(B.lineitem_panel(spark, sf_dir)).where("split = 'train'"), "target_rain")
+    return R.class_balance(_train(spark, sf_dir), "target_rain")
 
 
 @register("class_weights", rsig(f"""
@@ -86,7 +92,7 @@ FROM s JOIN w ON s.target_disaster = w.target_disaster GROUP BY w.target_disaste
 """, ["weight", "weight_sum"]))
 def class_weights(spark, sf_dir):
     """A12 + J5: balanced class weights, applied back to the rows."""
-    train = _split(B.lineitem_panel(spark, sf_dir)).where("split = 'train'")
+    train = _train(spark, sf_dir)
     w = R.balanced_class_weights(train, "target_disaster")
     rows = R.apply_class_weights(train, "target_disaster", w)
     return rows.groupBy("target_disaster").agg(F.sum("weight").alias("weight_sum")) \

@@ -13,7 +13,7 @@ from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators.ordered import exact_quantiles
 from chronoframe.operators.scalars import with_scalars
-from chronoframe.operators.splits import assign_cv_folds, split_label
+from chronoframe.operators.splits import assign_cv_folds, split_label, split_predicate
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
 from chronoframe.plans.sqlgen import LINEITEM_PANEL, SEASON_NAMES_SQL, SPLIT_EXPR, rsig, season_sql
@@ -23,13 +23,18 @@ CANDIDATES = [(1, "persistence", 1), (2, "moving_mean_2", 2), (3, "moving_mean_3
 
 # ----------------------------------------------------------------- shared plans
 
-def order_predictions(spark, sf_dir):
+def order_predictions(spark, sf_dir, splits=None):
     """Next-order value target (within customer and split, Q3) with simple predictors.
 
     ``pred`` = persistence (W14), ``ma{k}`` = trailing k-row means. Auto
     layout: a customer holding a third of all orders is chunked over many tasks.
+    The window is partitioned by split, so other splits never influence a
+    split's rows: with ``splits`` the scan reads only those date ranges
+    (range predicates pushed into Parquet).
     """
     o = B.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    if splits:
+        o = o.where(split_predicate(o, "o_orderdate", splits, B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST))
     o = o.withColumn("split", split_label(F.year("o_orderdate"), B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST)) \
          .withColumn("_ent", F.struct("o_custkey", "split"))
     spec = PanelSpec("_ent", "o_orderdate", "o_orderkey")
@@ -68,7 +73,7 @@ _TEST = "split = 'test' AND y IS NOT NULL"
                                      ["rmse", "mae", "r2", "mape_pct"]))
 def regression_metrics(spark, sf_dir):
     """M1 + M2 (+W6, W14): persistence forecast of the next order value on the test years."""
-    return M.regression_metrics(_test(order_predictions(spark, sf_dir)), "y", "pred")
+    return M.regression_metrics(_test(order_predictions(spark, sf_dir, ["test"])), "y", "pred")
 
 
 def _grouped_sql(group_expr: str, group: str, rows_name: str, join: str = "") -> str:
@@ -85,7 +90,7 @@ FROM m WHERE n >= 10""", ["rmse", "mae", "r2"])
                                                "JOIN customer ON pr.o_custkey = c_custkey"))
 def regression_by_entity(spark, sf_dir):
     """M3 (+P13, O2): per-entity RMSE / MAE / R² for groups with at least 10 rows."""
-    t = _test(order_predictions(spark, sf_dir))
+    t = _test(order_predictions(spark, sf_dir, ["test"]))
     c = B.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     t = t.join(c, t.o_custkey == c.c_custkey)
     return M.grouped_regression_table(t, "y", "pred", "c_nationkey").orderBy("rmse", "c_nationkey")
@@ -95,7 +100,7 @@ def regression_by_entity(spark, sf_dir):
     f"{SEASON_NAMES_SQL}[{season_sql('month(o_orderdate)')} + 1]", "season_name", "rows"))
 def regression_by_season(spark, sf_dir):
     """M4: per-season regression table."""
-    t = _test(order_predictions(spark, sf_dir)).withColumn("season_name", season_name(F.month("o_orderdate")))
+    t = _test(order_predictions(spark, sf_dir, ["test"])).withColumn("season_name", season_name(F.month("o_orderdate")))
     return M.grouped_regression_table(t, "y", "pred", "season_name", rows_name="rows")
 
 
@@ -111,7 +116,7 @@ SELECT count(*) AS n, avg(CAST(y >= lo AND y <= hi AS DOUBLE)) AS coverage, avg(
 FROM t""", ["coverage", "avg_width", "pinball_lo", "pinball_hi", "target_coverage", "coverage_gap"]))
 def interval_metrics(spark, sf_dir):
     """L7(a) + M6 + M7: split-conformal 80 % interval from validation residuals, scored on test."""
-    pr = order_predictions(spark, sf_dir)
+    pr = order_predictions(spark, sf_dir, ["val", "test"])
     val = pr.where((F.col("split") == "val") & F.col("y").isNotNull()).withColumn("resid", F.col("y") - F.col("pred"))
     q = exact_quantiles(val, "resid", [0.1, 0.9], names=["rq10", "rq90"])
     t = with_scalars(_test(pr), q)
@@ -129,7 +134,7 @@ SELECT *, (baseline_rmse - model_rmse) / baseline_rmse * 100 AS rmse_improvement
     ["model_rmse", "model_mae", "baseline_rmse", "baseline_mae", "rmse_improvement_pct", "mae_improvement_pct"]))
 def model_improvement(spark, sf_dir):
     """M5: improvement of a 3-row moving mean over persistence."""
-    t = _test(order_predictions(spark, sf_dir))
+    t = _test(order_predictions(spark, sf_dir, ["test"]))
     model = M.regression_metrics(t, "y", "ma3")
     base = M.regression_metrics(t, "y", "pred")
     return M.improvement(model, base)
@@ -161,7 +166,7 @@ SELECT CAST(n AS BIGINT) AS n, w_plus, w_minus, statistic, z, least({_erfc_sql("
 FROM z""", ["w_plus", "w_minus", "statistic", "z", "p_value"]))
 def wilcoxon(spark, sf_dir):
     """M8: Wilcoxon signed-rank test of moving-mean vs persistence absolute errors."""
-    t = _test(order_predictions(spark, sf_dir)).select(
+    t = _test(order_predictions(spark, sf_dir, ["test"])).select(
         F.abs(F.col("y") - F.col("ma3")).alias("err_model"), F.abs(F.col("y") - F.col("pred")).alias("err_base"))
     return M.wilcoxon_signed_rank(t, "err_model", "err_base")
 
@@ -177,7 +182,7 @@ def _grid_sql() -> str:
 
 
 def _grid(spark, sf_dir):
-    v = order_predictions(spark, sf_dir).where((F.col("split") == "val") & F.col("y").isNotNull())
+    v = order_predictions(spark, sf_dir, ["val"]).where((F.col("split") == "val") & F.col("y").isNotNull())
     aggs = []
     for cfg, name, k in CANDIDATES:
         col = F.col("pred") if k == 1 else F.col(f"ma{k}")
@@ -488,5 +493,5 @@ FROM range(30) g(bin) CROSS JOIN r LEFT JOIN cnt ON cnt.bin = g.bin""", ["bin_lo
 def residual_histogram(spark, sf_dir):
     """P12 + A28: residual distribution of the test-period forecast (30 equal-width bins)."""
     from chronoframe.operators.profile import histogram
-    t = _test(order_predictions(spark, sf_dir)).withColumn("resid", F.col("y") - F.col("pred"))
+    t = _test(order_predictions(spark, sf_dir, ["test"])).withColumn("resid", F.col("y") - F.col("pred"))
     return histogram(t, "resid", 30)

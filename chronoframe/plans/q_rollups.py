@@ -54,7 +54,7 @@ SELECT strftime(date_trunc('month', o_orderdate), {_TS}) AS period, avg(y) AS ac
   avg(lo) AS q10, avg(hi) AS q90 FROM t GROUP BY 1""", ["actual", "pred", "q10", "q90"]))
 def monthly_actual_vs_predicted(spark, sf_dir):
     """A18 (+L7a, F20): monthly mean of actual, point prediction and interval bounds."""
-    pr = order_predictions(spark, sf_dir)
+    pr = order_predictions(spark, sf_dir, ["val", "test"])
     val = pr.where((F.col("split") == "val") & F.col("y").isNotNull()).withColumn("resid", F.col("y") - F.col("pred"))
     q = exact_quantiles(val, "resid", [0.1, 0.9], names=["rq10", "rq90"])
     t = with_scalars(_test(pr), q)

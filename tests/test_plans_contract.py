@@ -76,3 +76,10 @@ def test_queries_match_duckdb_sf0001(spark, name):
                 for rec in pdf[cols].astype(object).itertuples(index=False, name=None)]
         return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
     assert norm(sp) == norm(dk)
+
+
+def test_split_filters_reach_the_scan(spark):
+    for name, table, col in (("regression_metrics", "orders", "o_orderdate"), ("class_balance", "lineitem", "l_shipdate")):
+        plan = _plan(E.queries()[name](spark, SF))
+        scans = [ln for ln in plan.splitlines() if f"{table}.parquet" in ln or ("PushedFilters" in ln and col in ln)]
+        assert any("PushedFilters" in ln and col in ln and "GreaterThanOrEqual" in ln for ln in scans), name
