@@ -60,6 +60,55 @@ def lag_rolling_columns(w, fs: FeatureSpec, src: dict[str, Column] | None = None
     return cols
 
 
+def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -> DataFrame:
+    """W3–W5 over one window spec, appended to ``df``.
+
+    ``method='frame'`` (default) evaluates each rolling frame directly — exact,
+    but Spark re-aggregates a sliding ROWS frame for every row: O(n·w).
+    ``method='prefix'`` is O(n): running sums of values centred on a
+    per-partition reference (first non-NULL) and of their squares; a window's
+    mean / sample variance are differences with the running sums ``w`` rows
+    back. Its variance carries an absolute error of about 1e-14 × the
+    partition's cumulative sum of squares, so variances under that noise bound
+    are returned as 0 (constant windows are exact) and small non-zero
+    variances lose relative precision on long partitions. Use it for throughput
+    on well-conditioned measures; the registered queries use ``'frame'``.
+    """
+    if method == "frame":
+        return df.withColumns(lag_rolling_columns(w, fs))
+    if method != "prefix":
+        raise ValueError(method)
+    cum = w.rowsBetween(W.unboundedPreceding, 0)
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    lags = {f"{v}_lag_{k}{fs.lag_suffix}": F.lag(v, k).over(w) for v in fs.variables for k in fs.lags}
+    stage1 = dict(lags)
+    for i, v in enumerate(fs.variables):
+        ref = F.first(v, True).over(whole)
+        stage1[f"_ref{i}"] = ref
+    df = df.withColumns(stage1)
+    stage2 = {}
+    for i, v in enumerate(fs.variables):
+        xc = F.col(v) - F.col(f"_ref{i}")
+        stage2[f"_s{i}"] = F.sum(F.coalesce(xc, F.lit(0.0))).over(cum)
+        stage2[f"_q{i}"] = F.sum(F.coalesce(xc * xc, F.lit(0.0))).over(cum)
+        stage2[f"_c{i}"] = F.count(F.col(v)).over(cum)
+    df = df.withColumns(stage2)
+    out = {}
+    for i, v in enumerate(fs.variables):
+        for wn, n in fs.windows.items():
+            def diff(c):
+                return F.col(c) - F.coalesce(F.lag(c, n).over(w), F.lit(0))
+            ds, dq, dc = diff(f"_s{i}"), diff(f"_q{i}"), diff(f"_c{i}")
+            mean = F.when(dc > 0, ds / dc + F.col(f"_ref{i}"))
+            var = (dq - ds * ds / dc) / (dc - 1)
+            noise = F.lit(64 * 2.220446049250313e-16) * (F.col(f"_q{i}") + F.coalesce(F.lag(f"_q{i}", n).over(w), F.lit(0.0)))
+            var = F.when(var * (dc - 1) <= noise, F.lit(0.0)).otherwise(var)
+            out[f"{v}_roll_{wn}_mean"] = mean
+            out[f"{v}_roll_{wn}_std"] = F.when(dc >= 2, F.sqrt(var))
+    df = df.withColumns(out)
+    return df.drop(*[c for i in range(len(fs.variables)) for c in (f"_ref{i}", f"_s{i}", f"_q{i}", f"_c{i}")])
+
+
 def panel_positions(df: DataFrame, spec: PanelSpec, bucket: str = "month",
                     dedup_ordinal: str | None = None) -> DataFrame:
     """Dense 0-based position of each row within its entity, in (order, tiebreak) order.
@@ -95,7 +144,7 @@ def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None
                    fill_cols: Sequence[str] = (), dedup_ordinal: str | None = None,
                    layout: str = "entity", chunk_rows: int = 1_000_000,
                    bucket: str = "month", leads: dict[str, tuple[str, int]] | None = None,
-                   windows: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+                   windows: dict[str, tuple[str, int]] | None = None, rolling: str = "frame") -> DataFrame:
     """Clean + positional features in as few shuffles as possible.
 
     * ``dedup_ordinal``: keep the first row per (entity, order) by this ordinal (W1);
@@ -103,16 +152,18 @@ def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None
     * ``fs``: lags and rolling mean/std over the filled values (W3–W5);
     * ``leads``: ``{out: (col, k)}`` value k rows ahead (W6);
     * ``windows``: ``{out: (col, n)}`` extra trailing n-row means (moving-average predictors).
-    ``layout``: ``'entity'``, ``'chunked'`` or ``'auto'`` (:func:`choose_layout`).
+    ``layout``: ``'entity'``, ``'chunked'`` or ``'auto'`` (:func:`choose_layout`);
+    ``rolling``: ``'frame'`` (exact frames, O(n·w)) or ``'prefix'`` (O(n), :func:`with_lag_rolling`).
     Rows keep their input columns; feature columns are appended.
     """
     leads, windows = dict(leads or {}), dict(windows or {})
     if layout == "auto":
         layout = choose_layout(df, spec.entity, chunk_rows)
     if layout == "entity":
-        return _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows)
+        return _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows, rolling)
     if layout == "chunked":
-        return _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows)
+        return _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows,
+                                 rolling)
     raise ValueError(f"unknown layout {layout!r}")
 
 
@@ -148,7 +199,7 @@ def _ffill_bfill(c: str, w, carry_fwd: str | None = None, carry_back: str | None
     return F.coalesce(*parts)
 
 
-def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows):
+def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows, rolling="frame"):
     o, t = spec.entity, spec.order
     ordcols = spec.order_cols
     if dedup_ordinal:
@@ -159,13 +210,13 @@ def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows):
     if fill_cols:
         df = df.withColumns({c: _ffill_bfill(c, w) for c in fill_cols})
     if fs is not None:
-        df = df.withColumns(lag_rolling_columns(w, fs))
+        df = with_lag_rolling(df, w, fs, rolling)
     if leads or windows:
         df = df.withColumns(_extra_columns(w, leads, windows))
     return df
 
 
-def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows):
+def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows, rolling="frame"):
     o = spec.entity
     halo = max([fs.halo if fs is not None else 0] + [k - 1 for _, k in windows.values()])
     fwd = max([0] + [k for _, k in leads.values()])
@@ -214,7 +265,7 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
     if fill_cols:
         x = x.withColumns({c: _ffill_bfill(c, w, *carry_cols[c]) for c in fill_cols})
     if fs is not None:
-        x = x.withColumns(lag_rolling_columns(w, fs))
+        x = with_lag_rolling(x, w, fs, rolling)
     if leads or windows:
         x = x.withColumns(_extra_columns(w, leads, windows))
     feat = (feature_names(fs) if fs is not None else []) + list(leads) + list(windows)

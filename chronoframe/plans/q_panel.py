@@ -46,7 +46,7 @@ def feature_table(spark, sf_dir):
     ev = B.table(spark, sf_dir, "events").drop("props")
     ev = C.nan_to_null(ev, ["value"])
     f = P.panel_features(ev, B.USER_PANEL, B.USER_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                         layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day")
+                         layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day", rolling=B.ROLLING_METHOD)
     return f.withColumns(calendar_columns("ts")).drop("ts")
 
 
@@ -65,7 +65,8 @@ def feature_table_deep(spark, sf_dir):
     """
     ev = B.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     return P.panel_features(ev, B.TYPE_PANEL, B.DEEP_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                            layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day").drop("ts")
+                            layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day",
+                            rolling=B.ROLLING_METHOD).drop("ts")
 
 
 @register("calendar_features", f"""
@@ -253,7 +254,7 @@ def feature_stage_frame(spark, sf_dir):
     df = B.lineitem_panel(spark, sf_dir).withColumn("_tb", F.struct(*STAGE_TIEBREAK))
     spec = PanelSpec("l_suppkey", "l_shipdate", "_tb")
     f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout="auto",
-                         chunk_rows=B.PANEL_CHUNK_ROWS, bucket="month")
+                         chunk_rows=B.PANEL_CHUNK_ROWS, bucket="month", rolling=B.ROLLING_METHOD)
     f = f.withColumns(calendar_columns("l_shipdate", southern=F.col("s_nationkey") < B.SOUTH_NATION_BELOW))
     f = encode_columns(f, {"n_name": "nation_id", "r_name": "region_id"})
     f = S.with_split(f, "l_shipdate", train=B.SPLIT_TRAIN, val=B.SPLIT_VAL, test=B.SPLIT_TEST)
