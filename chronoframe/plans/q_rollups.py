@@ -227,12 +227,14 @@ def event_presence(spark, sf_dir):
 
 
 @register("preview_head", rsig(f"""
-SELECT l_orderkey, {", ".join(LINE_ORDER)}, l_discount FROM lineitem
+SELECT l_orderkey, {", ".join(c for c in LINE_ORDER if c != "l_shipdate")},
+  strftime(l_shipdate, {_TS}) AS l_shipdate, l_discount FROM lineitem
 ORDER BY l_orderkey, {", ".join(LINE_ORDER)} LIMIT 500""", ["l_quantity", "l_extendedprice", "l_discount"]))
 def preview_head(spark, sf_dir):
-    """A 500-row preview in an explicit order (the limit is the feature)."""
+    """A 500-row preview in an explicit order (the limit is the feature); timestamps as text."""
     li = B.table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER, "l_discount")
-    return li.orderBy("l_orderkey", *LINE_ORDER).limit(500)
+    top = li.orderBy("l_orderkey", *LINE_ORDER).limit(500)
+    return top.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("seeded_sample")
