@@ -28,7 +28,8 @@ def guarded(cond: Column) -> Column:
 
 
 def regional_threshold(key: Column, members: Sequence, special: float, default: float) -> Column:
-    """``special`` for members of the list, ``default`` otherwise."""
+    """F9 (+P7, P11): ``special`` for members of the list (``isin``), ``default`` otherwise —
+    a masked assignment ``df.loc[mask, c] = x`` becomes ``when(mask, x).otherwise(c)``."""
     return F.when(key.isin(list(members)), F.lit(float(special))).otherwise(F.lit(float(default)))
 
 

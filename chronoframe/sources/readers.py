@@ -15,7 +15,8 @@ __all__ = ["read_master_csv", "read_splits", "read_scored", "parse_api_payload",
 
 def read_master_csv(spark: SparkSession, path: str, schema: StructType = MASTER_SCHEMA,
                     ts_col: str = "datetime", drop: tuple[str, ...] = ("visibility",)) -> DataFrame:
-    """S1 (+F1, P1): CSV scan with an explicit schema, UTC timestamp parse, drop unused columns."""
+    """S1 (+F1, P1, P2): CSV scan with an explicit schema, UTC timestamp parse, drop unused columns;
+    renames / reorders are plain ``select`` / ``withColumnRenamed`` projections."""
     df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
     return df.withColumn(ts_col, F.to_timestamp(F.col(ts_col))).drop(*drop)
 

@@ -27,8 +27,10 @@ def write_cache(df: DataFrame, path: str, entity: str = "city", ts: str = "datet
 
 def write_master(df: DataFrame, path: str, entity: str = "city", ts: str = "datetime",
                  num_partitions: int | None = None) -> None:
-    """Master table range-partitioned on (entity, time) and sorted within files; a hot
-    entity is split over several files by the sampled range bounds."""
+    """S7 + O1: master table range-partitioned on (entity, time) and sorted within files
+    (``sortWithinPartitions``, no global sort); a hot entity is split over several files by
+    the sampled range bounds. Everywhere else the (entity, time) order is the window's own
+    ordering, never a separate ``orderBy``."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     df.repartitionByRange(n, entity, ts).sortWithinPartitions(entity, ts).write.mode("overwrite").parquet(path)
 
