@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from chronoframe.functions.scalar import array_argmax
-from chronoframe.operators import metrics as M
 from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators.ordered import exact_quantiles
