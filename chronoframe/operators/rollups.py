@@ -18,7 +18,7 @@ from chronoframe.functions.scalar import feature_category
 from chronoframe.operators.scalars import with_scalars
 
 __all__ = [
-    "label_distribution", "label_totals", "class_frequency", "class_balance", "balanced_class_weights",
+    "label_distribution", "label_partials", "label_distribution_from_partials", "label_totals", "class_frequency", "class_balance", "balanced_class_weights",
     "apply_class_weights", "majority_class", "period_stats", "exceedance_by_period", "sum_by_month_of_year",
     "mean_by_hour", "actual_vs_predicted_events", "count_by_class", "mean_by", "linear_trend_projection",
     "importance_by_category", "daily_resample", "positives_by_entity", "conditional_means",
@@ -52,6 +52,40 @@ def label_distribution(df: DataFrame, entity: str, labels: Sequence[tuple[str, s
     return df.groupBy(entity, *attrs).agg(*aggs)
 
 
+def label_partials(df: DataFrame, key: str, labels: Sequence[tuple[str, str]], class_col: str,
+                   classes: Sequence[tuple[int, str]], threshold_col: str | None = None) -> DataFrame:
+    """A10, first level: decomposable per-``key`` partials (rows, label sums, class counts, min threshold).
+
+    Aggregate the facts by a fine key *before* joining a dimension, so only one
+    row per key crosses the join instead of every fact row.
+    """
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if threshold_col:
+        aggs.append(F.min(threshold_col).cast("double").alias("_thr"))
+    aggs += [F.sum(F.col(col).cast("long")).alias(f"_l_{name}") for name, col in labels]
+    aggs += [F.count_if(F.col(class_col) == k).alias(f"_k_{cname}") for k, cname in classes]
+    return df.groupBy(key).agg(*aggs)
+
+
+def label_distribution_from_partials(partials: DataFrame, entity: str, labels: Sequence[tuple[str, str]],
+                                     classes: Sequence[tuple[int, str]], attrs: Sequence[str] = (),
+                                     threshold: bool = True, threshold_alias: str = "heatwave_threshold_C",
+                                     count_suffix: str = "_hours", total_name: str = "total_hours",
+                                     class_prefix: str = "disaster_") -> DataFrame:
+    """A10, second level: combine partials per entity into the report of :func:`label_distribution`."""
+    n = F.sum("_n")
+    aggs = []
+    if threshold:
+        aggs.append(F.min("_thr").alias(threshold_alias))
+    aggs.append(n.cast("long").alias(total_name))
+    for name, _ in labels:
+        aggs += [F.sum(f"_l_{name}").cast("long").alias(f"{name}{count_suffix}"),
+                 _pct(F.sum(f"_l_{name}") / n).alias(f"{name}_pct")]
+    for _, cname in classes:
+        aggs.append(_pct(F.sum(f"_k_{cname}") / n).alias(f"{class_prefix}{cname}_pct"))
+    return partials.groupBy(entity, *attrs).agg(*aggs)
+
+
 def label_totals(df: DataFrame, labels: Sequence[tuple[str, str]]) -> DataFrame:
     """Positives and positive rate per label (long form)."""
     aggs = [F.count(F.lit(1)).alias("_n")]

@@ -65,6 +65,19 @@ def lineitem_panel(spark: SparkSession, sf_dir: str, with_labels: bool = True) -
     return df
 
 
+def lineitem_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` with the rule labels only — the rules read line columns, so queries that
+    do not report by nation need no join (no shuffle of the fact table)."""
+    return add_labels(table(spark, sf_dir, "lineitem"), LINEITEM_RULES)
+
+
+def supplier_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier → (nation name, region name); joined to per-supplier partial aggregates."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return s.join(F.broadcast(nation_dim(spark, sf_dir)), F.col("s_nationkey") == F.col("n_nationkey")) \
+            .select("s_suppkey", "s_nationkey", "n_name", "r_name")
+
+
 def add_labels(df: DataFrame, rules: LabelRules) -> DataFrame:
     """Label columns depend on each other, so add them one after the other."""
     for name, c in label_columns(rules).items():

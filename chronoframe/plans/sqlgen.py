@@ -45,6 +45,16 @@ lab AS (
                       WHEN target_heatwave = 1 THEN 1 ELSE 0 END AS INTEGER) AS target_disaster
   FROM lab1)"""
 
+# the same labels over lineitem alone (queries that do not report by nation)
+LINEITEM_LABELS = LINEITEM_PANEL.replace("""
+  SELECT l.*, s.s_nationkey, n.n_name, r.r_name
+  FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)""", """
+  SELECT l.* FROM lineitem l)""")
+assert LINEITEM_LABELS != LINEITEM_PANEL
+
 SPLIT_EXPR = """CASE WHEN year({c}) BETWEEN 1995 AND 1998 THEN 'train' WHEN year({c}) = 1999 THEN 'val'
   WHEN year({c}) BETWEEN 2000 AND 2001 THEN 'test' ELSE 'reserved' END"""
 
