@@ -16,7 +16,7 @@ from chronoframe.operators.scalars import with_scalars
 from chronoframe.operators.splits import assign_cv_folds, split_label, split_predicate
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
-from chronoframe.plans.sqlgen import LINEITEM_PANEL, SEASON_NAMES_SQL, SPLIT_EXPR, rsig, season_sql
+from chronoframe.plans.sqlgen import LINEITEM_LABELS, LINEITEM_PANEL, SEASON_NAMES_SQL, SPLIT_EXPR, rsig, season_sql
 
 CANDIDATES = [(1, "persistence", 1), (2, "moving_mean_2", 2), (3, "moving_mean_3", 3), (4, "moving_mean_5", 5)]
 
@@ -355,10 +355,14 @@ def majority_baseline(spark, sf_dir):
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
-def line_classes(spark, sf_dir):
-    """Truth = rule class of the line; prediction = class of the previous line of the order (0 for the first)."""
+def line_classes(spark, sf_dir, with_nation: bool = False):
+    """Truth = rule class of the line; prediction = class of the previous line of the order (0 for the first).
+
+    The supplier → nation join is added only for reports by nation.
+    """
     from chronoframe.config import FeatureSpec
-    df = B.line_probabilities(B.lineitem_panel(spark, sf_dir))
+    base = B.lineitem_panel(spark, sf_dir) if with_nation else B.lineitem_labels(spark, sf_dir)
+    df = B.line_probabilities(base)
     df = df.withColumn("_line_tb", F.struct(*LINE_ORDER[1:]))
     spec = PanelSpec("l_orderkey", LINE_ORDER[0], "_line_tb")
     lag = FeatureSpec(variables=("target_disaster",), lags=(1,), windows={}, lag_suffix="")
@@ -370,7 +374,7 @@ def line_classes(spark, sf_dir):
 
 
 _PROB = " + ".join(f"{c} / {s!r}" for c, s in zip(B.LINE_PROB_COLS, B.LINE_PROB_SCALE))
-LINE_CLASSES_CTE = f"""{LINEITEM_PANEL},
+_LINE_CLASSES_BODY = f"""
 lc AS (SELECT *, target_disaster AS actual,
   CAST(coalesce(lag(target_disaster) OVER (PARTITION BY l_orderkey ORDER BY {", ".join(LINE_ORDER)}), 0) AS INTEGER) AS predicted,
   {", ".join(f"({c} / {s!r}) / ({_PROB}) AS p{i}" for i, (c, s) in enumerate(zip(B.LINE_PROB_COLS, B.LINE_PROB_SCALE)))}
@@ -382,6 +386,8 @@ pc AS (SELECT label, sum(tp) AS tp, sum(sup) AS support, sum(prd) AS predicted F
 prf AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
   CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall,
   CASE WHEN support + predicted > 0 THEN 2 * tp / (support + predicted) ELSE 0.0 END AS f1 FROM pc)"""
+LINE_CLASSES_CTE = f"""{LINEITEM_LABELS},{_LINE_CLASSES_BODY}"""
+LINE_CLASSES_NATION_CTE = f"""{LINEITEM_PANEL},{_LINE_CLASSES_BODY}"""
 
 
 @register("multiclass_metrics", rsig(f"""
@@ -450,7 +456,7 @@ def entropy_report(spark, sf_dir):
 
 
 @register("multiclass_by_entity", rsig(f"""
-WITH {LINE_CLASSES_CTE},
+WITH {LINE_CLASSES_NATION_CTE},
 cells2 AS (SELECT n_name, actual, predicted, count(*) AS c FROM lc GROUP BY n_name, actual, predicted),
 pc2 AS (SELECT n_name, label, sum(tp) AS tp, sum(sup) AS support, sum(prd) AS predicted FROM (
     SELECT n_name, actual AS label, CASE WHEN actual = predicted THEN c ELSE 0 END AS tp, c AS sup, 0 AS prd FROM cells2
@@ -462,7 +468,7 @@ SELECT n_name, CAST(n AS BIGINT) AS rows, round_even(wf1, 4) AS weighted_f1, rou
 FROM m WHERE n >= 10""", ["weighted_f1", "accuracy"]))
 def multiclass_by_entity(spark, sf_dir):
     """M19 (multi-class): per-entity weighted F1 and accuracy, groups ≥ 10 rows."""
-    m = M.multiclass_metrics(line_classes(spark, sf_dir), "actual", "predicted", ["n_name"])
+    m = M.multiclass_metrics(line_classes(spark, sf_dir, with_nation=True), "actual", "predicted", ["n_name"])
     return m.where(F.col("n") >= 10).select("n_name", F.col("n").alias("rows"),
                                             F.bround("weighted_f1", 4).alias("weighted_f1"),
                                             F.bround("accuracy", 4).alias("accuracy"))

@@ -12,7 +12,7 @@ from chronoframe.operators.ordered import exact_quantiles
 from chronoframe.operators.scalars import with_scalars
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register
-from chronoframe.plans.q_metrics import (LINE_CLASSES_CTE, LINE_ORDER, ORDER_PRED_CTE, _argmax_sql, _grouped_sql,
+from chronoframe.plans.q_metrics import (LINE_CLASSES_CTE, LINE_CLASSES_NATION_CTE, LINE_ORDER, ORDER_PRED_CTE, _argmax_sql, _grouped_sql,
                                          _test, line_classes, order_predictions)
 from chronoframe.plans.sqlgen import CLASS_NAMES_SQL, MONTH_NAMES_SQL, rsig
 
@@ -215,13 +215,16 @@ def rank_report(spark, sf_dir):
 
 
 @register("event_presence", f"""
-WITH {LINE_CLASSES_CTE},
+WITH {LINE_CLASSES_NATION_CTE},
 r AS (SELECT n_name, avg(CAST(target_heatwave AS DOUBLE)) * 100 AS pct FROM lc GROUP BY n_name)
 SELECT CAST(count_if(pct > 0) AS BIGINT) AS with_events, CAST(count_if(pct = 0) AS BIGINT) AS without_events FROM r""")
 def event_presence(spark, sf_dir):
     """Entities with and without positive events in a per-entity report."""
-    df = B.lineitem_panel(spark, sf_dir)
-    r = df.groupBy("n_name").agg((F.avg(F.col("target_heatwave").cast("double")) * 100).alias("pct"))
+    parts = R.label_partials(B.lineitem_labels(spark, sf_dir), "l_suppkey", [("heat", "target_heatwave")],
+                             "target_disaster", [])  # per supplier first, then the dimension join
+    dims = B.supplier_nation(spark, sf_dir)
+    j = parts.join(dims, parts.l_suppkey == dims.s_suppkey)
+    r = j.groupBy("n_name").agg((F.sum("_l_heat") / F.sum("_n") * 100).alias("pct"))
     return r.agg(F.count_if(F.col("pct") > 0).alias("with_events"), F.count_if(F.col("pct") == 0).alias("without_events"))
 
 
