@@ -114,3 +114,43 @@ def test_stream_lag_features_equal_batch(spark, tmp_dir):
     a = out.select(*[F.round(c, 9).alias(c) for c in cols])
     b = batch.select(*[F.round(c, 9).alias(c) for c in cols])
     assert a.count() == ev.count() and a.exceptAll(b).count() == 0
+
+
+def test_scored_csv_gzip_metrics_and_reports(spark, tmp_dir):
+    import gzip
+
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    from chronoframe.schemas import PREDICTION_SCHEMA
+    # S3: gzip CSV read transparently, year / month derived
+    path = f"{tmp_dir}/test_predictions.csv.gz"
+    with gzip.open(path, "wt") as fh:
+        fh.write("datetime,city,temperature_2m,pred_temperature\n2019-03-01 10:00:00,Oslo,3.5,3.1\n"
+                 "2020-07-02 11:00:00,Lima,18.0,18.4\n")
+    df = RD.read_scored(spark, path, PREDICTION_SCHEMA)
+    rows = df.orderBy("datetime").collect()
+    assert [(r.year, r.month, r.city) for r in rows] == [(2019, 3, "Oslo"), (2020, 7, "Lima")]
+    # Nested one-row metrics document round trip
+    m = spark.createDataFrame([(0.62, 0.42)], "rmse double, mae double").selectExpr("struct(rmse, mae) AS test")
+    WR.write_metrics_json(m, f"{tmp_dir}/metrics")
+    back = RD.read_metrics_json(spark, f"{tmp_dir}/metrics").first()
+    assert back.test.rmse == 0.62
+    # S13 + S14: explicit-schema report read; ordered export with the first-N limit
+    schema = StructType([StructField("city", StringType()), StructField("rmse", DoubleType())])
+    rep = spark.createDataFrame([("b", 2.0), ("a", 1.0), ("c", 3.0)], schema)
+    WR.export_rows(rep, f"{tmp_dir}/export", ["city"], limit=2)
+    got = RD.read_report_csv(spark, f"{tmp_dir}/export", schema).orderBy("city").collect()
+    assert [r.city for r in got] == ["a", "b"]
+
+
+def test_master_csv_reader(spark, tmp_dir):
+    from chronoframe.config import HOURLY_VARIABLES
+    header = ["datetime"] + HOURLY_VARIABLES + ["city", "country", "continent", "latitude", "longitude", "coastal",
+                                                "climate_zone"]
+    line = ["2009-01-01 00:00:00"] + ["1.0"] * (len(HOURLY_VARIABLES) - 1) + [""] + \
+        ["Oslo", "Norway", "Europe", "59.9", "10.7", "1", "Temperate"]
+    with open(f"{tmp_dir}/master.csv", "w") as fh:
+        fh.write(",".join(header) + "\n" + ",".join(line) + "\n")
+    df = RD.read_master_csv(spark, f"{tmp_dir}/master.csv")
+    assert "visibility" not in df.columns                      # S1 + P1
+    r = df.first()
+    assert r.city == "Oslo" and str(r.datetime) == "2009-01-01 00:00:00"
