@@ -107,7 +107,8 @@ def ranked_ties(df: DataFrame, value_col: str, weight_cols: Sequence[str] = (),
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    accuracy: int = 10_000, max_bracket: int = 1_000_000, max_levels: int = 6) -> DataFrame:
+                    accuracy: int = 10_000, max_bracket: int = 1_000_000, max_levels: int = 6,
+                    extra_aggs=None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group.
 
     Bracket and refine — scans with partial aggregation; no group is sorted or
@@ -128,7 +129,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
        partition — and the two order statistics around ``(n − 1)·p`` are
        interpolated.
 
-    NULL and NaN values are ignored; an all-NULL group is absent.
+    NULL and NaN values are ignored; an all-NULL group is absent. ``extra_aggs``
+    (a callable ``value column -> {name: aggregate}``) adds aggregates computed
+    in the same counting pass (e.g. mean / std / min / max for ``describe``).
     """
     from chronoframe.operators.scalars import with_scalars
     g = list(group_cols)
@@ -145,8 +148,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         return frame.join(table, g, "inner") if g else with_scalars(frame, table)
 
     ensure_checkpoint_dir(df.sparkSession)
-    counts = _agg(base, [F.count(F.lit(1)).alias("_n")])
-    cols = [F.col(c) for c in g] + [F.col("_n")]
+    extras = dict(extra_aggs(F.col("_v"))) if extra_aggs else {}
+    counts = _agg(base, [F.count(F.lit(1)).alias("_n")] + [a.alias(f"_x_{nm}") for nm, a in extras.items()])
+    cols = [F.col(c) for c in g] + [F.col("_n")] + [F.col(f"_x_{nm}") for nm in extras]
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(p)
         cols += [F.floor(h).cast("long").alias(f"_klo{i}"), F.ceil(h).cast("long").alias(f"_khi{i}"),
@@ -204,7 +208,11 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         F.max("_fr").alias("_fr"))
     val = F.col("_vlo") + F.col("_fr") * (F.col("_vhi") - F.col("_vlo"))
     outs = [F.max(F.when(F.col("_i") == i, val)).alias(nm) for i, nm in enumerate(names)]
-    return picked.groupBy(*g).agg(*outs) if g else picked.agg(*outs)
+    res = picked.groupBy(*g).agg(*outs) if g else picked.agg(*outs)
+    if not extras:
+        return res
+    ex = bounds.select(*g, *[F.col(f"_x_{nm}").alias(nm) for nm in extras])  # one row per group
+    return res.join(ex, g, "inner") if g else with_scalars(res, ex)
 
 
 def _inside(i):

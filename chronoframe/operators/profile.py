@@ -125,11 +125,12 @@ def quality_summary(report: DataFrame, entity: str, variables: Sequence[str],
 def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pandas ``describe()`` per numeric column with exact quantiles (long form)."""
     long_df = to_long(df, [], cols).where(F.col(_VAL).isNotNull())
-    moments = long_df.groupBy(_VAR).agg(
-        F.count(F.lit(1)).alias("count"), F.avg(_VAL).alias("mean"), F.stddev_samp(_VAL).alias("std"),
-        F.min(_VAL).alias("min"), F.max(_VAL).alias("max"))
-    q = exact_quantiles(long_df, _VAL, [0.25, 0.5, 0.75], [_VAR], names=["q25", "q50", "q75"])
-    return moments.join(q, _VAR, "inner").select(
+
+    def moments(v):  # computed in the quantiles' own counting pass (no extra scan)
+        return {"count": F.count(F.lit(1)), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v),
+                "max": F.max(v)}
+    q = exact_quantiles(long_df, _VAL, [0.25, 0.5, 0.75], [_VAR], names=["q25", "q50", "q75"], extra_aggs=moments)
+    return q.select(
         F.col(_VAR).alias("column_name"), F.col("count").cast("long"), "mean", "std", "min",
         "q25", "q50", "q75", "max")
 
