@@ -76,6 +76,8 @@ def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -
     """
     if method == "frame":
         return df.withColumns(lag_rolling_columns(w, fs))
+    if method == "blocks":
+        return _lag_rolling_blocks(df, w, fs)
     if method != "prefix":
         raise ValueError(method)
     cum = w.rowsBetween(W.unboundedPreceding, 0)
@@ -109,6 +111,71 @@ def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -
     return df.drop(*[c for i in range(len(fs.variables)) for c in (f"_ref{i}", f"_s{i}", f"_q{i}", f"_c{i}")])
 
 
+_EPS = 2.220446049250313e-16
+
+
+def _lag_rolling_blocks(df: DataFrame, w, fs: FeatureSpec) -> DataFrame:
+    """Rolling windows that are a multiple k·b of a smaller window b are merged from k
+    consecutive b-row block aggregates (count, mean, M2 — lags of the b-row frame) with the
+    parallel-variance formula (Chan et al.): about b instead of k·b row updates per output
+    row, and no cancellation (M2 is merged, not differenced). Only variances below double
+    resolution (|std| < 64·ε·|mean|, e.g. constant windows) are returned as 0. Other windows
+    use frames."""
+    sizes = sorted(set(fs.windows.values()))
+    base = {n: max([m for m in sizes if m < n and n % m == 0], default=None) for n in sizes}
+    stage1 = {f"{v}_lag_{k}{fs.lag_suffix}": F.lag(v, k).over(w) for v in fs.variables for k in fs.lags}
+    blocks = sorted({b for b in base.values() if b})
+    for i, v in enumerate(fs.variables):
+        for wn, n in fs.windows.items():
+            if base[n] is None:
+                frame = w.rowsBetween(-(n - 1), 0)
+                stage1[f"{v}_roll_{wn}_mean"] = F.avg(v).over(frame)
+                stage1[f"{v}_roll_{wn}_std"] = F.stddev_samp(v).over(frame)
+        for b in blocks:
+            frame = w.rowsBetween(-(b - 1), 0)
+            cnt = F.count(v).over(frame)
+            stage1[f"_bc{i}_{b}"] = cnt
+            stage1[f"_bm{i}_{b}"] = F.avg(v).over(frame)
+            stage1[f"_b2{i}_{b}"] = F.coalesce(F.var_samp(v).over(frame) * (cnt - 1), F.lit(0.0))
+    df = df.withColumns(stage1)
+    out = {}
+    for i, v in enumerate(fs.variables):
+        for wn, n in fs.windows.items():
+            b = base[n]
+            if b is None:
+                continue
+            parts = []
+            for j in range(n // b):
+                def lagged(c, off=j * b):
+                    return F.col(c) if off == 0 else F.lag(c, off).over(w)
+                c = F.coalesce(lagged(f"_bc{i}_{b}"), F.lit(0)).cast("double")
+                parts.append((c, F.coalesce(lagged(f"_bm{i}_{b}"), F.lit(0.0)), F.coalesce(lagged(f"_b2{i}_{b}"), F.lit(0.0))))
+            n_tot = parts[0][0]
+            s_tot = parts[0][0] * parts[0][1]
+            for c, m, _ in parts[1:]:
+                n_tot = n_tot + c
+                s_tot = s_tot + c * m
+            out[f"_N{i}_{wn}"] = n_tot
+            out[f"_M{i}_{wn}"] = F.when(n_tot > 0, s_tot / n_tot)
+            out[f"_P{i}_{wn}"] = F.array(*[F.struct(c.alias("c"), m.alias("m"), q.alias("q")) for c, m, q in parts])
+    df = df.withColumns(out)
+    fin = {}
+    for i, v in enumerate(fs.variables):
+        for wn, n in fs.windows.items():
+            if base[n] is None:
+                continue
+            n_tot, mean = F.col(f"_N{i}_{wn}"), F.col(f"_M{i}_{wn}")
+            m2 = F.aggregate(F.col(f"_P{i}_{wn}"), F.lit(0.0),
+                             lambda acc, p: acc + p["q"] + p["c"] * (p["m"] - mean) * (p["m"] - mean))
+            floor = n_tot * (F.lit(64 * _EPS) * mean) * (F.lit(64 * _EPS) * mean)
+            m2 = F.when(m2 <= floor, F.lit(0.0)).otherwise(m2)
+            fin[f"{v}_roll_{wn}_mean"] = mean
+            fin[f"{v}_roll_{wn}_std"] = F.when(n_tot >= 2, F.sqrt(m2 / (n_tot - 1)))
+    df = df.withColumns(fin)
+    tmp = [c for c in stage1 if c.startswith("_")] + list(out)
+    return df.drop(*tmp)
+
+
 def panel_positions(df: DataFrame, spec: PanelSpec, bucket: str = "month",
                     dedup_ordinal: str | None = None) -> DataFrame:
     """Dense 0-based position of each row within its entity, in (order, tiebreak) order.
@@ -153,7 +220,8 @@ def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None
     * ``leads``: ``{out: (col, k)}`` value k rows ahead (W6);
     * ``windows``: ``{out: (col, n)}`` extra trailing n-row means (moving-average predictors).
     ``layout``: ``'entity'``, ``'chunked'`` or ``'auto'`` (:func:`choose_layout`);
-    ``rolling``: ``'frame'`` (exact frames, O(n·w)) or ``'prefix'`` (O(n), :func:`with_lag_rolling`).
+    ``rolling``: ``'frame'`` (exact frames, O(n·w)), ``'blocks'`` (windows merged from smaller
+    window blocks) or ``'prefix'`` (O(n) running sums) — see :func:`with_lag_rolling`.
     Rows keep their input columns; feature columns are appended.
     """
     leads, windows = dict(leads or {}), dict(windows or {})
