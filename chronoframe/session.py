@@ -39,10 +39,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.sparkContext.setLogLevel("ERROR")
+    share_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Workers that see the driver's folder (local mode, a shared install) need no
+    more; elsewhere the package travels with ``--py-files`` as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of this session.
 
