@@ -113,3 +113,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = fit_profiles(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))))
     return identify(docs.select("doc_id", "text"), profiles).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+# --- op4, op5 --------------------------------------------------------------------------------------------------------
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.substring_dedup import dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup(docs, 13, outputs=("n_words", "n_removed", "kept_sha256")).select("doc_id", "n_words", "n_removed", "kept_sha256")
