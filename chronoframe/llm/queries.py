@@ -123,3 +123,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup(docs, 13, outputs=("n_words", "n_removed", "kept_sha256")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.suffix_dedup import dedup
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup(docs, 100, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
