@@ -131,3 +131,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup(docs, 100, outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# --- op3 -------------------------------------------------------------------------------------------------------------
+
+@query("op3_ngram_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.ngram_join import components
+
+    return components(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
