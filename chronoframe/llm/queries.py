@@ -140,3 +140,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronoframe.llm.ngram_join import components
 
     return components(table(spark, sf_dir, "documents").select("doc_id", "text"), 4, 85)
+
+
+# --- op6 -------------------------------------------------------------------------------------------------------------
+
+@query("op6_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.fingerprints import compare_with_edited
+
+    return compare_with_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# --- op9 -------------------------------------------------------------------------------------------------------------
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.decontam import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))

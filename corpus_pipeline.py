@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoframe.llm import byte_bpe, decontam, ngram_join, substring_dedup
 from chronoframe.llm import toxicity as _toxicity
 from chronoframe.session import ensure_checkpoint_dir, share_package
 
@@ -24,7 +25,39 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _toxicity.score(docs, model, threshold=0.3).where(F.col("predicted") == 0).select(*docs.columns)
 
 
-STAGES = [("toxicity", toxicity)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by 0.8 of their five-word shingles the one with the least id stays; rows without an id stay."""
+    found = ngram_join.components(docs.select("doc_id", "text"), 5, 80)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in passages of 50 that an earlier document has too are cut; ``n_chars`` follows the text."""
+    cut = substring_dedup.dedup(docs, 50, outputs=("kept_text",))
+    return cut.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage that aligns with a benchmark item go."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, their count, and hashes of the ids and of the decoded bytes."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard_join", near_duplicates),
+    ("substring_dedup", repeated_passages),
+    ("benchmark_decontamination", benchmark_leaks),
+    ("byte_bpe", tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
