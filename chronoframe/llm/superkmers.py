@@ -47,9 +47,9 @@ RANGE_SCHEMA = "doc long, first long, n long, h long"
 
 def with_ranges(df: DataFrame, ranges: DataFrame, id_col: str) -> DataFrame:
     """``df`` with each row's ranges (array of structs, null if none) as ``__ranges``; null ids go by :data:`NO_ID`."""
-    own = ranges.groupBy("doc").agg(F.collect_list(F.struct("first", "n", "h")).alias("__ranges"))
+    own = ranges.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("first", "n", "h")).alias("__ranges"))
     key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(int(NO_ID)))
-    return df.withColumn("__key", key).join(own, F.col("__key") == F.col("doc"), "left").drop("__key", "doc")
+    return df.withColumn("__key", key).join(own, F.col("__key") == F.col("__doc"), "left").drop("__key", "__doc")
 
 
 def range_arrays(column: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
