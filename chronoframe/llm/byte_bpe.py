@@ -116,8 +116,8 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep_
         bytes_of = encoder.table.text
         for batch in batches:
             counts, packed, id_sha, text_sha = [], [], [], []
-            for text in batch.column(batch.schema.get_field_index(text_col)):
-                s = text.as_py() or ""
+            for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():
+                s = text or ""
                 raw = b"".join(map(encoder.__getitem__, rx.findall(s)))
                 ids = np.frombuffer(raw, dtype="<u4").tolist()
                 counts.append(len(ids))

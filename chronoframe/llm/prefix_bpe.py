@@ -14,8 +14,8 @@ vocabularies whose last symbol carries it.
 from __future__ import annotations
 
 END = b"\xff"
-CACHE_PIECES = 600_000
-HEAD = 7
+CACHE_PIECES = 1_000_000
+HEADS = (5, 8, 11)
 
 
 class MergeTable:
@@ -32,6 +32,7 @@ class MergeTable:
         self.rank, self.parts = {}, {}
         for b, i in ids.items():
             self._learn(b, i)
+        self.live = {b: i for b, i in ids.items() if i in self.rank}       # tokens that merging ever makes
         self._border: dict[tuple[int, int], bool] = {}
         self._heads: dict[bytes, list[int]] = {}
 
@@ -102,28 +103,32 @@ class MergeTable:
 
     def step(self, piece: bytes, i: int, last: list[int]) -> int:
         """The one token that ends the encoding of ``piece[:i]``, given the table for the shorter prefixes."""
-        get, rank, border = self.ids.get, self.rank, self._border
-        for j in range(max(0, i - self.longest), i):
+        get, border = self.live.get, self._border.get
+        for j in range(i - self.longest if i > self.longest else 0, i):
             t = get(piece[j:i])
-            if t is None or t not in rank:
-                continue
-            if j == 0:
-                return t
-            before = last[j]
-            if before >= 0:
-                ok = border.get((before, t))
-                if ok or ok is None and self.stands(before, t):
+            if t is not None:
+                if j == 0:
                     return t
+                before = last[j]
+                if before >= 0:
+                    ok = border((before, t))
+                    if ok or ok is None and self.stands(before, t):
+                        return t
         raise ValueError("a byte of the text is no token of the vocabulary")
 
     def table(self, piece: bytes, last: list[int] | None = None) -> list[int]:
         """``last[i]`` for every prefix; a given table of a shorter prefix is gone on with (exact append)."""
         last = [-1] if last is None else last
-        final = len(piece)
-        marked = piece[-1:] == END
-        for i in range(len(last), final + 1):
-            # the symbol before END is one with it: no token ends between the two in the marked word
-            last.append(-1 if marked and i == final - 1 else self.step(piece, i, last))
+        step, add, end = self.step, last.append, len(piece)
+        if piece[-1:] == END:
+            for i in range(len(last), end - 1):
+                add(step(piece, i, last))
+            if len(last) < end:
+                add(-1)          # the symbol before END is one with it: no token ends between the two
+            add(step(piece, end, last))
+            return last
+        for i in range(len(last), end + 1):
+            add(step(piece, i, last))
         return last
 
     def read(self, piece: bytes, last: list[int], end: int | None = None) -> list[int]:
@@ -135,15 +140,20 @@ class MergeTable:
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
-        """The encoding of a piece; pieces that begin alike go on from one stored table of their common head."""
-        if len(piece) < HEAD + 2:
-            return self.read(piece, self.table(piece))
-        head = self._heads.get(piece[:HEAD])
-        if head is None:
+        """The encoding of a piece; pieces that begin alike go on from the stored table of their common head."""
+        return self.read(piece, self.table(piece, self._head(piece, len(piece) - 2)))
+
+    def _head(self, piece: bytes, most: int) -> list[int]:
+        size = HEADS[-1] if most >= HEADS[-1] else max((h for h in HEADS if h <= most), default=0)
+        if not size:
+            return [-1]
+        head = piece[:size]
+        found = self._heads.get(head)
+        if found is None:
             if len(self._heads) > CACHE_PIECES:
                 self._heads.clear()
-            head = self._heads[piece[:HEAD]] = self.table(piece[:HEAD])
-        return self.read(piece, self.table(piece, head[:]))
+            found = self._heads[head] = self.table(head, self._head(head, size - 1))
+        return found[:]
 
     def edit(self, piece: bytes, last: list[int], start: int, end: int, new: bytes) -> tuple[bytes, list[int]]:
         """Replace ``piece[start:end]`` by ``new``: entries are computed anew only until they agree with the old ones.

@@ -136,8 +136,8 @@ def token_counts(df: DataFrame, path: str, text_col: str = "text", limit: int =
         counter = _counters[shared.value["key"]]
         for batch in batches:
             size, count, fits = [], [], []
-            for text in batch.column(batch.schema.get_field_index(text_col)):
-                s = text.as_py() or ""
+            for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():
+                s = text or ""
                 size.append(len(s.encode("utf-8")))
                 count.append(n := counter.count(s))
                 fits.append(counter.fits(s, limit) if n > limit else None)
