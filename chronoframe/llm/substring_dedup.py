@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, runs, sliding_min, word_hashes, word_spans
-from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, STRINGS, buckets, pack, packed_strings, range_arrays, record, unpack, with_ranges
+from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, STRINGS, buckets, pack, packed_strings, range_arrays, range_rows, record, unpack, with_ranges
 
 MINIMISER_WORDS = 3
 PIECE = 3 << 20
@@ -146,8 +146,7 @@ def settle(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
         h1, h2, doc, position, part = (np.concatenate(x) for x in zip(*parts))
         del parts
         found.append(_ranges(not_first(h1, h2, doc), h1, doc, position, part))
-    cols = [np.concatenate([np.asarray(f[k], dtype=np.int64) for f in found]) if found else np.zeros(0, np.int64) for k in range(4)]
-    return pd.DataFrame(dict(zip(("doc", "first", "n", "h"), cols)))
+    return range_rows(found)
 
 
 def covered(text: bytes, found: tuple, width: int) -> np.ndarray:

@@ -5,12 +5,15 @@ from __future__ import annotations
 import pickle
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoframe.llm import bitmaps
 from chronoframe.llm.arrays import NO_ID, gather
+from chronoframe.llm.storage import checkpointed
 
 RANGES, STRINGS = 0, 1
 
@@ -42,19 +45,32 @@ def record(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"bucket": pa.array([r[0] for r in rows], pa.int64()), "blob": pa.array([r[1] for r in rows], pa.binary())})
 
 
-RANGE_SCHEMA = "doc long, first long, n long, h long"
+RANGE_SCHEMA = "doc long, span long, h long"
+
+
+def range_rows(found: list) -> pd.DataFrame:
+    """Rows of ranges ``(document, first, length, hash)``; first and length share one long."""
+    doc, first, n, h = (np.concatenate([np.asarray(f[k], dtype=np.int64) for f in found]) if found else np.zeros(0, np.int64) for k in range(4))
+    return pd.DataFrame({"doc": doc, "span": first << 32 | n, "h": h})
 
 
 def with_ranges(df: DataFrame, ranges: DataFrame, id_col: str) -> DataFrame:
-    """``df`` with each row's ranges (array of structs, null if none) as ``__ranges``; null ids go by :data:`NO_ID`."""
-    own = ranges.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list(F.struct("first", "n", "h")).alias("__ranges"))
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(int(NO_ID)))
-    return df.withColumn("__key", key).join(own, F.col("__key") == F.col("__doc"), "left").drop("__key", "__doc")
+    """``df`` with each row's ranges (spans and hashes by turns, null if none) as ``__ranges``; null ids go by :data:`NO_ID`.
+
+    Only texts that may have a range are shuffled for the join.
+    """
+    own = checkpointed(ranges.groupBy(F.col("doc").alias("__doc")).agg(F.flatten(F.collect_list(F.array("span", "h"))).alias("__ranges")))
+    keyed = df.withColumn("__key", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(int(NO_ID))))
+    few = bitmaps.marked(keyed, "__key", own, "__doc")
+    none = few.where("not __maybe").withColumn("__ranges", F.lit(None).cast("array<long>"))
+    some = few.where("__maybe").join(own, F.col("__key") == F.col("__doc"), "left").drop("__doc")
+    return none.unionByName(some).drop("__key", "__maybe")
 
 
 def range_arrays(column: pa.Array, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """First, length and hash of each range of a row."""
     one = column[row]
     if not one.is_valid:
         return None
-    v = one.values
-    return tuple(v.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+    v = one.values.to_numpy(zero_copy_only=False)
+    return v[::2] >> 32, v[::2] & 0xFFFFFFFF, v[1::2]
