@@ -48,7 +48,7 @@ LOOKALIKE = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¢": "c",
 }
-LOOKALIKE_COST, DOUBLE_COST, DROP_COST, BREAK_COST, HIDDEN_COST = -0.3, -0.7, -0.3, -1.5, -3.0
+LOOKALIKE_COST, DOUBLE_COST, MANY_COST, DROP_COST, BREAK_COST, HIDDEN_COST = -0.3, -1.5, -2.0, -0.3, -1.5, -3.0
 SEPARATORS = ".,-_*'~/:·+ "
 HIDDEN = "*#"                       # stands for any one letter
 
@@ -116,7 +116,7 @@ class Restorer:
             base = unicodedata.normalize("NFD", ch)[0].lower()
             out = [(base if "a" <= base <= "z" else ch, 0.0)]
             if ch == prev:
-                out = [(out[0][0], DOUBLE_COST * run), ("", DOUBLE_COST)]
+                out = [(out[0][0], MANY_COST * (run - 1)), ("", DOUBLE_COST if run == 1 else DROP_COST)]
             return out
         out = [(x, LOOKALIKE_COST) for x in LOOKALIKE.get(ch, "")]
         if ch in SEPARATORS:

@@ -49,7 +49,8 @@ class Rule:
     def tokens(self) -> list[str]:
         """Tokens that every matching URL has whole (a site's path may go on, so its last token counts only before a border)."""
         text = self.text.translate(str.maketrans(UPPER, LOWER))
-        closed = lambda m: (m.end() < len(text) and text[m.end()] != "*") and (m.start() == 0 if self.site else m.start() > 0) | (m.start() > 0 and text[m.start() - 1] != "*")
+        before = lambda m: self.site if m.start() == 0 else text[m.start() - 1] != "*"
+        closed = lambda m: before(m) and m.end() < len(text) and text[m.end()] != "*"
         return [m[0] for m in TOKEN.finditer(text) if closed(m)]
 
 

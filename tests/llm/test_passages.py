@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest_llm import rows_of
+from conftest_llm import docs, empty, rows_of, texts  # noqa: F401
 
 from chronoframe.llm import substring_dedup, suffix_dedup
 from chronoframe.llm.arrays import ranges, sliding_min, word_spans
@@ -82,8 +82,8 @@ def test_pieces_of_a_task_do_not_matter(docs, texts, monkeypatch):
         sent = [r for b in module.split([batch], width, 7) for r in b.to_pylist()]
         found = pd.concat([module.settle(pd.DataFrame([x for x in sent if x["bucket"] == k]), width) for k in sorted({x["bucket"] for x in sent})])
         total = {}
-        for d, a, n, h in found.itertuples(index=False):
-            total.setdefault(d, []).append((a, n, h))
+        for d, span, h in found.itertuples(index=False):
+            total.setdefault(d, []).append((span >> 32, span & 0xFFFFFFFF, h))
         for i, t in texts:
             own = total.get(NONE if i is None else i)
             raw = (t or "").encode()

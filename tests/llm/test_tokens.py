@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from conftest_llm import rows_of
+from conftest_llm import docs, empty, rows_of, texts  # noqa: F401
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 tiktoken = pytest.importorskip("tiktoken")
