@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from chronoframe.config import INTERVAL_TARGET_COVERAGE, MIN_GROUP_ROWS
 from chronoframe.operators.ordered import ranked_ties, running_sum
-from chronoframe.operators.scalars import with_scalars
+from chronoframe.operators.scalars import join_null_safe, with_scalars
 
 __all__ = [
     "erfc", "regression_metrics", "grouped_regression_table", "improvement", "interval_metrics",
@@ -30,20 +30,23 @@ __all__ = [
 
 
 def erfc(x: Column) -> Column:
-    """Complementary error function as a Spark expression (Spark has no ``erfc``).
+    """Complementary error function as a Spark expression (Spark has no ``erfc``), to double precision.
 
-    Chebyshev fit with fractional error below 1.2e-7 everywhere (Numerical
-    Recipes ``erfcc``); used for normal and chi-square(1) p-values.
+    Up to 2 the series ``erf(z) = 2 z exp(-z²) / √π · Σ (2z²)ⁿ / (2n+1)!!``,
+    beyond it the continued fraction of the tail (relative error stays small
+    where ``1 - erf`` would cancel). Meant for one-row results: p-values.
     """
-    z = F.abs(x)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
-    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    poly = F.lit(coeffs[-1])
-    for c in reversed(coeffs[:-1]):
-        poly = F.lit(c) + t * poly
-    ans = t * F.exp(-z * z + poly)
-    return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
+    z = F.abs(x).cast("double")
+    t = 2 * z * z
+    series = F.aggregate(F.sequence(F.lit(45), F.lit(1), F.lit(-1)), F.lit(1.0).cast("double"),
+                         lambda acc, n: 1.0 + t / (2 * n + 1) * acc)
+    near = 1.0 - 2.0 / math.sqrt(math.pi) * z * F.exp(-z * z) * series
+    wide = F.greatest(t, F.lit(1e-300))
+    fraction = F.aggregate(F.sequence(F.lit(90), F.lit(1), F.lit(-1)), F.lit(1.0).cast("double"),
+                           lambda acc, n: 1.0 + n / wide / acc)
+    far = F.exp(-z * z) / (F.greatest(z, F.lit(1e-300)) * math.sqrt(math.pi) * fraction)
+    tail = F.when(z <= 2.0, near).otherwise(far)
+    return F.when(x >= 0, tail).otherwise(F.lit(2.0) - tail)
 
 
 # ---------------------------------------------------------------- regression
@@ -108,9 +111,9 @@ def wilcoxon_signed_rank(df: DataFrame, a: str, b: str, group_cols: Sequence[str
     x = df.where(d.isNotNull() & (d != 0)).select(
         *group_cols, F.abs(d).alias("_absd"), (d > 0).cast("long").alias("_pos"), (d < 0).cast("long").alias("_neg"))
     r = ranked_ties(x, "_absd", ["_pos", "_neg"], group_cols)
-    aggs = [F.sum("n").alias("n"), F.sum(F.col("_pos") * F.col("avg_rank")).alias("w_plus"),
-            F.sum(F.col("_neg") * F.col("avg_rank")).alias("w_minus"),
-            F.sum(F.col("n") * F.col("n") * F.col("n") - F.col("n")).alias("_ties")]
+    aggs = [F.sum("n").alias("n"), F.sum(F.col("_pos").cast("double") * F.col("avg_rank")).alias("w_plus"),
+            F.sum(F.col("_neg").cast("double") * F.col("avg_rank")).alias("w_minus"),
+            F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("_ties")]
     s = r.groupBy(*group_cols).agg(*aggs) if group_cols else r.agg(*aggs)
     n = F.col("n").cast("double")
     mean = n * (n + 1) / 4
@@ -124,15 +127,16 @@ def wilcoxon_signed_rank(df: DataFrame, a: str, b: str, group_cols: Sequence[str
 
 # ---------------------------------------------------------------- binary
 
-def binary_counts(df: DataFrame, y: str, pred: Column | str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """tp / fp / fn / tn per group in one conditional aggregation."""
+def binary_counts(df: DataFrame, y: str, pred: Column | str, group_cols: Sequence[str] = (),
+                  extra: Sequence[Column] = ()) -> DataFrame:
+    """tp / fp / fn / tn (and ``extra`` aggregates) per group in one conditional aggregation."""
     p = F.col(pred) if isinstance(pred, str) else pred
     t = F.col(y)
     aggs = [F.count(F.lit(1)).cast("long").alias("n"),
             F.count_if((t == 1) & (p == 1)).cast("long").alias("tp"),
             F.count_if((t == 0) & (p == 1)).cast("long").alias("fp"),
             F.count_if((t == 1) & (p == 0)).cast("long").alias("fn"),
-            F.count_if((t == 0) & (p == 0)).cast("long").alias("tn")]
+            F.count_if((t == 0) & (p == 0)).cast("long").alias("tn"), *extra]
     return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
 
 
@@ -156,11 +160,11 @@ def roc_auc(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = (), o
         (F.col(y) == 1).cast("long").alias("_p"), (F.col(y) != 1).cast("long").alias("_q"))
     c = x.groupBy(*group_cols, "_s").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
     r = running_sum(c, ["_s"], ["_q"], group_cols)
-    contrib = F.col("_p") * (F.col("cum__q") - F.col("_q") + F.col("_q") / F.lit(2.0))
+    contrib = F.col("_p").cast("double") * (F.col("cum__q") - F.col("_q") + F.col("_q") / F.lit(2.0))
     aggs = [F.sum(contrib).alias("_num"), F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg")]
     s = r.groupBy(*group_cols).agg(*aggs) if group_cols else r.agg(*aggs)
     return s.select(*group_cols, F.when((F.col("_tot_pos") > 0) & (F.col("_tot_neg") > 0),
-                                        F.col("_num") / (F.col("_tot_pos") * F.col("_tot_neg"))).alias(out))
+                                        F.col("_num") / F.col("_tot_pos").cast("double") / F.col("_tot_neg")).alias(out))
 
 
 def binary_metrics(df: DataFrame, y: str, prob: str, pred: str | None = None, threshold: float = 0.5,
@@ -168,15 +172,13 @@ def binary_metrics(df: DataFrame, y: str, prob: str, pred: str | None = None, th
     """M9 + M10 + M11: accuracy, precision, recall, F1, ROC-AUC, Brier, log-loss."""
     group_cols = list(group_cols)
     p = F.col(pred) if pred else (F.col(prob) > F.lit(threshold)).cast("int")
-    c = _prf(binary_counts(df, y, p, group_cols))
     pc = F.least(F.greatest(F.col(prob), F.lit(eps)), F.lit(1 - eps))
     ll = -F.avg(F.when(F.col(y) == 1, F.log(pc)).otherwise(F.log(F.lit(1.0) - pc)))
-    sc = [F.avg((F.col(prob) - F.col(y)) ** 2).alias("brier"), ll.alias("log_loss")]
-    s = df.groupBy(*group_cols).agg(*sc) if group_cols else df.agg(*sc)
+    scores = [F.avg((F.col(prob) - F.col(y)) ** 2).alias("brier"), ll.alias("log_loss")]
+    c = _prf(binary_counts(df, y, p, group_cols, scores))
     auc = roc_auc(df, y, prob, group_cols)
-    if group_cols:
-        return c.join(s, group_cols).join(auc, group_cols, "left")
-    return with_scalars(with_scalars(c, s), auc)
+    c = c.select(*[x for x in c.columns if x not in ("brier", "log_loss")], "brier", "log_loss")
+    return join_null_safe(c, auc, group_cols, "left") if group_cols else with_scalars(c, auc)
 
 
 def roc_curve(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -186,10 +188,8 @@ def roc_curve(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = ())
         *group_cols, F.col(score).cast("double").alias("threshold"),
         (F.col(y) == 1).cast("long").alias("_p"), (F.col(y) != 1).cast("long").alias("_q"))
     c = x.groupBy(*group_cols, "threshold").agg(F.sum("_p").alias("_p"), F.sum("_q").alias("_q"))
-    r = running_sum(c, ["threshold"], ["_p", "_q"], group_cols)
-    tot = c.groupBy(*group_cols).agg(F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg")) if group_cols \
-        else c.agg(F.sum("_p").alias("_tot_pos"), F.sum("_q").alias("_tot_neg"))
-    j = r.join(tot, group_cols) if group_cols else with_scalars(r, tot)
+    r = running_sum(c, ["threshold"], ["_p", "_q"], group_cols, totals=True)
+    j = r.withColumnsRenamed({"tot__p": "_tot_pos", "tot__q": "_tot_neg"})
     tp = F.col("_tot_pos") - F.col("cum__p") + F.col("_p")
     fp = F.col("_tot_neg") - F.col("cum__q") + F.col("_q")
     return j.select(*group_cols, "threshold", tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
@@ -227,7 +227,7 @@ def confusion_matrix(df: DataFrame, y: str, pred: str, labels: Sequence[int],
     lab = F.array(*[F.lit(int(k)) for k in labels])
     grid = df.select(*group_cols).distinct() if group_cols else df.sparkSession.range(1).select()
     grid = grid.withColumn("actual", F.explode(lab)).withColumn("predicted", F.explode(lab))
-    return grid.join(counts, [*group_cols, "actual", "predicted"], "left") \
+    return join_null_safe(grid, counts, [*group_cols, "actual", "predicted"], "left") \
                .withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
 
 

@@ -19,11 +19,14 @@ through :func:`running_sum`, which
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from chronoframe.operators.scalars import join_null_safe, with_scalars
 from chronoframe.session import ensure_checkpoint_dir
 
 __all__ = ["running_sum", "exact_quantiles", "ranked_ties", "global_row_index"]
@@ -107,8 +110,7 @@ def ranked_ties(df: DataFrame, value_col: str, weight_cols: Sequence[str] = (),
 
 def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    accuracy: int = 10_000, max_bracket: int = 1_000_000, max_levels: int = 6,
-                    extra_aggs=None) -> DataFrame:
+                    accuracy: int = 10_000, max_bracket: int = 1_000_000, extra_aggs=None) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``linear`` / SQL ``quantile_cont``) per group.
 
     Bracket and refine — scans with partial aggregation; no group is sorted or
@@ -116,24 +118,22 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
 
     1. one aggregation counts each group; the whole group is the first bracket
        of every probability;
-    2. while some bracket holds more than ``max_bracket`` rows it is narrowed
+    2. while some bracket holds more than ``max_bracket`` distinct values it is narrowed
        with a mergeable ``percentile_approx`` grid (999 points, rank error
        ≤ size/accuracy) computed over that bracket's rows, widened by the rank
        error plus two rows; one scan then counts the rows below / inside the
-       new bracket. Each level shrinks a bracket ~400×, so even 10¹² rows in
-       one group need at most five levels; small tables of one row per group
-       are checkpointed between levels;
-    3. the values are collapsed to distinct ``(group, value)`` counts (partial
-       aggregation), those inside a bracket are ranked by a window partitioned
-       by (group, probability) — at most ``max_bracket`` rows per window
-       partition — and the two order statistics around ``(n − 1)·p`` are
+       new bracket. Each level shrinks a bracket ~400× (a column of few values is
+       never narrowed, whatever its rows); small tables of one row per group are
+       checkpointed between levels, and brackets that stop shrinking are an error;
+    3. the values inside a bracket are collapsed to distinct ``(group, value)`` counts
+       (partial aggregation) and ranked by a window partitioned
+       by (group, bracket) — about ``max_bracket`` rows per window partition — and the two order statistics around ``(n − 1)·p`` are
        interpolated.
 
     NULL and NaN values are ignored; an all-NULL group is absent. ``extra_aggs``
     (a callable ``value column -> {name: aggregate}``) adds aggregates computed
     in the same counting pass (e.g. mean / std / min / max for ``describe``).
     """
-    from chronoframe.operators.scalars import with_scalars
     g = list(group_cols)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
@@ -145,38 +145,44 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         return frame.groupBy(*g).agg(*aggs) if g else frame.agg(*aggs)
 
     def _attach(frame, table):
-        return frame.join(table, g, "inner") if g else with_scalars(frame, table)
+        return join_null_safe(frame, table, g) if g else with_scalars(frame, table)
 
     ensure_checkpoint_dir(df.sparkSession)
     extras = dict(extra_aggs(F.col("_v"))) if extra_aggs else {}
-    counts = _agg(base, [F.count(F.lit(1)).alias("_n")] + [a.alias(f"_x_{nm}") for nm, a in extras.items()])
+    counts = _agg(base, [F.count(F.lit(1)).alias("_n"), F.approx_count_distinct("_v").alias("_d")] + [a.alias(f"_x_{nm}") for nm, a in extras.items()])
     cols = [F.col(c) for c in g] + [F.col("_n")] + [F.col(f"_x_{nm}") for nm in extras]
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(p)
         cols += [F.floor(h).cast("long").alias(f"_klo{i}"), F.ceil(h).cast("long").alias(f"_khi{i}"),
                  (h - F.floor(h)).alias(f"_fr{i}"), F.lit(None).cast("double").alias(f"_lo{i}"),
                  F.lit(None).cast("double").alias(f"_hi{i}"), F.lit(0).cast("long").alias(f"_below{i}"),
-                 F.col("_n").alias(f"_size{i}")]
+                 F.col("_n").alias(f"_size{i}"), F.col("_d").alias(f"_dist{i}")]
     bounds = counts.select(*cols).checkpoint(eager=True)  # one row per group
 
     grid = [j / 1000.0 for j in range(1, 1000)]
-    for _ in range(max_levels):
-        biggest = bounds.agg(F.greatest(*[F.max(f"_size{i}") for i in range(k)], F.lit(0))).first()[0]
-        if not biggest or biggest <= max_bracket:
+    before = None
+    while True:
+        worst = bounds.agg(*[f(f"_dist{i}") for i in range(k) for f in (F.max, F.sum)]).first()
+        biggest = max([x for x in worst[::2] if x is not None], default=0)
+        if biggest <= max_bracket:
             break
+        if before is not None and sum(x or 0 for x in worst[1::2]) >= before:
+            raise RuntimeError("quantile brackets do not narrow any more")
+        before = sum(x or 0 for x in worst[1::2])
         j = _attach(base, bounds)
-        long_rows = j.select(*g, F.explode(F.array(*[F.when(_inside(i) & (F.col(f"_size{i}") > max_bracket),
+        long_rows = j.select(*g, F.explode(F.array(*[F.when(_inside(i) & (F.col(f"_dist{i}") > max_bracket),
                                                             F.struct(F.lit(i).alias("_i"), F.col("_v")))
                                                      for i in range(k)])).alias("_r")).where(F.col("_r").isNotNull())
         sk = long_rows.groupBy(*g, F.col("_r._i").alias("_i")).agg(
             F.percentile_approx("_r._v", grid, accuracy).alias("_grid"))
         narrowed = _narrow(bounds, sk, g, k, grid, accuracy).checkpoint(eager=True)
-        j = _attach(base, narrowed.drop(*[f"_below{i}" for i in range(k)], *[f"_size{i}" for i in range(k)]))
+        j = _attach(base, narrowed.drop(*[f"{c}{i}" for c in ("_below", "_size", "_dist") for i in range(k)]))
         stats = _agg(j, [a for i in range(k) for a in (
             F.count_if(F.col(f"_lo{i}").isNotNull() & (F.col("_v") < F.col(f"_lo{i}"))).cast("long").alias(f"_below{i}"),
-            F.count_if(_inside(i)).cast("long").alias(f"_size{i}"))])
-        keep = narrowed.drop(*[f"_below{i}" for i in range(k)], *[f"_size{i}" for i in range(k)])
-        bounds = (keep.join(stats, g, "inner") if g else with_scalars(keep, stats)).checkpoint(eager=True)
+            F.count_if(_inside(i)).cast("long").alias(f"_size{i}"),
+            F.approx_count_distinct(F.when(_inside(i), F.col("_v"))).alias(f"_dist{i}"))])
+        keep = narrowed.drop(*[f"{c}{i}" for c in ("_below", "_size", "_dist") for i in range(k)])
+        bounds = _attach(keep, stats).checkpoint(eager=True)
 
     # collapse to distinct values once; rank each distinct bracket once (probabilities whose
     # brackets coincide — e.g. the whole group — share one ranking); a window partition holds
@@ -188,7 +194,9 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         return F.coalesce(c, F.lit(-inf if side == "lo" else inf))
 
     bounded = bounds.select(*g, *[c for i in range(k) for c in (f"_lo{i}", f"_hi{i}")])
-    distinct = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # only values inside some bracket are grouped: the bracket test stands below the aggregate
+    near = _attach(base, bounded).where(reduce(or_, [_inside(i) for i in range(k)]))
+    distinct = near.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
     j = _attach(distinct, bounded)
     brackets = F.array_compact(F.array_distinct(F.array(*[
         F.when(_inside(i), F.struct(_edge(i, "lo").alias("_blo"), _edge(i, "hi").alias("_bhi"))) for i in range(k)])))
@@ -200,19 +208,20 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         (F.col(f"_klo{i}") - F.col(f"_below{i}")).alias("_rlo"),
         (F.col(f"_khi{i}") - F.col(f"_below{i}")).alias("_rhi"), F.col(f"_fr{i}").alias("_fr"))
         for i in range(k)])).alias("_t")).select(*g, "_t.*")
-    m = coll.join(tgt, g + ["_blo", "_bhi"], "inner")
+    m = join_null_safe(coll, tgt, g + ["_blo", "_bhi"])
     prev = F.col("_cum") - F.col("_c")
     picked = m.groupBy(*g, "_i").agg(
         F.max(F.when((prev <= F.col("_rlo")) & (F.col("_rlo") < F.col("_cum")), F.col("_v"))).alias("_vlo"),
         F.max(F.when((prev <= F.col("_rhi")) & (F.col("_rhi") < F.col("_cum")), F.col("_v"))).alias("_vhi"),
         F.max("_fr").alias("_fr"))
-    val = F.col("_vlo") + F.col("_fr") * (F.col("_vhi") - F.col("_vlo"))
+    val = F.when(F.col("_vlo").isNull() | F.col("_vhi").isNull(), F.raise_error(F.lit("a target rank lies outside its bracket"))) \
+        .otherwise(F.col("_vlo") + F.col("_fr") * (F.col("_vhi") - F.col("_vlo")))
     outs = [F.max(F.when(F.col("_i") == i, val)).alias(nm) for i, nm in enumerate(names)]
     res = picked.groupBy(*g).agg(*outs) if g else picked.agg(*outs)
     if not extras:
         return res
     ex = bounds.select(*g, *[F.col(f"_x_{nm}").alias(nm) for nm in extras])  # one row per group
-    return res.join(ex, g, "inner") if g else with_scalars(res, ex)
+    return _attach(res, ex)
 
 
 def _inside(i):
@@ -226,9 +235,8 @@ def _narrow(bounds: DataFrame, sk: DataFrame, g: list, k: int, grid: list, accur
     piv = sk.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, F.col("_grid"))).alias(f"_g{i}") for i in range(k)]) \
         if g else sk.agg(*[F.max(F.when(F.col("_i") == i, F.col("_grid"))).alias(f"_g{i}") for i in range(k)])
     if g:
-        b = bounds.join(piv, g, "left")
+        b = join_null_safe(bounds, piv, g, "left")
     else:
-        from chronoframe.operators.scalars import with_scalars
         b = with_scalars(bounds, piv)
     n_grid = len(grid)
     upd = {}
@@ -247,8 +255,7 @@ def _narrow(bounds: DataFrame, sk: DataFrame, g: list, k: int, grid: list, accur
         upd[f"_lo{i}"] = F.when(big, new_lo).otherwise(F.col(f"_lo{i}"))
         upd[f"_hi{i}"] = F.when(big, new_hi).otherwise(F.col(f"_hi{i}"))
     out = b.withColumns(upd)
-    return out.drop(*[f"_g{i}" for i in range(k)], *[f"_below{i}" for i in range(k)],
-                    *[f"_size{i}" for i in range(k)])
+    return out.drop(*[f"_g{i}" for i in range(k)])
 
 
 def global_row_index(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 
 from chronoframe.config import IQR_K
 from chronoframe.operators.ordered import exact_quantiles
-from chronoframe.operators.scalars import with_scalars
+from chronoframe.operators.scalars import join_null_safe, with_scalars
 
 __all__ = [
     "to_long", "iqr_bounds", "quality_report", "quality_summary", "describe_exact",
@@ -60,7 +60,8 @@ def quality_report(df: DataFrame, entity: str, order: str, variables: Sequence[s
     ``total_rows, expected_rows, coverage_pct, date_start, date_end,
     missing_<v>, missing_<v>_pct, outliers_<v>, <prefix>_mean/min/max/std, status``.
     Entities of ``dimension`` without rows get ``status='FAILED'`` and
-    ``total_rows=0``. ``attrs`` are entity constants (taken with ``min``).
+    ``total_rows=0``. ``attrs`` are entity constants, taken from
+    ``dimension`` where it has them. A variable without values has NULL outliers.
     """
     variables = list(variables)
     aggs = [F.count(F.lit(1)).alias("total_rows"), F.min(order).alias("_t0"), F.max(order).alias("_t1")]
@@ -69,13 +70,20 @@ def quality_report(df: DataFrame, entity: str, order: str, variables: Sequence[s
     if stats_col:
         aggs += [F.avg(stats_col).alias("_s_mean"), F.min(stats_col).alias("_s_min"),
                  F.max(stats_col).alias("_s_max"), F.stddev_samp(stats_col).alias("_s_std")]
-    base = df.groupBy(entity, *attrs).agg(*aggs)  # attrs are entity constants (keeps a hash aggregate)
+    for v in variables:
+        aggs.append(F.count(v).alias(f"_present_{v}"))
+    attrs = list(attrs)
+    own = [a for a in attrs if dimension is None or a not in dimension.columns]
+    # attributes come from the dimension; those it lacks are the largest value met, so a NULL never splits an entity
+    base = df.groupBy(entity).agg(*aggs, *[F.max(a).alias(a) for a in own])
+    if dimension is not None and len(own) < len(attrs):
+        base = join_null_safe(base, dimension.select(entity, *[a for a in attrs if a not in own]), [entity], "left")
 
     long_df = to_long(df, [entity], variables, coded=True).where(F.col(_VAL).isNotNull())
     bounds = iqr_bounds(long_df, [entity, _VAR], outlier_k)
     # one more scan: rows outside the fences (the bounds table has one row per group)
     outside = (F.col(_VAL) < F.col("lower")) | (F.col(_VAL) > F.col("upper"))
-    outl = long_df.join(bounds.select(entity, _VAR, "lower", "upper"), [entity, _VAR], "inner") \
+    outl = join_null_safe(long_df, bounds.select(entity, _VAR, "lower", "upper"), [entity, _VAR]) \
                   .groupBy(entity).agg(*[F.count_if(outside & (F.col(_VAR) == i)).cast("long").alias(f"outliers_{v}")
                                          for i, v in enumerate(variables)])
 
@@ -88,10 +96,11 @@ def quality_report(df: DataFrame, entity: str, order: str, variables: Sequence[s
     for v in variables:
         cols += [F.col(f"missing_{v}").cast("long").alias(f"missing_{v}"),
                  F.bround(F.col(f"missing_{v}") / n * 100, 4).alias(f"missing_{v}_pct")]
-    cols += [F.coalesce(F.col(f"outliers_{v}"), F.lit(0)).cast("long").alias(f"outliers_{v}") for v in variables]
+    # a variable without any value has no fences: its outlier count is NULL, not 0
+    cols += [F.when(F.col(f"_present_{v}") > 0, F.coalesce(F.col(f"outliers_{v}"), F.lit(0))).cast("long").alias(f"outliers_{v}") for v in variables]
     if stats_col:
         cols += [F.bround(F.col(f"_s_{s}"), 2).alias(f"{stats_prefix}_{s}") for s in ("mean", "min", "max", "std")]
-    rep = base.join(outl, entity, "left").select(*cols).withColumn("status", F.lit("OK"))
+    rep = join_null_safe(base, outl, [entity], "left").select(*cols).withColumn("status", F.lit("OK"))
     if dimension is None:
         return rep
     missing = dimension.select(entity, *[a for a in attrs if a in dimension.columns]) \
@@ -174,7 +183,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: str | None = None, densi
     else:
         base = rng
     grid = base.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    out = grid.join(counts, keys, "left").withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
+    out = join_null_safe(grid, counts, keys, "left").withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
     out = out.withColumn("bin_lo", F.col("_lo") + F.col("bin") * width) \
              .withColumn("bin_hi", F.col("_lo") + (F.col("bin") + 1) * width)
     if density:
@@ -192,13 +201,13 @@ def box_summary(df: DataFrame, value: str, group_cols: Sequence[str], k: float =
          .withColumn("upper_fence", F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1")))
     inside = (F.col(_VAL) >= F.col("lower_fence")) & (F.col(_VAL) <= F.col("upper_fence"))
     # one scan for extremes, whiskers and outliers (the fence table has one row per group)
-    wh = long_df.join(q.select(*group_cols, "lower_fence", "upper_fence"), group_cols, "inner") \
+    wh = join_null_safe(long_df, q.select(*group_cols, "lower_fence", "upper_fence"), group_cols) \
                 .groupBy(*group_cols).agg(
                     F.count(F.lit(1)).cast("long").alias("n"), F.min(_VAL).alias("min"), F.max(_VAL).alias("max"),
                     F.min(F.when(inside, F.col(_VAL))).alias("whisker_lo"),
                     F.max(F.when(inside, F.col(_VAL))).alias("whisker_hi"),
                     F.count_if(~inside).cast("long").alias("outliers"))
-    return q.join(wh, group_cols, "inner").select(
+    return join_null_safe(q, wh, group_cols).select(
         *group_cols, "n", "min", "q1", "median", "q3", "max", "whisker_lo", "whisker_hi", "outliers")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 
 from chronoframe.config import CLASS_NAMES, EPS_MINMAX, MONTH_NAMES
 from chronoframe.functions.scalar import feature_category
-from chronoframe.operators.scalars import with_scalars
+from chronoframe.operators.scalars import join_null_safe, with_scalars
 
 __all__ = [
     "label_distribution", "label_partials", "label_distribution_from_partials", "label_totals", "class_frequency", "class_balance", "balanced_class_weights",
@@ -105,7 +105,7 @@ def class_frequency(df: DataFrame, class_col: str, n_classes: int | None = None,
     counts = df.groupBy(*group_cols, class_col).agg(F.count(F.lit(1)).alias("count"))
     grid = df.select(*group_cols).distinct() if group_cols else df.sparkSession.range(1).select()
     grid = grid.withColumn(class_col, F.explode(F.sequence(F.lit(0), F.lit(n_classes - 1))))
-    out = grid.join(counts, [*group_cols, class_col], "left") \
+    out = join_null_safe(grid, counts, [*group_cols, class_col], "left") \
               .withColumn("count", F.coalesce(F.col("count"), F.lit(0)).cast("long"))
     tot = F.sum("count").over(W.partitionBy(*group_cols)) if group_cols else F.sum("count").over(W.partitionBy())
     return out.select(*group_cols, F.col(class_col).cast("int").alias(class_col),
@@ -223,7 +223,7 @@ def daily_resample(df: DataFrame, entity: str, ts: str, value: str, unit: str =
     daily = df.groupBy(entity, d.alias("_d")).agg(F.avg(value).alias(value), F.count(F.lit(1)).alias("rows"))
     span = daily.groupBy(entity).agg(F.min("_d").alias("_a"), F.max("_d").alias("_b"))
     cal = span.select(entity, F.explode(F.sequence("_a", "_b", F.expr(f"INTERVAL {step}"))).alias("_d"))
-    out = cal.join(daily, [entity, "_d"], "left")
+    out = join_null_safe(cal, daily, [entity, "_d"], "left")
     return out.select(entity, F.date_format("_d", "yyyy-MM-dd").alias("day"), F.col(value),
                       F.coalesce(F.col("rows"), F.lit(0)).cast("long").alias("rows"))
 
