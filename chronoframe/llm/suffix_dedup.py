@@ -36,10 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, ranges, runs, sliding_min
-from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, buckets, pack, packed_strings, range_arrays, record, unpack, with_ranges
+from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, buckets, pack, packed_strings, range_arrays, range_rows, record, unpack, with_ranges
 
 MINIMISER_BYTES = 16
-PIECE = 1 << 20
+PIECE, SLICE = 2 << 20, 2 << 20
 
 
 class HashCollision(Exception):
@@ -227,15 +227,26 @@ def settle(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
             del texts, metas
             data, lengths, doc, start, mark, loops = (np.concatenate(v) for v in zip(*parts))
             del parts
-            for seed in range(21, 25):
-                try:
-                    found += settle_strings(data, lengths.astype(np.int64), doc, start.astype(np.int64), mark, loops, width, seed)
-                    break
-                except HashCollision:       # then with another base
-                    if seed == 24:
-                        raise
-    cols = [np.concatenate([np.asarray(f[k], dtype=np.int64) for f in found]) if found else np.zeros(0, np.int64) for k in range(4)]
-    return pd.DataFrame(dict(zip(("doc", "first", "n", "h"), cols)))
+            left = np.cumsum(lengths, dtype=np.int64) - lengths
+            order = np.argsort(mark, kind="stable")
+            # minimisers do not meet each other: some MB of text at a time, each minimiser's strings together
+            new = np.flatnonzero(np.concatenate(([True], mark[order][1:] != mark[order][:-1])))
+            size = np.add.reduceat(lengths[order].astype(np.int64), new)
+            cut = np.flatnonzero(np.diff(np.cumsum(size) // SLICE, prepend=0))
+            for a, b in zip(np.concatenate(([0], new[cut])), np.concatenate((new[cut], [len(order)]))):
+                own = order[a:b]
+                if len(own):
+                    found += _settled(data[ranges(left[own], lengths[own].astype(np.int64))], lengths[own].astype(np.int64), doc[own], start[own].astype(np.int64), mark[own], loops[own], width)
+    return range_rows(found)
+
+
+def _settled(*strings) -> list[tuple]:
+    for seed in range(21, 25):
+        try:
+            return settle_strings(*strings, seed)
+        except HashCollision:       # then with another base
+            if seed == 24:
+                raise
 
 
 def settle_strings(data, lengths, doc, start, mark, loops, width: int, seed: int) -> list[tuple]:
@@ -267,7 +278,25 @@ def settle_strings(data, lengths, doc, start, mark, loops, width: int, seed: int
     windows = lengths[order] - width + 1
     at = ranges(left[order], windows)
     string = np.repeat(order, windows)
-    group = np.repeat(np.unique(mark[order], return_inverse=True)[1], windows)
+    group = np.repeat(np.unique(mark[order], return_inverse=True)[1].astype(np.int64), windows)
+    # equal suffixes lie alike around their minimiser, unless that comes more than once in some string of the group
+    parts = suffixes.poly.windows(suffixes.prefix, MINIMISER_BYTES) if seed == 21 else answer.windows(reply, MINIMISER_BYTES)
+    hit = np.flatnonzero((parts >> U64(32)).astype(np.uint32) == np.repeat(mark, lengths)[:len(parts)])
+    anchor = hit[np.minimum(np.searchsorted(hit, left), len(hit) - 1)]
+    free = np.zeros(int(group[-1]) + 1, dtype=bool)
+    np.logical_or.at(free, group[np.cumsum(windows) - windows], loops[order])
+    reach = int(lengths.max()) + 1
+    shift = np.where(free[group], 0, at - anchor[string] + reach)
+    key = group * (2 * reach) + shift
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    twin = np.zeros(len(key), dtype=bool)
+    twin[1:] = key[1:] == key[:-1]
+    twin[:-1] |= twin[1:].copy()
+    by, key = by[twin], key[twin]
+    if not len(by):
+        return out
+    group, at, string = np.cumsum(np.concatenate(([0], key[1:] != key[:-1]))), at[by], string[by]
     place = rank[string] * int(lengths.max() + 1) + (at - left[string])
     lost, into = suffixes.merge_sort(group, at, place)
     if not len(lost):
