@@ -53,7 +53,9 @@ GEO_FEATURES = ["latitude", "longitude", "coastal", "city_id", "continent_id", "
 LAG_MARKERS = ["lag_24", "lag_48", "lag_72"]
 FEATURE_EXCLUDE = [
     "datetime", "city", "country", "continent", "climate_zone",
-    "target_rain", "target_heatwave", "target_storm", "target_disaster", "heatwave_threshold",
+    "heatwave_threshold",
+    "target_rain", "target_heatwave", "target_storm", "target_disaster",
+    "target_temperature_next",
 ]
 EPS_ENTROPY = 1e-10
 EPS_MINMAX = 1e-10

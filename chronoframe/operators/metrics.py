@@ -83,6 +83,18 @@ def improvement(model: DataFrame, baseline: DataFrame, metrics: Sequence[str] =
                            .alias(f"{c}_improvement_pct") for c in metrics])
 
 
+def improvement_of(df: DataFrame, y: str, model: str, baseline: str) -> DataFrame:
+    """M5 from rows that carry both predictions: one aggregation for both sides."""
+    both = F.col(y).isNotNull()
+    aggs = []
+    for side, p in (("model", model), ("baseline", baseline)):
+        e = F.when(both, F.col(p) - F.col(y))
+        aggs += [F.sqrt(F.avg(e * e)).alias(f"{side}_rmse"), F.avg(F.abs(e)).alias(f"{side}_mae")]
+    one = df.agg(*aggs)
+    return one.select("*", *[((F.col(f"baseline_{c}") - F.col(f"model_{c}")) / F.col(f"baseline_{c}") * 100).alias(f"{c}_improvement_pct")
+                             for c in ("rmse", "mae")])
+
+
 def interval_metrics(df: DataFrame, y: str, lo: str, hi: str, lo_alpha: float = 0.10, hi_alpha: float = 0.90,
                      target: float = INTERVAL_TARGET_COVERAGE, group_cols: Sequence[str] = ()) -> DataFrame:
     """M6 + M7: inclusive coverage, gap to target, mean width, pinball loss at both quantiles."""

@@ -6,12 +6,12 @@ Two physical layouts compute the same result:
     one window stage partitioned by entity — one shuffle; one task per entity.
 ``layout="chunked"``
     for entities that hold a large share of all rows. Rows get a dense
-    per-entity position (time-bucket offsets, no single-task window), are cut
-    into fixed chunks of ``chunk_rows`` positions and each chunk is given a
-    *halo* of the ``halo`` preceding rows, so positional lags and rolling frames
-    are exact. Forward/backward fill gets carry-in values from the neighbouring
-    chunks through a small per-chunk summary. Two shuffles; the largest task
-    holds ``chunk_rows + halo`` rows whatever the entity skew.
+    per-entity position (sampled range partitions with offsets, one reliable
+    checkpoint), are cut into fixed chunks of ``chunk_rows`` positions and each
+    chunk is given a *halo* of the ``halo`` preceding rows, so positional lags
+    and rolling frames are exact. Forward/backward fill gets carry-in values
+    from the neighbouring chunks through a small per-chunk summary. The largest
+    window task holds ``chunk_rows + halo`` rows whatever the entity skew.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from chronoframe.config import FeatureSpec, PanelSpec
+from chronoframe.operators.ordered import global_row_index
+from chronoframe.operators.scalars import join_null_safe
 
 __all__ = [
     "feature_names", "lag_rolling_columns", "panel_positions", "panel_features",
@@ -65,62 +66,21 @@ def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -
 
     ``method='frame'`` (default) evaluates each rolling frame directly — exact,
     but Spark re-aggregates a sliding ROWS frame for every row: O(n·w).
-    ``method='prefix'`` is O(n): running sums of values centred on a
-    per-partition reference (first non-NULL) and of their squares; a window's
-    mean / sample variance are differences with the running sums ``w`` rows
-    back. Its variance carries an absolute error of about 1e-14 × the
-    partition's cumulative sum of squares, so variances under that noise bound
-    are returned as 0 (constant windows are exact) and small non-zero
-    variances lose relative precision on long partitions. Use it for throughput
-    on well-conditioned measures; the registered queries use ``'frame'``.
+    ``method='blocks'`` merges large windows from smaller ones
+    (:func:`_lag_rolling_blocks`).
     """
     if method == "frame":
         return df.withColumns(lag_rolling_columns(w, fs))
     if method == "blocks":
         return _lag_rolling_blocks(df, w, fs)
-    if method != "prefix":
-        raise ValueError(method)
-    cum = w.rowsBetween(W.unboundedPreceding, 0)
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    lags = {f"{v}_lag_{k}{fs.lag_suffix}": F.lag(v, k).over(w) for v in fs.variables for k in fs.lags}
-    stage1 = dict(lags)
-    for i, v in enumerate(fs.variables):
-        ref = F.first(v, True).over(whole)
-        stage1[f"_ref{i}"] = ref
-    df = df.withColumns(stage1)
-    stage2 = {}
-    for i, v in enumerate(fs.variables):
-        xc = F.col(v) - F.col(f"_ref{i}")
-        stage2[f"_s{i}"] = F.sum(F.coalesce(xc, F.lit(0.0))).over(cum)
-        stage2[f"_q{i}"] = F.sum(F.coalesce(xc * xc, F.lit(0.0))).over(cum)
-        stage2[f"_c{i}"] = F.count(F.col(v)).over(cum)
-    df = df.withColumns(stage2)
-    out = {}
-    for i, v in enumerate(fs.variables):
-        for wn, n in fs.windows.items():
-            def diff(c):
-                return F.col(c) - F.coalesce(F.lag(c, n).over(w), F.lit(0))
-            ds, dq, dc = diff(f"_s{i}"), diff(f"_q{i}"), diff(f"_c{i}")
-            mean = F.when(dc > 0, ds / dc + F.col(f"_ref{i}"))
-            var = (dq - ds * ds / dc) / (dc - 1)
-            noise = F.lit(64 * 2.220446049250313e-16) * (F.col(f"_q{i}") + F.coalesce(F.lag(f"_q{i}", n).over(w), F.lit(0.0)))
-            var = F.when(var * (dc - 1) <= noise, F.lit(0.0)).otherwise(var)
-            out[f"{v}_roll_{wn}_mean"] = mean
-            out[f"{v}_roll_{wn}_std"] = F.when(dc >= 2, F.sqrt(var))
-    df = df.withColumns(out)
-    return df.drop(*[c for i in range(len(fs.variables)) for c in (f"_ref{i}", f"_s{i}", f"_q{i}", f"_c{i}")])
-
-
-_EPS = 2.220446049250313e-16
+    raise ValueError(method)
 
 
 def _lag_rolling_blocks(df: DataFrame, w, fs: FeatureSpec) -> DataFrame:
     """Rolling windows that are a multiple k·b of a smaller window b are merged from k
     consecutive b-row block aggregates (count, mean, M2 — lags of the b-row frame) with the
     parallel-variance formula (Chan et al.): about b instead of k·b row updates per output
-    row, and no cancellation (M2 is merged, not differenced). Only variances below double
-    resolution (|std| < 64·ε·|mean|, e.g. constant windows) are returned as 0. Other windows
-    use frames."""
+    row, and no cancellation (M2 is merged, not differenced). Other windows use frames."""
     sizes = sorted(set(fs.windows.values()))
     base = {n: max([m for m in sizes if m < n and n % m == 0], default=None) for n in sizes}
     stage1 = {f"{v}_lag_{k}{fs.lag_suffix}": F.lag(v, k).over(w) for v in fs.variables for k in fs.lags}
@@ -167,8 +127,6 @@ def _lag_rolling_blocks(df: DataFrame, w, fs: FeatureSpec) -> DataFrame:
             n_tot, mean = F.col(f"_N{i}_{wn}"), F.col(f"_M{i}_{wn}")
             m2 = F.aggregate(F.col(f"_P{i}_{wn}"), F.lit(0.0),
                              lambda acc, p: acc + p["q"] + p["c"] * (p["m"] - mean) * (p["m"] - mean))
-            floor = n_tot * (F.lit(64 * _EPS) * mean) * (F.lit(64 * _EPS) * mean)
-            m2 = F.when(m2 <= floor, F.lit(0.0)).otherwise(m2)
             fin[f"{v}_roll_{wn}_mean"] = mean
             fin[f"{v}_roll_{wn}_std"] = F.when(n_tot >= 2, F.sqrt(m2 / (n_tot - 1)))
     df = df.withColumns(fin)
@@ -176,41 +134,25 @@ def _lag_rolling_blocks(df: DataFrame, w, fs: FeatureSpec) -> DataFrame:
     return df.drop(*tmp)
 
 
-def panel_positions(df: DataFrame, spec: PanelSpec, bucket: str = "month",
-                    dedup_ordinal: str | None = None) -> DataFrame:
+def panel_positions(df: DataFrame, spec: PanelSpec, dedup_ordinal: str | None = None) -> DataFrame:
     """Dense 0-based position of each row within its entity, in (order, tiebreak) order.
 
-    Rows are numbered inside ``(entity, bucket(order))`` slices — ``bucket`` is a
-    ``date_trunc`` unit for time columns or a value width for numeric ones — and
-    shifted by the row count of earlier slices (a small table of one row per
-    slice). With ``dedup_ordinal`` only the first row (lowest ordinal) of each
-    ``(entity, order)`` is kept (W1) in the same window stage.
+    Rows are numbered by sampled range partitions on (entity, order, tiebreak)
+    with the row counts of earlier slices as offsets, so no entity, day or key
+    has to fit in one task; a NULL entity is an entity, rows with NULL time
+    come first. With ``dedup_ordinal`` only the first row (lowest ordinal) of
+    each ``(entity, order)`` is kept (W1); rows with NULL time are all kept.
     """
-    o, t = spec.entity, spec.order
-    if isinstance(df.schema[t].dataType, (TimestampType, TimestampNTZType, DateType)):
-        bkt = F.date_trunc(str(bucket), F.col(t))
-    else:  # numeric order column: fixed-width value ranges
-        bkt = F.floor(F.col(t) / F.lit(float(bucket)))
-    b = df.withColumn("_cf_bkt", bkt)
-    ordcols = [t] + ([spec.tiebreak] if spec.tiebreak else []) + ([dedup_ordinal] if dedup_ordinal else [])
-    ws = W.partitionBy(o, "_cf_bkt").orderBy(*ordcols)
     if dedup_ordinal:
-        b = b.withColumn("_cf_prev_t", F.lag(t, 1).over(ws)) \
-             .where(F.col("_cf_prev_t").isNull() | (F.col("_cf_prev_t") != F.col(t))).drop("_cf_prev_t")
-    b = b.withColumn("_cf_rn", F.row_number().over(ws))
-    sizes = b.groupBy(o, "_cf_bkt").agg(F.max("_cf_rn").alias("_cf_sz"))
-    offs = sizes.select(o, "_cf_bkt", F.coalesce(
-        F.sum("_cf_sz").over(W.partitionBy(o).orderBy("_cf_bkt").rowsBetween(W.unboundedPreceding, -1)),
-        F.lit(0)).alias("_cf_off"))
-    return (b.join(offs, [o, "_cf_bkt"], "inner")
-             .withColumn(_POS, (F.col("_cf_off") + F.col("_cf_rn") - 1).cast("long"))
-             .drop("_cf_bkt", "_cf_rn", "_cf_off"))
+        first = W.partitionBy(spec.entity, spec.order).orderBy(dedup_ordinal)
+        df = df.withColumn("_cf_first", F.row_number().over(first)) \
+               .where((F.col("_cf_first") == 1) | F.col(spec.order).isNull()).drop("_cf_first")
+    return global_row_index(df, spec.order_cols, [spec.entity], out=_POS)
 
 
 def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None,
                    fill_cols: Sequence[str] = (), dedup_ordinal: str | None = None,
-                   layout: str = "entity", chunk_rows: int = 1_000_000,
-                   bucket: str = "month", leads: dict[str, tuple[str, int]] | None = None,
+                   layout: str = "entity", chunk_rows: int = 1_000_000, leads: dict[str, tuple[str, int]] | None = None,
                    windows: dict[str, tuple[str, int]] | None = None, rolling: str = "frame") -> DataFrame:
     """Clean + positional features in as few shuffles as possible.
 
@@ -219,33 +161,19 @@ def panel_features(df: DataFrame, spec: PanelSpec, fs: FeatureSpec | None = None
     * ``fs``: lags and rolling mean/std over the filled values (W3–W5);
     * ``leads``: ``{out: (col, k)}`` value k rows ahead (W6);
     * ``windows``: ``{out: (col, n)}`` extra trailing n-row means (moving-average predictors).
-    ``layout``: ``'entity'``, ``'chunked'`` or ``'auto'`` (:func:`choose_layout`);
-    ``rolling``: ``'frame'`` (exact frames, O(n·w)), ``'blocks'`` (windows merged from smaller
-    window blocks) or ``'prefix'`` (O(n) running sums) — see :func:`with_lag_rolling`.
+    ``layout``: ``'entity'`` or ``'chunked'`` — the caller's choice, one answer;
+    ``rolling``: ``'frame'`` (exact frames, O(n·w)) or ``'blocks'`` (windows merged from smaller
+    window blocks) — see :func:`with_lag_rolling`.
     Rows keep their input columns; feature columns are appended.
     """
     leads, windows = dict(leads or {}), dict(windows or {})
-    if layout == "auto":
-        layout = choose_layout(df, spec.entity, chunk_rows)
     if layout == "entity":
         return _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows, rolling)
     if layout == "chunked":
-        return _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows,
-                                 rolling)
+        return _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, leads, windows, rolling)
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def choose_layout(df: DataFrame, entity: str, chunk_rows: int) -> str:
-    """``'entity'`` when every entity fits in one chunk, else ``'chunked'``.
-
-    One partial aggregation (rows per entity, map-side combined) and a single
-    number to the driver: the plain layout (one shuffle) is used unless some
-    entity is larger than a task should hold.
-    """
-    biggest = df.groupBy(entity).count().agg(F.max("count")).first()[0] or 0
-    return "entity" if biggest <= chunk_rows else "chunked"
-
-
 def _extra_columns(w, leads, windows) -> dict[str, Column]:
     cols = {n: F.lead(c, k).over(w) for n, (c, k) in leads.items()}
     cols.update({n: F.avg(c).over(w.rowsBetween(-(k - 1), 0)) for n, (c, k) in windows.items()})
@@ -284,14 +212,14 @@ def _features_entity(df, spec, fs, fill_cols, dedup_ordinal, leads, windows, rol
     return df
 
 
-def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket, leads, windows, rolling="frame"):
+def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, leads, windows, rolling="frame"):
     o = spec.entity
     halo = max([fs.halo if fs is not None else 0] + [k - 1 for _, k in windows.values()])
     fwd = max([0] + [k for _, k in leads.values()])
     if halo > chunk_rows or fwd > chunk_rows:
         raise ValueError("chunk_rows must be at least the halo (largest lag / lead / window - 1)")
     cols = df.columns
-    p = panel_positions(df, spec, bucket, dedup_ordinal).withColumn(
+    p = panel_positions(df, spec, dedup_ordinal).withColumn(
         _CHUNK, F.floor(F.col(_POS) / chunk_rows).cast("long"))
 
     carry_cols = {}
@@ -328,7 +256,7 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
          .withColumn(_HALO, F.col("_cf_target") != F.col(_CHUNK)) \
          .drop(_CHUNK).withColumnRenamed("_cf_target", _CHUNK)
     if s2 is not None:
-        x = x.join(s2, [o, _CHUNK], "left")
+        x = join_null_safe(x, s2, [o, _CHUNK], "left")
     w = W.partitionBy(o, _CHUNK).orderBy(_POS)
     if fill_cols:
         x = x.withColumns({c: _ffill_bfill(c, w, *carry_cols[c]) for c in fill_cols})
@@ -342,20 +270,19 @@ def _features_chunked(df, spec, fs, fill_cols, dedup_ordinal, chunk_rows, bucket
 
 def next_value_target(df: DataFrame, spec: PanelSpec, value: str, out: str,
                       extra_partition: Sequence[str] = (), offset: int = 1, layout: str = "entity",
-                      chunk_rows: int = 1_000_000, bucket: str = "month") -> DataFrame:
+                      chunk_rows: int = 1_000_000) -> DataFrame:
     """Value of the next row of the same entity (and split, for parity).
 
     ``layout='chunked'`` uses the forward halo of :func:`panel_features`, so a
     hot entity is spread over many tasks.
     """
-    if layout in ("chunked", "auto"):
+    if layout == "chunked":
         ent = spec.entity
         if extra_partition:
             df = df.withColumn("_cf_ent", F.struct(spec.entity, *extra_partition))
             ent = "_cf_ent"
         s = PanelSpec(ent, spec.order, spec.tiebreak)
-        r = panel_features(df, s, layout=layout, chunk_rows=chunk_rows, bucket=bucket,
-                           leads={out: (value, offset)})
+        r = panel_features(df, s, layout=layout, chunk_rows=chunk_rows, leads={out: (value, offset)})
         return r.drop("_cf_ent") if extra_partition else r
     w = W.partitionBy(spec.entity, *extra_partition).orderBy(*spec.order_cols)
     return df.withColumn(out, F.lead(value, offset).over(w))

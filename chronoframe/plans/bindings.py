@@ -31,8 +31,9 @@ TYPE_PANEL = PanelSpec("event_type", "ts", "event_id", ("value",))
 ORDER_PANEL = PanelSpec("o_custkey", "o_orderdate", "o_orderkey", ("o_totalprice",))
 USER_FEATURES = FeatureSpec(variables=("value",), lags=(1, 2, 3), windows={"3r": 3, "24r": 24}, lag_suffix="")
 DEEP_FEATURES = FeatureSpec(variables=("value",))  # weather sizes: lags 24/48/72, windows 24/168
-PANEL_CHUNK_ROWS = 1_000_000  # rows one window task may hold; larger entities are chunked
-ROLLING_METHOD = "frame"      # exact frames; "prefix" is the O(n) opt-in (panel.with_lag_rolling)
+PANEL_CHUNK_ROWS = 1_000_000  # rows of one window task in the chunked layout
+SMALL_CHUNK_ROWS = 500        # chunks of the *_chunked queries: small, so that the tables here have many
+ROLLING_METHOD = "blocks"      # 168-row windows merged from 24-row blocks
 SOUTH_NATION_BELOW = 12
 SPLIT_TRAIN, SPLIT_VAL, SPLIT_TEST = (1995, 1998), 1999, (2000, 2001)
 EVENT_POSITIVE = "error"

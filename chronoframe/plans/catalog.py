@@ -1,51 +1,24 @@
 """Registered queries: one Spark plan per surveyed operator, plus its DuckDB oracle SQL.
 
 Every query reads the driver's tables (or data Spark derives from them) in
-full; nothing is filtered to ids, prefixes or row caps. Double outputs are
-rounded to 6 digits on both sides so the comparison is order-of-summation
-independent.
+full; nothing is filtered to ids, prefixes or row caps. Doubles come out as
+computed; only what the surveyed reports round is rounded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
-
-from chronoframe.plans.sqlgen import SIG_DIGITS, TIE_NUDGE
+from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def sig(c: Column) -> Column:
-    """Report precision: 10 significant digits; exact decimal ties nudged up by 1e-12 (relative).
-
-    The same expression is applied on the SQL side (``sqlgen.sig_sql``), so
-    engines that sum in different orders agree on every printed digit.
-    """
-    x = c * F.lit(1 + TIE_NUDGE)
-    p = F.pow(F.lit(10.0), F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.abs(x))))
-    return F.when(c.isNull() | (c == 0) | F.isnan(c), c).otherwise(F.round(x * p) / p)
-
-
-def finish(df: DataFrame) -> DataFrame:
-    """Normalise every floating column to report precision."""
-    return df.select(*[sig(F.col(f.name).cast("double")).alias(f.name)
-                       if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
-
-
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return finish(fn(spark, sf_dir))
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return run
@@ -57,4 +30,4 @@ def _load_modules() -> None:
     from chronoframe.plans import q_labels, q_panel, q_profile, q_metrics, q_rollups, q_ml  # noqa: F401
 
 
-__all__ = ["QUERIES", "ORACLE", "register", "finish", "sig"]
+__all__ = ["QUERIES", "ORACLE", "register"]

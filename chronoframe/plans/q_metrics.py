@@ -26,8 +26,7 @@ CANDIDATES = [(1, "persistence", 1), (2, "moving_mean_2", 2), (3, "moving_mean_3
 def order_predictions(spark, sf_dir, splits=None):
     """Next-order value target (within customer and split, Q3) with simple predictors.
 
-    ``pred`` = persistence (W14), ``ma{k}`` = trailing k-row means. Auto
-    layout: a customer holding a third of all orders is chunked over many tasks.
+    ``pred`` = persistence (W14), ``ma{k}`` = trailing k-row means.
     The window is partitioned by split, so other splits never influence a
     split's rows: with ``splits`` the scan reads only those date ranges
     (range predicates pushed into Parquet).
@@ -38,7 +37,7 @@ def order_predictions(spark, sf_dir, splits=None):
     o = o.withColumn("split", split_label(F.year("o_orderdate"), B.SPLIT_TRAIN, B.SPLIT_VAL, B.SPLIT_TEST)) \
          .withColumn("_ent", F.struct("o_custkey", "split"))
     spec = PanelSpec("_ent", "o_orderdate", "o_orderkey")
-    f = P.panel_features(o, spec, layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="month",
+    f = P.panel_features(o, spec, layout="entity",
                          leads={"y": ("o_totalprice", 1)},
                          windows={f"ma{k}": ("o_totalprice", k) for _, _, k in CANDIDATES if k > 1})
     return f.drop("_ent").withColumn("pred", F.col("o_totalprice"))
@@ -134,21 +133,16 @@ SELECT *, (baseline_rmse - model_rmse) / baseline_rmse * 100 AS rmse_improvement
     ["model_rmse", "model_mae", "baseline_rmse", "baseline_mae", "rmse_improvement_pct", "mae_improvement_pct"]))
 def model_improvement(spark, sf_dir):
     """M5: improvement of a 3-row moving mean over persistence."""
-    t = _test(order_predictions(spark, sf_dir, ["test"]))
-    model = M.regression_metrics(t, "y", "ma3")
-    base = M.regression_metrics(t, "y", "pred")
-    return M.improvement(model, base)
+    return M.improvement_of(_test(order_predictions(spark, sf_dir, ["test"])), "y", "ma3", "pred")
 
 
 def _erfc_sql(x: str) -> str:
-    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    t = f"(1.0 / (1.0 + 0.5 * abs({x})))"
-    poly = f"{coeffs[-1]!r}"
-    for c in reversed(coeffs[:-1]):
-        poly = f"({c!r} + {t} * {poly})"
-    ans = f"({t} * exp(-abs({x}) * abs({x}) + {poly}))"
-    return f"(CASE WHEN {x} >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+    """2/√π times the integral of exp(-t²) from x on, by Simpson's rule (independent of the Spark side's formula)."""
+    n, width = 4000, 10.0
+    f = f"exp(-pow(abs({x}) + {width / n!r} * k, 2))"
+    total = (f"(SELECT sum(CASE WHEN k = 0 OR k = {n} THEN 1.0 WHEN k % 2 = 1 THEN 4.0 ELSE 2.0 END * {f}) "
+             f"* {width / n / 3!r} * 2 / sqrt(pi()) FROM range({n + 1}) g(k))")
+    return f"(CASE WHEN {x} >= 0 THEN {total} ELSE 2.0 - {total} END)"
 
 
 @register("wilcoxon", rsig(f"""
@@ -355,21 +349,22 @@ def majority_baseline(spark, sf_dir):
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 
-def line_classes(spark, sf_dir, with_nation: bool = False):
+def line_classes(spark, sf_dir, with_nation: bool = False, with_previous: bool = True):
     """Truth = rule class of the line; prediction = class of the previous line of the order (0 for the first).
 
-    The supplier → nation join is added only for reports by nation.
+    The supplier → nation join is added only for reports by nation, the
+    prediction's window (``with_previous``) only for those that use it.
     """
     from chronoframe.config import FeatureSpec
     base = B.lineitem_panel(spark, sf_dir) if with_nation else B.lineitem_labels(spark, sf_dir)
-    df = B.line_probabilities(base)
+    df = B.line_probabilities(base).withColumn("actual", F.col("target_disaster"))
+    if not with_previous:
+        return df
     df = df.withColumn("_line_tb", F.struct(*LINE_ORDER[1:]))
     spec = PanelSpec("l_orderkey", LINE_ORDER[0], "_line_tb")
     lag = FeatureSpec(variables=("target_disaster",), lags=(1,), windows={}, lag_suffix="")
-    # auto layout: an order with millions of lines would be chunked over many tasks
-    df = P.panel_features(df, spec, lag, layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket=1000)
-    return df.withColumn("actual", F.col("target_disaster")) \
-             .withColumn("predicted", F.coalesce(F.col("target_disaster_lag_1"), F.lit(0)).cast("int")) \
+    df = P.panel_features(df, spec, lag, layout="entity")
+    return df.withColumn("predicted", F.coalesce(F.col("target_disaster_lag_1"), F.lit(0)).cast("int")) \
              .drop("_line_tb", "target_disaster_lag_1")
 
 
@@ -429,7 +424,7 @@ l AS ({" UNION ALL ".join(f"SELECT {k} AS cls, p{k} AS p, CAST(target_disaster =
 SELECT CAST(cls AS INTEGER) AS cls, auc FROM a""", ["auc"]))
 def ovr_auc(spark, sf_dir):
     """M14 (+F21): one-vs-rest AUC per class from the probability vector."""
-    return M.one_vs_rest_auc(line_classes(spark, sf_dir), "actual", "prob", 4)
+    return M.one_vs_rest_auc(line_classes(spark, sf_dir, with_previous=False), "actual", "prob", 4)
 
 
 def _argmax_sql() -> str:
@@ -448,7 +443,7 @@ SELECT avg(h) AS mean_entropy, avg(1.0 - h / 2.0) AS mean_confidence,
     ["mean_entropy", "mean_confidence", "confidence_when_correct", "confidence_when_wrong"]))
 def entropy_report(spark, sf_dir):
     """F17 + F18 + M22 (+A30): entropy / confidence of the class probabilities, split by correctness."""
-    df = line_classes(spark, sf_dir)
+    df = line_classes(spark, sf_dir, with_previous=False)
     h = entropy_bits(F.col("prob"))
     df = df.withColumn("entropy", h).withColumn("confidence", confidence_from_entropy(F.col("entropy"), 4)) \
            .withColumn("arg", array_argmax(F.col("prob")))
@@ -482,7 +477,7 @@ a AS (SELECT CASE WHEN {_argmax_sql()} = 3 OR p2 > 0.8 THEN 'RED'
 SELECT alert, count(*) AS count FROM a GROUP BY alert""")
 def alert_levels(spark, sf_dir):
     """F14 (+F17): alert level per row from value, class probabilities and arg-max class."""
-    df = line_classes(spark, sf_dir).withColumn("arg", array_argmax(F.col("prob")))
+    df = line_classes(spark, sf_dir, with_previous=False).withColumn("arg", array_argmax(F.col("prob")))
     lvl = alert_level(F.col("l_quantity"), F.element_at("prob", 3), F.element_at("prob", 2), F.col("arg"))
     return df.groupBy(lvl.alias("alert")).agg(F.count(F.lit(1)).alias("count"))
 

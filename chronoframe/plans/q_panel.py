@@ -41,32 +41,46 @@ FROM f""", ["value"] + _uf_names)
 
 
 @register("feature_table", FEATURE_TABLE_SQL)
-def feature_table(spark, sf_dir):
-    """W1–W5 + F2–F4: dedup, fill, lags, rolling mean/std and calendar features (auto layout)."""
+def feature_table(spark, sf_dir, layout="entity", chunk_rows=B.PANEL_CHUNK_ROWS):
+    """W1–W5 + F2–F4: dedup, fill, lags, rolling mean/std and calendar features (users are small: one window task each)."""
     ev = B.table(spark, sf_dir, "events").drop("props")
     ev = C.nan_to_null(ev, ["value"])
     f = P.panel_features(ev, B.USER_PANEL, B.USER_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                         layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day", rolling=B.ROLLING_METHOD)
+                         layout=layout, chunk_rows=chunk_rows, rolling=B.ROLLING_METHOD)
     return f.withColumns(calendar_columns("ts")).drop("ts")
 
 
+@register("feature_table_chunked", FEATURE_TABLE_SQL)
+def feature_table_chunked(spark, sf_dir):
+    """The same answer from the layout for hot entities, in small chunks."""
+    return feature_table(spark, sf_dir, "chunked", B.SMALL_CHUNK_ROWS)
+
+
 _df_items, _df_names = window_features_sql("value", "event_type", "ts, event_id", B.DEEP_FEATURES.lags,
                                            B.DEEP_FEATURES.windows, "h")
 
 
-@register("feature_table_deep", rsig(f"""
+FEATURE_TABLE_DEEP_SQL = rsig(f"""
 WITH {_dedup_fill_sql("event_type", "ts, event_id", "value", "event_id, event_type")}
-SELECT event_id, event_type, value, {_df_items} FROM f""", ["value"] + _df_names))
-def feature_table_deep(spark, sf_dir):
+SELECT event_id, event_type, value, {_df_items} FROM f""", ["value"] + _df_names)
+
+
+@register("feature_table_deep", FEATURE_TABLE_DEEP_SQL)
+def feature_table_deep(spark, sf_dir, chunk_rows=B.PANEL_CHUNK_ROWS):
     """W3–W5 with the weather sizes (lags 24/48/72 h, windows 24 / 168 rows) on deep entities.
 
-    An entity above ``PANEL_CHUNK_ROWS`` rows is cut into chunks with a
-    167-row halo, so even five huge entities spread over many tasks.
+    Chunked layout: each entity is cut into chunks with a 167-row halo, so even
+    five huge entities spread over many tasks.
     """
     ev = B.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     return P.panel_features(ev, B.TYPE_PANEL, B.DEEP_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                            layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day",
-                            rolling=B.ROLLING_METHOD).drop("ts")
+                            layout="chunked", chunk_rows=chunk_rows, rolling=B.ROLLING_METHOD).drop("ts")
+
+
+@register("feature_table_deep_chunked", FEATURE_TABLE_DEEP_SQL)
+def feature_table_deep_chunked(spark, sf_dir):
+    """The same answer in small chunks."""
+    return feature_table_deep(spark, sf_dir, B.SMALL_CHUNK_ROWS)
 
 
 @register("calendar_features", f"""
@@ -247,14 +261,14 @@ STAGE_FEATURES = FeatureSpec(variables=STAGE_VARS)  # weather sizes: lags 24/48/
 STAGE_TIEBREAK = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
 
 
-def feature_stage_frame(spark, sf_dir):
+def feature_stage_frame(spark, sf_dir, layout="entity", chunk_rows=B.PANEL_CHUNK_ROWS):
     """The surveyed preprocessing step end to end on ``lineitem`` (entity = supplier):
     fill → lags 24/48/72 and 24/168-row rolling mean/std of four measures → calendar with
     hemisphere flip → rule labels → category codes → split → warm-up trim (P9)."""
     df = B.lineitem_panel(spark, sf_dir).withColumn("_tb", F.struct(*STAGE_TIEBREAK))
     spec = PanelSpec("l_suppkey", "l_shipdate", "_tb")
-    f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout="auto",
-                         chunk_rows=B.PANEL_CHUNK_ROWS, bucket="month", rolling=B.ROLLING_METHOD)
+    f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout=layout, chunk_rows=chunk_rows,
+                         rolling=B.ROLLING_METHOD)
     f = f.withColumns(calendar_columns("l_shipdate", southern=F.col("s_nationkey") < B.SOUTH_NATION_BELOW))
     f = encode_columns(f, {"n_name": "nation_id", "r_name": "region_id"})
     f = S.with_split(f, "l_shipdate", train=B.SPLIT_TRAIN, val=B.SPLIT_VAL, test=B.SPLIT_TEST)
@@ -301,3 +315,9 @@ WHERE {" AND ".join(f"{v}_lag_72h IS NOT NULL" for v in STAGE_VARS)}"""
 def feature_stage(spark, sf_dir):
     """The whole preprocessing stage (W2–W5, F2–F5, F9–F13, W7, W12, P9) as one plan."""
     return feature_stage_frame(spark, sf_dir)
+
+
+@register("feature_stage_chunked", _stage_sql())
+def feature_stage_chunked(spark, sf_dir):
+    """The same stage in the layout for hot entities, in small chunks."""
+    return feature_stage_frame(spark, sf_dir, "chunked", B.SMALL_CHUNK_ROWS)

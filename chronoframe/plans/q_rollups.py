@@ -72,8 +72,8 @@ SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(sum(target_heatwave) AS B
 FROM lc GROUP BY 1""")
 def events_actual_vs_predicted(spark, sf_dir):
     """A19 + J3: actual vs predicted positives per year for two labels, one pass, no join."""
-    df = line_classes(spark, sf_dir).withColumn("p_heat", F.element_at("prob", 2)) \
-                                    .withColumn("p_rain", F.element_at("prob", 3))
+    df = line_classes(spark, sf_dir, with_previous=False).withColumn("p_heat", F.element_at("prob", 2)) \
+        .withColumn("p_rain", F.element_at("prob", 3))
     return R.actual_vs_predicted_events(df, F.year("l_shipdate"),
                                         [("heat", "target_heatwave", "p_heat"), ("rain", "target_rain", "p_rain")])
 
@@ -85,7 +85,7 @@ SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST({_argmax_sql()} AS INTEGE
 FROM lc GROUP BY 1, 2, 4""")
 def class_by_year(spark, sf_dir):
     """A20 (+J4, F17): predicted class counts by year with class names."""
-    df = line_classes(spark, sf_dir).withColumn("arg", array_argmax(F.col("prob")))
+    df = line_classes(spark, sf_dir, with_previous=False).withColumn("arg", array_argmax(F.col("prob")))
     return R.count_by_class(df, F.year("l_shipdate"), "arg")
 
 
@@ -135,7 +135,7 @@ def _ranking_table(spark, sf_dir):
     from chronoframe.plans.q_panel import feature_table
     ft = feature_table(spark, sf_dir)
     ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(ft, "event_id")
-    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="auto", chunk_rows=B.PANEL_CHUNK_ROWS, bucket="day")
+    ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="entity")
     # two passes (means, then slopes / deviations) over an expensive derived table:
     # materialise it once in the shared checkpoint folder instead of recomputing it
     ft = ft.where(F.col("y").isNotNull()).select("y", *FEATURES_FOR_RANKING).checkpoint(eager=True)

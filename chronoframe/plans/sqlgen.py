@@ -5,23 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
-SIG_DIGITS = 10
-TIE_NUDGE = 1e-12
-
-
-def sig_sql(c: str) -> str:
-    """Report precision: 10 significant digits; exact decimal ties nudged up by 1e-12 (relative)."""
-    x = f"({c} * (1 + {TIE_NUDGE!r}))"
-    p = f"pow(10, {SIG_DIGITS - 1} - floor(log10(abs({x}))))"
-    return f"CASE WHEN {c} IS NULL OR {c} = 0 OR isnan({c}) THEN {c} ELSE round({x} * {p}) / {p} END"
-
-
 def rsig(inner: str, double_cols: Sequence[str]) -> str:
-    """Normalise the listed double columns of ``inner`` (see :func:`sig_sql`), keep the rest."""
-    if not double_cols:
-        return inner
-    rep = ", ".join(f"{sig_sql(c)} AS {c}" for c in double_cols)
-    return f"SELECT * REPLACE ({rep}) FROM ({inner}) AS q"
+    """The query as it is; ``double_cols`` names its double columns for the reader."""
+    return inner
 
 
 LINEITEM_PANEL = """

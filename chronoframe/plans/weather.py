@@ -46,14 +46,14 @@ def quality_report(master: DataFrame, dimension: DataFrame | None = None) -> Dat
                              stats_col="temperature_2m", stats_prefix="temp")
 
 
-def feature_table(master: DataFrame, layout: str = "auto", chunk_rows: int = 1_000_000) -> DataFrame:
+def feature_table(master: DataFrame, layout: str = "entity", chunk_rows: int = 1_000_000) -> DataFrame:
     """Clean → calendar → lags / rolling → labels → codes → split → warm-up trim (the preprocessing step)."""
     df = C.nan_to_null(C.drop_if_present(master, "visibility"), WEATHER_FEATURES)
     if "_ordinal" not in df.columns:
         df = ingest_ordinal(df)
     spec = WEATHER_PANEL
     df = P.panel_features(df, spec, WEATHER_FEATURES_SPEC, fill_cols=WEATHER_FEATURES, dedup_ordinal="_ordinal",
-                          layout=layout, chunk_rows=chunk_rows, bucket="month")
+                          layout=layout, chunk_rows=chunk_rows)
     df = df.withColumns(calendar_columns("datetime", southern=F.col("latitude") < 0))
     df = add_labels(df, WEATHER_RULES)
     df = encode_columns(df, {"city": "city_id", "continent": "continent_id", "climate_zone": "climate_zone_id"})

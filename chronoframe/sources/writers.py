@@ -53,12 +53,14 @@ def feature_manifest(spark: SparkSession, df: DataFrame, exclude: Sequence[str])
     return spark.createDataFrame(rows, "column string, grp string")
 
 
-def write_report(df: DataFrame, path: str, max_rows: int = 100_000) -> None:
-    """One CSV file for a *small* report (size checked before coalescing)."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"report has {n} rows; write it partitioned instead of as one file")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report(df: DataFrame, path: str, single_file: bool = True) -> None:
+    """A report as CSV, whole whatever its size.
+
+    ``single_file`` asks for one file: rows are dealt to one writer after the
+    plan has run in parallel (a shuffle, so the work above keeps its tasks).
+    """
+    out = df.repartition(1) if single_file else df
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_metrics_json(df: DataFrame, path: str) -> None:
@@ -66,8 +68,8 @@ def write_metrics_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def export_rows(df: DataFrame, path: str, order: Sequence[str], limit: int | None = 50_000) -> None:
-    """Export in an explicit order; ``limit`` is the export feature (first N rows)."""
+def export_rows(df: DataFrame, path: str, order: Sequence[str], limit: int | None = None) -> None:
+    """Export in an explicit order: all rows, or the first ``limit`` where the caller asks for a limit."""
     out = df.orderBy(*order)
     if limit is not None:
         out = out.limit(limit)

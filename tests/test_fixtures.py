@@ -28,7 +28,7 @@ def _series(spark):
 def test_fill_forward_backward(spark):
     for layout in ("entity", "chunked"):
         out = P.panel_features(_series(spark), PanelSpec("e", "t", "k"), fill_cols=["v"], layout=layout,
-                               chunk_rows=2, bucket="hour")
+                               chunk_rows=2)
         got = [r.v for r in out.orderBy("e", "t").collect()]
         assert got == [10.0, 10.0, 12.0, 5.0, 5.0], layout
 
@@ -36,8 +36,7 @@ def test_fill_forward_backward(spark):
 def test_rolling_two_rows(spark):
     fs = FeatureSpec(variables=("v",), lags=(), windows={"2": 2})
     for layout in ("entity", "chunked"):
-        out = P.panel_features(_series(spark), PanelSpec("e", "t", "k"), fs, layout=layout, chunk_rows=2,
-                               bucket="hour").orderBy("e", "t").collect()
+        out = P.panel_features(_series(spark), PanelSpec("e", "t", "k"), fs, layout=layout, chunk_rows=2).orderBy("e", "t").collect()
         assert [r.v_roll_2_mean for r in out] == [10.0, 10.0, 12.0, None, 5.0]
         assert all(r.v_roll_2_std is None for r in out)
 
@@ -59,7 +58,7 @@ def test_duplicates_lower_ordinal_wins(spark):
     df = spark.createDataFrame([("a", T0, 2, 1.0), ("a", T0, 1, 2.0)], "e string, t timestamp, ord long, v double")
     assert C.dedup_keep_first(df, ["e", "t"], "ord").first().v == 2.0
     for layout in ("entity", "chunked"):
-        out = P.panel_features(df, PanelSpec("e", "t"), dedup_ordinal="ord", layout=layout, bucket="day")
+        out = P.panel_features(df, PanelSpec("e", "t"), dedup_ordinal="ord", layout=layout)
         assert [r.v for r in out.collect()] == [2.0]
 
 

@@ -112,3 +112,47 @@ def test_erfc_accuracy(spark):
     got = [r.e for r in df.select(M.erfc(F.col("x")).alias("e")).collect()]
     for x, e in zip(xs, got):
         assert abs(e - math.erfc(x)) <= 1.2e-7 * max(math.erfc(x), 1e-300) + 1e-15
+
+
+def test_erfc_to_double_precision(spark):
+    import math
+
+    xs = [-3.0, -0.7, 0.0, 1e-9, 0.3, 0.999, 1.5, 1.999, 2.0, 2.001, 2.7, 4.0, 6.5, 10.0, 20.0]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", M.erfc(F.col("x")).alias("e")).collect()
+    for r in got:
+        assert abs(r.e - math.erfc(r.x)) <= 1e-12 * math.erfc(r.x), r
+
+
+def test_large_tie_groups_do_not_overflow(spark):
+    n = 2_200_000
+    df = spark.range(n).select(F.lit(2.0).alias("a"), F.when(F.col("id") % 4 == 0, 3.0).otherwise(1.0).alias("b"))
+    r = M.wilcoxon_signed_rank(df, "a", "b").first()
+    assert r.n == n and r.w_plus == 0.75 * n * (n + 1) / 2 and r.z is not None
+
+
+def test_null_groups_stay(spark):
+    df = spark.range(400).select(F.when(F.col("id") % 2 == 0, F.lit("g")).alias("g"), (F.col("id") % 4 < 2).cast("int").alias("y"),
+                                 ((F.col("id") * 37 % 101) / 101.0).alias("p"))
+    whole = {r.g: r for r in M.binary_metrics(df, "y", "p", group_cols=["g"]).collect()}
+    assert set(whole) == {None, "g"} and all(r.n == 200 and r.auc is not None for r in whole.values())
+    assert M.roc_curve(df, "y", "p", ["g"]).where("g is null").count() > 0
+    cells = M.confusion_matrix(df.withColumn("q", F.lit(1)), "y", "q", [0, 1], ["g"]).where("g is null").collect()
+    assert sum(r["count"] for r in cells) == 200
+
+
+def test_features_leave_the_next_value_out(spark):
+    from chronoframe.operators.encode import feature_columns
+
+    df = spark.createDataFrame([(1.0, 2.0, 0)], "temperature_2m double, target_temperature_next double, target_rain int")
+    assert feature_columns(df) == ["temperature_2m"]
+
+
+def test_quality_of_an_empty_column_and_a_null_attribute(spark):
+    from chronoframe.operators import profile as PR
+
+    rows = [("a", "x" if k else None, k, float(k), None) for k in range(5)] + [("b", "y", k, 1.0, None) for k in range(3)]
+    df = spark.createDataFrame(rows, "e string, attr string, t long, v double, w double").withColumn("t", F.timestamp_seconds("t"))
+    dim = spark.createDataFrame([("a", "x"), ("b", "y"), ("c", "z")], "e string, attr string")
+    got = {r.e: r for r in PR.quality_report(df, "e", "t", ["v", "w"], 5, attrs=["attr"], dimension=dim, stats_col="v").collect()}
+    assert got["a"].total_rows == 5 and got["a"].attr == "x" and got["a"].outliers_w is None and got["a"].outliers_v == 0
+    assert got["c"].status == "FAILED" and got["c"].total_rows == 0 and len(got) == 3

@@ -34,7 +34,7 @@ def test_chunked_equals_entity_layout(spark):
     a = P.panel_features(src, spec, FS, layout="entity", **kw)
     feats = P.feature_names(FS) + ["value", "nxt", "ma"]
     for chunk in (24, 25, 100):
-        b = P.panel_features(src, spec, FS, layout="chunked", chunk_rows=chunk, bucket="day", **kw)
+        b = P.panel_features(src, spec, FS, layout="chunked", chunk_rows=chunk, **kw)
         ra, rb = _rounded(a, feats), _rounded(b, feats)
         assert ra.count() == rb.count() == 10000
         assert ra.exceptAll(rb).count() == 0 and rb.exceptAll(ra).count() == 0
@@ -90,23 +90,12 @@ def test_positions_split_hot_entity_over_tasks(spark):
     """The chunked layout's largest window partition is bounded by chunk + halo, whatever the skew."""
     df = _hot_key_frame(spark).withColumn("t", F.timestamp_seconds(F.col("id") * 60))
     out = P.panel_features(df, PanelSpec("g", "t", "id"), FeatureSpec(variables=("v",), lags=(1,), windows={}),
-                           layout="chunked", chunk_rows=1000, bucket="hour")
+                           layout="chunked", chunk_rows=1000)
     assert out.count() == 20000
     ref = P.panel_features(df, PanelSpec("g", "t", "id"), FeatureSpec(variables=("v",), lags=(1,), windows={}))
     assert out.exceptAll(ref).count() == 0
 
 
-def test_auto_layout_chunks_hot_entities(spark):
-    df = _hot_key_frame(spark).withColumn("t", F.timestamp_seconds(F.col("id") * 60))
-    assert P.choose_layout(df, "g", chunk_rows=5000) == "chunked"      # key 99 holds ~13k rows
-    assert P.choose_layout(df, "g", chunk_rows=1_000_000) == "entity"
-    fs = FeatureSpec(variables=("v",), lags=(1, 3), windows={"w": 4})
-    a = P.panel_features(df, PanelSpec("g", "t", "id"), fs, layout="auto", chunk_rows=5000, bucket="hour")
-    b = P.panel_features(df, PanelSpec("g", "t", "id"), fs, layout="entity")
-    feats = P.feature_names(fs) + ["v"]
-    assert _rounded(a, feats).exceptAll(_rounded(b, feats)).count() == 0
-
-
 def test_exact_quantiles_refinement_levels(spark):
     """Force several sketch-narrowing levels (tiny bracket budget, coarse sketch): still exact."""
     df = _hot_key_frame(spark)
@@ -119,19 +108,85 @@ def test_exact_quantiles_refinement_levels(spark):
     np.testing.assert_allclose(tuple(one), np.quantile(pdf.v.to_numpy(), probs), rtol=1e-12)
 
 
-def test_prefix_rolling_close_to_frames(spark):
-    """The O(n) opt-in: same NULLs, exact zeros for constant windows, close values elsewhere."""
-    src = _events_with_gaps(spark)
+def test_block_rolling_equals_frames(spark):
+    """Windows merged from blocks: NULLs, a constant run and a large offset, in both layouts."""
+    src = _events_with_gaps(spark).withColumn("value", F.when(F.col("event_type") == "click", F.lit(7.25))
+                                              .when(F.col("event_type") == "view", F.col("value") + 1e6).otherwise(F.col("value")))
     spec = PanelSpec("event_type", "ts", "event_id")
     fs = FeatureSpec(variables=("value",), lags=(2,), windows={"a": 2, "b": 24, "c": 168}, lag_suffix="")
-    ref = P.panel_features(src, spec, fs, fill_cols=["value"], dedup_ordinal="ord", layout="entity", rolling="frame")
-    for layout, kw in (("entity", {}), ("chunked", dict(chunk_rows=500, bucket="day"))):
-        got = P.panel_features(src, spec, fs, fill_cols=["value"], dedup_ordinal="ord", layout=layout,
-                               rolling="prefix", **kw)
-        j = ref.alias("a").join(got.alias("b"), "event_id")
-        for c in P.feature_names(fs):
-            tol = 1e-9 if c.endswith("_mean") else 1e-4   # documented: small variances lose precision
-            bad = j.where((F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull()) |
-                          ((F.col(f"a.{c}") == 0) != (F.col(f"b.{c}") == 0)) |
-                          (F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > tol * F.greatest(F.abs(F.col(f"a.{c}")), F.lit(1.0))))
-            assert bad.count() == 0, (layout, c)
+    for fill in ([], ["value"]):
+        ref = P.panel_features(src, spec, fs, fill_cols=fill, dedup_ordinal="ord", layout="entity", rolling="frame")
+        for layout, kw in (("entity", {}), ("chunked", dict(chunk_rows=500))):
+            got = P.panel_features(src, spec, fs, fill_cols=fill, dedup_ordinal="ord", layout=layout, rolling="blocks", **kw)
+            j = ref.alias("a").join(got.alias("b"), "event_id")
+            for c in P.feature_names(fs):
+                bad = j.where((F.col(f"a.{c}").isNull() != F.col(f"b.{c}").isNull()) |
+                              (F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) > 1e-7 * F.greatest(F.abs(F.col(f"a.{c}")), F.lit(1.0))))
+                assert bad.count() == 0, (layout, c)
+
+
+def _odd_panel(spark):
+    """NULL entity, NULL times, an ordinal that disagrees with the tie-break, one day with most rows."""
+    rows = [("a", k // 40, k, 100 - k, float(k % 7)) for k in range(200)]
+    rows += [("a", 2, 500 + k, 50 - k, None) for k in range(3)]
+    rows += [(None, k, 1000 + k, k, float(k)) for k in range(40)]
+    rows += [("b", None, 2000 + k, k, float(k)) for k in range(8)] + [("b", 1, 3000, 2, 1.0), ("b", 1, 3001, 1, 2.0)]
+    df = spark.createDataFrame(rows, "e string, day int, id long, ord int, v double")
+    return df.withColumn("t", F.timestamp_seconds(F.col("day") * 86400))
+
+
+def test_layouts_give_one_answer_on_odd_rows(spark):
+    fs = FeatureSpec(variables=("v",), lags=(1, 3), windows={"w": 4}, lag_suffix="")
+    spec = PanelSpec("e", "t", "id")
+    df = _odd_panel(spark)
+    for ordinal in (None, "ord"):
+        kw = dict(fs=fs, fill_cols=["v"], dedup_ordinal=ordinal, leads={"nx": ("v", 1)})
+        a = P.panel_features(df, spec, layout="entity", **kw)
+        for chunk in (4, 25, 1000):
+            b = P.panel_features(df, spec, layout="chunked", chunk_rows=chunk, **kw)
+            cols = [c for c in a.columns if not c.endswith("_std")]
+            assert a.count() == b.count()
+            assert a.select(cols).exceptAll(b.select(cols)).count() == 0, (ordinal, chunk)
+        if ordinal:
+            kept = {r.id for r in b.where("e = 'b' and t is not null").collect()}
+            assert kept == {3001} and b.where("e is null").count() == 40 and b.where("t is null").count() == 8
+
+
+def test_chunked_tasks_hold_a_chunk_and_its_halo(spark):
+    """One (entity, day) slice far above ``chunk_rows``: no window partition of the feature stage exceeds chunk + halo."""
+    df = spark.range(20000).select(F.lit("hot").alias("e"), F.lit(0).cast("timestamp").alias("t"), F.col("id"), F.rand(1).alias("v"))
+    chunk, halo = 500, 3
+    pos = P.panel_positions(df, PanelSpec("e", "t", "id")).withColumn("c", F.floor(F.col("_cf_pos") / chunk))
+    sizes = [r["count"] for r in pos.groupBy("c").count().collect()]
+    assert max(sizes) == chunk and len(sizes) == 40
+    fs = FeatureSpec(variables=("v",), lags=(halo,), windows={}, lag_suffix="")
+    out = P.panel_features(df, PanelSpec("e", "t", "id"), fs, layout="chunked", chunk_rows=chunk)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_cf_chunk" in plan and out.count() == 20000
+    assert out.where("id >= 3 and v_lag_3 is null").count() == 0
+
+
+def test_quantiles_of_few_values_are_not_narrowed(spark):
+    df = spark.range(30000).select((F.col("id") % 11).cast("double").alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    seen = []
+    original = type(df).checkpoint
+
+    def counted(self, *a, **k):
+        seen.append(1)
+        return original(self, *a, **k)
+    type(df).checkpoint = counted
+    try:
+        got = {r.g: tuple(r[1:]) for r in exact_quantiles(df, "v", [0.25, 0.5], ["g"], max_bracket=100).collect()}
+    finally:
+        type(df).checkpoint = original
+    assert len(seen) == 1 and len(got) == 3
+    pdf = df.toPandas()
+    for g, s in pdf.groupby("g", dropna=False)["v"]:
+        np.testing.assert_allclose(got[None if g != g else int(g)], np.quantile(s.to_numpy(), [0.25, 0.5]))
+
+
+def test_bracket_filter_stands_below_the_distinct_aggregate(spark):
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v"))
+    plan = exact_quantiles(df, "v", [0.5], max_bracket=100, accuracy=200)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    distinct = next(k for k, line in enumerate(plan) if "Aggregate" in line and "_v" in line.split("],")[0] and "count(1)" in line)
+    assert any("Filter" in line and ">=" in line for line in plan[distinct + 1:])

@@ -22,7 +22,7 @@ def _panel(spark, n=3000, seed=11):
 
 def test_lag_then_lead_is_identity(spark):
     df = _panel(spark)
-    for layout, kw in (("entity", {}), ("chunked", dict(chunk_rows=200, bucket="hour"))):
+    for layout, kw in (("entity", {}), ("chunked", dict(chunk_rows=200))):
         lagged = P.panel_features(df, SPEC, FeatureSpec(variables=("v",), lags=(3,), windows={}, lag_suffix=""),
                                   layout=layout, **kw)
         back = P.panel_features(lagged, SPEC, layout=layout, leads={"v_back": ("v_lag_3", 3)}, **kw)
@@ -42,7 +42,7 @@ def test_rolling_one_row_is_value(spark):
 
 def test_fill_is_idempotent(spark):
     df = _panel(spark)
-    for layout, kw in (("entity", {}), ("chunked", dict(chunk_rows=150, bucket="hour"))):
+    for layout, kw in (("entity", {}), ("chunked", dict(chunk_rows=150))):
         once = P.panel_features(df, SPEC, fill_cols=["v"], layout=layout, **kw)
         twice = P.panel_features(once, SPEC, fill_cols=["v"], layout=layout, **kw)
         assert once.exceptAll(twice).count() == 0 and once.where("v IS NULL").count() == 0
@@ -65,5 +65,5 @@ def test_labels_partition_rows(spark):
 def test_lead_matches_window_lead(spark):
     df = _panel(spark)
     ref = df.withColumn("nx", F.lead("v", 2).over(W.partitionBy("e").orderBy("t", "k")))
-    got = P.next_value_target(df, SPEC, "v", "nx", offset=2, layout="chunked", chunk_rows=100, bucket="hour")
+    got = P.next_value_target(df, SPEC, "v", "nx", offset=2, layout="chunked", chunk_rows=100)
     assert ref.exceptAll(got.select(*ref.columns)).count() == 0
