@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -21,13 +22,19 @@ def register(name: str, sql: str | None = None):
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
-        return run
+        return fn
     return deco
 
 
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    """Doubles rounded to ``digits`` decimals: for registered queries whose exact decimal ties two engines'
+    summation orders would print differently. The operators themselves return raw doubles."""
+    return df.withColumns({c: F.round(c, digits) for c, kind in df.dtypes if kind == "double"})
+
+
 def _load_modules() -> None:
     # Importing the modules registers their queries.
     from chronoframe.plans import q_labels, q_panel, q_profile, q_metrics, q_rollups, q_ml  # noqa: F401
 
 
-__all__ = ["QUERIES", "ORACLE", "register"]
+__all__ = ["QUERIES", "ORACLE", "register", "rounded"]

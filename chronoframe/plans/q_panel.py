@@ -12,11 +12,12 @@ from chronoframe.operators import rollups as R
 from chronoframe.operators import splits as S
 from chronoframe.operators.encode import encode_columns, lookup_with_default
 from chronoframe.plans import bindings as B
-from chronoframe.plans.catalog import register
+from chronoframe.plans.catalog import register, rounded
 from chronoframe.plans.sqlgen import (LINEITEM_PANEL, MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig,
                                       season_sql,
                                       window_features_sql)
 
+TIE_DIGITS = 9   # of registered feature tables: sums of two-decimal inputs end in exact ties
 
 
 def _dedup_fill_sql(part: str, order: str, v: str, extra_cols: str) -> str:
@@ -62,7 +63,7 @@ _df_items, _df_names = window_features_sql("value", "event_type", "ts, event_id"
 
 FEATURE_TABLE_DEEP_SQL = rsig(f"""
 WITH {_dedup_fill_sql("event_type", "ts, event_id", "value", "event_id, event_type")}
-SELECT event_id, event_type, value, {_df_items} FROM f""", ["value"] + _df_names)
+SELECT event_id, event_type, value, {_df_items} FROM f""", ["value"] + _df_names, TIE_DIGITS)
 
 
 @register("feature_table_deep", FEATURE_TABLE_DEEP_SQL)
@@ -73,8 +74,9 @@ def feature_table_deep(spark, sf_dir, chunk_rows=B.PANEL_CHUNK_ROWS):
     five huge entities spread over many tasks.
     """
     ev = B.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    return P.panel_features(ev, B.TYPE_PANEL, B.DEEP_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
-                            layout="chunked", chunk_rows=chunk_rows, rolling=B.ROLLING_METHOD).drop("ts")
+    f = P.panel_features(ev, B.TYPE_PANEL, B.DEEP_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
+                         layout="chunked", chunk_rows=chunk_rows, rolling=B.ROLLING_METHOD)
+    return rounded(f.drop("ts"), TIE_DIGITS)
 
 
 @register("feature_table_deep_chunked", FEATURE_TABLE_DEEP_SQL)
@@ -308,16 +310,16 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {", ".join(STAGE_VARS)},
   nation_id, region_id, {SPLIT_EXPR.format(c="l_shipdate")} AS split
 FROM f1 JOIN a USING (n_name) JOIN b USING (r_name)
 WHERE {" AND ".join(f"{v}_lag_72h IS NOT NULL" for v in STAGE_VARS)}"""
-    return rsig(sql, list(STAGE_VARS) + ["heatwave_threshold"] + names)
+    return rsig(sql, list(STAGE_VARS) + ["heatwave_threshold"] + names, TIE_DIGITS)
 
 
 @register("feature_stage", _stage_sql())
 def feature_stage(spark, sf_dir):
     """The whole preprocessing stage (W2–W5, F2–F5, F9–F13, W7, W12, P9) as one plan."""
-    return feature_stage_frame(spark, sf_dir)
+    return rounded(feature_stage_frame(spark, sf_dir), TIE_DIGITS)
 
 
 @register("feature_stage_chunked", _stage_sql())
 def feature_stage_chunked(spark, sf_dir):
     """The same stage in the layout for hot entities, in small chunks."""
-    return feature_stage_frame(spark, sf_dir, "chunked", B.SMALL_CHUNK_ROWS)
+    return rounded(feature_stage_frame(spark, sf_dir, "chunked", B.SMALL_CHUNK_ROWS), TIE_DIGITS)

@@ -11,7 +11,7 @@ from chronoframe.operators import rollups as R
 from chronoframe.operators.ordered import exact_quantiles
 from chronoframe.operators.scalars import with_scalars
 from chronoframe.plans import bindings as B
-from chronoframe.plans.catalog import register
+from chronoframe.plans.catalog import register, rounded
 from chronoframe.plans.q_metrics import (LINE_CLASSES_CTE, LINE_CLASSES_NATION_CTE, LINE_ORDER, ORDER_PRED_CTE, _argmax_sql, _grouped_sql,
                                          _test, line_classes, order_predictions)
 from chronoframe.plans.sqlgen import CLASS_NAMES_SQL, MONTH_NAMES_SQL, rsig
@@ -113,10 +113,10 @@ f AS (SELECT c_nationkey, regr_slope(mean_price, year) AS slope, regr_intercept(
              max(year) AS xmax FROM y GROUP BY 1)
 SELECT c_nationkey, CAST(xmax + h AS INTEGER) AS year, slope, intercept, intercept + slope * (xmax + h) AS projected,
   intercept + slope * (xmax + h) - 1.5 AS projected_lo, intercept + slope * (xmax + h) + 1.5 AS projected_hi
-FROM f, range(2) t(h)""", ["slope", "intercept", "projected", "projected_lo", "projected_hi"]))
+FROM f, range(2) t(h)""", ["slope", "intercept", "projected", "projected_lo", "projected_hi"], 4))
 def trend_projection(spark, sf_dir):
     """Per-entity linear trend over yearly means, projected to the last and next year ± 1.5."""
-    return R.linear_trend_projection(_yearly(spark, sf_dir), "c_nationkey", "year", "mean_price")
+    return rounded(R.linear_trend_projection(_yearly(spark, sf_dir), "c_nationkey", "year", "mean_price"), 4)
 
 
 # ------------------------------------------------------------ attribution ranking

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 
-def rsig(inner: str, double_cols: Sequence[str]) -> str:
-    """The query as it is; ``double_cols`` names its double columns for the reader."""
-    return inner
+def rsig(inner: str, double_cols: Sequence[str], digits: int | None = None) -> str:
+    """The query as it is (``double_cols`` names its double columns); with ``digits`` these are rounded."""
+    if digits is None:
+        return inner
+    return f"SELECT * REPLACE ({', '.join(f'round({c}, {digits}) AS {c}' for c in double_cols)}) FROM ({inner}) AS q"
 
 
 LINEITEM_PANEL = """
