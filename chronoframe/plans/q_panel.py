@@ -216,14 +216,15 @@ def worklist_missing(spark, sf_dir):
 
 
 @register("cache_keys", """
-SELECT o_custkey, md5(concat_ws('_', o_custkey, min(year(o_orderdate)), max(year(o_orderdate)))) AS cache_key
+SELECT o_custkey, md5(concat_ws('_', o_custkey, min(year(o_orderdate)), max(year(o_orderdate)), 'o_shippriority,o_totalprice')) AS cache_key
 FROM orders GROUP BY o_custkey""")
 def cache_keys(spark, sf_dir):
-    """md5 cache key of (entity, first year, last year)."""
+    """md5 cache key of (entity, first year, last year, sorted list of the variables)."""
+    variables = ",".join(sorted(["o_totalprice", "o_shippriority"]))
     o = B.table(spark, sf_dir, "orders")
     g = o.groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
     return g.select("o_custkey", F.md5(F.concat_ws("_", F.col("o_custkey").cast("string"), F.col("a").cast("string"),
-                                                   F.col("b").cast("string"))).alias("cache_key"))
+                                                   F.col("b").cast("string"), F.lit(variables))).alias("cache_key"))
 
 
 @register("sorted_distinct", """

@@ -239,11 +239,13 @@ def preview_head(spark, sf_dir):
     return top.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
-@register("seeded_sample")
+@register("seeded_sample", """
+SELECT event_id, user_id, event_type, value FROM events
+ORDER BY md5(concat('42-', CAST(event_id AS VARCHAR))), event_id LIMIT 2000""")
 def seeded_sample(spark, sf_dir):
-    """Exact-n deterministic sample (n = 2000, seed 42) — a sampling operator, rows-only check."""
+    """Exact-n deterministic sample (n = 2000, seed 42) — the rows of least keyed md5."""
     ev = B.table(spark, sf_dir, "events")
-    key = F.xxhash64(F.col("event_id"), F.lit(42))
+    key = F.md5(F.concat(F.lit("42-"), F.col("event_id").cast("string")))
     return ev.orderBy(key, F.col("event_id")).limit(2000).select("event_id", "user_id", "event_type", "value")
 
 
