@@ -117,7 +117,25 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- op4, op5 --------------------------------------------------------------------------------------------------------
 
-@query("op4_substring_dedup")
+_SPLIT = "regexp_split_to_array({text}, '[ \\x09-\\x0D]+')"
+OP4_SQL = f"""
+WITH docs AS (SELECT doc_id, list_filter({_SPLIT.format(text="coalesce(text, '')")}, lambda x: x <> '') AS words FROM documents),
+word AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM docs),
+win AS (SELECT *, string_agg(word, ' ') OVER w AS s, count(*) OVER w AS n FROM word
+        WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+seen AS (SELECT s, min(doc_id) AS first FROM win WHERE n = 13 GROUP BY s),
+marked AS (SELECT win.doc_id, i, word, coalesce(first < win.doc_id, false) AS repeats
+           FROM win LEFT JOIN seen ON win.n = 13 AND win.s = seen.s),
+gone AS (SELECT *, bool_or(repeats) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW) AS out FROM marked),
+one AS (SELECT doc_id, count(*) AS n_words, count_if(out) AS n_removed,
+               coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT out), '') AS kept FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN one USING (doc_id)
+"""
+
+
+@query("op4_substring_dedup", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronoframe.llm.substring_dedup import dedup
 
@@ -135,7 +153,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- op3 -------------------------------------------------------------------------------------------------------------
 
-@query("op3_ngram_jaccard_join")
+OP3_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter({_SPLIT.format(text=f"translate(coalesce(text, ''), {_ASCII})")}, lambda x: x <> '') AS words FROM documents),
+word AS (SELECT doc_id, len(words) AS size, unnest(words) AS word, unnest(range(len(words))) AS i FROM docs),
+win AS (SELECT doc_id, size, i, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS s FROM word),
+sets AS (SELECT DISTINCT doc_id, s FROM win WHERE i <= size - 4 OR (size < 4 AND i = 0)),
+size AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce((SELECT min(b) FROM reach WHERE a = d.doc_id), d.doc_id)) AS component_id
+FROM docs d LEFT JOIN size ON size.doc_id = d.doc_id
+"""
+
+
+@query("op3_ngram_jaccard_join", OP3_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronoframe.llm.ngram_join import components
 
