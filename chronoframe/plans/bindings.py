@@ -43,8 +43,16 @@ LINE_PROB_COLS = ("l_discount", "l_tax", "l_quantity", "l_extendedprice")
 LINE_PROB_SCALE = (0.1, 0.08, 50.0, 105000.0)
 
 
+class DirtyDir(str):
+    """A table folder whose tables get faults put in by rule (:mod:`chronoframe.plans.q_dirty`)."""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if isinstance(sf_dir, DirtyDir):
+        from chronoframe.plans.q_dirty import soil
+        return soil(df, name)
+    return df
 
 
 def nation_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
