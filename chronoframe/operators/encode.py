@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronoframe.config import FEATURE_EXCLUDE
 from chronoframe.operators.ordered import global_row_index
 
-__all__ = ["category_codes", "encode_columns", "lookup_with_default", "feature_columns",
+__all__ = ["category_codes", "fit_encoders", "save_encoders", "load_encoders", "encode_columns", "lookup_with_default", "feature_columns",
            "pinned_features", "columns_matching"]
 
 
@@ -25,6 +28,27 @@ def category_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame
     return global_row_index(d, [col], out="_cf_code").select(col, F.col("_cf_code").cast("int").alias(out or f"{col}_id"))
 
 
+def fit_encoders(values: DataFrame, mapping: Mapping[str, str]) -> dict[str, DataFrame]:
+    """W7 encoders for a small table of the values present (a dimension): codes by rank, no pass over the facts."""
+    return {col: values.select(col).where(F.col(col).isNotNull()).distinct()
+            .select(col, (F.dense_rank().over(W.partitionBy().orderBy(col)) - 1).cast("int").alias(code))
+            for col, code in mapping.items()}
+
+
+def save_encoders(encoders: Mapping[str, DataFrame], path: str) -> None:
+    """Q7: one table of (column, value, code) to serve with; codes stay those of the fit."""
+    rows = [e.select(F.lit(col).alias("column"), F.col(col).cast("string").alias("value"), F.col(e.columns[1]).alias("code"))
+            for col, e in encoders.items()]
+    reduce(DataFrame.unionByName, rows).write.mode("overwrite").partitionBy("column").parquet(path)
+
+
+def load_encoders(spark: SparkSession, path: str, mapping: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Encoders written by :func:`save_encoders`, for ``encode_columns(..., encoders=)``."""
+    rows = spark.read.parquet(path)
+    return {col: rows.where(F.col("column") == col).select(F.col("value").alias(col), F.col("code").cast("int").alias(code))
+            for col, code in mapping.items()}
+
+
 def encode_columns(df: DataFrame, mapping: Mapping[str, str], encoders: Mapping[str, DataFrame] | None = None,
                    missing: int = -1) -> DataFrame:
     """Attach codes for several columns; NULL or unseen values → ``missing`` (-1).

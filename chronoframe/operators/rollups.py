@@ -37,22 +37,16 @@ def label_distribution(df: DataFrame, entity: str, labels: Sequence[tuple[str, s
                        class_prefix: str = "disaster_") -> DataFrame:
     """A10: per-entity totals, label counts / percentages and class shares (one pass).
 
-    ``attrs`` are constants of the entity and join the grouping key: string
-    ``min``/``first`` buffers would force a sort-based aggregation.
+    ``attrs`` are constants of the entity: the facts are aggregated by (entity,
+    attributes) with hash aggregates, then combined per entity, so a NULL
+    attribute on some rows does not split the entity.
     """
-    aggs = []
-    if threshold_col:
-        aggs.append(F.min(threshold_col).cast("double").alias(threshold_alias))
-    aggs.append(F.count(F.lit(1)).cast("long").alias(total_name))
-    for name, col in labels:
-        aggs += [F.sum(col).cast("long").alias(f"{name}{count_suffix}"),
-                 _pct(F.avg(F.col(col).cast("double"))).alias(f"{name}_pct")]
-    for k, cname in classes:
-        aggs.append(_pct(F.avg((F.col(class_col) == k).cast("double"))).alias(f"{class_prefix}{cname}_pct"))
-    return df.groupBy(entity, *attrs).agg(*aggs)
+    parts = label_partials(df, [entity, *attrs], labels, class_col, classes, threshold_col)
+    return label_distribution_from_partials(parts, entity, labels, classes, attrs, bool(threshold_col), threshold_alias,
+                                            count_suffix, total_name, class_prefix)
 
 
-def label_partials(df: DataFrame, key: str, labels: Sequence[tuple[str, str]], class_col: str,
+def label_partials(df: DataFrame, key: str | Sequence[str], labels: Sequence[tuple[str, str]], class_col: str,
                    classes: Sequence[tuple[int, str]], threshold_col: str | None = None) -> DataFrame:
     """A10, first level: decomposable per-``key`` partials (rows, label sums, class counts, min threshold).
 
@@ -64,7 +58,7 @@ def label_partials(df: DataFrame, key: str, labels: Sequence[tuple[str, str]], c
         aggs.append(F.min(threshold_col).cast("double").alias("_thr"))
     aggs += [F.sum(F.col(col).cast("long")).alias(f"_l_{name}") for name, col in labels]
     aggs += [F.count_if(F.col(class_col) == k).alias(f"_k_{cname}") for k, cname in classes]
-    return df.groupBy(key).agg(*aggs)
+    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(*aggs)
 
 
 def label_distribution_from_partials(partials: DataFrame, entity: str, labels: Sequence[tuple[str, str]],
@@ -83,7 +77,9 @@ def label_distribution_from_partials(partials: DataFrame, entity: str, labels: S
                  _pct(F.sum(f"_l_{name}") / n).alias(f"{name}_pct")]
     for _, cname in classes:
         aggs.append(_pct(F.sum(f"_k_{cname}") / n).alias(f"{class_prefix}{cname}_pct"))
-    return partials.groupBy(entity, *attrs).agg(*aggs)
+    order = [entity, *attrs, *[c for c in [threshold_alias] if threshold], total_name]
+    out = partials.groupBy(entity).agg(*aggs, *[F.max(a).alias(a) for a in attrs])
+    return out.select(*order, *[c for c in out.columns if c not in order])
 
 
 def label_totals(df: DataFrame, labels: Sequence[tuple[str, str]]) -> DataFrame:

@@ -10,7 +10,7 @@ from chronoframe.operators import clean as C
 from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators import splits as S
-from chronoframe.operators.encode import encode_columns, lookup_with_default
+from chronoframe.operators.encode import encode_columns, fit_encoders, lookup_with_default
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register, rounded
 from chronoframe.plans.sqlgen import (LINEITEM_PANEL, MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig,
@@ -273,7 +273,12 @@ def feature_stage_frame(spark, sf_dir, layout="entity", chunk_rows=B.PANEL_CHUNK
     f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout=layout, chunk_rows=chunk_rows,
                          rolling=B.ROLLING_METHOD)
     f = f.withColumns(calendar_columns("l_shipdate", southern=F.col("s_nationkey") < B.SOUTH_NATION_BELOW))
-    f = encode_columns(f, {"n_name": "nation_id", "r_name": "region_id"})
+    codes = {"n_name": "nation_id", "r_name": "region_id"}
+    # fitted on the dimension rows that have facts (at most 25): the facts are read for their supplier keys alone
+    present = B.supplier_nation(spark, sf_dir).join(B.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct(),
+                                                    "s_suppkey", "left_semi").select(*codes).distinct()
+    encoders = {c: F.broadcast(e) for c, e in fit_encoders(present, codes).items()}
+    f = encode_columns(f, codes, encoders)
     f = S.with_split(f, "l_shipdate", train=B.SPLIT_TRAIN, val=B.SPLIT_VAL, test=B.SPLIT_TEST)
     f = C.drop_null_rows(f, [f"{v}_lag_72h" for v in STAGE_VARS])
     return f.drop("_tb", "l_returnflag", "l_linestatus", "l_shipdate", "s_nationkey", "n_name", "r_name")

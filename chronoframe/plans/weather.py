@@ -46,8 +46,8 @@ def quality_report(master: DataFrame, dimension: DataFrame | None = None) -> Dat
                              stats_col="temperature_2m", stats_prefix="temp")
 
 
-def feature_table(master: DataFrame, layout: str = "entity", chunk_rows: int = 1_000_000) -> DataFrame:
-    """Clean → calendar → lags / rolling → labels → codes → split → warm-up trim (the preprocessing step)."""
+def labelled_table(master: DataFrame, layout: str = "entity", chunk_rows: int = 1_000_000) -> DataFrame:
+    """Clean → calendar → lags / rolling → labels → codes → split, every hour kept: what the label reports count."""
     df = C.nan_to_null(C.drop_if_present(master, "visibility"), WEATHER_FEATURES)
     if "_ordinal" not in df.columns:
         df = ingest_ordinal(df)
@@ -57,9 +57,14 @@ def feature_table(master: DataFrame, layout: str = "entity", chunk_rows: int = 1
     df = df.withColumns(calendar_columns("datetime", southern=F.col("latitude") < 0))
     df = add_labels(df, WEATHER_RULES)
     df = encode_columns(df, {"city": "city_id", "continent": "continent_id", "climate_zone": "climate_zone_id"})
-    df = S.with_split(df, "datetime")
+    return S.with_split(df, "datetime").drop("_ordinal")
+
+
+def feature_table(master: DataFrame, layout: str = "entity", chunk_rows: int = 1_000_000) -> DataFrame:
+    """The labelled table without its warm-up rows (the preprocessing step)."""
+    df = labelled_table(master, layout, chunk_rows)
     lag72 = [f"{v}_lag_72h" for v in WEATHER_FEATURES_SPEC.variables]
-    return C.drop_null_rows(df, lag72).drop("_ordinal")
+    return C.drop_null_rows(df, lag72)
 
 
 def target_distribution_report(labelled: DataFrame) -> DataFrame:

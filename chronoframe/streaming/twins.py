@@ -7,7 +7,7 @@ batch operators, each with a batch twin used in the tests:
 * T2 ``stream_daily_rollup`` — A26 without gap rows (tumbling windows);
 * T3 ``stream_labels`` — F9–F13 (stateless);
 * T4 ``stream_lag_features`` — W3/W4 with a per-entity bounded ring buffer
-  in ``applyInPandasWithState`` (state ≤ ``history`` rows per entity).
+  in ``applyInPandasWithState`` (state: as many rows per entity as the largest lag or window).
 """
 
 from __future__ import annotations
@@ -53,35 +53,37 @@ def stream_labels(stream: DataFrame, rules: LabelRules) -> DataFrame:
 
 
 def stream_lag_features(stream: DataFrame, entity: str, ts: str, tiebreak: str, value: str,
-                        lags: tuple[int, ...] = (1, 2), window: int = 3, history: int = 8) -> DataFrame:
+                        lags: tuple[int, ...] = (1, 2), window: int = 3) -> DataFrame:
     """T4: positional lags and a trailing mean per entity across micro-batches.
 
-    Each entity keeps its last ``history`` (ts, tiebreak, value) rows as state;
-    new rows of a micro-batch are ordered after the buffer and get their
-    features from buffer + batch. Rows must arrive in order per entity
-    (late rows are appended in arrival order).
+    Each entity keeps as many of its last (ts, tiebreak, value) rows as the
+    largest lag or window needs; new rows of a micro-batch are merged with them
+    in (ts, tiebreak) order and get their features from what comes before. A
+    row later than the buffer reaches sees the buffered rows that precede it;
+    rows already emitted are not sent again.
     """
-    if history < max(max(lags), window - 1):
-        raise ValueError("history must cover the largest lag / window")
+    history = max(max(lags), window - 1)
+    kind = {c: stream.schema[c].dataType.simpleString() for c in (entity, tiebreak)}
     lag_cols = [f"{value}_lag_{k}" for k in lags]
-    out_schema = (f"{entity} long, {tiebreak} long, {value} double, "
+    out_schema = (f"{entity} {kind[entity]}, {tiebreak} {kind[tiebreak]}, {value} double, "
                   + ", ".join(f"{c} double" for c in lag_cols) + f", {value}_mean_{window} double")
     state_schema = "buf string"
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         prev = json.loads(state.get[0]) if state.exists else []
         new = pd.concat(list(batches), ignore_index=True).sort_values([ts, tiebreak])
-        vals = [p[2] for p in prev] + new[value].astype(float).tolist()
-        n_prev = len(prev)
-        s = pd.Series(vals, dtype="float64")
-        out = pd.DataFrame({entity: new[entity].to_numpy(), tiebreak: new[tiebreak].to_numpy(),
-                            value: new[value].astype(float).to_numpy()})
+        old = pd.DataFrame({ts: pd.to_datetime([p[0] for p in prev]).astype(new[ts].dtype), tiebreak: [p[1] for p in prev],
+                            value: [p[2] for p in prev], "_new": False})
+        both = pd.concat([old, new[[ts, tiebreak, value]].assign(_new=True)], ignore_index=True) if prev else new[[ts, tiebreak, value]].assign(_new=True)
+        both = both.sort_values([ts, tiebreak], kind="stable", ignore_index=True)
+        s = both[value].astype(float)
+        out = pd.DataFrame({entity: [new[entity].iloc[0]] * len(both), tiebreak: both[tiebreak], value: s})
         for k, c in zip(lags, lag_cols):
-            out[c] = s.shift(k).iloc[n_prev:].to_numpy()
-        out[f"{value}_mean_{window}"] = s.rolling(window, min_periods=1).mean().iloc[n_prev:].to_numpy()
-        rows = prev + [[str(a), int(b), float(c)] for a, b, c in
-                       zip(new[ts].astype(str), new[tiebreak], new[value].astype(float))]
-        state.update((json.dumps(rows[-history:]),))
+            out[c] = s.shift(k)
+        out[f"{value}_mean_{window}"] = s.rolling(window, min_periods=1).mean()
+        out = out[both["_new"].to_numpy(dtype=bool)]
+        last = both.tail(history)
+        state.update((json.dumps([[str(a), b.item() if hasattr(b, "item") else b, float(c)] for a, b, c in zip(last[ts], last[tiebreak], last[value])]),))
         yield out
 
     return stream.groupBy(entity).applyInPandasWithState(step, out_schema, state_schema, "append",

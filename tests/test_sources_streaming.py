@@ -104,7 +104,7 @@ def test_stream_daily_rollup(spark, tmp_dir):
 
 def test_stream_lag_features_equal_batch(spark, tmp_dir):
     ev, st = _stream_dir(spark, tmp_dir)
-    out = _run(T.stream_lag_features(st, "user_id", "ts", "event_id", "value", lags=(1, 2), window=3, history=4),
+    out = _run(T.stream_lag_features(st, "user_id", "ts", "event_id", "value", lags=(1, 2), window=3),
                "t4")
     batch = P.panel_features(ev, PanelSpec("user_id", "ts", "event_id"),
                              windows={"value_mean_3": ("value", 3)}).withColumns(
