@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chronoframe.llm.storage import checkpointed
+
 
 def _least(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("m"))
@@ -19,14 +21,14 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     task: minima are partial aggregates, and the joins can be split where a
     key is heavy. Every round is a checkpoint.
     """
-    edges = links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("u <> v").distinct().checkpoint()
+    edges = checkpointed(links.select(F.least(a, b).alias("v"), F.greatest(a, b).alias("u")).where("u <> v").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
         least = _least(large)
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
-        edges = small.checkpoint()
+        edges = checkpointed(small)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

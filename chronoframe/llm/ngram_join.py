@@ -16,7 +16,9 @@ link when ``100 * intersection >= percent * union``.
    family of copies the original). Classes linked to the same leader need not
    meet again, so a family of thousands of near copies takes as many checks,
    not its square. Then all other group pairs of a shared n-gram are taken.
-4. *Verification* expands groups to classes and compares whole sets.
+4. *Verification* expands groups to classes, rules pairs out by counts of their
+   n-grams in parts of the hash range (an upper bound of the intersection), and
+   compares the whole sets of the rest.
 
 Result: per document its set size and component (least id reachable by links).
 
@@ -36,9 +38,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronoframe.llm.arrays import LOWER, U64, chunks, mix, poly, word_hashes, word_spans
+from chronoframe.llm.bitmaps import having
 from chronoframe.llm.components import connected_components
+from chronoframe.llm.storage import checkpointed, document_batches
 
 LOCAL_MIN, BLOCK, HOT_NGRAMS, HOT_MIN = 3, 4_000_000, 200_000, 16
+#: Parts of the hash range in which a set's n-grams are counted: two sets share no more than the sum of the smaller counts.
+BIN_BITS = 8
+BINS = 1 << BIN_BITS
 PIECE = 2 << 20
 
 
@@ -132,8 +139,10 @@ def _signatures(batches, n: int, percent: int, order: Order):
             sums = [np.concatenate((np.zeros(1, U64), np.cumsum(mix(h ^ U64(salt)))))[bounds] for salt in (0x5BD1E995, 0x9E3779B1)]
             p = poly(33)
             pk = p.span(p.prefix(flat), at[:-1], at[1:])
+            bins = np.bincount(np.repeat(np.arange(len(size)), size) * BINS + (h >> U64(64 - BIN_BITS)).astype(np.int64), minlength=len(size) * BINS).reshape(-1, BINS)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": id_col[first:last].cast(pa.int64()), "n": pa.array(size.astype(np.int32)),
+                "bins": pa.array([b.astype(np.uint8 if b.max() < 256 else np.uint32).tobytes() for b in bins], pa.binary()),
                 **{k: pa.array((s[1:] - s[:-1]).view(np.int64)) for k, s in zip(("h1", "h2"), sums)},
                 "pk": pa.array(pk.view(np.int64)),
                 "prefix": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int64))),
@@ -148,6 +157,22 @@ def _sets(batches, n: int):
             yield pa.RecordBatch.from_pydict({"cid": cid[first:last], "grams": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(h.view(np.int64)))})
 
 
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, dtype=np.uint8 if len(raw) == BINS else np.uint32).astype(np.int64)
+
+
+def _prune(batches, percent: int):
+    """Keep the pairs whose counts by parts of the hash range leave enough room."""
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            x, y = _unpacked(x), _unpacked(y)
+            most = int(np.minimum(x, y).sum())
+            keep.append(100 * most >= percent * (int(x.sum()) + int(y.sum()) - most))
+        keep = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_pydict({"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)})
+
+
 def _check(batches, percent: int):
     """Keep the pairs whose sets are similar enough."""
     for batch in batches:
@@ -172,13 +197,13 @@ def _possible(n1, p1, n2, p2, percent: int):
 
 def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(signatures, links)``: per row ``doc_id, n, cid`` (least id with the same set), and links between classes."""
-    spark = df.sparkSession
+    spark = document_batches(df).sparkSession
     text = F.col(f"`{text_col}`")
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
     often = docs.select("text").mapInArrow(lambda it: _frequent(it, n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= HOT_MIN)
     rows = often.orderBy(F.desc("c"), "h").limit(HOT_NGRAMS).toPandas()
     order = spark.sparkContext.broadcast(Order(rows["h"].to_numpy(dtype=np.int64).view(U64), rows["c"].to_numpy(dtype=np.int64)))
-    sig = docs.mapInArrow(lambda it: _signatures(it, n, percent, order.value), "doc_id long, n int, h1 long, h2 long, pk long, prefix array<long>").checkpoint()
+    sig = checkpointed(docs.mapInArrow(lambda it: _signatures(it, n, percent, order.value), "doc_id long, n int, bins binary, h1 long, h2 long, pk long, prefix array<long>"))
 
     linked = sig.where("n > 0 and doc_id is not null")
     key = ["n", "pk", "h1", "h2"]
@@ -190,13 +215,13 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
     met = index.select("gram", "pos", "n", "gid", lead.alias("lead"), F.lag("gid").over(by_gram).alias("before"), F.lead("gid").over(by_gram).alias("after"))
     met = met.where("before is not null or after is not null")
     leads = (F.col("lead.gid") != F.col("gid")) & _possible(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), percent)
-    met = met.select("gram", "pos", "n", "gid", F.when(leads, F.col("lead.gid")).alias("lead")).checkpoint()
+    met = checkpointed(met.select("gram", "pos", "n", "gid", F.when(leads, F.col("lead.gid")).alias("lead")))
 
     # one leader for each group, and its own first class for each further class of a group
     best = met.where("lead is not null").groupBy("gid", "lead").agg(F.count("*").alias("k")).groupBy("gid").agg(F.max(F.struct("k", F.negative("lead").alias("m"))).alias("x")).select("gid", F.negative("x.m").alias("lead"))
-    members = classes.join(groups.select("n", "pk", "gid"), ["n", "pk"]).select("cid", "gid").checkpoint()
-    first = members.join(best, "gid", "left").select("cid", F.when(F.col("cid") != F.col("gid"), F.col("gid")).otherwise(F.col("lead")).alias("b")).where("b is not null").select(F.col("cid").alias("a"), "b").checkpoint()
-    star = _verified(docs, first, n, percent).checkpoint()
+    members = checkpointed(classes.join(groups.select("n", "pk", "gid"), ["n", "pk"]).select("cid", "gid"))
+    first = checkpointed(members.join(best, "gid", "left").select("cid", F.when(F.col("cid") != F.col("gid"), F.col("gid")).otherwise(F.col("lead")).alias("b")).where("b is not null").select(F.col("cid").alias("a"), "b"))
+    star = checkpointed(_verified(docs, sig, first, n, percent))
 
     # all other pairs of a shared n-gram
     home = members.join(star.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("home")), "cid", "left").select("cid", "gid", F.coalesce("home", "cid").alias("home"))
@@ -210,20 +235,33 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
     # classes of one group share its whole prefix, also where no other group has any of it
     inner = home.join(own, "gid").select("gid", "cid", "home")
     inner = inner.join(inner.select("gid", F.col("cid").alias("cid2"), F.col("home").alias("home2")), "gid").where("cid < cid2 and home <> home2").select(F.col("cid").alias("a"), F.col("cid2").alias("b"))
-    rest = pairs.unionByName(inner).distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti").checkpoint()
-    links = star.unionByName(_verified(docs, rest, n, percent)).checkpoint()
+    rest = checkpointed(pairs.unionByName(inner).distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    links = checkpointed(star.unionByName(_verified(docs, sig, rest, n, percent)))
     signatures = sig.select("doc_id", *key).join(classes, key, "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid"))
     return signatures, links
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets are similar enough; only their documents' texts are read again."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sets = docs.where("doc_id is not null").join(need, F.col("doc_id") == F.col("cid"), "left_semi").mapInArrow(lambda it: _sets(it, n), "cid long, grams array<long>").checkpoint()
-    left = sets.select(F.col("cid").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("cid").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb")
-    return both.mapInArrow(lambda it: _check(it, percent), "a long, b long").distinct()
+def _joined(pairs: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
+    """``(a, b, value of a, value of b)``."""
+    left = rows.select(F.col(key).alias("a"), F.col(value).alias("va"))
+    right = rows.select(F.col(key).alias("b"), F.col(value).alias("vb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb")
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
+
+
+def _verified(docs: DataFrame, sig: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets are similar enough.
+
+    Counts by parts of the hash range (some hundred bytes a document) rule out
+    most false pairs; only the documents of the others are read again.
+    """
+    bins = checkpointed(having(sig.select("doc_id", "bins").where("doc_id is not null"), "doc_id", _ids(pairs), "cid"))
+    pairs = checkpointed(_joined(pairs, bins, "doc_id", "bins").mapInArrow(lambda it: _prune(it, percent), "a long, b long").distinct())
+    sets = checkpointed(having(docs.where("doc_id is not null"), "doc_id", _ids(pairs), "cid").mapInArrow(lambda it: _sets(it, n), "cid long, grams array<long>"))
+    return _joined(pairs, sets, "cid", "grams").mapInArrow(lambda it: _check(it, percent), "a long, b long").distinct()
 
 
 def components(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
