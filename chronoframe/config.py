@@ -61,6 +61,23 @@ EPS_ENTROPY = 1e-10
 EPS_MINMAX = 1e-10
 FALLBACK_INTERVAL = 2.0
 INTERVAL_TARGET_COVERAGE = 0.80
+# boosting grids: rounds, depth, learning rate, row share, column share, least child weight (C and D: least gain)
+GRID_TEMPERATURE = [
+    (400, 6, 0.05, 0.9, 0.9, 3),
+    (600, 6, 0.05, 0.9, 0.9, 3),
+    (800, 7, 0.05, 0.85, 0.85, 3),
+    (1000, 7, 0.03, 0.85, 0.85, 5),
+    (1200, 8, 0.03, 0.8, 0.8, 5),
+    (1500, 8, 0.02, 0.8, 0.8, 5),
+]
+GRID_CLASSES = [
+    (400, 5, 0.05, 0.9, 0.9, 3, 0.0),
+    (600, 6, 0.05, 0.85, 0.85, 3, 0.1),
+    (800, 6, 0.03, 0.85, 0.85, 5, 0.1),
+    (1000, 7, 0.03, 0.8, 0.8, 5, 0.2),
+    (1200, 7, 0.02, 0.8, 0.8, 5, 0.2),
+    (1500, 8, 0.02, 0.75, 0.75, 7, 0.3),
+]
 MIN_GROUP_ROWS = 10
 CV_FOLDS = 5
 # ---------------------------------------------------------------------------
