@@ -249,6 +249,24 @@ def seeded_sample(spark, sf_dir):
     return ev.orderBy(key, F.col("event_id")).limit(2000).select("event_id", "user_id", "event_type", "value")
 
 
+_PAYLOAD = "hourly struct<time: array<string>, event_id: array<bigint>, value: array<double>>"
+
+
+@register("payload_arrays", """
+SELECT user_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS time, event_id, value FROM events""")
+def payload_arrays(spark, sf_dir):
+    """Documents of parallel arrays (one per user and day, as JSON text) parsed back to one row per time:
+    ``from_json`` with an explicit schema, ``arrays_zip``, ``explode``."""
+    ev = B.table(spark, sf_dir, "events")
+    one = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("time"), "event_id", "value")
+    docs = ev.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sort_array(F.collect_list(one)).alias("r"))
+    arrays = F.struct(*[F.col(f"r.{c}").alias(c) for c in ("time", "event_id", "value")])
+    text = docs.select("user_id", F.to_json(F.struct(arrays.alias("hourly"))).alias("payload"))
+    h = text.select("user_id", F.from_json("payload", _PAYLOAD)["hourly"].alias("h"))
+    rows = h.select("user_id", F.explode(F.arrays_zip(F.col("h.time"), F.col("h.event_id"), F.col("h.value"))).alias("r"))
+    return rows.select("user_id", "r.time", "r.event_id", "r.value")
+
+
 _PROPS = StructType([StructField("k", IntegerType())])
 
 
