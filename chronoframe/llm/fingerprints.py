@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from chronoframe.llm import bitmaps
+
 SHINGLE, SIZE, HASH_BITS = 5, 64, 48
 #: Texts with fewer words have their words and their heads as shingles too: a few windows alone say little.
 SHORT = 24
@@ -96,32 +98,35 @@ def merge_parts(df: DataFrame, by: list[str], k: int = SIZE, sketch_col: str = "
     return ranked.groupBy(*by).agg(F.sort_array(F.collect_list("h")).alias(sketch_col))
 
 
-def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_col: str = "text", prepare=None) -> DataFrame:
     """Add ``next_<column>`` of the row with the next id (after the last: the first); rows with null id get nulls.
 
     Rows go to spans of ``ID_SPAN`` ids. A span's first id is also handed to
-    the span before it, so each span finds its neighbours alone; the only
-    table of all spans has two numbers for each.
+    the span before it, so each span finds its neighbours alone: one shuffle,
+    and a table of two numbers for each span. ``prepare`` may add columns
+    before the shuffle.
     """
     span = F.floor(F.col(id_col) / ID_SPAN)
     real = df.where(F.col(id_col).isNotNull())
-    firsts = real.groupBy(span.alias("s")).agg(F.min(id_col).alias("first"))
+    firsts = real.groupBy(span.alias("s")).agg(F.min(F.col(id_col).cast("long")).alias("first"))
     order = W.orderBy("s")
-    chain = firsts.select("first", F.coalesce(F.lag("s").over(order), F.last("s").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("before"), "s")
-    guests = chain.select(F.col("first").alias("__first"), F.col("before").alias("__before"), (F.col("before") >= F.col("s")).alias("__wraps"))
-    rows = df.join(guests, F.col(id_col) == F.col("__first"), "left")
-    homes = F.array(F.struct(span.alias("s"), F.lit(False).alias("guest"), F.lit(False).alias("wraps")), F.struct(F.col("__before").alias("s"), F.lit(True).alias("guest"), F.col("__wraps").alias("wraps")))
-    rows = rows.withColumn("__home", F.explode(F.filter(homes, lambda h: h["s"].isNotNull() | ~h["guest"])))
-    lone = F.when(F.col(id_col).isNull(), F.xxhash64(text_col) % 1024)          # null ids have no neighbours: anywhere
-    by = W.partitionBy("__home.s", lone).orderBy("__home.guest", id_col, text_col)
-    seen = rows.select("*", *[F.lead(F.col(c)).over(by).alias(f"next_{c}") for c in columns]).where(~F.col("__home.guest"))
-    return seen.select(*df.columns, *[F.when(F.col(id_col).isNotNull(), F.col(f"next_{c}")).alias(f"next_{c}") for c in columns])
+    last = F.last("s").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    chain = firsts.select(F.col("first").alias("__first"), F.coalesce(F.lag("s").over(order), last).alias("__span"))
+    guests = bitmaps.having(df, id_col, chain, "__first").join(chain, F.col(id_col) == F.col("__first")).drop("__first")
+    # rows without an id have no neighbours: they may go anywhere
+    home = F.when(F.col(id_col).isNotNull(), span).otherwise(F.xxhash64(text_col) % 1024)
+    rows = df.withColumn("__span", home).withColumn("__guest", F.lit(False)).unionByName(guests.withColumn("__guest", F.lit(True)))
+    rows = prepare(rows) if prepare else rows
+    by = W.partitionBy("__span", F.col(id_col).isNull()).orderBy("__guest", id_col, text_col)
+    seen = rows.select("*", *[F.lead(F.col(c)).over(by).alias(f"next_{c}") for c in columns]).where("not __guest")
+    kept = [c for c in rows.columns if c not in ("__span", "__guest")]
+    return seen.select(*kept, *[F.when(F.col(id_col).isNotNull(), F.col(f"next_{c}")).alias(f"next_{c}") for c in columns])
 
 
 def compare_with_edited(df: DataFrame, k: int = SIZE) -> DataFrame:
     """Fingerprints of every text and of its edited copy (the last quarter of its code points from the next document)."""
-    docs = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("*", sketch(F.col("text"), k).alias("sketch"))
-    docs = with_next(docs, ["text", "sketch"])
+    docs = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = with_next(docs, ["text", "sketch"], prepare=lambda rows: rows.select("*", sketch(F.col("text"), k).alias("sketch")))
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 4) as int))"), F.expr("substring(coalesce(next_text, ''), 1, cast(floor(char_length(text) / 4) as int))"))
     docs = docs.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
