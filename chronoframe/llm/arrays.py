@@ -12,7 +12,8 @@ import functools
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+#: One less than a power of two: prefix sums and power tables then fit the power of two.
+PIECE_BYTES = (2 << 20) - 1
 #: Words are runs of bytes other than space and \t \n \v \f \r.
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -77,6 +78,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+#: Odd bases; seeds of unlike parity give independent hashes of one sequence.
+BASES = (0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
+
+
 class Poly:
     """Polynomial hash modulo 2**64 with an odd base: ``span`` hashes any part of a sequence from its prefix sums.
 
@@ -84,20 +89,26 @@ class Poly:
     inverse, so ``(C[e] - C[s]) * p**-s`` depends on the part's content alone.
     """
 
+    #: Powers of a base and of its inverse, shared by all hashes with that base (a worker keeps them).
+    _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
     def __init__(self, seed: int):
-        rng = np.random.Generator(np.random.PCG64(seed))
-        self.table = rng.integers(1, 2**64, 256, dtype=U64)
-        self.base = int(rng.integers(1, 2**62)) * 4 + 1 | 2**61
+        self.table = np.random.Generator(np.random.PCG64(seed)).integers(1, 2**64, 256, dtype=U64)
+        self.base = BASES[seed % len(BASES)]
         self._up = self._down = np.ones(1, dtype=U64)
 
     def _grow(self, n: int) -> None:
         if len(self._up) < n:
-            size = 1 << (n - 1).bit_length()
-            with np.errstate(over="ignore"):
-                for name, b in (("_up", self.base), ("_down", pow(self.base, -1, 2**64))):
-                    a = np.full(size, b % 2**64, dtype=U64)
+            up, down = Poly._powers.get(self.base, (self._up, self._down))
+            if len(up) < n:
+                size = 1 << (n - 1).bit_length()
+                tables = []
+                for b in (self.base, pow(self.base, -1, 2**64)):
+                    a = np.full(size, b, dtype=U64)
                     a[0] = 1
-                    setattr(self, name, np.multiply.accumulate(a))
+                    tables.append(np.multiply.accumulate(a))
+                up, down = Poly._powers[self.base] = tuple(tables)
+            self._up, self._down = up, down
 
     def prefix(self, values: np.ndarray) -> np.ndarray:
         n = len(values)

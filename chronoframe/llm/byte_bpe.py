@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoframe.llm.prefix_bpe import CACHE_PIECES, MergeTable
-
-_tables: dict = {}
+from chronoframe.llm.memories import held
+from chronoframe.llm.prefix_bpe import REMEMBER, MergeTable
+from chronoframe.llm.storage import document_batches
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,9 +32,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PieceEncoder(dict):
     """Piece (str) to its packed little-endian ids; a bounded memory of pieces already encoded."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.table = MergeTable(ranks)
+    def __init__(self, ranks: dict[bytes, int], remember: int = REMEMBER):
+        self.ranks, self.remember = ranks, remember
+        self.table = MergeTable(ranks, remember=remember)
 
     def ids(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -42,7 +42,7 @@ class PieceEncoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.ids(piece.encode("utf-8"))
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= self.remember:
             self.clear()
         out = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
         return out
@@ -88,26 +88,23 @@ def _local(shared, pattern: str):
     """The worker's tables: built once for a broadcast, kept while the worker lives."""
     import regex
 
-    key = (shared.value["key"], pattern)
-    if key not in _tables:
-        _tables.clear()
-        _tables[key] = (shared.value["encoder"], regex.compile(pattern))
-    return _tables[key]
+    return held((shared.value["key"], pattern), lambda: (shared.value["encoder"], regex.compile(pattern)))
 
 
-def _share(spark: SparkSession, path: str):
-    encoder = PieceEncoder(read_ranks(path))
-    return spark.sparkContext.broadcast({"key": path, "encoder": encoder})
+def _share(spark: SparkSession, path: str, remember: int = REMEMBER):
+    encoder = PieceEncoder(read_ranks(path), remember)
+    return spark.sparkContext.broadcast({"key": (path, remember), "encoder": encoder})
 
 
-def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep_ids: bool = True, remember: int = REMEMBER) -> DataFrame:
     """Add ``token_ids`` (array, left out if ``keep_ids`` is false), ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``.
 
     ``decoded_sha256`` is taken from the bytes that decoding the ids gives back.
+    ``remember`` bounds the pieces that a worker keeps (some hundred bytes each).
     """
     added = ["token_ids", "n_tokens", "ids_sha256", "decoded_sha256"]
     rest = [c for c in df.columns if c not in added]
-    shared = _share(df.sparkSession, path)
+    shared = _share(document_batches(df).sparkSession, path, remember)
 
     def run(batches):
         import numpy as np

@@ -34,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import LOWER, U64, chunks, poly, word_hashes, word_spans
+from chronoframe.llm.storage import document_batches
 
 SEED_WORDS, RARE = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE = 0.5
 MAX_BROADCAST = 2_000_000
-PIECE = 2 << 20
+PIECE = (1 << 20) - 1
 HIT_SCHEMA = "doc_id long, item_id long, share double, first int, last int, matched int"
 
 _EDGE = np.zeros(256, dtype=bool)
@@ -225,7 +226,7 @@ def _seeded(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str,
         items = Items(block)
         if not items.words:
             continue
-        share = docs.sparkSession.sparkContext.broadcast
+        share = document_batches(docs).sparkSession.sparkContext.broadcast
         first = share(items)
         counts = docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(lambda it, b=first: _count(it, b.value), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
         items.keep_rare({r["h"]: r["n"] for r in counts.collect()})            # at most one row for each n-gram of the block

@@ -28,6 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, mix
+from chronoframe.llm.storage import document_batches
 
 PROFILE = 300
 BLANK = 32
@@ -135,7 +136,7 @@ def fit_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 part = slice(k, k + 50_000)
                 yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(gram[part])), "gram": pa.array(gram[part].astype(np.int64)), "n": pa.array(n[part].astype(np.int64))})
 
-    rows = df.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = document_batches(df).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sums = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = sums.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("r") <= size)
     out: dict[str, list[int]] = {}
@@ -179,6 +180,7 @@ def identify(df: DataFrame, profiles: dict[str, list[int]], text_col: str = "tex
     added = ["lang_pred", "score"]
     rest = [c for c in df.columns if c not in added]
     keep_text = text_col in rest
+    document_batches(df)
 
     def run(batches):
         for batch in batches:

@@ -40,13 +40,14 @@ from pyspark.sql import Window as W
 from chronoframe.llm.arrays import LOWER, U64, chunks, mix, poly, word_hashes, word_spans
 from chronoframe.llm.bitmaps import having
 from chronoframe.llm.components import connected_components
+from chronoframe.llm.memories import release
 from chronoframe.llm.storage import checkpointed, document_batches
 
-LOCAL_MIN, BLOCK, HOT_NGRAMS, HOT_MIN = 3, 4_000_000, 200_000, 16
+LOCAL_MIN, BLOCK, HOT_NGRAMS, HOT_MIN = 3, 2_000_000, 200_000, 16
 #: Parts of the hash range in which a set's n-grams are counted: two sets share no more than the sum of the smaller counts.
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
-PIECE = 2 << 20
+PIECE = (1 << 20) - 1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,6 +80,7 @@ def _frequent(batches, n: int):
         often = count >= LOCAL_MIN
         return pa.RecordBatch.from_pydict({"h": pa.array(h[first[often]].view(np.int64)), "c": pa.array(count[often].astype(np.int64))})
 
+    release()
     parts, size = [], 0
     for batch in batches:
         for _, _, data, offsets in chunks(batch.column(0), PIECE):

@@ -14,7 +14,8 @@ vocabularies whose last symbol carries it.
 from __future__ import annotations
 
 END = b"\xff"
-CACHE_PIECES = 1_000_000
+#: Pieces that a worker remembers (bounds its memory, not its answers); heads and borders follow this number.
+REMEMBER = 700_000
 HEADS = (5, 8, 11)
 
 
@@ -24,7 +25,8 @@ class MergeTable:
     ``rank_of(left, right)`` gives the rank of merging two token ids, or None.
     """
 
-    def __init__(self, ids: dict[bytes, int], pair_rank: dict[tuple[int, int], int] | None = None):
+    def __init__(self, ids: dict[bytes, int], pair_rank: dict[tuple[int, int], int] | None = None, remember: int = REMEMBER):
+        self.most_heads, self.most_borders = remember // 3, remember * 2 // 3
         self.ids = ids
         self.text = {i: b for b, i in ids.items()}
         self.longest = max(map(len, ids))
@@ -96,7 +98,7 @@ class MergeTable:
                     until_x, x = rx, self.parts[x][1]
             else:
                 until_y, y = ry, self.parts[y][0]
-        if len(self._border) > 1_000_000:
+        if len(self._border) > self.most_borders:
             self._border.clear()
         self._border[key] = ok
         return ok
@@ -150,7 +152,7 @@ class MergeTable:
         head = piece[:size]
         found = self._heads.get(head)
         if found is None:
-            if len(self._heads) > CACHE_PIECES:
+            if len(self._heads) > self.most_heads:
                 self._heads.clear()
             found = self._heads[head] = self.table(head, self._head(head, size - 1))
         return found[:]

@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, runs, sliding_min, word_hashes, word_spans
 from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, STRINGS, buckets, pack, packed_strings, range_arrays, range_rows, record, unpack, with_ranges
+from chronoframe.llm.storage import document_batches
 
 MINIMISER_WORDS = 3
-PIECE = 3 << 20
+PIECE = (2 << 20) - 1
 
 
 def window_hashes(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +169,7 @@ def covered(text: bytes, found: tuple, width: int) -> np.ndarray:
 def dedup(df: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str = "text", outputs: tuple = ("kept_text", "removed", "n_words", "n_removed", "kept_sha256")) -> DataFrame:
     """Add the chosen outputs: ``kept_text`` (the text itself if nothing goes, else the kept words joined by one space),
     ``removed`` (runs of word positions as structs), ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept words joined by one space)."""
-    n_buckets = buckets(df.sparkSession)
+    n_buckets = buckets(document_batches(df).sparkSession)
     sent = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(lambda it: split(it, width, n_buckets), "bucket long, blob binary")
     found = sent.groupBy("bucket").applyInPandas(lambda pdf: settle(pdf, width), RANGE_SCHEMA)
     rest = [c for c in df.columns if c not in outputs]

@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, ranges, runs, sliding_min
 from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, buckets, pack, packed_strings, range_arrays, range_rows, record, unpack, with_ranges
+from chronoframe.llm.storage import document_batches
 
 MINIMISER_BYTES = 16
-PIECE, SLICE = 2 << 20, 2 << 20
+PIECE, SLICE = (2 << 20) - 1, 1 << 20
 
 
 class HashCollision(Exception):
@@ -331,7 +332,7 @@ def dedup(df: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str
     """Add the chosen outputs: ``kept_bytes`` (binary), ``spans`` (removed runs as structs), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     if width <= MINIMISER_BYTES:
         raise ValueError(f"width must be over {MINIMISER_BYTES}")
-    n_buckets = buckets(df.sparkSession)
+    n_buckets = buckets(document_batches(df).sparkSession)
     sent = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(lambda it: split(it, width, n_buckets), "bucket long, blob binary")
     found = sent.groupBy("bucket").applyInPandas(lambda pdf: settle(pdf, width), RANGE_SCHEMA)
     rest = [c for c in df.columns if c not in outputs]

@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.llm.prefix_bpe import CACHE_PIECES, END, MergeTable
-
-_counters: dict = {}
+from chronoframe.llm.memories import held
+from chronoframe.llm.prefix_bpe import END, REMEMBER, MergeTable
+from chronoframe.llm.storage import document_batches
 
 
 def _byte_symbols() -> dict[str, int]:
@@ -71,7 +71,7 @@ class WordCounts(dict):
         self.table = table
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_PIECES:
+        if len(self) >= REMEMBER:
             self.clear()
         out = self[word] = len(self.table.encode(word.encode("utf-8") + END))
         return out
@@ -127,13 +127,10 @@ def token_counts(df: DataFrame, path: str, text_col: str = "text", limit: int =
     """Add ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_chars`` (characters of the normalised text within the limit)."""
     added = ["n_bytes", "n_tokens", "over_limit", "fit_chars"]
     rest = [c for c in df.columns if c not in added]
-    shared = df.sparkSession.sparkContext.broadcast({"key": path, "spec": read_vocabulary(path)})
+    shared = document_batches(df).sparkSession.sparkContext.broadcast({"key": path, "spec": read_vocabulary(path)})
 
     def run(batches):
-        if shared.value["key"] not in _counters:
-            _counters.clear()
-            _counters[shared.value["key"]] = Counter(shared.value["spec"])
-        counter = _counters[shared.value["key"]]
+        counter = held(shared.value["key"], lambda: Counter(shared.value["spec"]))
         for batch in batches:
             size, count, fits = [], [], []
             for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():

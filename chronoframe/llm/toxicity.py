@@ -36,11 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.language_id import pieces
+from chronoframe.llm.memories import release
+from chronoframe.llm.storage import document_batches
 
 TOXIC_ROWS, CLEAN_ROWS = 20_000, 40_000
 CANDIDATES = 20_000
 SHORTEST, LONGEST = 4, 8
-TOKEN_CACHE = 1_000_000
+#: Tokens kept with their meaning: while scoring (almost always none), and while counting stems (up to five strings each).
+TOKEN_CACHE, STEM_CACHE = 300_000, 60_000
 OTHER = 27
 
 # Fixed values of the channel: signs written for a letter, with their log probability.
@@ -68,6 +71,7 @@ def _classes() -> np.ndarray:
 def corpus_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``(code, n)``: counts of letter 4-grams over every row; a code has four classes of five bits."""
     def count(batches):
+        release()
         total = np.zeros(1 << 20, dtype=np.int64)
         table = _classes()
         for batch in batches:
@@ -173,11 +177,11 @@ def stems(word: str):
 class TokenMemo(dict):
     """Token to whatever ``make`` says of its restored words; a bounded memory."""
 
-    def __init__(self, restorer: Restorer, make):
-        self.restorer, self.make = restorer, make
+    def __init__(self, restorer: Restorer, make, most: int = TOKEN_CACHE):
+        self.restorer, self.make, self.most = restorer, make, most
 
     def __missing__(self, token: str):
-        if len(self) >= TOKEN_CACHE:
+        if len(self) >= self.most:
             self.clear()
         out = self[token] = self.make(self.restorer.words(token))
         return out
@@ -217,6 +221,7 @@ def _sample(labels: DataFrame, id_col: str, label_col: str, rows: dict[int, int]
 
 def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Learn from the rows of ``labels`` (and their texts in ``docs``); letter counts from ``corpus`` (default: ``docs``)."""
+    document_batches(docs)
     rows = corpus_counts(docs if corpus is None else corpus, text_col).toPandas()      # at most 2**20 rows: one for each 4-gram
     model = ToxicityModel(log_probabilities(rows["code"].to_numpy(dtype=np.int64), rows["n"].to_numpy()))
     sample = F.broadcast(_sample(labels, id_col, label_col, {1: TOXIC_ROWS, 0: CLEAN_ROWS}))
@@ -224,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id_
     logp = model.logp
 
     def count_stems(batches):
-        memo, total, seen = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w))), Counter(), 0
+        memo, total, seen = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w)), STEM_CACHE), Counter(), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 total.update(memo.of(text or ""))
@@ -238,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id_
     got = {s: n for s, n in got.items() if n >= least}
 
     def count_known(batches):
-        memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in got))
+        memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in got), STEM_CACHE)
         total, seen = Counter(), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -252,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id_
     good = {s: (n + 0.5) / (n + without.get(s, 0) + 1) for s, n in got.items() if n >= 0.9 * (n + without.get(s, 0))}
 
     def list_good(batches):
-        memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in good))
+        memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in good), STEM_CACHE)
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"stems": pa.array([sorted(memo.of(t or "")) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))})
 
@@ -290,9 +295,10 @@ def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", threshold
     """Add ``score`` and ``predicted`` (1 from ``threshold`` on)."""
     added = ["score", "predicted"]
     rest = [c for c in df.columns if c not in added]
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = document_batches(df).sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        release()
         model = shared.value
         memo = TokenMemo(Restorer(model.logp), model.hits)
         for batch in batches:

@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoframe.llm import byte_bpe, decontam, ngram_join, substring_dedup
+from chronoframe.llm import bitmaps, byte_bpe, decontam, ngram_join, substring_dedup
 from chronoframe.llm import toxicity as _toxicity
+from chronoframe.llm.storage import checkpointed
 from chronoframe.session import ensure_checkpoint_dir, share_package
 
 #: The stages have no SQL form (learnt scores, alignment, tokens); tests hold them against brute force.
@@ -28,8 +29,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 0.8 of their five-word shingles the one with the least id stays; rows without an id stay."""
     found = ngram_join.components(docs.select("doc_id", "text"), 5, 80)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = checkpointed(found.where("component_id <> doc_id").select("doc_id").distinct())
+    return bitmaps.without(docs, "doc_id", gone, "doc_id").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
+    # executors still hold what the stages before have grown to: remember fewer pieces
+    return byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, remember=300_000).drop("text")
 
 
 STAGES = [
