@@ -280,15 +280,10 @@ def settle_strings(data, lengths, doc, start, mark, loops, width: int, seed: int
     at = ranges(left[order], windows)
     string = np.repeat(order, windows)
     group = np.repeat(np.unique(mark[order], return_inverse=True)[1].astype(np.int64), windows)
-    # equal suffixes lie alike around their minimiser, unless that comes more than once in some string of the group
+    # equal windows have their minimiser first at the same place, however often a string holds it
     parts = suffixes.poly.windows(suffixes.prefix, MINIMISER_BYTES) if seed == 21 else answer.windows(reply, MINIMISER_BYTES)
     hit = np.flatnonzero((parts >> U64(32)).astype(np.uint32) == np.repeat(mark, lengths)[:len(parts)])
-    anchor = hit[np.minimum(np.searchsorted(hit, left), len(hit) - 1)]
-    free = np.zeros(int(group[-1]) + 1, dtype=bool)
-    np.logical_or.at(free, group[np.cumsum(windows) - windows], loops[order])
-    reach = int(lengths.max()) + 1
-    shift = np.where(free[group], 0, at - anchor[string] + reach)
-    key = group * (2 * reach) + shift
+    key = group * width + hit[np.searchsorted(hit, at)] - at
     by = np.argsort(key, kind="stable")
     key = key[by]
     twin = np.zeros(len(key), dtype=bool)

@@ -102,6 +102,18 @@ def test_empty_tables(empty):
     assert suffix_dedup.dedup(empty).collect() == []
 
 
+def test_doubled_lines_with_a_shared_tail(spark):
+    """The first text holds a line twice, the other once before the same tail: equal windows at different places of their strings."""
+    rng = np.random.default_rng(8)
+    make = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    pairs = []
+    for k in range(120):
+        line, tail = make(int(rng.integers(17, 45))), make(int(rng.integers(60, 140)))
+        pairs += [(2 * k, line + line + tail), (2 * k + 1, make(int(rng.integers(0, 90))) + line + tail + make(5))]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(3)
+    assert rows_of(suffix_dedup.dedup(df, 100), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(pairs, 100)
+
+
 def test_suffix_sort_orders_and_merges():
     text = np.frombuffer(b"abcabcabdabcabcabeabcabcabd" * 3, np.uint8)
     s = suffix_dedup.Suffixes(text, 9, 21)
