@@ -150,12 +150,35 @@ class Restorer:
             states, prev = nxt, ch
         return max((s + (float(logp[state << 5]) if state & 31 else 0.0), t) for state, (s, t) in states.items())[1]
 
+    def undoubled(self, word: str) -> str:
+        """The likeliest reading of a word of letters that drops at least one of its doubled letters, by the same search."""
+        logp, states = self.logp, {(0, False): (0.0, "")}
+        prev = ""
+        for ch in word:
+            nxt: dict[tuple[int, bool], tuple[float, str]] = {}
+            for letter, cost in self._options(ch, prev, 1 if ch == prev else 0):
+                c = ord(letter) - 96 if "a" <= letter <= "z" else OTHER if letter else 0
+                for (state, dropped), (score, text) in states.items():
+                    if letter == "":
+                        to, s, t = (state, True), score + cost, text
+                    else:
+                        code = state << 5 | c
+                        to, s, t = (code & 0x7FFF, dropped), score + cost + float(logp[code]), text + letter
+                    if to not in nxt or s > nxt[to][0]:
+                        nxt[to] = (s, t)
+            states, prev = nxt, ch
+        return max((s + float(logp[state << 5]), t) for (state, dropped), (s, t) in states.items() if dropped)[1]
+
     def words(self, token: str) -> list[str]:
-        """Words of a lower-case token: its plain reading, and the restored one where that is not settled."""
+        """Words of a lower-case token: its plain reading, and the restored ones where that is not settled.
+
+        A doubled letter may be a disguise or not: such a word also gives its
+        likeliest reading with fewer of them, and the one with none.
+        """
         token = _JUNK.sub("", token)
         core = token.strip(".,;:!?\"'()[]{}<>|%&#*~^`=-_/\\«»„“”")
         if core.isalpha() and not _TRIPLE.search(core):
-            return [core]
+            return list(dict.fromkeys([core, self.undoubled(core), _DOUBLE.sub(r"\1", core)])) if _DOUBLE.search(core) else [core]
         plain = _WORD.findall(token)
         noisy = token.strip(".,;:?\"'()[]{}<>%&~^`=-_/\\")
         if not any(c.isalpha() for c in noisy) and not any(c in LOOKALIKE for c in noisy):
@@ -163,6 +186,7 @@ class Restorer:
         return plain + [w for w in self.decode(noisy).split(" ") if w and w not in plain]
 
 
+_DOUBLE = re.compile(r"(.)\1")
 _TRIPLE = re.compile(r"(.)\1\1")
 _JUNK = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}[.,;:]*$")
 _WORD = re.compile(r"[^\W\d_]+")

@@ -47,6 +47,14 @@ def test_disguised_texts_score_like_plain_ones(spark, model):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+@pytest.mark.parametrize("written", ["iddiot", "stuupid", "sscum", "losser", "mooron", "trassh", "clownn"])
+def test_doubled_letters_score_like_the_plain_word(spark, model, written):
+    plain = re.sub(r"(.)\1", r"\1", written)
+    df = spark.createDataFrame([(0, f"the {plain} here"), (1, f"the {written} here"), (2, "the letter and all the books")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in tx.score(df, model).collect()}
+    assert [got[k]["predicted"] for k in range(3)] == [1, 1, 0] and got[0]["score"] == got[1]["score"]
+
+
 def test_toxicity_without_labels_or_rows(spark, tables, empty):
     docs, labels = tables
     none = tx.fit(docs.limit(20).select("doc_id", "text"), labels.limit(0))
