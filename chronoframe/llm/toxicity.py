@@ -5,7 +5,9 @@ texts), smoothed down to shorter contexts. *Channel*: what a writer may have
 put for a letter (look-alike signs, repeats, separators between letters).
 Tokens that a plain reading does not settle become a lattice of letters; a
 Viterbi search over the last three letters finds the likeliest reading.
-*Score*: prefixes of restored words learnt from labels. Rules are picked
+*Score*: prefixes of restored words learnt from labels (words of two or three
+letters whole, in scripts without spaces every run of two to four signs); every
+one that enough toxic rows have, with precision 0.9, is weighed. Rules are picked
 greedily, each the one that explains most toxic rows not explained so far
 (so a copied document cannot bring in its whole vocabulary); a text's score
 joins the precisions of the rules that it meets.
@@ -37,11 +39,12 @@ from pyspark.sql import functions as F
 
 from chronoframe.llm.language_id import pieces
 from chronoframe.llm.memories import release
-from chronoframe.llm.storage import document_batches
+from chronoframe.llm.storage import checkpointed, document_batches
 
 TOXIC_ROWS, CLEAN_ROWS = 20_000, 40_000
-CANDIDATES = 20_000
 SHORTEST, LONGEST = 4, 8
+#: Stems that a task counts before it sends them on.
+STEM_COUNTS = 400_000
 #: Tokens kept with their meaning: while scoring (almost always none), and while counting stems (up to five strings each).
 TOKEN_CACHE, STEM_CACHE = 300_000, 60_000
 OTHER = 27
@@ -194,8 +197,18 @@ _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]{1,2}\S){2,}(?!\S)")
 _MAYBE_SPACED = re.compile(r"\S[ \t]{1,2}\S[ \t]{1,2}\S(?!\S)")
 
 
-def stems(word: str):
-    return [word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1)]
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]{2,}")
+
+
+def stems(word: str) -> list[str]:
+    """Prefixes of a word; of two or three letters the whole word; in scripts without spaces every run of two to four signs."""
+    if 1 < len(word) < SHORTEST:
+        out = [word]
+    else:
+        out = [word[:k] for k in range(SHORTEST, min(LONGEST, len(word)) + 1)]
+    for run in _UNSPACED.findall(word):
+        out += [run[i:i + k] for k in range(2, SHORTEST + 1) for i in range(len(run) - k + 1)]
+    return out
 
 
 class TokenMemo(dict):
@@ -223,7 +236,7 @@ class TokenMemo(dict):
 @dataclass
 class ToxicityModel:
     logp: np.ndarray
-    rules: dict[str, float] = field(default_factory=dict)      # prefix of a word: precision
+    rules: dict[str, float] = field(default_factory=dict)      # stem: precision
     base: float = 0.0
 
     def hits(self, words: list[str]) -> frozenset:
@@ -253,32 +266,29 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id_
     logp = model.logp
 
     def count_stems(batches):
-        memo, total, seen = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w)), STEM_CACHE), Counter(), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(memo.of(text or ""))
-                seen += 1
-        yield pa.RecordBatch.from_pydict({"stem": pa.array(["", *total], pa.string()), "n": pa.array([seen, *total.values()], pa.int64())})
-
-    toxic = known.where("__y = 1").select("text").mapInArrow(count_stems, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-    got = {r["stem"]: r["n"] for r in toxic.orderBy(F.desc("n"), "stem").limit(CANDIDATES).collect()}
-    n_toxic = got.pop("", 0)
-    least = max(2, math.ceil(0.004 * n_toxic))
-    got = {s: n for s, n in got.items() if n >= least}
+        memo, total, seen = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w)), STEM_CACHE), (Counter(), Counter()), [0, 0]
 
-    def count_known(batches):
-        memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in got), STEM_CACHE)
-        total, seen = Counter(), 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(memo.of(text or ""))
-                seen += 1
-        yield pa.RecordBatch.from_pydict({"stem": pa.array(["", *total], pa.string()), "n": pa.array([seen, *total.values()], pa.int64())})
+        def sent():
+            kinds = [pa.array([s for y in (0, 1) for s in ("", *total[y])], pa.string())]
+            kinds += [pa.array([n if y == of else 0 for y in (0, 1) for n in (seen[y], *total[y].values())], pa.int64()) for of in (1, 0)]
+            return pa.RecordBatch.from_arrays(kinds, ["stem", "toxic", "clean"])
 
-    clean = known.where("__y = 0").select("text").mapInArrow(count_known, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-    without = {r["stem"]: r["n"] for r in clean.collect()}                                # at most CANDIDATES rows
-    n_clean = without.pop("", 0)
-    good = {s: (n + 0.5) / (n + without.get(s, 0) + 1) for s, n in got.items() if n >= 0.9 * (n + without.get(s, 0))}
+        for batch in batches:
+            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[y].update(memo.of(text or ""))
+                seen[y] += 1
+                if len(total[0]) + len(total[1]) > STEM_COUNTS:       # sums are taken later: what is counted may go
+                    yield sent()
+                    total, seen = (Counter(), Counter()), [0, 0]
+        yield sent()
+
+    counts = known.select("text", F.col("__y").cast("int")).mapInArrow(count_stems, "stem string, toxic long, clean long")
+    counts = checkpointed(counts.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+    rows_seen = counts.where("stem = ''").first()
+    n_toxic, n_clean = (rows_seen["toxic"], rows_seen["clean"]) if rows_seen else (0, 0)
+    least = max(2, math.ceil(0.004 * n_toxic))
+    passed = counts.where((F.col("stem") != "") & (F.col("toxic") >= least) & (F.col("toxic") >= 0.9 * (F.col("toxic") + F.col("clean"))))
+    good = {r["stem"]: (r["toxic"] + 0.5) / (r["toxic"] + r["clean"] + 1) for r in passed.collect()}       # what passes, all of it
 
     def list_good(batches):
         memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in good), STEM_CACHE)
@@ -306,7 +316,7 @@ def pick_rules(lists: list[set], good: dict[str, float], least: int) -> list[str
         for s in x:
             rows.setdefault(s, []).append(x)
     for s in sorted(rows, key=lambda s: (-len(rows[s]), -len(s), s)):
-        if any(s.startswith(r) or r.startswith(s) for r in rules):
+        if any(s == r or min(len(s), len(r)) >= SHORTEST and (s.startswith(r) or r.startswith(s)) for r in rules):
             continue
         own = rows[s]
         alike = sum(len(a & b) > 0.5 * len(a | b) and len(a | b) > 8 for a, b in zip(own, own[1:]))

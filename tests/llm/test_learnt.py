@@ -55,6 +55,20 @@ def test_doubled_letters_score_like_the_plain_word(spark, model, written):
     assert [got[k]["predicted"] for k in range(3)] == [1, 1, 0] and got[0]["score"] == got[1]["score"]
 
 
+def test_short_words_unspaced_scripts_and_stems_under_many_common_ones_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(tx, "STEM_COUNTS", 500)                            # counts come in many parts
+    monkeypatch.setattr(tx, "CANDIDATES", 50, raising=False)               # the cap that was
+    common = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}ordinary" for k in range(200)]
+    bad = ["wog", "今日は馬鹿者です", "grumbler", "wog", "あの馬鹿者が", "grumbler", "wog", "馬鹿者め", "grumbler"]
+    rows = [(k, " ".join(common[k % 7::2] + [bad[k % 9]]) if k < 90 else " ".join(common[k % 7::2]) + " 今日はです", int(k < 90)) for k in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    learnt = tx.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert {"wog"} <= learnt.rules.keys()
+    asked = [(0, "a wog there"), (1, "a wogger there"), (2, "彼は馬鹿者だ"), (3, "今日は"), (4, "the grumbler"), (5, "aaordinary")]
+    got = {r["doc_id"]: r["predicted"] for r in tx.score(spark.createDataFrame(asked, "doc_id long, text string"), learnt).collect()}
+    assert got == {0: 1, 1: 0, 2: 1, 3: 0, 4: 1, 5: 0}
+
+
 def test_toxicity_without_labels_or_rows(spark, tables, empty):
     docs, labels = tables
     none = tx.fit(docs.limit(20).select("doc_id", "text"), labels.limit(0))
