@@ -12,7 +12,10 @@
 3. *Alignment.* Passage and item are aligned word by word (local alignment:
    match ``MATCH``, mismatch and gap costs), so substituted, dropped and added
    words cost a little instead of breaking the match. The score is the
-   alignment's share of the item's best possible one.
+   alignment's share of the item's best possible one. A document matches from
+   a share of ``MIN_SHARE`` on, or by a quote: ``QUOTE`` words of the item in a
+   row, or an alignment that scores as much as they do and has the least share
+   of what the part that it covers could score.
 
 The items are broadcast if there are at most ``MAX_BROADCAST`` of their
 n-grams; a larger benchmark is taken in blocks of that many, each with a pass
@@ -39,6 +42,8 @@ from chronoframe.llm.storage import document_batches
 SEED_WORDS, RARE = 3, 8
 MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE = 0.5
+#: Words in a row that are a quote, however long the item is; as many matches' score, dense enough, are one too.
+QUOTE = 13
 MAX_BROADCAST = 2_000_000
 PIECE = (1 << 20) - 1
 HIT_SCHEMA = "doc_id long, item_id long, share double, first int, last int, matched int"
@@ -90,6 +95,14 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int
     return best, j, last, matched
 
 
+def quoted(item: np.ndarray, passage: np.ndarray) -> bool:
+    """``QUOTE`` words of the item in a row in the passage, whatever the best alignment is."""
+    if min(len(item), len(passage)) < QUOTE:
+        return False
+    p = poly(42)
+    return bool(np.isin(p.windows(p.prefix(item), QUOTE), p.windows(p.prefix(passage), QUOTE)).any())
+
+
 class Items:
     """Benchmark items as word hashes, and the seeds that lead to them."""
 
@@ -199,7 +212,8 @@ def _matches(batch, items: Items, least: float, id_at: int, text_at: int):
                 w = items.words[item]
                 score, x, y, matched = alignment(w, words[base + a:base + b])
                 share, key = score / (MATCH * len(w)), items.ids[item]
-                if share >= least and (key not in best or share > best[key][0]):
+                dense = score >= MATCH * QUOTE and score >= least * MATCH * (y - x)
+                if (share >= least or dense or quoted(w, words[base + a:base + b])) and (key not in best or share > best[key][0]):
                     best[key] = (share, a + x, a + y, matched)
             for key, v in sorted(best.items()):
                 yield first + int(d), key, *v
@@ -234,7 +248,7 @@ def _seeded(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str,
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", least: float = MIN_SHARE) -> DataFrame:
-    """One row per document and item whose alignment reaches ``least``: id, item, share, word span, matched words."""
+    """One row per document and item whose alignment reaches ``least`` or that the document quotes: id, item, share, word span, matched words."""
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     out = None
     for seeds in _seeded(docs, benchmark, "text", item_col, item_text):

@@ -107,6 +107,20 @@ def test_planted_leaks_are_found_and_clean_rows_left(leaks):
     assert left == Counter(i for i, _ in rows if i not in got)
 
 
+def test_quotes_of_long_items(spark):
+    """25 of 59 words, 13 of 250, and 40 of 250 with every eighth replaced are leaks; six words in a row are none."""
+    rng = random.Random(33)
+    words = [f"w{k}" for k in range(4000)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [say(59), say(250)]
+    edited = [w if k % 8 else "other" for k, w in enumerate(items[1][150:190])]
+    quotes = [(0, items[0][20:45]), (1, items[1][100:113]), (2, edited), (3, items[0][5:11]), (4, items[1][30:36])]
+    docs = spark.createDataFrame([(i, " ".join(say(60) + q + say(60))) for i, q in quotes], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    assert rows_of(decontam.contaminated(docs, benchmark), "doc_id", "item_id") == [(0, 0), (1, 1), (2, 1)]
+    assert [r["doc_id"] for r in decontam.decontaminate(docs, benchmark).orderBy("doc_id").collect()] == [3, 4]
+
+
 def test_alignment_equals_the_full_recurrence():
     rng = random.Random(3)
     for _ in range(60):
