@@ -5,10 +5,13 @@ can be sketched apart, and they estimate resemblance, containment and the
 number of distinct shingles. Only built-in functions run; a text is sketched
 in its own row, without a shuffle.
 
-A shingle is ``SHINGLE`` consecutive words; a text of fewer than ``SHORT``
-words also has its single words and their first three characters. Words are runs of anything but space and \\t \\n \\v \\f
-\\r. Hashes are 48-bit, a fingerprint is their hexadecimal digits, so equal
-texts have equal fingerprints.
+A shingle is ``SHINGLE`` consecutive words: the sketch of every text, long or
+short. A text of fewer than ``SHORT`` words has a second sketch, of its single
+words and their first three characters. Two short texts are compared by both,
+all others by the first alone, so like meets like. Words are runs of anything
+but space and \\t \\n \\v \\f \\r. Hashes are 48-bit, a fingerprint is the
+hexadecimal digits of what a text has (both sketches of a short one, merged),
+so equal texts have equal fingerprints.
 
 Cases: null text is empty; a text without words has an empty fingerprint
 (likeness to another empty one 1, to any other 0); repeated rows are sketched
@@ -44,9 +47,15 @@ def shingle_hashes(word: Column, width: int = SHINGLE) -> Column:
     top = F.lit((1 << HASH_BITS) - 1)
     n = F.size(word)
     many = F.transform(F.sequence(F.lit(0), n - width), lambda i: F.xxhash64(*[F.get(word, i + k) for k in range(width)]).bitwiseAND(top))
+    return F.when(n >= width, many).otherwise(F.array().cast("array<bigint>"))
+
+
+def word_hashes(word: Column) -> Column:
+    """48-bit hash of every word and of its head, null from ``SHORT`` words on."""
+    top = F.lit((1 << HASH_BITS) - 1)
     few = F.transform(word, lambda w: F.xxhash64(w).bitwiseAND(top))
     heads = F.transform(word, lambda w: F.xxhash64(F.substring(w, 1, 3), F.lit("-")).bitwiseAND(top))
-    return F.when(n >= SHORT, many).when(n >= width, F.concat(many, few, heads)).otherwise(F.concat(few, heads))
+    return F.when(F.size(word) < SHORT, F.concat(few, heads))
 
 
 def least(hashes: Column, k: int = SIZE) -> Column:
@@ -58,6 +67,11 @@ def sketch(text: Column, k: int = SIZE) -> Column:
     return let(words(text), lambda w: least(shingle_hashes(w), k))
 
 
+def sketches(text: Column, k: int = SIZE) -> Column:
+    """``sketch`` of a text and its ``word_sketch``, null if the text is not short."""
+    return let(words(text), lambda w: F.struct(least(shingle_hashes(w), k).alias("sketch"), least(word_hashes(w), k).alias("word_sketch")))
+
+
 def merged(a: Column, b: Column, k: int = SIZE) -> Column:
     """Sketch of the union of two shingle sets."""
     return least(F.concat(a, b), k)
@@ -74,6 +88,18 @@ def resemblance(a: Column, b: Column, k: int = SIZE) -> Column:
     return let(merged(a, b, k), share).cast("double")
 
 
+def whole(s: Column, k: int = SIZE) -> Column:
+    """One sketch of all that a text has, from its :func:`sketches`."""
+    return F.when(s["word_sketch"].isNull(), s["sketch"]).otherwise(merged(s["sketch"], s["word_sketch"], k))
+
+
+def likeness(a: Column, b: Column, k: int = SIZE) -> Column:
+    """Resemblance of two texts from their :func:`sketches`: with the words if both are short, else by the windows alone."""
+    short = a["word_sketch"].isNotNull() & b["word_sketch"].isNotNull()
+    part = lambda s: F.when(short, whole(s, k)).otherwise(s["sketch"])
+    return resemblance(part(a), part(b), k)
+
+
 def containment(a: Column, b: Column, k: int = SIZE) -> Column:
     """Estimated share of a's shingles that b has, from the resemblance and the three set sizes."""
     share = resemblance(a, b, k) * distinct_shingles(merged(a, b, k), k) / distinct_shingles(a, k)
@@ -85,10 +111,11 @@ def hexadecimal(s: Column) -> Column:
 
 
 def fingerprint(df: DataFrame, text_col: str = "text", k: int = SIZE) -> DataFrame:
-    """Add ``sketch``, ``fingerprint`` and ``distinct_estimate``."""
-    kept = [c for c in df.columns if c not in ("sketch", "fingerprint", "distinct_estimate")]
-    out = df.select(*[F.col(f"`{c}`") for c in kept], sketch(F.col(f"`{text_col}`"), k).alias("sketch"))
-    return out.select("*", hexadecimal(F.col("sketch")).alias("fingerprint"), distinct_shingles(F.col("sketch"), k).alias("distinct_estimate"))
+    """Add ``sketch``, ``word_sketch`` (short texts), ``fingerprint`` and ``distinct_estimate``."""
+    kept = [c for c in df.columns if c not in ("sketch", "word_sketch", "fingerprint", "distinct_estimate")]
+    out = df.select(*[F.col(f"`{c}`") for c in kept], sketches(F.col(f"`{text_col}`"), k).alias("__s"))
+    all_of = whole(F.col("__s"), k)
+    return out.select(*[F.col(f"`{c}`") for c in kept], "__s.sketch", "__s.word_sketch", hexadecimal(all_of).alias("fingerprint"), distinct_shingles(all_of, k).alias("distinct_estimate"))
 
 
 def merge_parts(df: DataFrame, by: list[str], k: int = SIZE, sketch_col: str = "sketch") -> DataFrame:
@@ -126,10 +153,13 @@ def with_next(df: DataFrame, columns: list[str], id_col: str = "doc_id", text_co
 def compare_with_edited(df: DataFrame, k: int = SIZE) -> DataFrame:
     """Fingerprints of every text and of its edited copy (the last quarter of its code points from the next document)."""
     docs = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = with_next(docs, ["text", "sketch"], prepare=lambda rows: rows.select("*", sketch(F.col("text"), k).alias("sketch")))
+    docs = with_next(docs, ["text", "sketches"], prepare=lambda rows: rows.select("*", sketches(F.col("text"), k).alias("sketches")))
     n = F.char_length("text")
     edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 4) as int))"), F.expr("substring(coalesce(next_text, ''), 1, cast(floor(char_length(text) / 4) as int))"))
-    docs = docs.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
-    docs = docs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch", sketch(F.col("edited"), k).alias("edited_sketch"))
-    return docs.select("doc_id", "n_chars", "edited_sha256", hexadecimal(F.col("sketch")).alias("fingerprint"), hexadecimal(F.col("edited_sketch")).alias("edited_fingerprint"),
-                       resemblance(F.col("sketch"), F.col("edited_sketch"), k).alias("near_edited"), resemblance(F.col("sketch"), F.coalesce("next_sketch", F.array().cast("array<bigint>")), k).alias("near_next"))
+    docs = docs.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "sketches", "next_sketches")
+    docs = docs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "sketches", "next_sketches", sketches(F.col("edited"), k).alias("edited_sketches"))
+    own, new = F.col("sketches"), F.col("edited_sketches")
+    none = F.array().cast("array<bigint>")
+    following = F.coalesce(F.col("next_sketches"), F.struct(none.alias("sketch"), none.alias("word_sketch")))       # without one: like an empty text
+    return docs.select("doc_id", "n_chars", "edited_sha256", hexadecimal(whole(own, k)).alias("fingerprint"), hexadecimal(whole(new, k)).alias("edited_fingerprint"),
+                       likeness(own, new, k).alias("near_edited"), likeness(own, following, k).alias("near_next"))

@@ -112,6 +112,20 @@ def test_merging_parts_equals_the_whole(spark):
     assert abs(whole["distinct_estimate"] - 396) < 396 * 0.4
 
 
+def test_texts_on_both_sides_of_short_are_compared_by_the_same_shingles(spark):
+    words = [f"word{k}" for k in range(30)]
+    pairs = [(24, 23), (23, 22), (28, 23), (23, 23), (4, 3), (24, 3)]
+    df = spark.createDataFrame([(k, " ".join(words[:a]), " ".join(words[:b])) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    got = {r["k"]: r["like"] for r in df.select("k", fp.likeness(fp.sketches(F.col("a")), fp.sketches(F.col("b"))).alias("like")).collect()}
+    own = lambda n: shingles(" ".join(words[:n]))
+    both = [len(own(a) & own(b)) / len(own(a) | own(b)) for a, b in pairs]
+    assert got == pytest.approx({0: 19 / 20, 1: both[1], 2: 19 / 24, 3: 1.0, 4: both[4], 5: 0.0}, abs=0.12)
+    assert got[0] == 19 / 20 and got[2] == 19 / 24
+    parts = [("p", " ".join(words[:16])), ("q", " ".join(words[12:30]))]
+    merged = fp.merge_parts(fp.fingerprint(spark.createDataFrame(parts, "part string, text string")).withColumn("all", F.lit(1)), ["all"]).first()
+    assert merged["sketch"] == fp.fingerprint(spark.createDataFrame([(" ".join(words),)], "text string")).first()["sketch"]
+
+
 def test_containment_and_counts(spark):
     long, short = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(30))
     df = spark.createDataFrame([(long, short)], "a string, b string").select(fp.sketch(F.col("a")).alias("a"), fp.sketch(F.col("b")).alias("b"))
