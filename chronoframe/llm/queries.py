@@ -192,3 +192,73 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chronoframe.llm.decontam import contaminated
 
     return contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+# --- op11 ------------------------------------------------------------------------------------------------------------
+
+def _op11_sql(parts: int = 16, width: int = 4, entries: int = 64, rounds: int = 2) -> str:
+    """Assignment and update written out per round: ``bK`` the codebooks after round K, ``aK`` the nearest entries under them."""
+    distance = " + ".join(f"(x[{k}] - c[{k}]) * (x[{k}] - c[{k}])" for k in range(1, width + 1))
+    below = "CAST((s{0} - ((s{0} % n) + n) % n) // n AS BIGINT)"
+    steps = []
+    for k in range(rounds + 1):
+        if k:
+            sums = ", ".join(f"CAST(sum(x[{i}]) AS BIGINT) AS s{i}" for i in range(1, width + 1))
+            moved = ", ".join(below.format(i) for i in range(1, width + 1))
+            steps.append(f"m{k} AS (SELECT part, entry, count(*) AS n, {sums} FROM part JOIN a{k - 1} USING (r, part) GROUP BY part, entry)")
+            steps.append(f"b{k} AS MATERIALIZED (SELECT part, entry, CASE WHEN n IS NULL THEN c ELSE [{moved}] END AS c FROM b{k - 1} LEFT JOIN m{k} USING (part, entry))")
+        steps.append(f"a{k} AS MATERIALIZED (SELECT r, part, arg_min(entry, d * 100000 + entry) AS entry, min(d) AS d "
+                     f"FROM (SELECT r, part, entry, {distance} AS d FROM part JOIN b{k} USING (part)) GROUP BY r, part)")
+    return f"""
+WITH vec AS (SELECT *, row_number() OVER (ORDER BY vec_id, embedding) AS r FROM embeddings
+             WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+whole AS (SELECT r, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM vec),
+part AS MATERIALIZED (SELECT r, p AS part, v[p * {width} + 1:(p + 1) * {width}] AS x FROM whole, range({parts}) t(p)),
+b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM part WHERE r <= {entries}),
+{", ".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT h FROM book) AS codebooks_sha256
+FROM vec JOIN coded USING (r)
+"""
+
+
+OP11_SQL = _op11_sql()
+
+
+@query("op11_vector_codes", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.vector_codes import compress
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return compress(vectors).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+# --- op12 ------------------------------------------------------------------------------------------------------------
+
+OP12_SQL = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+cut AS (SELECT *, regexp_extract_all(text, '[^\\n]*\\n|[^\\n]+') AS units,
+               CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+               CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM docs),
+formed AS (SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                       WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid, array_to_string(units[b + 1:], '') AS suf FROM formed)
+SELECT doc_id, CAST(len(units) AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm.fill_in_middle import fill_in_middle, restore
+
+    done = restore(fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
