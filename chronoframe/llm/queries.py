@@ -262,3 +262,15 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = restore(fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                        F.sha2("restored", 256).alias("restored_sha256"))
+
+
+# --- op13 ------------------------------------------------------------------------------------------------------------
+
+@query("op13_quality")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chronoframe.llm import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id"))).select("doc_id", "quality")
+    scored = quality.score(docs, quality.fit(docs, labels), threshold=0.3)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
