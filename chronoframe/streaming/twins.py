@@ -6,8 +6,9 @@ batch operators, each with a batch twin used in the tests:
 * T1 ``stream_dedup`` — W1 under a watermark;
 * T2 ``stream_daily_rollup`` — A26 without gap rows (tumbling windows);
 * T3 ``stream_labels`` — F9–F13 (stateless);
-* T4 ``stream_lag_features`` — W3/W4 with a per-entity bounded ring buffer
-  in ``applyInPandasWithState`` (state: as many rows per entity as the largest lag or window).
+* T4 :func:`chronoframe.streaming.stateful.stream_panel_features` — W3–W5 behind a
+  watermark; ``stream_lag_features`` here answers at once, without one (state: as
+  many rows per entity as the largest lag or window, never dropped).
 """
 
 from __future__ import annotations
@@ -22,27 +23,20 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from chronoframe.config import LabelRules
 from chronoframe.plans.bindings import add_labels
+from chronoframe.streaming.stateful import event_time
 
 __all__ = ["stream_dedup", "stream_daily_rollup", "stream_labels", "stream_lag_features"]
 
 
-def _event_time(stream: DataFrame, ts: str) -> DataFrame:
-    """Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as UTC (session time zone)."""
-    from pyspark.sql.types import TimestampNTZType
-    if isinstance(stream.schema[ts].dataType, TimestampNTZType):
-        return stream.withColumn(ts, F.col(ts).cast("timestamp"))
-    return stream
-
-
 def stream_dedup(stream: DataFrame, keys: list[str], ts: str, delay: str = "1 hour") -> DataFrame:
     """Drop repeated (entity, time) keys that arrive within the watermark delay."""
-    return _event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
+    return event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def stream_daily_rollup(stream: DataFrame, entity: str, ts: str, value: str, delay: str = "1 day",
                         width: str = "1 day") -> DataFrame:
     """Tumbling-window mean / count per entity, emitted once the watermark passes."""
-    return _event_time(stream, ts).withWatermark(ts, delay).groupBy(entity, F.window(ts, width).alias("w")).agg(
+    return event_time(stream, ts).withWatermark(ts, delay).groupBy(entity, F.window(ts, width).alias("w")).agg(
         F.avg(value).alias(value), F.count(F.lit(1)).alias("rows")) \
         .select(entity, F.col("w.start").alias("window_start"), value, "rows")
 
@@ -54,7 +48,7 @@ def stream_labels(stream: DataFrame, rules: LabelRules) -> DataFrame:
 
 def stream_lag_features(stream: DataFrame, entity: str, ts: str, tiebreak: str, value: str,
                         lags: tuple[int, ...] = (1, 2), window: int = 3) -> DataFrame:
-    """T4: positional lags and a trailing mean per entity across micro-batches.
+    """T4 without a watermark: positional lags and a trailing mean per entity across micro-batches.
 
     Each entity keeps as many of its last (ts, tiebreak, value) rows as the
     largest lag or window needs; new rows of a micro-batch are merged with them
