@@ -8,6 +8,7 @@ Python string is made. Work inside a task goes in pieces of a few MB
 from __future__ import annotations
 
 import functools
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -134,9 +135,17 @@ def poly(seed: int) -> Poly:
     return Poly(seed)
 
 
+#: Words of more bytes are hashed by blake2b: polynomials modulo a power of two let long patterned strings collide whatever the base.
+LONG_WORD = 32
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     p = poly(seed)
-    return p.span(p.prefix_bytes(data), starts, ends)
+    out = p.span(p.prefix_bytes(data), starts, ends)
+    key = seed.to_bytes(8, "little")
+    for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():        # at most one for each LONG_WORD bytes of text
+        out[k] = int.from_bytes(hashlib.blake2b(data[starts[k]:ends[k]], digest_size=8, key=key).digest(), "little")
+    return out
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -38,13 +38,15 @@ from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, STRINGS, buckets, p
 from chronoframe.llm.storage import document_batches
 
 MINIMISER_WORDS = 3
+#: Seeds of the two hashes of a word.
+FIRST, SECOND = 10, 15
 PIECE = (2 << 20) - 1
 
 
-def window_hashes(words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of every window of word hashes."""
+def window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of every window of words, from two independent hashes of each word (``words`` is the first)."""
     a, b = poly(11), poly(12)
-    return a.windows(a.prefix(words), width), b.windows(b.prefix(words), width)
+    return a.windows(a.prefix(words), width), b.windows(b.prefix(word_hashes(data, starts, ends, SECOND)), width)
 
 
 def valid_windows(bounds: np.ndarray, width: int, n: int) -> np.ndarray:
@@ -95,11 +97,11 @@ def split(batches, width: int, n_buckets: int):
         doc_ids, column = ids(batch.column(0)), batch.column(1)
         for first, last, data, offsets in chunks(column, PIECE):
             starts, ends, bounds = word_spans(data, offsets)
-            words = word_hashes(data, starts, ends, 10)
+            words = word_hashes(data, starts, ends, FIRST)
             n = len(words) - width + 1
             if n <= 0:
                 continue
-            h1, h2 = window_hashes(words, width)
+            h1, h2 = window_hashes(data, starts, ends, width, words)
             valid = valid_windows(bounds, width, n)
             own = owners(bounds)[:n]
             doc = doc_ids[first:last][own]
@@ -137,7 +139,7 @@ def settle(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
         data, lengths, doc, position = x
         offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
         starts, ends, bounds = word_spans(data, offsets)
-        h1, h2 = window_hashes(word_hashes(data, starts, ends, 10), width)
+        h1, h2 = window_hashes(data, starts, ends, width, word_hashes(data, starts, ends, FIRST))
         own = owners(bounds)[:len(h1)]
         ok = valid_windows(bounds, width, len(h1))
         own, at = own[ok], np.flatnonzero(ok)
@@ -154,7 +156,8 @@ def covered(text: bytes, found: tuple, width: int) -> np.ndarray:
     """Words to remove from one text."""
     data = np.frombuffer(text, dtype=np.uint8)
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
-    h1, _ = window_hashes(word_hashes(data, starts, ends, 10), width)
+    p = poly(11)
+    h1 = p.windows(p.prefix(word_hashes(data, starts, ends, FIRST)), width)
     first, n, h = found
     ok = (first >= 0) & (first + n <= len(h1))
     first, n, h = first[ok], n[ok], h[ok]
