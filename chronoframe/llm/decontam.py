@@ -4,8 +4,9 @@
    word ends off) of the items are counted over all documents in one pass; a
    task sends one row per n-gram that it met. An item's seeds are its
    n-grams that at most ``RARE`` times as many documents have as its median
-   n-gram, so every item keeps at least half of its n-grams and frequent
-   phrases bring no candidates.
+   n-gram, and the rarest of every ``STRETCH`` words in a row: frequent phrases
+   bring few candidates, and whatever quotes ``STRETCH`` words has a seed,
+   however many documents quote them.
 2. *Candidates.* A document's seed hits with one item, close together, give a
    passage: the hits' span, widened by what the item still lacks on both sides.
    Hits of a document are found where the document is read; only passages move.
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoframe.llm.arrays import LOWER, U64, chunks, poly, word_hashes, word_spans
+from chronoframe.llm.arrays import LOWER, U64, chunks, poly, sliding_min, word_hashes, word_spans
 from chronoframe.llm.storage import document_batches
 
 SEED_WORDS, RARE = 3, 8
@@ -44,6 +45,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 MIN_SHARE = 0.5
 #: Words in a row that are a quote, however long the item is; as many matches' score, dense enough, are one too.
 QUOTE = 13
+#: Of so many words of an item in a row the rarest n-gram is always a seed.
+STRETCH = 7
 MAX_BROADCAST = 2_000_000
 PIECE = (1 << 20) - 1
 HIT_SCHEMA = "doc_id long, item_id long, share double, first int, last int, matched int"
@@ -70,29 +73,35 @@ def seed_hashes(words: np.ndarray) -> np.ndarray:
     return p.windows(p.prefix(words), SEED_WORDS)
 
 
+#: Bits of a packed cell for the first word and for the matched words; the score stands above them.
+_WORD_BITS = 21
+_ONE = 1 << 2 * _WORD_BITS
+
+
 def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
-    """Best local alignment: (score, first, last word of the passage in it, matched words)."""
+    """Best local alignment: (score, first, last word of the passage in it, matched words).
+
+    Two rows of the table are held, whatever the lengths: each cell packs its
+    score with where its alignment began and how many words it matched.
+    """
     n, m = len(item), len(passage)
-    steps = np.arange(m + 1) * GAP
-    score = np.zeros((n + 1, m + 1), dtype=np.int32)
-    for i in range(1, n + 1):
-        diagonal = score[i - 1, :-1] + np.where(passage == item[i - 1], MATCH, MISMATCH)
-        row = np.maximum(np.maximum(diagonal, score[i - 1, 1:] + GAP), 0)
+    if max(n, m) >= 1 << _WORD_BITS:
+        raise ValueError(f"a passage or item has over {(1 << _WORD_BITS) - 1} words")
+    place = np.arange(m + 1, dtype=np.int64)
+    fresh = place << _WORD_BITS
+    steps = place * (GAP * _ONE)
+    above, best, last = fresh.copy(), 0, 0
+    for word in item:
+        row = np.maximum(above + GAP * _ONE, fresh)
+        diagonal = above[:-1] + np.where(passage == word, MATCH * _ONE + 1, MISMATCH * _ONE)
+        np.maximum(row[1:], diagonal, out=row[1:])
         # gaps along the row: running maximum of (value - cost up to there)
-        score[i, 1:] = np.maximum(np.maximum.accumulate(row - steps[1:]) + steps[1:], 0)
-    end = int(score.argmax())
-    i, j = divmod(end, m + 1)
-    best, last, matched = int(score[i, j]), j, 0
-    while i > 0 and j > 0 and score[i, j] > 0:
-        same = passage[j - 1] == item[i - 1]
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            matched += int(same)
-            i, j = i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return best, j, last, matched
+        above = np.maximum.accumulate(row - steps) + steps
+        j = int(above.argmax())
+        if above[j] >> 2 * _WORD_BITS > best >> 2 * _WORD_BITS:
+            best, last = int(above[j]), j
+    score = best >> 2 * _WORD_BITS
+    return score, (best >> _WORD_BITS & (1 << _WORD_BITS) - 1) if score else last, last, best & (1 << _WORD_BITS) - 1 if score else 0
 
 
 def quoted(item: np.ndarray, passage: np.ndarray) -> bool:
@@ -134,11 +143,15 @@ class Items:
         self.short = {len(w) for w in self.words.values() if len(w) < SEED_WORDS}
 
     def keep_rare(self, documents: dict[int, int]) -> None:
-        """Only seeds that few documents have, by the item's own median."""
+        """Seeds that few documents have, by the item's own median, and the rarest of every stretch."""
         chosen = {}
         for i in self.words:
             n = np.array([documents.get(int(h), 0) for h in self._grams(i).view(np.int64)])
-            chosen[i] = np.flatnonzero(n <= max(2, RARE * np.median(n)))
+            keep = n <= max(2, RARE * np.median(n))
+            # the least (count, place) of each run of n-grams that a stretch has
+            key = n.astype(np.int64) << 32 | np.arange(len(n))
+            keep[sliding_min(key, min(STRETCH - SEED_WORDS + 1, len(n))) & 0xFFFFFFFF] = True
+            chosen[i] = np.flatnonzero(keep)
         self._index(chosen)
 
     def hits(self, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -3,8 +3,10 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest_llm import docs, edit, empty, rows_of, sentence, texts, WORDS  # noqa: F401
+from pyspark.sql import functions as F
 
 from chronoframe.llm import bitmaps, decontam, ngram_join
 from chronoframe.llm.components import connected_components
@@ -149,3 +151,63 @@ def test_empty_tables(empty, leaks):
     assert decontam.contaminated(docs, benchmark.limit(0)).collect() == []
     assert decontam.decontaminate(docs, benchmark.limit(0)).count() == docs.count()
     assert len(WORDS) == 64
+
+
+@pytest.mark.parametrize("copies", [1, 3, 10, 100])
+def test_quotes_in_many_documents(spark, copies):
+    """13 words in a row of a 60-word item, and 20 of a 200-word one, in any number of documents, against every document aligned with every item."""
+    rng = random.Random(copies)
+    words = [f"w{k}" for k in range(900)]
+    say = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [say(60), say(200), say(40)]
+    rows = [(k, say(rng.randint(0, 40)) + items[0][20:33] + say(rng.randint(0, 40))) for k in range(copies)]
+    rows += [(1000 + k, say(30) + items[1][90:110] + say(20)) for k in range(copies)]
+    rows += [(2000 + k, say(60)) for k in range(40)] + [(3000 + k, say(9) + items[2][5:10] + say(9)) for k in range(copies)]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in rows], "doc_id long, text string").repartition(3)
+    got = rows_of(decontam.contaminated(docs, spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")), "doc_id", "item_id")
+
+    def hashes(x):
+        raw = np.frombuffer(" ".join(x).encode(), dtype=np.uint8)
+        return decontam.words_of(raw, np.array([0, len(raw)]))[0]
+
+    want = []
+    for i, x in rows:
+        for k, y in enumerate(items):
+            a, b = hashes(y), hashes(x)
+            score, first, last, _ = decontam.alignment(a, b)
+            dense = score >= decontam.MATCH * decontam.QUOTE and score >= 0.5 * decontam.MATCH * (last - first)
+            if score >= 0.5 * decontam.MATCH * len(a) or dense or decontam.quoted(a, b):
+                want.append((i, k))
+    assert got == sorted(want, key=repr) and len(got) == 2 * copies
+
+
+def test_long_item_in_linear_memory():
+    import resource
+
+    rng = np.random.default_rng(0)
+    item = rng.integers(0, 2**63, 20_000).astype(np.uint64)
+    passage = np.concatenate((rng.integers(0, 2**63, 500).astype(np.uint64), item[100:1500], rng.integers(0, 2**63, 500).astype(np.uint64)))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    score, first, last, matched = decontam.alignment(item, passage)
+    assert (score, first, last, matched) == (2 * 1400, 500, 1900, 1400)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300 * 1024
+
+
+def thue_morse(n):
+    """Two different strings of n signs whose polynomial hashes modulo 2**64 agree for every odd base."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_long_patterned_words_are_told_apart(spark, n):
+    from chronoframe.llm import substring_dedup as sd
+
+    t, c = thue_morse(n)
+    few = spark.createDataFrame([(0, f"{t} x y z"), (1, f"{c} x y z"), (2, f"{t} x y z")], "doc_id long, text string")
+    assert rows_of(ngram_join.components(few, 4, 85), "doc_id", "component_id") == [(0, 0), (1, 1), (2, 0)]
+    tail = " ".join(f"w{k}" for k in range(12))
+    long = spark.createDataFrame([(0, f"{t} {tail}"), (1, f"{c} {tail}"), (2, f"{t} {tail}")], "doc_id long, text string")
+    assert rows_of(sd.dedup(long, 13, outputs=("n_removed",)), "doc_id", "n_removed") == [(0, 0), (1, 0), (2, 13)]
+    bench = spark.createDataFrame([(5, f"{t} x")], "item_id long, text string")
+    assert rows_of(decontam.contaminated(few.withColumn("text", F.expr("substring_index(text, ' ', 2)")), bench), "doc_id") == [(0,), (2,)]
