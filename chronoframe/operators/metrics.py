@@ -111,30 +111,62 @@ def interval_metrics(df: DataFrame, y: str, lo: str, hi: str, lo_alpha: float =
             .withColumn("coverage_gap", F.col("coverage") - F.lit(float(target)))
 
 
-def wilcoxon_signed_rank(df: DataFrame, a: str, b: str, group_cols: Sequence[str] = ()) -> DataFrame:
+#: Up to so many pairs the signed-rank distribution is counted out (2**50 subsets are exact in a double).
+EXACT_PAIRS = 50
+
+
+def signed_rank_cdf(n: Column, statistic: Column) -> Column:
+    """P(W <= statistic) when each of the ranks 1..n counts with probability one half.
+
+    Rank-sum counting by dynamic programming: ``counts[s]`` is the number of
+    subsets of the first k ranks with sum s; rank k + 1 adds the same counts
+    moved by k + 1. One array of n(n + 1)/2 + 1 numbers per row.
+    """
+    def taken(counts: Column, k: Column) -> Column:
+        none = F.array_repeat(F.lit(0.0), k)
+        return F.zip_with(F.concat(counts, none), F.concat(none, counts), lambda x, y: x + y)
+
+    counts = F.aggregate(F.sequence(F.lit(1), n.cast("int")), F.array(F.lit(1.0)), taken)
+    below = F.slice(counts, F.lit(1), F.floor(statistic).cast("int") + 1)
+    return F.aggregate(below, F.lit(0.0), lambda acc, x: acc + x) / F.pow(F.lit(2.0), n)
+
+
+def wilcoxon_signed_rank(df: DataFrame, a: str, b: str, group_cols: Sequence[str] = (), exact_pairs: int = EXACT_PAIRS) -> DataFrame:
     """M8: Wilcoxon signed-rank of ``a - b`` (zeros dropped, average ranks for ties).
 
     Returns n (non-zero pairs), w_plus, w_minus, statistic = min(W+, W-),
-    the tie-corrected normal z and the two-sided p-value. The exact
-    small-sample distribution (n ≤ 50) is not reproduced.
+    the tie-corrected normal z, the two-sided p-value, and ``exact``: whether
+    that comes from the exact distribution (at most ``exact_pairs`` pairs, none
+    of them zero, no two of one size) or from the normal approximation. A group
+    with zeros alone has n 0 and no p-value.
     """
+    if exact_pairs > EXACT_PAIRS:
+        raise ValueError(f"at most {EXACT_PAIRS} pairs are counted exactly")
     group_cols = list(group_cols)
     d = F.col(a) - F.col(b)
-    x = df.where(d.isNotNull() & (d != 0)).select(
+    x = df.where(d.isNotNull() & ~F.isnan(d.cast("double"))).select(
         *group_cols, F.abs(d).alias("_absd"), (d > 0).cast("long").alias("_pos"), (d < 0).cast("long").alias("_neg"))
+    # zeros are ranked below all others and their number taken off again
     r = ranked_ties(x, "_absd", ["_pos", "_neg"], group_cols)
-    aggs = [F.sum("n").alias("n"), F.sum(F.col("_pos").cast("double") * F.col("avg_rank")).alias("w_plus"),
-            F.sum(F.col("_neg").cast("double") * F.col("avg_rank")).alias("w_minus"),
-            F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("_ties")]
+    size, some = F.col("n").cast("double"), F.col("_absd") != 0
+
+    def total(c: str) -> Column:
+        return F.sum(F.when(some, F.col(c).cast("double") * F.col("avg_rank")).otherwise(0.0))
+
+    aggs = [F.sum(F.when(some, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(some, 0).otherwise(F.col("n"))).alias("_zeros"),
+            F.sum("_pos").alias("_np"), F.sum("_neg").alias("_nn"), total("_pos").alias("_wp"), total("_neg").alias("_wm"),
+            F.sum(F.when(some, F.pow(size, 3) - size).otherwise(0.0)).alias("_ties")]
     s = r.groupBy(*group_cols).agg(*aggs) if group_cols else r.agg(*aggs)
+    s = s.withColumn("w_plus", F.col("_wp") - F.col("_zeros") * F.col("_np")).withColumn("w_minus", F.col("_wm") - F.col("_zeros") * F.col("_nn"))
     n = F.col("n").cast("double")
     mean = n * (n + 1) / 4
     var = n * (n + 1) * (2 * n + 1) / 24 - F.col("_ties") / 48
     stat = F.least(F.col("w_plus"), F.col("w_minus"))
-    z = (stat - mean) / F.sqrt(var)
+    z = F.when(var > 0, (stat - mean) / F.sqrt(var))
+    exact = (n > 0) & (n <= exact_pairs) & (F.col("_zeros") == 0) & (F.col("_ties") == 0)
+    p = F.when(exact, 2 * signed_rank_cdf(F.when(exact, F.col("n")), stat)).otherwise(erfc(F.abs(z) / F.lit(math.sqrt(2.0))))
     return s.select(*group_cols, F.col("n").cast("long").alias("n"), "w_plus", "w_minus",
-                    stat.alias("statistic"), z.alias("z"),
-                    F.least(erfc(F.abs(z) / F.lit(math.sqrt(2.0))), F.lit(1.0)).alias("p_value"))
+                    stat.alias("statistic"), z.alias("z"), F.when(p > 1, F.lit(1.0)).otherwise(p).alias("p_value"), F.coalesce(exact, F.lit(False)).alias("exact"))
 
 
 # ---------------------------------------------------------------- binary

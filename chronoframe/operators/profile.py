@@ -144,25 +144,60 @@ def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         "q25", "q50", "q75", "max")
 
 
+#: Columns of one block of the cross products; 6 sums for each pair of two blocks stay below Spark's limit of fields for generated code.
+GRAM_BLOCK = 4
+#: A variance below this share of the mean square is rounding: the column is constant among those rows.
+NO_VARIANCE = 1e-12
+
+
+def gram_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete cross products of numeric columns: ``(i, j, n, sa, sb, saa, sbb, sab)`` for column numbers i <= j.
+
+    Each row becomes one vector of its values less a fixed value of each column
+    (its mean; the value itself if it has only one), so large offsets do not
+    cancel. Pairs of blocks of :data:`GRAM_BLOCK` columns are the group keys of
+    one aggregation with the sums of all pairs of two blocks: its width does
+    not grow with the number of columns, and partial sums leave each task as
+    one row per pair of blocks. NULL and NaN are left out pair by pair.
+    """
+    cols, size = list(cols), GRAM_BLOCK
+    vector = F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]).alias("_x")
+    stats = df.select(F.posexplode(vector).alias("_i", "_v")).groupBy("_i").agg(F.avg("_v").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    shift = {r["_i"]: (r["lo"] if r["lo"] == r["hi"] else r["m"]) or 0.0 for r in stats.collect()}      # one number for each column
+    moved = F.zip_with(F.col("_x"), F.array(*[F.lit(float(shift.get(i, 0.0))) for i in range(len(cols))]), lambda x, m: x - m)
+    blocks = -(-len(cols) // size)
+    pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in range(blocks) for q in range(p, blocks)])
+    rows = df.select(vector).select(moved.alias("_x")).select("_x", F.explode(pairs).alias("_b"))
+    rows = rows.select(F.col("_b.p").alias("p"), F.col("_b.q").alias("q"), *[F.get("_x", F.col(f"_b.{s}") * size + k).alias(f"{s}{k}") for s in "pq" for k in range(size)])
+    aggs = []
+    for k in range(size):
+        for m in range(size):
+            a, b = F.col(f"p{k}"), F.col(f"q{m}")
+            left, right = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+            aggs += [x.alias(f"{n}_{k}_{m}") for n, x in (("n", F.count(a * b)), ("sa", F.sum(left)), ("sb", F.sum(right)), ("saa", F.sum(left * left)), ("sbb", F.sum(right * right)), ("sab", F.sum(a * b)))]
+    summed = rows.groupBy("p", "q").agg(*aggs)
+    names = ("n", "sa", "sb", "saa", "sbb", "sab")
+    cells = F.array(*[F.struct((F.col("p") * size + k).alias("i"), (F.col("q") * size + m).alias("j"), *[F.col(f"{n}_{k}_{m}").alias(n) for n in names])
+                      for k in range(size) for m in range(size)])
+    return summed.select(F.explode(cells).alias("c")).select("c.*").where(f"i <= j and j < {len(cols)}")
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlations in long form ``(col_a, col_b, corr)``.
+    """Pairwise-complete Pearson correlations in long form ``(col_a, col_b, corr)``; NULL without variance.
 
-    One aggregation computes every pair i<j (``corr`` skips rows where either
-    side is NULL); the matrix is mirrored without touching the data again.
+    From :func:`gram_blocks`; the matrix is mirrored without touching the data again.
     """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs]
-    aggs += [F.stddev_pop(F.col(a).cast("double")).alias(f"_sd_{a}") for a in cols]
-    one = df.agg(*aggs)
-    items = []
-    for a, b in pairs:
-        items += [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("corr")),
-                  F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("corr"))]
-    for a in cols:
-        diag = F.when(F.col(f"_sd_{a}") > 0, F.lit(1.0))
-        items.append(F.struct(F.lit(a).alias("col_a"), F.lit(a).alias("col_b"), diag.alias("corr")))
-    return one.select(F.explode(F.array(*items)).alias("c")).select("c.*")
+    g = gram_blocks(df, cols)
+    va, vb = (F.col("n") * F.col(f"s{x}{x}") - F.col(f"s{x}") * F.col(f"s{x}") for x in "ab")
+    some = (va > NO_VARIANCE * F.col("n") * F.col("saa")) & (vb > NO_VARIANCE * F.col("n") * F.col("sbb"))
+    r = (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / (F.sqrt(va) * F.sqrt(vb))
+    corr = F.when(some & (F.col("i") == F.col("j")), F.lit(1.0)).when(some, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    names = F.array(*[F.lit(c) for c in cols])
+    pair = g.select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), corr.alias("corr"), (F.col("i") < F.col("j")).alias("two"))
+    both = F.array_compact(F.array(F.struct(F.col("a").alias("col_a"), F.col("b").alias("col_b"), "corr"),
+                                   F.when(F.col("two"), F.struct(F.col("b").alias("col_a"), F.col("a").alias("col_b"), "corr"))))
+    return pair.select(F.explode(both).alias("c")).select("c.*")
 
 
 def histogram(df: DataFrame, value: str, bins: int, by: str | None = None, density: bool = True) -> DataFrame:

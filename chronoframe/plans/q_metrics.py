@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from chronoframe.config import PanelSpec
 from chronoframe.functions.calendar import season_name
@@ -162,7 +163,35 @@ def wilcoxon(spark, sf_dir):
     """M8: Wilcoxon signed-rank test of moving-mean vs persistence absolute errors."""
     t = _test(order_predictions(spark, sf_dir, ["test"])).select(
         F.abs(F.col("y") - F.col("ma3")).alias("err_model"), F.abs(F.col("y") - F.col("pred")).alias("err_base"))
-    return M.wilcoxon_signed_rank(t, "err_model", "err_base")
+    return M.wilcoxon_signed_rank(t, "err_model", "err_base").drop("exact")
+
+
+_CHANGES = """
+c AS (SELECT user_id, event_type, abs(value - lag(value, 1) OVER w) AS e1, abs(value - lag(value, 2) OVER w) AS e2 FROM events
+      WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id))"""
+
+
+@register("wilcoxon_by_entity", rsig(f"""
+WITH RECURSIVE {_CHANGES},
+d AS (SELECT user_id, event_type, e1 - e2 AS d FROM c WHERE e1 - e2 IS NOT NULL),
+r AS (SELECT *, rank() OVER (PARTITION BY user_id, event_type ORDER BY abs(d)) + (count(*) OVER (PARTITION BY user_id, event_type, abs(d)) - 1) / 2.0 AS rk,
+             count(*) OVER (PARTITION BY user_id, event_type, abs(d)) AS alike FROM d WHERE d <> 0),
+z AS (SELECT user_id, event_type, count_if(d = 0) AS zeros FROM d GROUP BY ALL),
+s AS (SELECT z.user_id, z.event_type, any_value(zeros) AS zeros, count(d) AS n, coalesce(sum(rk) FILTER (WHERE d > 0), 0) AS w_plus, coalesce(sum(rk) FILTER (WHERE d < 0), 0) AS w_minus,
+             coalesce(sum(CAST(alike AS DOUBLE) * alike - 1), 0) AS ties FROM z LEFT JOIN r ON z.user_id = r.user_id AND z.event_type = r.event_type GROUP BY 1, 2),
+dist(k, c) AS (SELECT 0, [1.0::DOUBLE] UNION ALL
+  SELECT k + 1, list_transform(range(1, len(c) + k + 2), lambda i: (CASE WHEN i <= len(c) THEN c[i] ELSE 0 END) + (CASE WHEN i > k + 1 THEN c[i - k - 1] ELSE 0 END)) FROM dist WHERE k < 50),
+t AS (SELECT *, least(w_plus, w_minus) AS statistic, CAST(n AS DOUBLE) * (n + 1) * (2 * n + 1) / 24 - ties / 48 AS var, n BETWEEN 1 AND 50 AND zeros = 0 AND ties = 0 AS exact FROM s),
+u AS (SELECT *, CASE WHEN var > 0 THEN (statistic - CAST(n AS DOUBLE) * (n + 1) / 4) / sqrt(var) END AS z FROM t)
+SELECT user_id, event_type, CAST(n AS BIGINT) AS n, w_plus, w_minus, statistic, z, exact,
+  least(CASE WHEN exact THEN 2 * list_sum(c[1:CAST(floor(statistic) AS INTEGER) + 1]) / pow(2.0, n) ELSE {_erfc_sql("abs(z) / sqrt(2.0)")} END, 1.0) AS p_value
+FROM u LEFT JOIN dist ON k = n""", ["w_plus", "w_minus", "statistic", "z", "p_value"]))
+def wilcoxon_by_entity(spark, sf_dir):
+    """M8 on small groups: persistence against the value before it, per user and event type; exact where the group allows it."""
+    w = W.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    ev = B.table(spark, sf_dir, "events").select("user_id", "event_type", F.abs(F.col("value") - F.lag("value", 1).over(w)).alias("e1"),
+                                                 F.abs(F.col("value") - F.lag("value", 2).over(w)).alias("e2"))
+    return M.wilcoxon_signed_rank(ev, "e1", "e2", ["user_id", "event_type"])
 
 
 def _grid_sql() -> str:

@@ -11,6 +11,7 @@ from chronoframe.operators import panel as P
 from chronoframe.operators import rollups as R
 from chronoframe.operators import splits as S
 from chronoframe.operators.encode import encode_columns, fit_encoders, lookup_with_default
+from chronoframe.operators.profile import correlation_matrix
 from chronoframe.plans import bindings as B
 from chronoframe.plans.catalog import register, rounded
 from chronoframe.plans.sqlgen import (LINEITEM_PANEL, MONTH_NAMES_SQL, SEASON_NAMES_SQL, SPLIT_EXPR, calendar_sql, rsig,
@@ -329,3 +330,28 @@ def feature_stage(spark, sf_dir):
 def feature_stage_chunked(spark, sf_dir):
     """The same stage in the layout for hot entities, in small chunks."""
     return rounded(feature_stage_frame(spark, sf_dir, "chunked", B.SMALL_CHUNK_ROWS), TIE_DIGITS)
+
+
+#: Model inputs of the stage: 49 columns, as many as the surveyed feature table has.
+WIDE_COLS = (*STAGE_VARS, *[f"{v}_lag_{k}h" for v in STAGE_VARS for k in STAGE_FEATURES.lags],
+             *[f"{v}_roll_{w}_{s}" for v in STAGE_VARS for w in STAGE_FEATURES.windows for s in ("mean", "std")],
+             "hour", "day", "day_of_week", "month", "year", "day_of_year", "is_weekend", "season", "nation_id", "region_id",
+             "heatwave_threshold", "target_rain", "target_heatwave", "target_storm", "target_disaster", "l_linenumber", "l_partkey")
+
+
+def _wide_sql() -> str:
+    n = len(WIDE_COLS)
+    pair = {(i, j): f"c{i}_{j}" for i in range(n) for j in range(i + 1, n)}
+    items = [f"CASE WHEN stddev_pop({WIDE_COLS[i]}) > 1e-9 AND stddev_pop({WIDE_COLS[j]}) > 1e-9 THEN corr({WIDE_COLS[i]}, {WIDE_COLS[j]}) END AS {k}" for (i, j), k in pair.items()]
+    items += [f"CASE WHEN stddev_pop({c}) > 1e-9 THEN 1.0::DOUBLE END AS d{i}" for i, c in enumerate(WIDE_COLS)]
+    cells = [f"{{a: '{WIDE_COLS[i]}', b: '{WIDE_COLS[j]}', c: {pair[min(i, j), max(i, j)] if i != j else f'd{i}'}}}" for i in range(n) for j in range(n)]
+    return (f"WITH stage AS MATERIALIZED ({_stage_sql()}), one AS (SELECT {', '.join(items)} FROM stage) "
+            f"SELECT r.a AS col_a, r.b AS col_b, round(r.c, 6) AS corr FROM (SELECT unnest([{', '.join(cells)}]) AS r FROM one)")
+
+
+@register("correlation_wide", _wide_sql())
+def correlation_wide(spark, sf_dir):
+    """A25 over the 49 inputs of the feature stage: 1,176 pairs from one aggregation (six digits: both sides sum in their own order)."""
+    stage = feature_stage(spark, sf_dir).select(*WIDE_COLS).checkpoint()       # read twice below: for the means, and for the products
+    out = correlation_matrix(stage, WIDE_COLS)
+    return out.withColumn("corr", F.round("corr", 6))
