@@ -13,9 +13,10 @@ link when ``100 * intersection >= percent * union``.
 3. *Group pairs.* n-grams that several groups have in their prefixes give
    candidates, filtered by size and position. First every class meets one
    leader (the group with the fewest rarer n-grams before the shared one: in a
-   family of copies the original). Classes linked to the same leader need not
-   meet again, so a family of thousands of near copies takes as many checks,
-   not its square. Then all other group pairs of a shared n-gram are taken.
+   family of copies the original). Classes of one component need not meet
+   again, so a family of thousands of near copies takes as many checks, not its
+   square. Further rounds draw other leaders until nothing merges or few pairs
+   are left (:func:`_linked_homes`); then all of those meet.
 4. *Verification* expands groups to classes, rules pairs out by counts of their
    n-grams in parts of the hash range (an upper bound of the intersection), and
    compares the whole sets of the rest.
@@ -48,6 +49,8 @@ LOCAL_MIN, BLOCK, HOT_NGRAMS, HOT_MIN = 3, 2_000_000, 200_000, 16
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 PIECE = (1 << 20) - 1
+#: Pairs left per row of the index at which leaders give way to all pairs.
+PAIRS_PER_ROW = 1
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +201,7 @@ def _possible(n1, p1, n2, p2, percent: int):
 
 
 def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``(signatures, links)``: per row ``doc_id, n, cid`` (least id with the same set), and links between classes."""
+    """``(signatures, links)``: per row ``doc_id, n, cid`` (least id with the same set), and enough links between classes for the components."""
     spark = document_batches(df).sparkSession
     text = F.col(f"`{text_col}`")
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
@@ -225,24 +228,54 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
     first = checkpointed(members.join(best, "gid", "left").select("cid", F.when(F.col("cid") != F.col("gid"), F.col("gid")).otherwise(F.col("lead")).alias("b")).where("b is not null").select(F.col("cid").alias("a"), "b"))
     star = checkpointed(_verified(docs, sig, first, n, percent))
 
-    # all other pairs of a shared n-gram
-    home = members.join(star.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("home")), "cid", "left").select("cid", "gid", F.coalesce("home", "cid").alias("home"))
-    wide = met.select("gram", "pos", "n", "gid").join(home, "gid")
-    several = wide.groupBy("gram").agg(F.min("home").alias("x"), F.max("home").alias("y")).where("x < y").select("gram")
-    wide = wide.join(several, "gram", "left_semi")
-    own = home.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1")
-    right = wide.select("gram", *[F.col(c).alias(f"{c}2") for c in ("pos", "n", "cid", "home")])
-    pairs = wide.join(right, "gram").where((F.col("cid") < F.col("cid2")) & (F.col("home") != F.col("home2")) & _possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent))
-    pairs = pairs.select(F.col("cid").alias("a"), F.col("cid2").alias("b")).distinct()
-    # classes of one group share its whole prefix, also where no other group has any of it
-    inner = home.join(own, "gid").select("gid", "cid", "home")
-    inner = inner.join(inner.select("gid", F.col("cid").alias("cid2"), F.col("home").alias("home2")), "gid").where("cid < cid2 and home <> home2").select(F.col("cid").alias("a"), F.col("cid2").alias("b"))
-    rest = checkpointed(pairs.unionByName(inner).distinct().join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    links = checkpointed(star.unionByName(_verified(docs, sig, rest, n, percent)))
+    # n-grams that several groups have, and groups of several classes, as keys under which pairs meet
+    several = members.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1")
+    own = groups.join(several, "gid").select(F.lit(1).alias("kind"), F.col("gid").alias("key"), F.lit(0).alias("pos"), "n", "gid")
+    keys = checkpointed(met.select(F.lit(0).alias("kind"), F.col("gram").alias("key"), "pos", "n", "gid").unionByName(own))
+    links = _linked_homes(docs, sig, keys, members, first, star, n, percent)
     signatures = sig.select("doc_id", *key).join(classes, key, "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid"))
     return signatures, links
 
 
+def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: DataFrame, tried: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
+    """All links that join components (``homes``), from the star of first leaders on.
+
+    While the pairs left outnumber the rows they come from, one class of every
+    key, of a home drawn by a hash of the round, leads: each class of another
+    home meets the leader that most of its keys name, is verified, and homes
+    merge. When nothing merges any more, or few pairs are left, all pairs of
+    different homes meet. Pairs that were verified before are not taken again.
+    """
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    merged, turn = None, 0
+    while True:
+        root = connected_components(links, "a", "b")
+        home = members.join(root, F.col("cid") == F.col("node"), "left").select("cid", "gid", F.coalesce("root", "cid").alias("home"))
+        wide = keys.join(home, "gid").select("kind", "key", "pos", "n", "cid", "home")
+        open_ = wide.groupBy("kind", "key").agg(F.min("home").alias("x"), F.max("home").alias("y")).where("x < y").select("kind", "key")
+        wide = checkpointed(wide.join(open_, ["kind", "key"], "left_semi"))
+        load = wide.groupBy("kind", "key", "home").agg(F.count("*").alias("k")).groupBy("kind", "key").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"))
+        rows, pairs = load.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
+        if not rows or pairs <= rows * PAIRS_PER_ROW or merged == 0:
+            break
+        lead = wide.groupBy("kind", "key").agg(F.min(F.struct(F.xxhash64("home", F.lit(turn)).alias("draw"), "pos", "n", "cid", "home")).alias("lead"))
+        meet = wide.join(lead, ["kind", "key"]).where((F.col("home") != F.col("lead.home")) & _possible(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), percent))
+        meet = meet.groupBy("cid", F.col("lead.cid").alias("b")).agg(F.count("*").alias("k"))
+        meet = meet.withColumn("x", F.least("cid", "b")).withColumn("y", F.greatest("cid", "b")).join(tried.withColumnsRenamed({"a": "x", "b": "y"}), ["x", "y"], "left_anti")
+        chosen = checkpointed(meet.groupBy("cid").agg(F.max(F.struct("k", F.negative("b").alias("m"))).alias("m")).select(F.col("cid").alias("a"), F.negative("m.m").alias("b")))
+        found = checkpointed(_verified(docs, sig, chosen, n, percent))
+        merged = found.count()
+        tried = checkpointed(tried.unionByName(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
+        links = checkpointed(links.unionByName(found))
+        turn += 1
+    if not rows:
+        return links
+    right = wide.select("kind", "key", *[F.col(c).alias(f"{c}2") for c in ("pos", "n", "cid", "home")])
+    left = wide.join(right, ["kind", "key"]).where((F.col("cid") < F.col("cid2")) & (F.col("home") != F.col("home2")) & _possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent))
+    rest = checkpointed(left.select(F.col("cid").alias("a"), F.col("cid2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    return checkpointed(links.unionByName(_verified(docs, sig, rest, n, percent)))
+
+
 def _joined(pairs: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
     """``(a, b, value of a, value of b)``."""
     left = rows.select(F.col(key).alias("a"), F.col(value).alias("va"))
