@@ -49,6 +49,8 @@ LOCAL_MIN, BLOCK, HOT_NGRAMS, HOT_MIN = 3, 2_000_000, 200_000, 16
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 PIECE = (1 << 20) - 1
+#: Bits of the bitmap of a set's n-grams that pairs of a key with at least ``MANY`` classes are compared by while they are joined.
+MARK_BITS, MANY = 2048, 8
 #: Pairs left per row of the index at which leaders give way to all pairs.
 PAIRS_PER_ROW = 1
 
@@ -145,8 +147,13 @@ def _signatures(batches, n: int, percent: int, order: Order):
             p = poly(33)
             pk = p.span(p.prefix(flat), at[:-1], at[1:])
             bins = np.bincount(np.repeat(np.arange(len(size)), size) * BINS + (h >> U64(64 - BIN_BITS)).astype(np.int64), minlength=len(size) * BINS).reshape(-1, BINS)
+            marks = np.zeros((len(size), MARK_BITS), dtype=bool)
+            marks[np.repeat(np.arange(len(size)), size), (h >> U64(64 - MARK_BITS.bit_length() + 1)).astype(np.int64)] = True
+            words = np.packbits(marks, axis=1).view(np.int64)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": id_col[first:last].cast(pa.int64()), "n": pa.array(size.astype(np.int32)),
+                "marks": pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.reshape(-1))),
+                "more": pa.array((size - marks.sum(1)).astype(np.int32)),
                 "bins": pa.array([b.astype(np.uint8 if b.max() < 256 else np.uint32).tobytes() for b in bins], pa.binary()),
                 **{k: pa.array((s[1:] - s[:-1]).view(np.int64)) for k, s in zip(("h1", "h2"), sums)},
                 "pk": pa.array(pk.view(np.int64)),
@@ -200,6 +207,12 @@ def _possible(n1, p1, n2, p2, percent: int):
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (1 + F.least(n1 - 1 - p1, n2 - 1 - p2) >= need)
 
 
+def _enough_marks(percent: int):
+    """Upper bound of the intersection from two bitmaps: bits that both have, and n-grams of the smaller surplus that share a bit with another."""
+    both = sum((F.bit_count(F.get("marks", F.lit(k)).bitwiseAND(F.get("marks2", F.lit(k)))) for k in range(MARK_BITS // 64)), F.lit(0))
+    return both + F.least("more", "more2") >= F.ceil((F.lit(percent) * (F.col("n") + F.col("n2"))) / F.lit(100 + percent))
+
+
 def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(signatures, links)``: per row ``doc_id, n, cid`` (least id with the same set), and enough links between classes for the components."""
     spark = document_batches(df).sparkSession
@@ -208,7 +221,7 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
     often = docs.select("text").mapInArrow(lambda it: _frequent(it, n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= HOT_MIN)
     rows = often.orderBy(F.desc("c"), "h").limit(HOT_NGRAMS).toPandas()
     order = spark.sparkContext.broadcast(Order(rows["h"].to_numpy(dtype=np.int64).view(U64), rows["c"].to_numpy(dtype=np.int64)))
-    sig = checkpointed(docs.mapInArrow(lambda it: _signatures(it, n, percent, order.value), "doc_id long, n int, bins binary, h1 long, h2 long, pk long, prefix array<long>"))
+    sig = checkpointed(docs.mapInArrow(lambda it: _signatures(it, n, percent, order.value), "doc_id long, n int, marks array<long>, more int, bins binary, h1 long, h2 long, pk long, prefix array<long>"))
 
     linked = sig.where("n > 0 and doc_id is not null")
     key = ["n", "pk", "h1", "h2"]
@@ -240,38 +253,60 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
 def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: DataFrame, tried: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """All links that join components (``homes``), from the star of first leaders on.
 
-    While the pairs left outnumber the rows they come from, one class of every
-    key, of a home drawn by a hash of the round, leads: each class of another
-    home meets the leader that most of its keys name, is verified, and homes
-    merge. When nothing merges any more, or few pairs are left, all pairs of
-    different homes meet. Pairs that were verified before are not taken again.
+    Of keys that the same classes have (a shared passage gives many) only the
+    first in the global order stays: a pair that shares any of them shares that
+    one, at the least positions. While the pairs left outnumber the rows they
+    come from, one class of every key, of a home drawn by a hash of the round,
+    leads: each class of another home meets the leader that most of its keys
+    name, is verified, and homes merge. When a round saves little, or few pairs
+    are left, all pairs of different homes meet. Pairs that were verified before
+    are not taken again.
     """
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    merged, turn = None, 0
+    root = connected_components(links, "a", "b")
+    home = members.join(root, F.col("cid") == F.col("node"), "left").select("cid", "gid", F.coalesce("root", "cid").alias("home"))
+    before, turn = None, 0
     while True:
-        root = connected_components(links, "a", "b")
-        home = members.join(root, F.col("cid") == F.col("node"), "left").select("cid", "gid", F.coalesce("root", "cid").alias("home"))
+        home = checkpointed(home)
         wide = keys.join(home, "gid").select("kind", "key", "pos", "n", "cid", "home")
         open_ = wide.groupBy("kind", "key").agg(F.min("home").alias("x"), F.max("home").alias("y")).where("x < y").select("kind", "key")
         wide = checkpointed(wide.join(open_, ["kind", "key"], "left_semi"))
-        load = wide.groupBy("kind", "key", "home").agg(F.count("*").alias("k")).groupBy("kind", "key").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"))
+        held = wide.groupBy("kind", "key").agg(*[F.bit_xor(F.xxhash64("cid", F.lit(k))).alias(f"x{k}") for k in (1, 2)], F.count("*").alias("c"), F.min("pos").alias("p"))
+        one = held.groupBy("x1", "x2", "c").agg(F.min(F.struct("p", "kind", "key")).alias("m")).select("m.kind", "m.key")
+        wide = checkpointed(wide.join(one, ["kind", "key"], "left_semi"))
+        band = F.floor(F.log("n") / float(np.log(100 / percent))) if percent < 100 else F.col("n")
+        load = wide.groupBy("kind", "key", band.alias("band"), "home").agg(F.count("*").alias("k")).groupBy("kind", "key", "band").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"))
         rows, pairs = load.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        if not rows or pairs <= rows * PAIRS_PER_ROW or merged == 0:
+        if not rows or pairs <= rows * PAIRS_PER_ROW or before is not None and pairs > 0.9 * before:
             break
+        before = pairs
         lead = wide.groupBy("kind", "key").agg(F.min(F.struct(F.xxhash64("home", F.lit(turn)).alias("draw"), "pos", "n", "cid", "home")).alias("lead"))
         meet = wide.join(lead, ["kind", "key"]).where((F.col("home") != F.col("lead.home")) & _possible(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), percent))
         meet = meet.groupBy("cid", F.col("lead.cid").alias("b")).agg(F.count("*").alias("k"))
         meet = meet.withColumn("x", F.least("cid", "b")).withColumn("y", F.greatest("cid", "b")).join(tried.withColumnsRenamed({"a": "x", "b": "y"}), ["x", "y"], "left_anti")
         chosen = checkpointed(meet.groupBy("cid").agg(F.max(F.struct("k", F.negative("b").alias("m"))).alias("m")).select(F.col("cid").alias("a"), F.negative("m.m").alias("b")))
         found = checkpointed(_verified(docs, sig, chosen, n, percent))
-        merged = found.count()
-        tried = checkpointed(tried.unionByName(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct())
+        tried = checkpointed(tried.unionByName(chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
         links = checkpointed(links.unionByName(found))
+        # each home joins the linked home of the least draw, if that is less than its own; twice along the chain
+        side = home.select("cid", F.col("home").alias("h"))
+        ends = found.join(side, F.col("a") == F.col("cid")).select("b", F.col("h").alias("x")).join(side, F.col("b") == F.col("cid")).select("x", F.col("h").alias("y")).where("x <> y")
+        both = ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        draw = lambda c: F.xxhash64(c, F.lit(turn))  # noqa: B023, E731
+        step = checkpointed(both.where(draw("y") < draw("x")).groupBy("x").agg(F.min(F.struct(draw("y").alias("d"), "y")).alias("m")).select("x", F.col("m.y").alias("y")))
+        far = step.join(step.select(F.col("x").alias("y"), F.col("y").alias("z")), "y", "left").select("x", F.coalesce("z", "y").alias("to"))
+        home = home.join(far, F.col("home") == F.col("x"), "left").select("cid", "gid", F.coalesce("to", "home").alias("home"))
         turn += 1
     if not rows:
         return links
-    right = wide.select("kind", "key", *[F.col(c).alias(f"{c}2") for c in ("pos", "n", "cid", "home")])
-    left = wide.join(right, ["kind", "key"]).where((F.col("cid") < F.col("cid2")) & (F.col("home") != F.col("home2")) & _possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent))
+    many = wide.groupBy("kind", "key").agg(F.count("*").alias("c")).where(F.col("c") >= MANY).select("kind", "key")
+    marks = sig.where("doc_id is not null").groupBy(F.col("doc_id").alias("cid")).agg(F.first("marks").alias("marks"), F.first("more").alias("more"))
+    marked = wide.join(many, ["kind", "key"], "left_semi").join(marks, "cid", "left")
+    wide = wide.join(many, ["kind", "key"], "left_anti").withColumns({"marks": F.lit(None).cast("array<long>"), "more": F.lit(None).cast("int")}).unionByName(marked)
+    wide = checkpointed(wide)
+    right = wide.select("kind", "key", *[F.col(c).alias(f"{c}2") for c in ("pos", "n", "cid", "home", "marks", "more")])
+    left = wide.join(right, ["kind", "key"]).where((F.col("cid") < F.col("cid2")) & (F.col("home") != F.col("home2")) & _possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent)
+                                                   & F.coalesce(_enough_marks(percent), F.lit(True)))
     rest = checkpointed(left.select(F.col("cid").alias("a"), F.col("cid2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     return checkpointed(links.unionByName(_verified(docs, sig, rest, n, percent)))
 
