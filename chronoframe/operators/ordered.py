@@ -149,7 +149,10 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
 
     ensure_checkpoint_dir(df.sparkSession)
     extras = dict(extra_aggs(F.col("_v"))) if extra_aggs else {}
-    counts = _agg(base, [F.count(F.lit(1)).alias("_n"), F.approx_count_distinct("_v").alias("_d")] + [a.alias(f"_x_{nm}") for nm, a in extras.items()])
+    counts = _agg(base, [F.count(F.lit(1)).alias("_n")] + [a.alias(f"_x_{nm}") for nm, a in extras.items()]).checkpoint(eager=True)  # one row per group
+    # distinct values are only estimated where some group has more rows than a bracket may have values
+    small = (counts.agg(F.max("_n")).first()[0] or 0) <= max_bracket
+    counts = counts.withColumn("_d", F.col("_n")) if small else _attach(counts, _agg(base, [F.approx_count_distinct("_v").alias("_d")]))
     cols = [F.col(c) for c in g] + [F.col("_n")] + [F.col(f"_x_{nm}") for nm in extras]
     for i, p in enumerate(probs):
         h = (F.col("_n") - 1) * F.lit(p)
@@ -157,7 +160,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
                  (h - F.floor(h)).alias(f"_fr{i}"), F.lit(None).cast("double").alias(f"_lo{i}"),
                  F.lit(None).cast("double").alias(f"_hi{i}"), F.lit(0).cast("long").alias(f"_below{i}"),
                  F.col("_n").alias(f"_size{i}"), F.col("_d").alias(f"_dist{i}")]
-    bounds = counts.select(*cols).checkpoint(eager=True)  # one row per group
+    bounds = counts.select(*cols) if small else counts.select(*cols).checkpoint(eager=True)
 
     grid = [j / 1000.0 for j in range(1, 1000)]
     before = None
@@ -193,14 +196,17 @@ def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float],
         c = F.col(f"_{side}{i}")
         return F.coalesce(c, F.lit(-inf if side == "lo" else inf))
 
-    bounded = bounds.select(*g, *[c for i in range(k) for c in (f"_lo{i}", f"_hi{i}")])
-    # only values inside some bracket are grouped: the bracket test stands below the aggregate
-    near = _attach(base, bounded).where(reduce(or_, [_inside(i) for i in range(k)]))
-    distinct = near.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    j = _attach(distinct, bounded)
-    brackets = F.array_compact(F.array_distinct(F.array(*[
-        F.when(_inside(i), F.struct(_edge(i, "lo").alias("_blo"), _edge(i, "hi").alias("_bhi"))) for i in range(k)])))
-    coll = j.select(*g, "_v", "_c", F.explode(brackets).alias("_b")).select(*g, "_v", "_c", "_b.*")
+    if before is None:      # never narrowed: every bracket is its whole group, rows collapse where they are read
+        coll = base.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumns({"_blo": F.lit(-inf), "_bhi": F.lit(inf)})
+    else:
+        bounded = bounds.select(*g, *[c for i in range(k) for c in (f"_lo{i}", f"_hi{i}")])
+        # only values inside some bracket are grouped: the bracket test stands below the aggregate
+        near = _attach(base, bounded).where(reduce(or_, [_inside(i) for i in range(k)]))
+        distinct = near.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        j = _attach(distinct, bounded)
+        brackets = F.array_compact(F.array_distinct(F.array(*[
+            F.when(_inside(i), F.struct(_edge(i, "lo").alias("_blo"), _edge(i, "hi").alias("_bhi"))) for i in range(k)])))
+        coll = j.select(*g, "_v", "_c", F.explode(brackets).alias("_b")).select(*g, "_v", "_c", "_b.*")
     w = W.partitionBy(*g, "_blo", "_bhi").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     coll = coll.withColumn("_cum", F.sum("_c").over(w))
     tgt = bounds.select(*g, F.explode(F.array(*[F.struct(

@@ -108,8 +108,7 @@ def event(table: DataFrame, target: str, name: str, task: str, configs: list[dic
     balance = R.class_balance(train, target)
     weighted = with_scalars(train, balance, ["scale_pos_weight"]).withColumn(
         "w", F.when(F.col(target) == 1, F.col("scale_pos_weight")).otherwise(1.0)).drop("scale_pos_weight")
-    usable = [{k: v for k, v in c.items() if k != "min_instances"} for c in configs]
-    best = _best(weighted, val, features, target, usable, "gbt_classifier", "val_f1", False, "w")
+    best = _best(weighted, val, features, target, configs, "gbt_classifier", "val_f1", False, "w")
     model = ML.fit_gbt_classifier(weighted, features, target, "w", **best)
     scored = ML.score(model, test, positive_prob="p").select("city", "datetime", F.col(target).alias("y"), "p", F.col("prediction").cast("int")).checkpoint()
     baseline = M.majority_baseline(train, test, target).select("majority", "accuracy", "f1")
