@@ -5,7 +5,9 @@ a window whose words also start in a document with a smaller id is removed;
 windows are judged on the input. The minimiser of a window is the least hash
 of its ``MINIMISER_WORDS``-word parts; consecutive windows of one document
 with the same minimiser travel as one packed string (its words once, instead
-of once per window) to the minimiser's bucket. There the windows are sorted by
+of once per window) to the minimiser's bucket. Frequent parts rank
+last (:func:`chronoframe.llm.superkmers.plan`), so a common phrase does
+not draw every text to one bucket. There the windows are sorted by
 a 128-bit hash, so equal ones stand together, and each finds its least id.
 
 Before the shuffle a task settles what it can alone: of equal windows in one
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, runs, sliding_min, word_hashes, word_spans
-from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, STRINGS, buckets, pack, packed_strings, range_arrays, range_rows, record, unpack, with_ranges
+from chronoframe.llm.superkmers import PLAIN, RANGE_SCHEMA, RANGES, STRINGS, PartOrder, bucket_of, pack, packed_strings, plan, range_arrays, range_rows, record, unpack, with_ranges
 from chronoframe.llm.storage import document_batches
 
 MINIMISER_WORDS = 3
@@ -91,7 +93,19 @@ def _ranges(flag: np.ndarray, h1: np.ndarray, doc: np.ndarray, position: np.ndar
     return doc[a], position[a], b - a, (total[b] - total[a]).view(np.int64)
 
 
-def split(batches, width: int, n_buckets: int):
+def parts_of(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of each part that can be a window's minimiser."""
+    m = poly(13)
+    return m.windows(m.prefix(words), min(MINIMISER_WORDS, width))
+
+
+def parts_in(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+    """Every part of every text (and of two neighbours, at their border)."""
+    starts, ends, _ = word_spans(data, offsets)
+    return parts_of(word_hashes(data, starts, ends, FIRST), width)
+
+
+def split(batches, width: int, n_buckets: int, order: PartOrder = PLAIN):
     """Map side: settle equal windows of a piece, send the rest as packed strings."""
     for batch in batches:
         doc_ids, column = ids(batch.column(0)), batch.column(1)
@@ -114,8 +128,7 @@ def split(batches, width: int, n_buckets: int):
                 found = _ranges(settled, h1, doc, position)
                 out.append((int(found[0][0] % n_buckets), pack(RANGES, *found)))
             send = valid & ~settled
-            m = poly(13)
-            least = sliding_min(m.windows(m.prefix(words), min(MINIMISER_WORDS, width)), width - min(MINIMISER_WORDS, width) + 1)
+            least = sliding_min(order.ranks(parts_of(words, width)), width - min(MINIMISER_WORDS, width) + 1)
             begin = send.copy()
             begin[1:] &= ~send[:-1] | (least[1:] != least[:-1])
             end = send.copy()
@@ -123,7 +136,7 @@ def split(batches, width: int, n_buckets: int):
             a, b = np.flatnonzero(begin), np.flatnonzero(end)
             if len(a):
                 left = starts[a]
-                out += packed_strings((least[a] % U64(n_buckets)).astype(np.int64), data, left, ends[b + width - 1] - left, doc[a], position[a].astype(np.int32))
+                out += packed_strings(bucket_of(least[a], n_buckets), data, left, ends[b + width - 1] - left, doc[a], position[a].astype(np.int32))
             if out:
                 yield record(out)
 
@@ -172,8 +185,10 @@ def covered(text: bytes, found: tuple, width: int) -> np.ndarray:
 def dedup(df: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str = "text", outputs: tuple = ("kept_text", "removed", "n_words", "n_removed", "kept_sha256")) -> DataFrame:
     """Add the chosen outputs: ``kept_text`` (the text itself if nothing goes, else the kept words joined by one space),
     ``removed`` (runs of word positions as structs), ``n_words``, ``n_removed``, ``kept_sha256`` (of the kept words joined by one space)."""
-    n_buckets = buckets(document_batches(df).sparkSession)
-    sent = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(lambda it: split(it, width, n_buckets), "bucket long, blob binary")
+    texts = document_batches(df).select(F.col(f"`{text_col}`").alias("text"))
+    order, n_buckets = plan(texts, lambda data, offsets: parts_in(data, offsets, width), PIECE)
+    shared = df.sparkSession.sparkContext.broadcast(order)
+    sent = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(lambda it: split(it, width, n_buckets, shared.value), "bucket long, blob binary")
     found = sent.groupBy("bucket").applyInPandas(lambda pdf: settle(pdf, width), RANGE_SCHEMA)
     rest = [c for c in df.columns if c not in outputs]
     joined = with_ranges(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*rest, id_col, text_col])]), found, id_col)

@@ -7,7 +7,8 @@ on the input and never cross documents.
 Only suffixes that can agree on ``width`` bytes need to meet. Each window has
 a minimiser (least hash of its ``MINIMISER_BYTES``-byte parts); windows with
 equal minimisers go to one bucket, neighbours with the same minimiser as one
-packed string. In a bucket, strings whose minimiser occurs once are let go.
+packed string; frequent parts rank last, so a common line does
+not draw every text to one bucket. In a bucket, strings whose minimiser occurs once are let go.
 Of equal strings the earliest stays. The suffixes of those left are sorted per
 minimiser by a mergesort whose comparisons take the longest common extension
 from prefix polynomial hashes by binary search (at most log2(width) steps);
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, ranges, runs, sliding_min
-from chronoframe.llm.superkmers import RANGE_SCHEMA, RANGES, buckets, pack, packed_strings, range_arrays, range_rows, record, unpack, with_ranges
+from chronoframe.llm.superkmers import PLAIN, RANGE_SCHEMA, RANGES, PartOrder, bucket_of, pack, packed_strings, plan, range_arrays, range_rows, record, unpack, with_ranges
 from chronoframe.llm.storage import document_batches
 
 MINIMISER_BYTES = 16
@@ -149,7 +150,17 @@ def places(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     return out
 
 
-def split(batches, width: int, n_buckets: int):
+#: Of a rank's upper half, all but the bit that says whether the part is frequent.
+_MARK = np.uint32(0x7FFFFFFF)
+
+
+def parts_in(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
+    """Every part whose hash is in the lower half: of the many parts of a window the least is hardly ever another."""
+    part = poly(21).windows(poly(21).prefix_bytes(data), MINIMISER_BYTES) & U64((1 << 63) - 1)
+    return part[part < U64(1 << 62)]
+
+
+def split(batches, width: int, n_buckets: int, order: PartOrder = PLAIN):
     """Map side: windows with one minimiser as packed strings, equal strings of a piece settled."""
     p = poly(21)
     for batch in batches:
@@ -159,7 +170,7 @@ def split(batches, width: int, n_buckets: int):
             if n <= 0:
                 continue
             prefix = p.prefix_bytes(data)
-            part = p.windows(prefix, MINIMISER_BYTES)
+            part = order.ranks(p.windows(prefix, MINIMISER_BYTES))
             least = sliding_min(part, width - MINIMISER_BYTES + 1)
             # a string can repeat inside itself only if its minimiser comes in anew while it lasts
             anew = np.zeros(n + 1, dtype=np.int64)
@@ -196,7 +207,7 @@ def split(batches, width: int, n_buckets: int):
                 keep[same] = False
                 rows.append((int(doc[same[0]] % n_buckets) if len(same) else 0, pack(RANGES, doc[same], start[same], lengths[same], hashes[same].view(np.int64))))
             a, lengths, doc, start, mark, loops = a[keep], lengths[keep], doc[keep], start[keep], mark[keep], loops[keep]
-            rows += packed_strings((mark % U64(n_buckets)).astype(np.int64), data, a, lengths, doc, start.astype(np.int32), (mark >> U64(32)).astype(np.uint32), loops)
+            rows += packed_strings(bucket_of(mark, n_buckets), data, a, lengths, doc, start.astype(np.int32), (mark >> U64(32)).astype(np.uint32) & _MARK, loops)
             yield record(rows)
 
 
@@ -282,7 +293,7 @@ def settle_strings(data, lengths, doc, start, mark, loops, width: int, seed: int
     group = np.repeat(np.unique(mark[order], return_inverse=True)[1].astype(np.int64), windows)
     # equal windows have their minimiser first at the same place, however often a string holds it
     parts = suffixes.poly.windows(suffixes.prefix, MINIMISER_BYTES) if seed == 21 else answer.windows(reply, MINIMISER_BYTES)
-    hit = np.flatnonzero((parts >> U64(32)).astype(np.uint32) == np.repeat(mark, lengths)[:len(parts)])
+    hit = np.flatnonzero((parts >> U64(32)).astype(np.uint32) & _MARK == np.repeat(mark, lengths)[:len(parts)])
     key = group * width + hit[np.searchsorted(hit, at)] - at
     by = np.argsort(key, kind="stable")
     key = key[by]
@@ -327,8 +338,10 @@ def dedup(df: DataFrame, width: int = 100, id_col: str = "doc_id", text_col: str
     """Add the chosen outputs: ``kept_bytes`` (binary), ``spans`` (removed runs as structs), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     if width <= MINIMISER_BYTES:
         raise ValueError(f"width must be over {MINIMISER_BYTES}")
-    n_buckets = buckets(document_batches(df).sparkSession)
-    sent = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(lambda it: split(it, width, n_buckets), "bucket long, blob binary")
+    texts = document_batches(df).select(F.col(f"`{text_col}`").alias("text"))
+    order, n_buckets = plan(texts, lambda data, offsets: parts_in(data, offsets, width), PIECE)
+    shared = df.sparkSession.sparkContext.broadcast(order)
+    sent = df.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")).mapInArrow(lambda it: split(it, width, n_buckets, shared.value), "bucket long, blob binary")
     found = sent.groupBy("bucket").applyInPandas(lambda pdf: settle(pdf, width), RANGE_SCHEMA)
     rest = [c for c in df.columns if c not in outputs]
     joined = with_ranges(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*rest, id_col, text_col])]), found, id_col)

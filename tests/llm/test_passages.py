@@ -142,3 +142,48 @@ def test_array_helpers():
     raw = b"a b" + b"" + b"c  " + b" d"
     starts, ends, bounds = word_spans(np.frombuffer(raw, np.uint8), np.array([0, 3, 3, 6, 8]))
     assert [raw[a:b] for a, b in zip(starts, ends)] == [b"a", b"b", b"c", b"d"] and bounds.tolist() == [0, 2, 2, 3, 4]
+
+
+def hot_rows(n, seed=4):
+    """A 14-word line in every text, at any place, with different neighbours; some texts twice, one neighbour shared."""
+    import random
+
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(3000)]
+    say = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    line, beside = say(14), say(9)
+    rows = []
+    for i in range(n):
+        t = f"{say(rng.randint(0, 30))} {line} {beside if i % 5 == 0 else ''} {say(rng.randint(0, 30))}"
+        rows.append((i, rows[-3][1] if i % 11 == 10 else t))
+    return rows
+
+
+def test_a_line_in_every_text(spark):
+    rows = hot_rows(400)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    assert rows_of(substring_dedup.dedup(df, 13), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_words(rows, 13)
+    assert rows_of(suffix_dedup.dedup(df, 70), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_bytes(rows, 70)
+
+
+def test_frequent_parts_do_not_fill_one_bucket(spark):
+    """With the line's parts ranked last no bucket holds a large share of what travels; with the plain order one does."""
+    import pyarrow as pa
+
+    from chronoframe.llm import superkmers
+
+    rows = hot_rows(3000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    for module, width in ((substring_dedup, 13), (suffix_dedup, 70)):
+        order, n = superkmers.plan(df.select("text"), lambda data, offsets: module.parts_in(data, offsets, width), module.PIECE)
+        assert len(order.frequent) and n == 16
+        batch = pa.RecordBatch.from_pydict({"i": pa.array([i for i, _ in rows], pa.int64()), "t": pa.array([t for _, t in rows], pa.string())})
+        share = []
+        for o in (superkmers.PLAIN, order):
+            size = np.zeros(400, dtype=np.int64)
+            for b in module.split([batch], width, 400, o):
+                for r in b.to_pylist():
+                    kind, *x = superkmers.unpack(r["blob"])
+                    size[r["bucket"]] += len(x[0]) if kind == superkmers.STRINGS else 0
+            share.append(size.max() / size.sum())
+        assert share[1] < 0.5 * share[0] and share[1] < 0.03, (module.__name__, share)

@@ -51,6 +51,27 @@ def test_families_of_edits_and_short_texts(spark):
         assert rows_of(ngram_join.components(df, 4, percent), "doc_id", "n_shingles", "component_id") == brute(rows, 4, percent)
 
 
+@pytest.mark.parametrize("per_row", [0, 1])
+def test_families_that_no_single_leader_links(spark, monkeypatch, per_row):
+    """Chains of edits (each near the one before, not near the first), clusters of different variants, and one size and prefix with many tails."""
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_ROW", per_row)
+    rng = random.Random(19)
+    texts = []
+    base = sentence(rng, 90).split(" ")
+    for k in range(14):                                         # a drifting chain
+        base[rng.randrange(len(base))] = rng.choice(WORDS)
+        texts.append(" ".join(base))
+    middle = sentence(rng, 60)
+    for cluster in range(3):                                    # a shared part, different surroundings, copies of each
+        own = f"{sentence(rng, 25)} {middle} {sentence(rng, 25)}"
+        texts += [edit(rng, own, 0.01) for _ in range(5)]
+    texts += [middle + " " + sentence(rng, 12) for _ in range(12)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert rows_of(ngram_join.components(df, 4, 85), "doc_id", "n_shingles", "component_id") == brute(rows, 4, 85)
+
+
 def test_empty(empty):
     assert ngram_join.components(empty).collect() == []
 
