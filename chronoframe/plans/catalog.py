@@ -35,7 +35,7 @@ def rounded(df: DataFrame, digits: int) -> DataFrame:
 def _load_modules() -> None:
     # Importing the modules registers their queries.
     from chronoframe.plans import q_labels, q_panel, q_profile, q_metrics, q_rollups, q_ml  # noqa: F401
-    from chronoframe.plans import q_dirty, q_stream  # noqa: F401
+    from chronoframe.plans import q_dirty, q_incremental, q_stream  # noqa: F401
 
 
 __all__ = ["QUERIES", "ORACLE", "register", "rounded"]
