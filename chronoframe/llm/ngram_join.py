@@ -52,7 +52,7 @@ PIECE = (1 << 20) - 1
 #: Bits of the bitmap of a set's n-grams that pairs of a key with at least ``MANY`` classes are compared by while they are joined.
 MARK_BITS, MANY = 2048, 8
 #: Pairs left per row of the index at which leaders give way to all pairs.
-PAIRS_PER_ROW = 1
+PAIRS_PER_ROW = 8
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -263,8 +263,10 @@ def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: Dat
     are not taken again.
     """
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    root = connected_components(links, "a", "b")
-    home = members.join(root, F.col("cid") == F.col("node"), "left").select("cid", "gid", F.coalesce("root", "cid").alias("home"))
+    # a class has one leader, which may have one too: the leader's leader is its home
+    lead_of = links.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("home"))
+    home = members.join(lead_of, "cid", "left").join(lead_of.select(F.col("cid").alias("home"), F.col("home").alias("far")), "home", "left")
+    home = home.select("cid", "gid", F.coalesce("far", "home", "cid").alias("home"))
     before, turn = None, 0
     while True:
         home = checkpointed(home)
