@@ -31,6 +31,8 @@ __all__ = [
     "next_value_target", "latest_per_entity", "last_n_per_entity", "first_n_per_entity",
 ]
 
+#: Windows of fewer rows are cheaper as frames than merged from blocks.
+BLOCK_FROM = 50
 _POS, _CHUNK, _HALO = "_cf_pos", "_cf_chunk", "_cf_halo"
 
 
@@ -77,12 +79,12 @@ def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -
 
 
 def _lag_rolling_blocks(df: DataFrame, w, fs: FeatureSpec) -> DataFrame:
-    """Rolling windows that are a multiple k·b of a smaller window b are merged from k
+    """Rolling windows of at least :data:`BLOCK_FROM` rows that are a multiple k·b of a smaller window b are merged from k
     consecutive b-row block aggregates (count, mean, M2 — lags of the b-row frame) with the
     parallel-variance formula (Chan et al.): about b instead of k·b row updates per output
     row, and no cancellation (M2 is merged, not differenced). Other windows use frames."""
     sizes = sorted(set(fs.windows.values()))
-    base = {n: max([m for m in sizes if m < n and n % m == 0], default=None) for n in sizes}
+    base = {n: max([m for m in sizes if m < n and n % m == 0], default=None) if n >= BLOCK_FROM else None for n in sizes}
     stage1 = {f"{v}_lag_{k}{fs.lag_suffix}": F.lag(v, k).over(w) for v in fs.variables for k in fs.lags}
     blocks = sorted({b for b in base.values() if b})
     for i, v in enumerate(fs.variables):

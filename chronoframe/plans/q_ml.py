@@ -37,7 +37,7 @@ def _lines(spark, sf_dir):
 
 def _events(spark, sf_dir):
     from chronoframe.plans.q_panel import feature_table
-    ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(feature_table(spark, sf_dir), "event_id")
+    ft = feature_table(spark, sf_dir, keep_ts=True)
     ft = P.next_value_target(ft, B.USER_PANEL, "value", "y", layout="entity").where(F.col("y").isNotNull())
     ts = F.col("ts")
     return ft.withColumn("split", F.when(ts < F.lit(EVENT_VAL_START).cast("timestamp_ntz"), "train")

@@ -43,13 +43,14 @@ FROM f""", ["value"] + _uf_names)
 
 
 @register("feature_table", FEATURE_TABLE_SQL)
-def feature_table(spark, sf_dir, layout="entity", chunk_rows=B.PANEL_CHUNK_ROWS):
+def feature_table(spark, sf_dir, layout="entity", chunk_rows=B.PANEL_CHUNK_ROWS, keep_ts=False):
     """W1–W5 + F2–F4: dedup, fill, lags, rolling mean/std and calendar features (users are small: one window task each)."""
     ev = B.table(spark, sf_dir, "events").drop("props")
     ev = C.nan_to_null(ev, ["value"])
     f = P.panel_features(ev, B.USER_PANEL, B.USER_FEATURES, fill_cols=["value"], dedup_ordinal="event_id",
                          layout=layout, chunk_rows=chunk_rows, rolling=B.ROLLING_METHOD)
-    return f.withColumns(calendar_columns("ts")).drop("ts")
+    f = f.withColumns(calendar_columns("ts"))
+    return f if keep_ts else f.drop("ts")
 
 
 @register("feature_table_chunked", FEATURE_TABLE_SQL)
@@ -248,8 +249,7 @@ SELECT {_TRAIN_SPLIT_SQL} AS split, count(*) AS rows, CAST(count(DISTINCT user_i
 FROM g GROUP BY 1""")
 def training_rows(spark, sf_dir):
     """P9 + W12: warm-up trim (rows whose lags are not yet defined are dropped), then rows per split."""
-    ft = feature_table(spark, sf_dir)
-    ft = B.table(spark, sf_dir, "events").select("event_id", "ts").join(ft, "event_id")
+    ft = feature_table(spark, sf_dir, keep_ts=True)
     lags = [f"value_lag_{k}" for k in B.USER_FEATURES.lags]
     trimmed = C.drop_null_rows(ft, lags)
     ts = F.col("ts")

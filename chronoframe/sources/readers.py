@@ -57,8 +57,10 @@ def parse_api_payload(spark: SparkSession, path: str, entity_from_file: bool = T
 
 
 def read_dimension_json(spark: SparkSession, path: str, key: str = "city") -> DataFrame:
-    """A ``{name: {attributes}}`` JSON document → one dimension row per name."""
+    """``{name: {attributes}}`` JSON, one document for all names or one on each line → one dimension row per name."""
     doc = spark.read.text(path, wholetext=True)
+    lines = F.split("value", r"(?<=\}\})\s*\n\s*(?=\{)")
+    doc = doc.select(F.explode(lines).alias("value"))
     m = F.from_json(F.col("value"), CITY_DIMENSION_DOC)
     return doc.select(F.explode(m).alias(key, "a")).select(key, "a.*") \
               .withColumn("coastal", F.col("coastal").cast("int"))

@@ -143,3 +143,19 @@ def test_payload_quarantine(spark, tmp_dir):
 def test_manifest_without_a_run(spark, tmp_dir):
     work = spark.createDataFrame([("a", 2009)], "city string, year int")
     assert I.ChunkStore(spark, f"{tmp_dir}/none").manifest(work).count() == 0
+
+
+def test_per_entity_sink_and_dimension_lines(spark, tmp_dir):
+    from chronoframe.sources import readers as RD
+    from chronoframe.sources import writers as WR
+
+    df = spark.createDataFrame([(f"c{i % 3}", dt.datetime(2024, 1, 1, i % 24), float(i)) for i in range(60)], "city string, datetime timestamp, v double")
+    WR.write_per_entity(df, f"{tmp_dir}/cities", num_partitions=4)
+    assert sorted(x for x in os.listdir(f"{tmp_dir}/cities") if x.startswith("city=")) == ["city=c0", "city=c1", "city=c2"]
+    back = spark.read.option("header", True).schema("datetime timestamp, v double").csv(f"{tmp_dir}/cities/city=c1")
+    assert back.count() == 20
+    dim = spark.createDataFrame([("Oslo", "Norway", "Europe", 59.9, 10.7, True, "T", "a}\n{b"), ("Lima", "Peru", "South America", -12.0, -77.0, True, "D", None)],
+                                "city string, country string, continent string, latitude double, longitude double, coastal boolean, climate_zone string, note string")
+    WR.write_dimension_json(dim.repartition(1), f"{tmp_dir}/dim")
+    rows = {r["city"]: r for r in RD.read_dimension_json(spark, f"{tmp_dir}/dim").collect()}
+    assert set(rows) == {"Oslo", "Lima"} and rows["Lima"]["country"] == "Peru" and rows["Oslo"]["coastal"] == 1
