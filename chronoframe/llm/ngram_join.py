@@ -258,7 +258,7 @@ def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: Dat
     one, at the least positions. While the pairs left outnumber the rows they
     come from, one class of every key, of a home drawn by a hash of the round,
     leads: each class of another home meets the leader that most of its keys
-    name, is verified, and homes merge. When a round saves little, or few pairs
+    name, is verified, and homes merge. When a round does not halve the pairs, or few
     are left, all pairs of different homes meet. Pairs that were verified before
     are not taken again.
     """
@@ -279,7 +279,7 @@ def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: Dat
         band = F.floor(F.log("n") / float(np.log(100 / percent))) if percent < 100 else F.col("n")
         load = wide.groupBy("kind", "key", band.alias("band"), "home").agg(F.count("*").alias("k")).groupBy("kind", "key", "band").agg(F.sum("k").alias("s"), F.sum(F.col("k") * F.col("k")).alias("q"))
         rows, pairs = load.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-        if not rows or pairs <= rows * PAIRS_PER_ROW or before is not None and pairs > 0.9 * before:
+        if not rows or pairs <= rows * PAIRS_PER_ROW or before is not None and 2 * pairs > before:
             break
         before = pairs
         lead = wide.groupBy("kind", "key").agg(F.min(F.struct(F.xxhash64("home", F.lit(turn)).alias("draw"), "pos", "n", "cid", "home")).alias("lead"))
