@@ -18,9 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from chronoframe.config import FeatureSpec, PanelSpec
 from chronoframe.operators.ordered import global_row_index
@@ -31,8 +34,6 @@ __all__ = [
     "next_value_target", "latest_per_entity", "last_n_per_entity", "first_n_per_entity",
 ]
 
-#: Windows of fewer rows are cheaper as frames than merged from blocks.
-BLOCK_FROM = 50
 _POS, _CHUNK, _HALO = "_cf_pos", "_cf_chunk", "_cf_halo"
 
 
@@ -68,7 +69,7 @@ def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -
 
     ``method='frame'`` (default) evaluates each rolling frame directly — exact,
     but Spark re-aggregates a sliding ROWS frame for every row: O(n·w).
-    ``method='blocks'`` merges large windows from smaller ones
+    ``method='blocks'`` merges windows from smaller blocks in Arrow batches
     (:func:`_lag_rolling_blocks`).
     """
     if method == "frame":
@@ -78,62 +79,104 @@ def with_lag_rolling(df: DataFrame, w, fs: FeatureSpec, method: str = "frame") -
     raise ValueError(method)
 
 
+#: Types whose windows :func:`_lag_rolling_blocks` takes in Arrow batches; other types use frames.
+_BATCHED = ("double", "float", "bigint", "int", "smallint", "tinyint")
+_AT = "_cf_at_row"
+
+
 def _lag_rolling_blocks(df: DataFrame, w, fs: FeatureSpec) -> DataFrame:
-    """Rolling windows of at least :data:`BLOCK_FROM` rows that are a multiple k·b of a smaller window b are merged from k
-    consecutive b-row block aggregates (count, mean, M2 — lags of the b-row frame) with the
-    parallel-variance formula (Chan et al.): about b instead of k·b row updates per output
-    row, and no cancellation (M2 is merged, not differenced). Other windows use frames."""
-    sizes = sorted(set(fs.windows.values()))
-    base = {n: max([m for m in sizes if m < n and n % m == 0], default=None) if n >= BLOCK_FROM else None for n in sizes}
-    stage1 = {f"{v}_lag_{k}{fs.lag_suffix}": F.lag(v, k).over(w) for v in fs.variables for k in fs.lags}
-    blocks = sorted({b for b in base.values() if b})
-    for i, v in enumerate(fs.variables):
-        for wn, n in fs.windows.items():
-            if base[n] is None:
-                frame = w.rowsBetween(-(n - 1), 0)
-                stage1[f"{v}_roll_{wn}_mean"] = F.avg(v).over(frame)
-                stage1[f"{v}_roll_{wn}_std"] = F.stddev_samp(v).over(frame)
-        for b in blocks:
-            frame = w.rowsBetween(-(b - 1), 0)
-            cnt = F.count(v).over(frame)
-            stage1[f"_bc{i}_{b}"] = cnt
-            stage1[f"_bm{i}_{b}"] = F.avg(v).over(frame)
-            stage1[f"_b2{i}_{b}"] = F.coalesce(F.var_samp(v).over(frame) * (cnt - 1), F.lit(0.0))
-    df = df.withColumns(stage1)
-    out = {}
-    for i, v in enumerate(fs.variables):
-        for wn, n in fs.windows.items():
-            b = base[n]
-            if b is None:
-                continue
-            parts = []
-            for j in range(n // b):
-                def lagged(c, off=j * b):
-                    return F.col(c) if off == 0 else F.lag(c, off).over(w)
-                c = F.coalesce(lagged(f"_bc{i}_{b}"), F.lit(0)).cast("double")
-                parts.append((c, F.coalesce(lagged(f"_bm{i}_{b}"), F.lit(0.0)), F.coalesce(lagged(f"_b2{i}_{b}"), F.lit(0.0))))
-            n_tot = parts[0][0]
-            s_tot = parts[0][0] * parts[0][1]
-            for c, m, _ in parts[1:]:
-                n_tot = n_tot + c
-                s_tot = s_tot + c * m
-            out[f"_N{i}_{wn}"] = n_tot
-            out[f"_M{i}_{wn}"] = F.when(n_tot > 0, s_tot / n_tot)
-            out[f"_P{i}_{wn}"] = F.array(*[F.struct(c.alias("c"), m.alias("m"), q.alias("q")) for c, m, q in parts])
-    df = df.withColumns(out)
-    fin = {}
-    for i, v in enumerate(fs.variables):
-        for wn, n in fs.windows.items():
-            if base[n] is None:
+    """W3-W5 over the sorted rows of ``w`` in Arrow batches.
+
+    The window numbers the rows and leaves them clustered and in order; each
+    batch is computed whole, with the largest lag or window of rows carried over
+    from the batch before, so this step holds one batch whatever the size of an
+    entity. A window is merged from blocks of rows (count, mean, M2) with the
+    parallel-variance formula (Chan et al.); nothing is differenced.
+    """
+    kind = dict(df.dtypes)
+    if any(kind[v] not in _BATCHED for v in fs.variables):
+        return df.withColumns(lag_rolling_columns(w, fs))
+    rows = df.withColumn(_AT, F.row_number().over(w))
+    names = df.columns
+    places = [names.index(v) for v in fs.variables]
+    lags, windows, halo = tuple(fs.lags), tuple(fs.windows.values()), fs.halo
+    fields = list(df.schema.fields)
+    fields += [StructField(f"{v}_lag_{k}{fs.lag_suffix}", df.schema[v].dataType) for v in fs.variables for k in fs.lags]
+    fields += [StructField(f"{v}_roll_{wn}_{s}", DoubleType()) for v in fs.variables for wn in fs.windows for s in ("mean", "std")]
+    out_names = [f.name for f in fields]
+
+    def run(batches):
+        tail, tail_at = None, np.zeros(0, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            n_tot, mean = F.col(f"_N{i}_{wn}"), F.col(f"_M{i}_{wn}")
-            m2 = F.aggregate(F.col(f"_P{i}_{wn}"), F.lit(0.0),
-                             lambda acc, p: acc + p["q"] + p["c"] * (p["m"] - mean) * (p["m"] - mean))
-            fin[f"{v}_roll_{wn}_mean"] = mean
-            fin[f"{v}_roll_{wn}_std"] = F.when(n_tot >= 2, F.sqrt(m2 / (n_tot - 1)))
-    df = df.withColumns(fin)
-    tmp = [c for c in stage1 if c.startswith("_")] + list(out)
-    return df.drop(*tmp)
+            new_at = batch.column(len(names)).to_numpy().astype(np.int64)
+            cols = [batch.column(i) for i in places]
+            if tail is not None:
+                cols = [pa.concat_arrays([t, c]) for t, c in zip(tail, cols)]
+            at = np.concatenate([tail_at, new_at])
+            if not ((at[1:] == at[:-1] + 1) | (at[1:] == 1)).all():
+                raise ValueError("rows are not in the order of their window")
+            old = len(tail_at)
+            out = list(batch.columns[:len(names)])
+            here = np.arange(old, len(at))
+            for c in cols:
+                for k in lags:
+                    out.append(c.take(pa.array(np.maximum(here - k, 0), mask=new_at <= k)))
+            rolled = rolling_stats(cols, at, windows)
+            for v in range(len(cols)):
+                for n, mean, std in rolled:
+                    count = n[v, old:]
+                    out += [pa.array(mean[v, old:], mask=count < 1), pa.array(std[v, old:], mask=count < 2)]
+            yield pa.RecordBatch.from_arrays(out, names=out_names)
+            keep = min(halo, len(at))
+            tail, tail_at = [c.slice(len(at) - keep) for c in cols], at[len(at) - keep:]
+
+    return rows.mapInArrow(run, StructType(fields))
+
+
+def rolling_stats(cols, at, windows) -> list[tuple]:
+    """``(count, mean, sample std)`` of each trailing window for the columns of one batch; ``at`` is a row's number in its entity, from 1.
+
+    A window of n rows is merged from the blocks of its largest divisor, down to
+    single rows. Means are taken from the differences to the row's own value (a
+    constant run has no variance), squares around the mean.
+    """
+    size = len(at)
+    present = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in cols])
+    x = np.stack([c.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False) for c in cols])
+    finite = np.isfinite(x).all()
+    own = x if finite else np.where(np.isfinite(x), x, 0.0)
+    blocks = {1: (present.astype(float), x, np.zeros(x.shape))}
+
+    def block(n):
+        if n in blocks:
+            return blocks[n]
+        b = next(n // p for p in range(2, n + 1) if n % p == 0)
+        count, mean, squares = block(b)
+        parts = []
+        for off in range(0, min(n, size), b):
+            ok, end = at[off:] > off, size - off
+            c, m, q = count[:, :end] * ok, mean[:, :end], squares[:, :end]
+            if finite:
+                q = q * ok
+            else:           # a zero weight does not cancel what is not finite
+                m, q = np.where(c > 0, m, own[:, off:]), np.where(c > 0, q, 0.0)
+            parts.append((off, c, m, q))
+        whole, total, spread = np.zeros(x.shape), np.zeros(x.shape), np.zeros(x.shape)
+        for off, c, m, _ in parts:
+            whole[:, off:] += c
+            total[:, off:] += c * (m - own[:, off:])
+        centre = own + total / np.maximum(whole, 1)
+        for off, c, m, q in parts:
+            d = m - centre[:, off:] if finite else np.where(c > 0, m - centre[:, off:], 0.0)
+            spread[:, off:] += q + c * d * d
+        blocks[n] = whole, centre, spread
+        return blocks[n]
+
+    with np.errstate(invalid="ignore", over="ignore"):
+        stats = [block(n) for n in windows]
+        return [(count, mean, np.sqrt(squares / np.maximum(count - 1, 1))) for count, mean, squares in stats]
 
 
 def panel_positions(df: DataFrame, spec: PanelSpec, dedup_ordinal: str | None = None) -> DataFrame:
