@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -144,42 +146,70 @@ def describe_exact(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         "q25", "q50", "q75", "max")
 
 
-#: Columns of one block of the cross products; 6 sums for each pair of two blocks stay below Spark's limit of fields for generated code.
-GRAM_BLOCK = 4
 #: A variance below this share of the mean square is rounding: the column is constant among those rows.
 NO_VARIANCE = 1e-12
 
 
+def _values(batch) -> np.ndarray:
+    """The rows of an Arrow batch of doubles as a matrix; NULL becomes NaN."""
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+
+
+def _products(z: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """``(n, sa, sb, saa, sbb, sab)`` of all pairs of columns over the rows where both have a value."""
+    m = there.astype(float)
+    if np.isfinite(z).all():
+        n, sa, saa, sab = m.T @ m, z.T @ m, (z * z).T @ m, z.T @ z
+    else:                   # an infinite value must not meet the zero of a missing one
+        k = z.shape[1]
+        n, sa, saa, sab = (np.zeros((k, k)) for _ in range(4))
+        for i in range(k):
+            both = there[:, i:i + 1] & there
+            a = np.where(both, z[:, i:i + 1], 0.0)
+            n[i], sa[i], saa[i], sab[i] = both.sum(0), a.sum(0), (a * a).sum(0), (a * np.where(both, z, 0.0)).sum(0)
+    return np.stack([n, sa, sa.T, saa, saa.T, sab])
+
+
 def gram_blocks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete cross products of numeric columns: ``(i, j, n, sa, sb, saa, sbb, sab)`` for column numbers i <= j.
 
-    Each row becomes one vector of its values less a fixed value of each column
-    (its mean; the value itself if it has only one), so large offsets do not
-    cancel. Pairs of blocks of :data:`GRAM_BLOCK` columns are the group keys of
-    one aggregation with the sums of all pairs of two blocks: its width does
-    not grow with the number of columns, and partial sums leave each task as
-    one row per pair of blocks. NULL and NaN are left out pair by pair.
+    Values are taken less a fixed value of each column (its mean; the value
+    itself if it has only one), so large offsets do not cancel. Each task turns
+    its Arrow batches into matrix products and sends one row per pair; one
+    aggregation sums them. NULL and NaN are left out pair by pair.
     """
-    cols, size = list(cols), GRAM_BLOCK
-    vector = F.array(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]).alias("_x")
-    stats = df.select(F.posexplode(vector).alias("_i", "_v")).groupBy("_i").agg(F.avg("_v").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    shift = {r["_i"]: (r["lo"] if r["lo"] == r["hi"] else r["m"]) or 0.0 for r in stats.collect()}      # one number for each column
-    moved = F.zip_with(F.col("_x"), F.array(*[F.lit(float(shift.get(i, 0.0))) for i in range(len(cols))]), lambda x, m: x - m)
-    blocks = -(-len(cols) // size)
-    pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in range(blocks) for q in range(p, blocks)])
-    rows = df.select(vector).select(moved.alias("_x")).select("_x", F.explode(pairs).alias("_b"))
-    rows = rows.select(F.col("_b.p").alias("p"), F.col("_b.q").alias("q"), *[F.get("_x", F.col(f"_b.{s}") * size + k).alias(f"{s}{k}") for s in "pq" for k in range(size)])
-    aggs = []
-    for k in range(size):
-        for m in range(size):
-            a, b = F.col(f"p{k}"), F.col(f"q{m}")
-            left, right = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-            aggs += [x.alias(f"{n}_{k}_{m}") for n, x in (("n", F.count(a * b)), ("sa", F.sum(left)), ("sb", F.sum(right)), ("saa", F.sum(left * left)), ("sbb", F.sum(right * right)), ("sab", F.sum(a * b)))]
-    summed = rows.groupBy("p", "q").agg(*aggs)
-    names = ("n", "sa", "sb", "saa", "sbb", "sab")
-    cells = F.array(*[F.struct((F.col("p") * size + k).alias("i"), (F.col("q") * size + m).alias("j"), *[F.col(f"{n}_{k}_{m}").alias(n) for n in names])
-                      for k in range(size) for m in range(size)])
-    return summed.select(F.explode(cells).alias("c")).select("c.*").where(f"i <= j and j < {len(cols)}")
+    cols = list(cols)
+    k = len(cols)
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def outline(batches):
+        n, total, low, high = np.zeros(k), np.zeros(k), np.full(k, np.inf), np.full(k, -np.inf)
+        with np.errstate(invalid="ignore"):
+            for x in map(_values, batches):
+                if len(x):
+                    n, total = n + (~np.isnan(x)).sum(0), total + np.nansum(x, 0)
+                    low, high = np.fmin(low, np.fmin.reduce(x, 0)), np.fmax(high, np.fmax.reduce(x, 0))
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (np.arange(k), n, total, low, high)], names=["i", "n", "s", "lo", "hi"])
+
+    stats = rows.mapInArrow(outline, "i long, n double, s double, lo double, hi double").groupBy("i").agg(
+        (F.sum("s") / F.sum("n")).alias("m"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n")).where("n > 0")
+    shift = {r["i"]: (r["lo"] if r["lo"] == r["hi"] else r["m"]) or 0.0 for r in stats.collect()}      # one number for each column
+    centre = np.array([float(shift.get(i, 0.0)) for i in range(k)])
+
+    def products(batches):
+        total, upper = None, np.triu_indices(k)
+        with np.errstate(invalid="ignore", over="ignore"):
+            for x in map(_values, batches):
+                if len(x):
+                    there = ~np.isnan(x)
+                    p = _products(np.where(there, x - centre, 0.0), there)
+                    total = p if total is None else total + p
+        if total is not None:
+            sums = [pa.array(t[upper]) for t in total]
+            yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int32)) for u in upper] + [sums[0].cast(pa.int64())] + sums[1:], names=["i", "j", "n", "sa", "sb", "saa", "sbb", "sab"])
+
+    parts = rows.mapInArrow(products, "i int, j int, n long, sa double, sb double, saa double, sbb double, sab double")
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
