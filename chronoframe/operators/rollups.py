@@ -125,8 +125,9 @@ def balanced_class_weights(df: DataFrame, y: str) -> DataFrame:
 
 
 def apply_class_weights(df: DataFrame, y: str, weights: DataFrame, out: str = "weight") -> DataFrame:
-    """Attach the class weight to every row (runtime-sized join; AQE broadcasts it)."""
-    return df.join(weights.select(y, F.col("weight").alias(out)), y, "left")
+    """Attach the class weight to every row. The weights have one row for each class: broadcast, else the rows
+    would be dealt over tasks by a column of few values."""
+    return df.join(F.broadcast(weights.select(y, F.col("weight").alias(out))), y, "left")
 
 
 def majority_class(df: DataFrame, y: str) -> DataFrame:
