@@ -178,8 +178,10 @@ class Restorer:
         A doubled letter may be a disguise or not: such a word also gives its
         likeliest reading with fewer of them, and the one with none.
         """
-        token = _JUNK.sub("", token)
-        core = token.strip(".,;:!?\"'()[]{}<>|%&#*~^`=-_/\\«»„“”")
+        core = token.strip(_EDGE)
+        if len(token) - len(core) > 2 or not core.isalpha():        # else there is no junk: it takes three signs
+            token = _JUNK.sub("", token)
+            core = token.strip(_EDGE)
         if core.isalpha() and not _TRIPLE.search(core):
             return list(dict.fromkeys([core, self.undoubled(core), _DOUBLE.sub(r"\1", core)])) if _DOUBLE.search(core) else [core]
         plain = _WORD.findall(token)
@@ -189,7 +191,9 @@ class Restorer:
         return plain + [w for w in self.decode(noisy).split(" ") if w and w not in plain]
 
 
+_EDGE = ".,;:!?\"'()[]{}<>|%&#*~^`=-_/\\«»„“”"
 _DOUBLE = re.compile(r"(.)\1")
+_RUN = re.compile(r"(.)\1+")
 _TRIPLE = re.compile(r"(.)\1\1")
 _JUNK = re.compile(r"^([^\w\s])\1{2,}|([^\w\s])\2{2,}[.,;:]*$")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -233,6 +237,54 @@ class TokenMemo(dict):
         return found
 
 
+class _Plain(dict):
+    """For ``str.translate``: letters as :meth:`Restorer.undoubled` reads them."""
+
+    def __missing__(self, point: int) -> str:
+        ch = chr(point)
+        base = unicodedata.normalize("NFD", ch)[0].lower()
+        out = self[point] = base if "a" <= base <= "z" else ch
+        return out
+
+
+class KnownStems(TokenMemo):
+    """Token to those of the ``known`` stems that its restored words have.
+
+    The readings of a word of letters differ in doubled letters and accents
+    alone. So a known stem that one of them has begins the word, both with
+    their runs of a letter made single; a word that none begins is not restored.
+    """
+
+    def __init__(self, restorer: Restorer, known, most: int = TOKEN_CACHE):
+        super().__init__(restorer, lambda words: frozenset(s for w in words for s in stems(w) if s in known), most)
+        self.heads = {_RUN.sub(r"\1", s) for s in known}
+        self.sizes = sorted({len(h) for h in self.heads})
+        self.plain = _Plain()
+
+    def begins(self, word: str) -> bool:
+        for k in self.sizes:
+            if word[:k] in self.heads:
+                return True
+        return False
+
+    def without(self, token: str) -> bool:
+        """Whether no reading can have a known stem (false: restore it and see)."""
+        core = token.strip(_EDGE)
+        if len(token) - len(core) > 2 or not core.isalpha() or _TRIPLE.search(core):
+            return False
+        if core.isascii():
+            return not self.begins(_RUN.sub(r"\1", core.lower()))
+        return not (_UNSPACED.search(core) or self.begins(_RUN.sub(r"\1", core)) or self.begins(_RUN.sub(r"\1", core.translate(self.plain))))
+
+    def __missing__(self, token: str) -> frozenset:
+        if not self.without(token):
+            return super().__missing__(token)
+        if len(self) >= self.most:
+            self.clear()
+        self[token] = frozenset()
+        return self[token]
+
+
 @dataclass
 class ToxicityModel:
     logp: np.ndarray
@@ -291,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None, id_
     good = {r["stem"]: (r["toxic"] + 0.5) / (r["toxic"] + r["clean"] + 1) for r in passed.collect()}       # what passes, all of it
 
     def list_good(batches):
-        memo = TokenMemo(Restorer(logp), lambda words: frozenset(s for w in words for s in stems(w) if s in good), STEM_CACHE)
+        memo = KnownStems(Restorer(logp), good, STEM_CACHE)
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"stems": pa.array([sorted(memo.of(t or "")) for t in batch.column(0).to_pylist()], pa.list_(pa.string()))})
 
@@ -334,7 +386,7 @@ def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", threshold
     def run(batches):
         release()
         model = shared.value
-        memo = TokenMemo(Restorer(model.logp), model.hits)
+        memo = KnownStems(Restorer(model.logp), model.rules)
         for batch in batches:
             values = [model.score(memo.of(t.as_py() or "")) for t in batch.column(batch.schema.get_field_index(text_col))]
             cols = {c: batch.column(batch.schema.get_field_index(c)) for c in rest}

@@ -69,6 +69,23 @@ def test_short_words_unspaced_scripts_and_stems_under_many_common_ones_are_learn
     assert got == {0: 1, 1: 0, 2: 1, 3: 0, 4: 1, 5: 0}
 
 
+def test_words_that_no_rule_begins_are_not_restored(monkeypatch):
+    """Op 8: the filter before restoring leaves out only tokens without a rule, whatever their doubled letters, accents and signs."""
+    rng = np.random.default_rng(4)
+    logp = tx.log_probabilities(np.arange(1 << 20), rng.integers(0, 9, 1 << 20))
+    restorer = tx.Restorer(logp)
+    tokens = [a + b + c for a in ("", "é", "éé", "***", "漢字漢", "ol", "ß", "İ", "the") for b in ("ool", "llee", "éèe", "aab", "ж", "idiot", "iddiiot", "naïïve") for c in ("", "!", "...", "ss", "字字", "rrr")]
+    every = sorted({s for t in tokens[::3] for w in restorer.words(t) for s in tx.stems(w)})
+    known = dict.fromkeys(every[::2], 0.9)
+    plain = tx.ToxicityModel(logp, known)
+    quick = tx.KnownStems(restorer, known)
+    assert {t: quick[t] for t in tokens} == {t: plain.hits(restorer.words(t)) for t in tokens}
+    asked = []
+    monkeypatch.setattr(restorer, "words", lambda t: asked.append(t) or [t])
+    few = tx.KnownStems(restorer, {"idiot": 0.9})
+    assert [few[t] for t in ("letter", "books.", "ciónn", "iddiot")] == [frozenset()] * 4 and asked == ["iddiot"]
+
+
 def test_toxicity_without_labels_or_rows(spark, tables, empty):
     docs, labels = tables
     none = tx.fit(docs.limit(20).select("doc_id", "text"), labels.limit(0))
