@@ -2,18 +2,34 @@
 
 Spark uses its Python workers again, also for the next operator. Tables worth
 keeping between tasks (an encoder with the pieces it has met) are held here;
-an operator that starts in the same worker lets those of others go.
+an operator that starts in the same worker lets those of others go, and gives
+the memory back that they left: an allocator keeps what was freed, so a worker
+would else stay as large as the largest operator before, on top of its own needs.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
+
 _held: dict = {}
 
 
+def give_back() -> None:
+    """Hand freed memory to the system (Arrow's pool; the C heap where the C library can)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def held(key, make):
     """The value kept under ``key``, made if this worker does not have it; values under other keys are dropped."""
     if key not in _held:
-        _held.clear()
+        release()
         _held[key] = make()
     return _held[key]
 
@@ -21,3 +37,4 @@ def held(key, make):
 def release() -> None:
     """Drop what other operators have left in this worker."""
     _held.clear()
+    give_back()

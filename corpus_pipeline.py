@@ -49,8 +49,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    # executors still hold what the stages before have grown to: remember fewer pieces
-    return byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, remember=300_000).drop("text")
+    # executors still hold what the stages before have grown to: remember fewer pieces (more time, the same ids)
+    return byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, remember=150_000).drop("text")
 
 
 STAGES = [

@@ -114,3 +114,22 @@ def test_fuzz_counts_and_budgets():
 def test_empty_tables(empty):
     assert byte_bpe.encode(empty, RANKS, public_tokenizers.PATTERN).collect() == []
     assert token_counts.token_counts(empty, WORDS).collect() == []
+
+
+def test_a_worker_gives_memory_back_when_its_operator_changes(monkeypatch):
+    """Pipeline, byte_bpe: what the operator before has left is handed to the system before tables are built, and only then."""
+    from chronoframe.llm import memories
+
+    back = []
+    monkeypatch.setattr(memories, "give_back", lambda: back.append(dict(memories._held)))
+    memories._held.clear()
+    assert [memories.held(k, lambda k=k: [k]) for k in ("a", "a", "b")] == [["a"], ["a"], ["b"]]
+    assert back == [{}, {}] and memories._held == {"b": ["b"]}
+    memories.release()
+    assert len(back) == 3 and memories._held == {}
+
+
+def test_memory_is_given_back_where_the_system_can():
+    from chronoframe.llm import memories
+
+    assert memories.give_back() is None
