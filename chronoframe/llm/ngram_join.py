@@ -19,7 +19,11 @@ link when ``100 * intersection >= percent * union``.
    are left (:func:`_linked_homes`); then all of those meet.
 4. *Verification* expands groups to classes, rules pairs out by counts of their
    n-grams in parts of the hash range (an upper bound of the intersection), and
-   compares the whole sets of the rest.
+   compares the whole sets of the rest, in turns that bound what is shuffled at
+   once.
+
+What is stored of every document is five numbers; prefixes, bitmaps and counts
+are made again from the texts where and for the documents that need them.
 
 Result: per document its set size and component (least id reachable by links).
 
@@ -39,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from chronoframe.llm.arrays import LOWER, U64, chunks, mix, poly, word_hashes, word_spans
-from chronoframe.llm.bitmaps import having
+from chronoframe.llm.bitmaps import having, marked
 from chronoframe.llm.components import connected_components
 from chronoframe.llm.memories import release
 from chronoframe.llm.storage import checkpointed, document_batches
@@ -51,6 +55,8 @@ BINS = 1 << BIN_BITS
 PIECE = (1 << 20) - 1
 #: Bits of the bitmap of a set's n-grams that pairs of a key with at least ``MANY`` classes are compared by while they are joined.
 MARK_BITS, MANY = 2048, 8
+#: Pairs are compared in turns that carry at most one part in so many of all documents' n-grams.
+TURN_SHARE = 4
 #: Pairs left per row of the index at which leaders give way to all pairs.
 PAIRS_PER_ROW = 8
 
@@ -146,18 +152,31 @@ def _signatures(batches, n: int, percent: int, order: Order):
             sums = [np.concatenate((np.zeros(1, U64), np.cumsum(mix(h ^ U64(salt)))))[bounds] for salt in (0x5BD1E995, 0x9E3779B1)]
             p = poly(33)
             pk = p.span(p.prefix(flat), at[:-1], at[1:])
-            bins = np.bincount(np.repeat(np.arange(len(size)), size) * BINS + (h >> U64(64 - BIN_BITS)).astype(np.int64), minlength=len(size) * BINS).reshape(-1, BINS)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": id_col[first:last].cast(pa.int64()), "n": pa.array(size.astype(np.int32)),
+                **{k: pa.array((s[1:] - s[:-1]).view(np.int64)) for k, s in zip(("h1", "h2"), sums)},
+                "pk": pa.array(pk.view(np.int64)),
+                "prefix": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int64))),
+            })
+
+
+def _profiles(batches, n: int):
+    """Per row: id, bitmap of its n-grams, n-grams beyond the bitmap's bits, and their counts by parts of the hash range."""
+    for batch in batches:
+        cid, column = batch.column(0), batch.column(1)
+        for first, last, data, offsets in chunks(column, PIECE):
+            h, bounds = shingle_sets(data, offsets, n)
+            size = np.diff(bounds)
+            row = np.repeat(np.arange(len(size)), size)
+            bins = np.bincount(row * BINS + (h >> U64(64 - BIN_BITS)).astype(np.int64), minlength=len(size) * BINS).reshape(-1, BINS)
             marks = np.zeros((len(size), MARK_BITS), dtype=bool)
-            marks[np.repeat(np.arange(len(size)), size), (h >> U64(64 - MARK_BITS.bit_length() + 1)).astype(np.int64)] = True
+            marks[row, (h >> U64(64 - MARK_BITS.bit_length() + 1)).astype(np.int64)] = True
             words = np.packbits(marks, axis=1).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": id_col[first:last].cast(pa.int64()), "n": pa.array(size.astype(np.int32)),
+                "cid": cid[first:last],
                 "marks": pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.reshape(-1))),
                 "more": pa.array((size - marks.sum(1)).astype(np.int32)),
                 "bins": pa.array([b.astype(np.uint8 if b.max() < 256 else np.uint32).tobytes() for b in bins], pa.binary()),
-                **{k: pa.array((s[1:] - s[:-1]).view(np.int64)) for k, s in zip(("h1", "h2"), sums)},
-                "pk": pa.array(pk.view(np.int64)),
-                "prefix": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.view(np.int64))),
             })
 
 
@@ -221,13 +240,17 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
     often = docs.select("text").mapInArrow(lambda it: _frequent(it, n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= HOT_MIN)
     rows = often.orderBy(F.desc("c"), "h").limit(HOT_NGRAMS).toPandas()
     order = spark.sparkContext.broadcast(Order(rows["h"].to_numpy(dtype=np.int64).view(U64), rows["c"].to_numpy(dtype=np.int64)))
-    sig = checkpointed(docs.mapInArrow(lambda it: _signatures(it, n, percent, order.value), "doc_id long, n int, marks array<long>, more int, bins binary, h1 long, h2 long, pk long, prefix array<long>"))
 
+    def signed(rows: DataFrame) -> DataFrame:
+        return rows.mapInArrow(lambda it: _signatures(it, n, percent, order.value), "doc_id long, n int, h1 long, h2 long, pk long, prefix array<long>")
+
+    # prefixes are as large as the texts: they are made again for the index, not stored
+    sig = checkpointed(signed(docs).drop("prefix"))
     linked = sig.where("n > 0 and doc_id is not null")
     key = ["n", "pk", "h1", "h2"]
     classes = linked.groupBy(*key).agg(F.min("doc_id").alias("cid"))
-    groups = linked.groupBy("n", "pk").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
-    index = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "gram"))
+    groups = linked.groupBy("n", "pk").agg(F.min("doc_id").alias("gid"), F.count("*").alias("k"))
+    index = _prefixes(docs, signed, linked, groups).select("gid", "n", F.posexplode("prefix").alias("pos", "gram"))
     by_gram = W.partitionBy("gram").orderBy("pos", "n", "gid")
     lead = F.first(F.struct("gid", "n", "pos")).over(by_gram)
     met = index.select("gram", "pos", "n", "gid", lead.alias("lead"), F.lag("gid").over(by_gram).alias("before"), F.lead("gid").over(by_gram).alias("after"))
@@ -244,12 +267,21 @@ def link_documents(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "
     # n-grams that several groups have, and groups of several classes, as keys under which pairs meet
     several = members.groupBy("gid").agg(F.count("*").alias("k")).where("k > 1")
     own = groups.join(several, "gid").select(F.lit(1).alias("kind"), F.col("gid").alias("key"), F.lit(0).alias("pos"), "n", "gid")
-    keys = checkpointed(met.select(F.lit(0).alias("kind"), F.col("gram").alias("key"), "pos", "n", "gid").unionByName(own))
+    keys = met.select(F.lit(0).alias("kind"), F.col("gram").alias("key"), "pos", "n", "gid").unionByName(checkpointed(own))
     links = _linked_homes(docs, sig, keys, members, first, star, n, percent)
     signatures = sig.select("doc_id", *key).join(classes, key, "left").select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid"))
     return signatures, links
 
 
+def _prefixes(docs: DataFrame, signed, linked: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(gid, n, prefix)`` of each group. Only documents that may share theirs are shuffled with their prefixes, the others are groups by themselves."""
+    shared = checkpointed(marked(linked, "pk", groups.where("k > 1"), "pk").where("__maybe").select(F.col("doc_id").alias("id")).distinct())
+    rows = marked(docs.where("doc_id is not null"), "doc_id", shared, "id")
+    alone = signed(rows.where("not __maybe").select("doc_id", "text")).where("n > 0").select(F.col("doc_id").alias("gid"), "n", "prefix")
+    several = signed(rows.where("__maybe").select("doc_id", "text")).where("n > 0").groupBy("n", "pk").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
+    return alone.unionByName(several.select("gid", "n", "prefix"))
+
+
 def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: DataFrame, tried: DataFrame, links: DataFrame, n: int, percent: int) -> DataFrame:
     """All links that join components (``homes``), from the star of first leaders on.
 
@@ -302,9 +334,9 @@ def _linked_homes(docs: DataFrame, sig: DataFrame, keys: DataFrame, members: Dat
     if not rows:
         return links
     many = wide.groupBy("kind", "key").agg(F.count("*").alias("c")).where(F.col("c") >= MANY).select("kind", "key")
-    marks = sig.where("doc_id is not null").groupBy(F.col("doc_id").alias("cid")).agg(F.first("marks").alias("marks"), F.first("more").alias("more"))
-    marked = wide.join(many, ["kind", "key"], "left_semi").join(marks, "cid", "left")
-    wide = wide.join(many, ["kind", "key"], "left_anti").withColumns({"marks": F.lit(None).cast("array<long>"), "more": F.lit(None).cast("int")}).unionByName(marked)
+    dense = wide.join(many, ["kind", "key"], "left_semi")
+    marks = _profiled(docs, checkpointed(dense.select("cid").distinct()), n).groupBy("cid").agg(F.first("marks").alias("marks"), F.first("more").alias("more"))
+    wide = wide.join(many, ["kind", "key"], "left_anti").withColumns({"marks": F.lit(None).cast("array<long>"), "more": F.lit(None).cast("int")}).unionByName(dense.join(marks, "cid", "left"))
     wide = checkpointed(wide)
     right = wide.select("kind", "key", *[F.col(c).alias(f"{c}2") for c in ("pos", "n", "cid", "home", "marks", "more")])
     left = wide.join(right, ["kind", "key"]).where((F.col("cid") < F.col("cid2")) & (F.col("home") != F.col("home2")) & _possible(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2"), percent)
@@ -324,16 +356,33 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct())
 
 
+def _profiled(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """``(cid, marks, more, bins)`` of the documents with one of the ids, made where their texts are."""
+    some = marked(docs.where("doc_id is not null"), "doc_id", ids, "cid").where("__maybe").select("doc_id", "text")
+    return some.mapInArrow(lambda it: _profiles(it, n), "cid long, marks array<long>, more int, bins binary").join(ids, "cid", "left_semi")
+
+
 def _verified(docs: DataFrame, sig: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are similar enough.
 
     Counts by parts of the hash range (some hundred bytes a document) rule out
-    most false pairs; only the documents of the others are read again.
+    most false pairs; only the documents of the others are read again. A pair
+    carries both sets, so pairs are compared in as many turns as keep what a
+    turn carries under a share of all documents' sets, however many they are.
     """
-    bins = checkpointed(having(sig.select("doc_id", "bins").where("doc_id is not null"), "doc_id", _ids(pairs), "cid"))
-    pairs = checkpointed(_joined(pairs, bins, "doc_id", "bins").mapInArrow(lambda it: _prune(it, percent), "a long, b long").distinct())
+    bins = checkpointed(_profiled(docs, _ids(pairs), n).select("cid", "bins"))
+    pairs = checkpointed(_joined(pairs, bins, "cid", "bins").mapInArrow(lambda it: _prune(it, percent), "a long, b long").distinct())
     sets = checkpointed(having(docs.where("doc_id is not null"), "doc_id", _ids(pairs), "cid").mapInArrow(lambda it: _sets(it, n), "cid long, grams array<long>"))
-    return _joined(pairs, sets, "cid", "grams").mapInArrow(lambda it: _check(it, percent), "a long, b long").distinct()
+    sizes = sets.select("cid", F.size("grams").cast("long").alias("grams"))
+    carried = _joined(pairs, sizes, "cid", "grams").agg(F.sum(F.col("va") + F.col("vb"))).first()[0] or 0
+    turns = -(-carried * TURN_SHARE // max(1, sig.agg(F.sum("n")).first()[0] or 0)) or 1
+    out = None
+    for turn in range(turns):
+        own = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == turn) if turns > 1 else pairs
+        found = _joined(own, sets, "cid", "grams").mapInArrow(lambda it: _check(it, percent), "a long, b long").distinct()
+        found = checkpointed(found) if turns > 1 else found
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def components(df: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

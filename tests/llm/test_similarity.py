@@ -72,6 +72,49 @@ def test_families_that_no_single_leader_links(spark, monkeypatch, per_row):
     assert rows_of(ngram_join.components(df, 4, 85), "doc_id", "n_shingles", "component_id") == brute(rows, 4, 85)
 
 
+def test_stored_signatures_hold_numbers_only(spark, docs, texts, monkeypatch):
+    """What is kept of every document during the join is some numbers, not its prefix, bitmap or counts."""
+    rng = random.Random(9)
+    rows = texts + [(10_000 + k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stored, original = [], ngram_join.checkpointed
+
+    def seen(df):
+        out = original(df)
+        stored.append((out.count(), {t for c, t in out.dtypes if c not in ("lead", "gram", "pos")}))
+        return out
+    monkeypatch.setattr(ngram_join, "checkpointed", seen)
+    assert rows_of(ngram_join.components(df, 4, 85), "doc_id", "n_shingles", "component_id") == brute(rows, 4, 85)
+    whole = [types for count, types in stored if count >= len(rows)]
+    assert whole and all(types <= {"int", "bigint"} for types in whole)
+
+
+def test_pairs_in_several_turns(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for f in range(6):
+        first = [f"f{f}x{k}" for k in range(120)]
+        for c in range(12):
+            words = list(first)
+            for k in rng.sample(range(120), c % 5):
+                words[k] = f"c{c}y{k}"
+            rows.append((100 * f + c, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    compared, original = [], ngram_join._joined
+
+    def seen(pairs, rows, key, value):
+        compared.append("grams" in rows.columns and dict(rows.dtypes)["grams"] != "bigint")
+        return original(pairs, rows, key, value)
+    monkeypatch.setattr(ngram_join, "_joined", seen)
+    monkeypatch.setattr(ngram_join, "TURN_SHARE", 40)
+    assert rows_of(ngram_join.components(df, 4, 85), "doc_id", "n_shingles", "component_id") == brute(rows, 4, 85)
+    assert sum(compared) > 10
+    compared.clear()
+    monkeypatch.setattr(ngram_join, "TURN_SHARE", 0)
+    assert rows_of(ngram_join.components(df, 4, 85), "doc_id", "n_shingles", "component_id") == brute(rows, 4, 85)
+    assert 0 < sum(compared) < 10
+
+
 def test_empty(empty):
     assert ngram_join.components(empty).collect() == []
 
