@@ -62,4 +62,4 @@ def test_run_equals_the_stages(spark, stages):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
