@@ -15,6 +15,8 @@ import pyarrow as pa
 
 #: One less than a power of two: prefix sums and power tables then fit the power of two.
 PIECE_BYTES = (2 << 20) - 1
+#: Bytes or values whose prefix sums are held at once; tables of powers, which a worker keeps, are as long.
+HASHED = 1 << 16
 #: Words are runs of bytes other than space and \t \n \v \f \r.
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -129,6 +131,16 @@ class Poly:
         n = max(0, len(prefix) - width)
         return mix((prefix[width:width + n] - prefix[:n]) * self._down[:n])
 
+    def windows_of(self, values: np.ndarray, width: int) -> np.ndarray:
+        """:meth:`windows` of the values' prefix sums, made ``HASHED`` values at a time."""
+        n = max(0, len(values) - width + 1)
+        out = np.empty(n, dtype=U64)
+        step = max(HASHED - width, width)
+        for a in range(0, n, step):
+            b = min(n, a + step)
+            out[a:b] = self.windows(self.prefix(values[a:b + width - 1]), width)
+        return out
+
 
 @functools.lru_cache(maxsize=None)
 def poly(seed: int) -> Poly:
@@ -140,8 +152,16 @@ LONG_WORD = 32
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of each word; ``starts`` and ``ends`` rise. Prefix sums take eight times the bytes, so they are made of ``HASHED`` at a time."""
     p = poly(seed)
-    out = p.span(p.prefix_bytes(data), starts, ends)
+    out = np.empty(len(starts), dtype=U64)
+    row = 0
+    while row < len(starts):
+        left = starts[row]
+        end = max(row + 1, int(np.searchsorted(ends, left + HASHED - 1, side="right")))
+        if end > row + 1 or ends[row] - left <= LONG_WORD:
+            out[row:end] = p.span(p.prefix_bytes(data[left:ends[end - 1]]), starts[row:end] - left, ends[row:end] - left)
+        row = end
     key = seed.to_bytes(8, "little")
     for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():        # at most one for each LONG_WORD bytes of text
         out[k] = int.from_bytes(hashlib.blake2b(data[starts[k]:ends[k]], digest_size=8, key=key).digest(), "little")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoframe.llm.memories import held
+from chronoframe.llm.memories import held, trim
 from chronoframe.llm.prefix_bpe import REMEMBER, MergeTable
 from chronoframe.llm.storage import document_batches
 
@@ -128,6 +128,7 @@ def encode(df: DataFrame, path: str, pattern: str, text_col: str = "text", keep_
                 cols["token_ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)))
             cols |= {"n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(id_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
             yield pa.RecordBatch.from_pydict(cols)
+            trim()               # the batch's strings leave holes between the remembered pieces
 
     kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest]
     kinds += ["token_ids array<int>"] * keep_ids + ["n_tokens long", "ids_sha256 string", "decoded_sha256 string"]

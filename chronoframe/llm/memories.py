@@ -17,13 +17,18 @@ import pyarrow as pa
 _held: dict = {}
 
 
-def give_back() -> None:
+def trim() -> None:
     """Hand freed memory to the system (Arrow's pool; the C heap where the C library can)."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
+    malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if malloc_trim:
+        malloc_trim(0)
+
+
+def give_back() -> None:
+    """:func:`trim` after what only cycles hold has been freed too."""
+    gc.collect()
+    trim()
 
 
 def held(key, make):

@@ -85,7 +85,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
 def _frequent(batches, n: int):
     """Map side of the order: n-grams met ``LOCAL_MIN`` times in a block of rows."""
     def flush(parts):
-        h = np.sort(np.concatenate(parts))
+        h = np.concatenate(parts)
+        parts.clear()
+        h.sort()
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
         count = np.diff(np.append(first, len(h)))
         often = count >= LOCAL_MIN

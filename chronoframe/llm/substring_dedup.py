@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoframe.llm.arrays import U64, chunks, ids, owners, poly, runs, sliding_min, word_hashes, word_spans
+from chronoframe.llm.memories import release
 from chronoframe.llm.superkmers import PLAIN, RANGE_SCHEMA, RANGES, STRINGS, PartOrder, bucket_of, pack, packed_strings, plan, range_arrays, range_rows, record, unpack, with_ranges
 from chronoframe.llm.storage import document_batches
 
@@ -48,7 +49,7 @@ PIECE = (2 << 20) - 1
 def window_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit hashes of every window of words, from two independent hashes of each word (``words`` is the first)."""
     a, b = poly(11), poly(12)
-    return a.windows(a.prefix(words), width), b.windows(b.prefix(word_hashes(data, starts, ends, SECOND)), width)
+    return a.windows_of(words, width), b.windows_of(word_hashes(data, starts, ends, SECOND), width)
 
 
 def valid_windows(bounds: np.ndarray, width: int, n: int) -> np.ndarray:
@@ -57,8 +58,8 @@ def valid_windows(bounds: np.ndarray, width: int, n: int) -> np.ndarray:
     return ok
 
 
-def not_first(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Windows that an equal window of a smaller id comes before."""
+def not_first(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, part: np.ndarray | None = None) -> np.ndarray:
+    """Windows that an equal window of a smaller id comes before; ``doc`` has the id of each window, or of each ``part``."""
     order = np.argsort(h1)
     s1 = h1[order]
     same = np.zeros(len(order), dtype=bool)
@@ -72,13 +73,15 @@ def not_first(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray) -> np.ndarray:
     order = order[np.lexsort((h2[order], h1[order]))]
     s1, s2 = h1[order], h2[order]
     first = np.flatnonzero(np.concatenate(([True], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1]))))
-    least = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.append(first, len(order))))
-    out[order] = doc[order] > least
+    own = doc[order if part is None else part[order]]
+    least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(order))))
+    out[order] = own > least
     return out
 
 
 def _ranges(flag: np.ndarray, h1: np.ndarray, doc: np.ndarray, position: np.ndarray, part: np.ndarray | None = None):
-    """Runs of flagged neighbours as (document, first window, windows, sum of their hashes); a run does not leave its ``part``."""
+    """Runs of flagged neighbours as (document, first window, windows, sum of their hashes); a run does not leave its ``part``
+    (``doc`` then has the id of each part)."""
     if part is not None:
         cut = np.zeros(len(flag), dtype=bool)
         cut[1:] = part[1:] != part[:-1]
@@ -90,13 +93,12 @@ def _ranges(flag: np.ndarray, h1: np.ndarray, doc: np.ndarray, position: np.ndar
     end[:-1] &= ~flag[1:] | cut[1:]
     a, b = np.flatnonzero(begin), np.flatnonzero(end) + 1
     total = np.concatenate((np.zeros(1, U64), np.cumsum(h1)))
-    return doc[a], position[a], b - a, (total[b] - total[a]).view(np.int64)
+    return doc[a if part is None else part[a]], position[a], b - a, (total[b] - total[a]).view(np.int64)
 
 
 def parts_of(words: np.ndarray, width: int) -> np.ndarray:
     """Hash of each part that can be a window's minimiser."""
-    m = poly(13)
-    return m.windows(m.prefix(words), min(MINIMISER_WORDS, width))
+    return poly(13).windows_of(words, min(MINIMISER_WORDS, width))
 
 
 def parts_in(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
@@ -107,6 +109,7 @@ def parts_in(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
 
 def split(batches, width: int, n_buckets: int, order: PartOrder = PLAIN):
     """Map side: settle equal windows of a piece, send the rest as packed strings."""
+    release()
     for batch in batches:
         doc_ids, column = ids(batch.column(0)), batch.column(1)
         for first, last, data, offsets in chunks(column, PIECE):
@@ -142,8 +145,8 @@ def split(batches, width: int, n_buckets: int, order: PartOrder = PLAIN):
 
 
 def settle(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
-    """Reduce side: one bucket's windows, sorted."""
-    found, parts, base = [], [], 0
+    """Reduce side: one bucket's windows, sorted. A window is held as two hashes, its string and its position (24 bytes)."""
+    found, docs, parts, base = [], [], [], 0
     for blob in pdf["blob"]:
         kind, *x = unpack(blob)
         if kind == RANGES:
@@ -156,12 +159,15 @@ def settle(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
         own = owners(bounds)[:len(h1)]
         ok = valid_windows(bounds, width, len(h1))
         own, at = own[ok], np.flatnonzero(ok)
-        parts.append((h1[ok], h2[ok], doc[own], position[own] + (at - bounds[own]), own + base))
+        docs.append(doc)
+        parts.append((h1[ok], h2[ok], (position[own] + (at - bounds[own])).astype(np.int32), (own + base).astype(np.int32)))
         base += len(lengths)
     if parts:
-        h1, h2, doc, position, part = (np.concatenate(x) for x in zip(*parts))
+        columns = [list(x) for x in zip(*parts)]
         del parts
-        found.append(_ranges(not_first(h1, h2, doc), h1, doc, position, part))
+        h1, h2, position, part = (np.concatenate(columns.pop(0)) for _ in range(4))      # each column's pieces go as it is made
+        doc = np.concatenate(docs)
+        found.append(_ranges(not_first(h1, h2, doc, part), h1, doc, position, part))
     return range_rows(found)
 
 
@@ -169,8 +175,7 @@ def covered(text: bytes, found: tuple, width: int) -> np.ndarray:
     """Words to remove from one text."""
     data = np.frombuffer(text, dtype=np.uint8)
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
-    p = poly(11)
-    h1 = p.windows(p.prefix(word_hashes(data, starts, ends, FIRST)), width)
+    h1 = poly(11).windows_of(word_hashes(data, starts, ends, FIRST), width)
     first, n, h = found
     ok = (first >= 0) & (first + n <= len(h1))
     first, n, h = first[ok], n[ok], h[ok]
@@ -194,6 +199,7 @@ def dedup(df: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str
     joined = with_ranges(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*rest, id_col, text_col])]), found, id_col)
 
     def finish(batches):
+        release()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             marks = batch.column(batch.schema.get_field_index("__ranges"))

@@ -70,7 +70,9 @@ def plan(texts: DataFrame, parts_in, piece: int) -> tuple[PartOrder, int]:
         parts, size, read = [], 0, 0
 
         def flush():
-            h = np.sort(np.concatenate(parts)) if parts else np.zeros(0, U64)
+            h = np.concatenate(parts) if parts else np.zeros(0, U64)
+            parts.clear()
+            h.sort()
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(h)), dtype=bool), h[1:] != h[:-1])))
             n = np.diff(np.append(first, len(h)))
             often = n >= LOCAL_MIN

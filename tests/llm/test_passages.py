@@ -187,3 +187,33 @@ def test_frequent_parts_do_not_fill_one_bucket(spark):
                     size[r["bucket"]] += len(x[0]) if kind == superkmers.STRINGS else 0
             share.append(size.max() / size.sum())
         assert share[1] < 0.5 * share[0] and share[1] < 0.03, (module.__name__, share)
+
+
+def test_word_hashes_hold_few_prefix_sums_at_once():
+    """A worker kept 64 MB of powers, as long as its pieces; now they are as long as a block, and the hashes are the same."""
+    import numpy as np
+
+    from chronoframe.llm import arrays
+
+    text = b" ".join(f"w{k * 7919 % 50021}".encode() for k in range(60000)) + b" " + b"x" * 200_000 + b" last"
+    data = np.frombuffer(text, dtype=np.uint8)
+    starts, ends, _ = arrays.word_spans(data, np.array([0, len(data)]))
+    kept = dict(arrays.Poly._powers)
+    arrays.Poly._powers.clear()
+    arrays.poly.cache_clear()
+    try:
+        words = arrays.word_hashes(data, starts, ends, 10)
+        windows = arrays.poly(11).windows_of(words, 50)
+        assert len(data) > 4 * arrays.HASHED > 0 and max(len(t) for pair in arrays.Poly._powers.values() for t in pair) <= arrays.HASHED
+        p = arrays.Poly(10)
+        whole = p.span(p.prefix_bytes(data), starts, ends)
+        short = ends - starts <= arrays.LONG_WORD
+        assert (words[short] == whole[short]).all() and (~short).sum() == 1
+        assert words[~short][0] == arrays.word_hashes(data[starts[-2]:ends[-2]], np.array([0]), np.array([200_000]), 10)[0]
+        p = arrays.Poly(11)
+        assert len(windows) == len(words) - 49 and (windows == p.windows(p.prefix(words), 50)).all()
+        assert len(arrays.poly(11).windows_of(words[:3], 50)) == 0
+    finally:
+        arrays.Poly._powers.clear()
+        arrays.Poly._powers.update(kept)
+        arrays.poly.cache_clear()
