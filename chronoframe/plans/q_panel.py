@@ -269,20 +269,26 @@ def feature_stage_frame(spark, sf_dir, layout="entity", chunk_rows=B.PANEL_CHUNK
     """The surveyed preprocessing step end to end on ``lineitem`` (entity = supplier):
     fill → lags 24/48/72 and 24/168-row rolling mean/std of four measures → calendar with
     hemisphere flip → rule labels → category codes → split → warm-up trim (P9)."""
-    df = B.lineitem_panel(spark, sf_dir).withColumn("_tb", F.struct(*STAGE_TIEBREAK))
-    spec = PanelSpec("l_suppkey", "l_shipdate", "_tb")
-    f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout=layout, chunk_rows=chunk_rows,
-                         rolling=B.ROLLING_METHOD)
-    f = f.withColumns(calendar_columns("l_shipdate", southern=F.col("s_nationkey") < B.SOUTH_NATION_BELOW))
+    df = B.lineitem_panel(spark, sf_dir)
     codes = {"n_name": "nation_id", "r_name": "region_id"}
     # fitted on the dimension rows that have facts (at most 25): the facts are read for their supplier keys alone
     present = B.supplier_nation(spark, sf_dir).join(B.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct(),
                                                     "s_suppkey", "left_semi").select(*codes).distinct()
     encoders = {c: F.broadcast(e) for c, e in fit_encoders(present, codes).items()}
-    f = encode_columns(f, codes, encoders)
+    # labels and codes stand in for the texts they come from, so that the shuffle carries numbers alone
+    df = encode_columns(df, codes, encoders).drop("l_returnflag", "l_linestatus", *codes)
+    if layout == "entity":      # its windows sort again after the fill: by the values as they were
+        df, tiebreak = df.withColumn("_tb", F.struct(*STAGE_TIEBREAK)), "_tb"
+    else:
+        tiebreak = tuple(STAGE_TIEBREAK)
+    spec = PanelSpec("l_suppkey", "l_shipdate", tiebreak)
+    f = P.panel_features(df, spec, STAGE_FEATURES, fill_cols=list(STAGE_VARS), layout=layout, chunk_rows=chunk_rows,
+                         rolling=B.ROLLING_METHOD)
+    f = f.withColumns(calendar_columns("l_shipdate", southern=F.col("s_nationkey") < B.SOUTH_NATION_BELOW))
     f = S.with_split(f, "l_shipdate", train=B.SPLIT_TRAIN, val=B.SPLIT_VAL, test=B.SPLIT_TEST)
     f = C.drop_null_rows(f, [f"{v}_lag_72h" for v in STAGE_VARS])
-    return f.drop("_tb", "l_returnflag", "l_linestatus", "l_shipdate", "s_nationkey", "n_name", "r_name")
+    last = [*codes.values(), "split"]
+    return f.select(*[c for c in f.columns if c not in ("_tb", "l_shipdate", "s_nationkey", *last)], *last)
 
 
 def _stage_sql() -> str:
